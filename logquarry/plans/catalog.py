@@ -3,11 +3,24 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logquarry.operators import analytics
+from logquarry.functions.hashing import record_hash
+from logquarry.functions.timestamps import log_text, micros_text
+from logquarry.operators import analytics, facets, features, forest, load, parse, quality, reports, rules, validate
+from logquarry.plans import detection, processing, reporting
+from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NULL_TOKENS, NUMERIC_FEATURES, RECORD_COLUMNS
+from logquarry.schema import RULE_SIGNALS
 from logquarry.sources import events as derived
+from logquarry.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def _register(query: Query) -> Query:
+    QUERIES[query.__name__] = query
+    return query
 
 
 def _fact_query(name: str) -> Query:
@@ -17,11 +30,410 @@ def _fact_query(name: str) -> Query:
     return run
 
 
-def user_activity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+QUERIES.update({name: _fact_query(name) for name in analytics.FACT_QUERIES})
+
+
+@_register
+def user_activity_summary(spark, sf_dir):
     return analytics.user_activity_summary(derived.log_events(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
-    **{name: _fact_query(name) for name in analytics.FACT_QUERIES},
-    "user_activity_summary": user_activity_summary,
-}
+@_register
+def analytics_report(spark, sf_dir):
+    """All thirteen results, computed the way a full report does: from the stored hourly facts."""
+    events = derived.log_events(spark, sf_dir)
+    return reporting.measures(analytics.all_analytics(events, reporting.stored_summary(events)))
+
+
+# --- text sources, parsing, validation -------------------------------------------------------------
+
+
+def _document_lines(spark, sf_dir):
+    text = F.split("text", "\r\n|[\r\n]", -1)
+    return derived.read_table(spark, sf_dir, "documents").select("doc_id", F.explode(text).alias("value"))
+
+
+@_register
+def ingest_lines(spark, sf_dir):
+    return files.log_lines(_document_lines(spark, sf_dir))
+
+
+@_register
+def ingest_stats(spark, sf_dir):
+    return files.ingest_stats(_document_lines(spark, sf_dir))
+
+
+@_register
+def reject_free_text(spark, sf_dir):
+    """Why lines of ordinary documents are not log lines."""
+    records = parse.parse_lines(files.log_lines(_document_lines(spark, sf_dir)))
+    return parse.rejected_only(records).groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+@_register
+def log_lines(spark, sf_dir):
+    return parse.format_lines(derived.log_events(spark, sf_dir))
+
+
+@_register
+def parse_logs(spark, sf_dir):
+    return parse.parsed_only(parse.parse_lines(derived.raw_lines(spark, sf_dir)))
+
+
+@_register
+def rejected_logs(spark, sf_dir):
+    return validate.all_rejections(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+
+
+@_register
+def validate_records(spark, sf_dir):
+    return validate.invalid_records(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+
+
+@_register
+def dedupe_records(spark, sf_dir):
+    return validate.deduplicate(validate.valid_records(processing.routed_records(derived.raw_lines(spark, sf_dir))))
+
+
+@_register
+def duplicate_count(spark, sf_dir):
+    return validate.count_duplicates(
+        validate.valid_records(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+    )
+
+
+@_register
+def cleaned_rows(spark, sf_dir):
+    return files.cleaned_rows(dedupe_records(spark, sf_dir))
+
+
+@_register
+def processing_stats(spark, sf_dir):
+    return validate.processing_stats(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+
+
+# --- loading ---------------------------------------------------------------------------------------
+
+
+def _csv_text(spark, sf_dir):
+    """Log events as CSV text in every accepted spelling, chosen by id."""
+    row = F.col("id")
+    token = F.element_at(F.array(*[F.lit(t) for t in NULL_TOKENS]), (row % len(NULL_TOKENS) + 1).cast("int"))
+
+    def number(name):
+        text = F.col(name).cast("string")
+        underscored = F.concat(F.substring(text, 1, 1), F.lit("_"), F.expr(f"substring(cast({name} as string), 2)"))
+        return (
+            F.when(text.isNull(), token)
+            .when(row % 4 == 1, F.concat(text, F.lit(".0")))
+            .when(row % 4 == 2, F.concat(F.lit(" "), text, F.lit(" ")))
+            .when(row % 4 == 3, F.concat(text, F.lit(".9")))
+            .when((row % 7 == 3) & (F.length(text) > 1), underscored)
+            .otherwise(text)
+        )
+
+    seconds = F.concat(F.lit("  "), F.substring(log_text(F.col("timestamp")), 1, 19), F.lit(" "))
+    texts = {
+        "timestamp": F.when(row % 3 == 0, log_text(F.col("timestamp")))
+        .when(row % 3 == 1, micros_text(F.col("timestamp")))
+        .otherwise(seconds),
+        "status": number("status"),
+        "response_time_ms": F.when(row % 97 == 13, "abc").otherwise(number("response_time_ms")),
+    }
+    for c in RECORD_COLUMNS:
+        if c not in texts:
+            padded = F.when(row % 2 == 1, F.concat(F.lit(" "), F.col(c), F.lit("\t"))).otherwise(F.col(c))
+            texts[c] = F.coalesce(padded, token)
+    return derived.log_events(spark, sf_dir).select("id", *[texts[c].alias(c) for c in RECORD_COLUMNS])
+
+
+@_register
+def csv_typing(spark, sf_dir):
+    return load.type_rows(_csv_text(spark, sf_dir)).select("id", *RECORD_COLUMNS, "row_error")
+
+
+@_register
+def csv_row_errors(spark, sf_dir):
+    """Rows that would make a load fail, with the reason."""
+    k = F.col("id") % 11
+    damaged = (
+        F.when(k == 5, "not-a-date")
+        .when(k == 6, "2024-02-30 10:00:00")
+        .when(k == 7, "   ")
+        .when(k == 8, "NaT")
+        .otherwise(F.col("timestamp"))
+    )
+    status = F.when(k == 9, "inf").when(k == 10, "3e9").otherwise(F.col("status"))
+    rows = _csv_text(spark, sf_dir).withColumns({"timestamp": damaged, "status": status})
+    return load.type_rows(rows).where(F.col("row_error").isNotNull()).select("id", "row_error")
+
+
+@_register
+def record_hashes(spark, sf_dir):
+    return derived.hashed_log_events(spark, sf_dir).select("id", "record_hash")
+
+
+def _second_load(spark, sf_dir):
+    """Target and incoming rows of a repeated load.
+
+    The target holds the records cleaned from the raw lines. Incoming are all log events, each twice,
+    the second time in capitals, which hashes alike.
+    """
+    target = dedupe_records(spark, sf_dir).select(record_hash().alias("record_hash"))
+    first = derived.log_events(spark, sf_dir).withColumn("copy", F.lit(0))
+    capitals = first.withColumns(
+        {f.name: F.upper(f.name) for f in first.schema.fields if f.dataType.typeName() == "string"}
+    ).withColumn("copy", F.lit(1))
+    return target, first.unionByName(capitals).withColumn("record_hash", record_hash())
+
+
+@_register
+def idempotent_load(spark, sf_dir):
+    """Rows that the second load inserts."""
+    target, incoming = _second_load(spark, sf_dir)
+    return load.absent_from(load.first_per_hash(incoming, ["id", "copy"]), target)
+
+
+@_register
+def load_stats(spark, sf_dir):
+    target, incoming = _second_load(spark, sf_dir)
+    fresh = load.absent_from(load.first_per_hash(incoming, ["id", "copy"]), target)
+    counted = incoming.agg(F.count(F.lit(1)).alias("input_records"))
+    inserted, before = F.col("inserted_records"), target.agg(F.count(F.lit(1))).scalar()
+    return counted.withColumn("inserted_records", fresh.agg(F.count(F.lit(1))).scalar()).select(
+        "input_records",
+        "inserted_records",
+        (F.col("input_records") - inserted).alias("duplicate_records"),
+        F.lit(0).cast("bigint").alias("failed_records"),
+        (before + inserted).alias("database_total_rows"),
+    )
+
+
+@_register
+def constraint_violations(spark, sf_dir):
+    k = F.col("id") % 13
+    rows = derived.hashed_log_events(spark, sf_dir).withColumns(
+        {
+            "log_level": F.when(k == 1, F.lower("log_level")).otherwise(F.col("log_level")),
+            "status": F.when(k == 2, 700).otherwise(F.col("status")),
+            "response_time_ms": F.when(k == 3, -1).otherwise(F.col("response_time_ms")),
+            "service": F.when(k == 4, F.repeat(F.lit("s"), 31)).otherwise(F.col("service")),
+            "timestamp": F.when(k != 5, F.col("timestamp")),
+            "event_type": F.when(k != 6, F.col("event_type")),
+        }
+    )
+    return load.constraint_violations(rows)
+
+
+@_register
+def load_verify(spark, sf_dir):
+    return load.load_summary(derived.log_events(spark, sf_dir)).select(
+        "total_rows", "min_timestamp", "max_timestamp", F.inline("level_counts")
+    )
+
+
+# --- anomaly detection -----------------------------------------------------------------------------
+
+
+@_register
+def response_time_profile(spark, sf_dir):
+    return features.profile(derived.log_events(spark, sf_dir))
+
+
+@_register
+def feature_columns(spark, sf_dir):
+    events = derived.log_events(spark, sf_dir)
+    medians = features.scalars(features.profile(events))
+    prepared = features.prepare_features(events)
+    return prepared.select("id", *features.impute(prepared, medians), *CATEGORICAL_FEATURES)
+
+
+@_register
+def feature_vector(spark, sf_dir):
+    """The vector with its one-hot part as digits."""
+    events = derived.log_events(spark, sf_dir)
+    vectors = features.feature_vector(
+        features.prepare_features(events), features.scalars(features.profile(events))
+    )
+    numbers = len(NUMERIC_FEATURES)
+    digits = F.transform(
+        F.slice("features", numbers + 1, F.size("features") - numbers), lambda v: v.cast("int").cast("string")
+    )
+    return vectors.select(
+        "id",
+        F.get("features", F.lit(0)).alias("response_time_ms"),
+        F.get("features", F.lit(1)).alias("status"),
+        F.array_join(digits, "").alias("one_hot"),
+    )
+
+
+def _with_rules(spark, sf_dir):
+    events = derived.log_events(spark, sf_dir).select(*ANALYSIS_COLUMNS)
+    filled = events.withColumns({c: F.coalesce(c, F.lit(features.UNKNOWN)) for c in CATEGORICAL_FEATURES})
+    signals = rules.rule_signals(filled, features.scalars(features.profile(events))["rt_p95"])
+    return signals.withColumn("anomaly_reason", rules.anomaly_reason())
+
+
+@_register
+def rule_signals(spark, sf_dir):
+    return _with_rules(spark, sf_dir).select("id", *RULE_SIGNALS)
+
+
+@_register
+def anomaly_reason_rules(spark, sf_dir):
+    return _with_rules(spark, sf_dir).select("id", "anomaly_reason")
+
+
+def _flagged_by_rules(spark, sf_dir):
+    """Any fired rule stands in for the model's decision, so that SQL can follow the totals."""
+    return _with_rules(spark, sf_dir).withColumn("is_anomaly", F.col("anomaly_reason") != "")
+
+
+@_register
+def rule_anomaly_totals(spark, sf_dir):
+    return rules.anomaly_totals(_flagged_by_rules(spark, sf_dir))
+
+
+@_register
+def rule_anomaly_breakdowns(spark, sf_dir):
+    return rules.anomaly_breakdowns(_flagged_by_rules(spark, sf_dir))
+
+
+@_register
+def rule_anomaly_list(spark, sf_dir):
+    return facets.anomalous_events(_flagged_by_rules(spark, sf_dir))
+
+
+@_register
+def contamination_threshold(spark, sf_dir):
+    """The decision rule on a score that SQL can compute: slower is more anomalous."""
+    events = derived.log_events(spark, sf_dir)
+    score = -F.coalesce("response_time_ms", F.lit(0)).cast("double")
+    decided = forest.decide(events.select("id", score.alias("model_score")), forest.CONTAMINATION)
+    return decided.withColumn("anomaly_score", F.round("anomaly_score", 6))
+
+
+@_register
+def isolation_forest_scores(spark, sf_dir):
+    return detection.score_events(derived.log_events(spark, sf_dir))
+
+
+@_register
+def anomaly_summary(spark, sf_dir):
+    return rules.anomaly_totals(isolation_forest_scores(spark, sf_dir))
+
+
+@_register
+def anomaly_breakdowns(spark, sf_dir):
+    return rules.anomaly_breakdowns(isolation_forest_scores(spark, sf_dir))
+
+
+@_register
+def anomalous_events(spark, sf_dir):
+    return facets.anomalous_events(isolation_forest_scores(spark, sf_dir))
+
+
+# --- quality, reports, views -----------------------------------------------------------------------
+
+
+def _quality(spark, sf_dir):
+    return quality.measurements(derived.log_events(spark, sf_dir))
+
+
+@_register
+def quality_checks(spark, sf_dir):
+    return quality.quality_checks(_quality(spark, sf_dir))
+
+
+@_register
+def quality_score(spark, sf_dir):
+    return quality.quality_report(_quality(spark, sf_dir)).drop("checks")
+
+
+def _no_anomaly_report(spark):
+    return spark.createDataFrame([], reports.ANOMALY_REPORT_SCHEMA)
+
+
+def _operational(spark, sf_dir):
+    summary = reporting.stored_summary(derived.log_events(spark, sf_dir))
+    return reports.operational_report(summary, _no_anomaly_report(spark))
+
+
+@_register
+def operational_metrics(spark, sf_dir):
+    """Single figures of the operational report when no detection has run."""
+    report = _operational(spark, sf_dir)
+    simple = [f.name for f in report.schema.fields if f.dataType.typeName() not in ("array", "map")]
+    return report.select(*simple)
+
+
+@_register
+def operational_sections(spark, sf_dir):
+    """Lists of the operational report, one row per entry."""
+    report = _operational(spark, sf_dir)
+    shapes = {
+        "log_level_distribution": ("log_level", "event_count", "pct"),
+        "event_type_distribution": ("event_type", "event_count", "pct"),
+        "slowest_endpoints": ("endpoint", "request_count", "avg_response_time_ms"),
+        "busiest_endpoints": ("endpoint", "request_count", "avg_response_time_ms"),
+        "service_performance": ("service", "total_count", "avg_response_time_ms"),
+    }
+    entries = [
+        F.transform(
+            section,
+            lambda e, i, section=section, shape=shape: F.struct(
+                F.lit(section).alias("section"),
+                (i + 1).alias("position"),
+                e[shape[0]].alias("label"),
+                e[shape[1]].alias("event_count"),
+                e[shape[2]].alias("value"),
+            ),
+        )
+        for section, shape in shapes.items()
+    ]
+    return report.select(F.inline(F.concat(*entries)))
+
+
+@_register
+def top_findings(spark, sf_dir):
+    return reports.top_findings(_operational(spark, sf_dir))
+
+
+@_register
+def kpi_row(spark, sf_dir):
+    return reports.kpi_row(_operational(spark, sf_dir), quality.quality_report(_quality(spark, sf_dir)))
+
+
+@_register
+def final_report(spark, sf_dir):
+    """The whole document, detection included."""
+    events = derived.log_events(spark, sf_dir)
+    anomalies = detection.anomaly_report(detection.score_events(events))
+    summary = reporting.stored_summary(events)
+    return reports.final_report(
+        summary,
+        reports.operational_report(summary, anomalies),
+        quality.quality_report(quality.measurements(events)),
+        anomalies,
+    )
+
+
+@_register
+def facet_filter(spark, sf_dir):
+    events = derived.log_events(spark, sf_dir).select(*ANALYSIS_COLUMNS)
+    return facets.facet_filter(events, service="orders", log_level="INFO", event_type="All", min_response_time=500)
+
+
+@_register
+def facet_values(spark, sf_dir):
+    events = derived.log_events(spark, sf_dir)
+    service, level, event = [
+        facets.facet_values(events, c).select(F.lit(c).alias("facet"), "value")
+        for c in ("service", "log_level", "event_type")
+    ]
+    return service.unionByName(level).unionByName(event)
+
+
+@_register
+def recent_logs(spark, sf_dir):
+    return facets.recent_events(derived.log_events(spark, sf_dir), log_level="INFO")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logquarry.functions.hashing import record_hash
 from logquarry.functions.timestamps import log_text
+from logquarry.operators.parse import format_lines
 from logquarry.schema import LOG_EVENTS_SCHEMA
 
 
@@ -88,3 +89,36 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hashed_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_events(spark, sf_dir).withColumn("record_hash", record_hash()).select(*LOG_EVENTS_SCHEMA.names)
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record rendered as a log line (``line``), some damaged by a fixed rule, some written twice.
+
+    ``id % 97`` from 1 to 10 selects the damage and every fiftieth record has a second copy, so the
+    outcome of parsing each line follows from its id.
+    """
+    j = F.col("id") % 97
+    records = log_events(spark, sf_dir)
+    damaged = records.select(
+        "id",
+        F.explode(F.sequence(F.lit(0), F.when(F.col("id") % 50 == 0, 1).otherwise(0))).alias("copy"),
+        F.when(j == 3, "not-a-date")
+        .when(j == 10, "2024-02-30 00:00:00,000")
+        .otherwise(log_text(F.col("timestamp")))
+        .alias("timestamp"),
+        F.when(j == 4, "TRACE").otherwise(F.col("log_level")).alias("log_level"),
+        F.when(j == 5, "INVALID_EVENT").otherwise(F.col("event_type")).alias("event_type"),
+        F.when(j != 8, F.col("service")).alias("service"),
+        "endpoint",
+        "method",
+        F.when(j == 6, "abc").when(j == 9, "999").otherwise(F.col("status").cast("string")).alias("status"),
+        F.when(j == 7, "-50").otherwise(F.col("response_time_ms").cast("string")).alias("response_time_ms"),
+        "user_id",
+        "message",
+    )
+    line = (
+        F.when(j == 1, F.concat(F.lit("garbage "), F.col("id").cast("string")))
+        .when(j == 2, F.array_join(F.slice(F.split("line", " [|] "), 1, 2), " | "))
+        .otherwise(F.col("line"))
+    )
+    return format_lines(damaged).select("id", "copy", line.alias("line"))
