@@ -9,8 +9,12 @@ from logquarry.schema import RECORD_COLUMNS
 
 
 def record_hash() -> Column:
-    parts = [
-        micros_text(F.col(c)) if c == "timestamp" else F.lower(strip(F.col(c).cast("string")))
-        for c in RECORD_COLUMNS
-    ]
+    def part(name: str) -> Column:
+        if name == "timestamp":
+            return micros_text(F.col(name))
+        if name in ("status", "response_time_ms"):
+            return F.col(name).cast("string")
+        return F.lower(strip(F.col(name)))
+
+    parts = [part(c) for c in RECORD_COLUMNS]
     return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)

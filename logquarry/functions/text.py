@@ -10,6 +10,7 @@ WHITESPACE = (
     "           "
     "    　"
 )
+PLAIN_INTEGER_PATTERN = r"^[0-9]{1,18}$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+(_[0-9]+)*$"
 FLOAT_PATTERN = (
     r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
@@ -22,15 +23,14 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def integer_text(c: Column) -> Column:
-    """Canonical decimal text of an integer literal, or null when it is not one.
+def integer(c: Column) -> Column:
+    """Bigint value of an integer literal, or null when it is not one or does not fit.
 
-    Blanks around it, a sign and single underscores between digits are accepted; ``+``, underscores
-    and leading zeros are dropped, so the text is what printing the number gives.
+    Blanks around it, a sign and single underscores between digits are accepted.
     """
     bare = strip(c)
-    digits = F.regexp_replace(F.regexp_replace(bare, "[_+]", ""), r"^(-?)0+(?=[0-9])", "$1")
-    return F.when(bare.rlike(INTEGER_PATTERN), F.when(digits == "-0", "0").otherwise(digits))
+    loose = F.when(bare.rlike(INTEGER_PATTERN), F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint"))
+    return F.when(c.rlike(PLAIN_INTEGER_PATTERN), c.try_cast("bigint")).otherwise(loose)
 
 
 def float_value(c: Column) -> Column:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.functions.hashing import record_hash
+from logquarry.functions.steps import step
 from logquarry.functions.text import float_value, strip
 from logquarry.functions.timestamps import csv_timestamp_error, parse_csv_timestamp
 from logquarry.schema import (
@@ -27,8 +28,9 @@ def type_rows(raw: DataFrame) -> DataFrame:
     timestamp, or a number too large for an INT. Other columns are kept.
     """
     extra = [c for c in raw.columns if c not in RECORD_COLUMNS]
-    tokens = raw.select(*extra, *[F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(c) for c in RECORD_COLUMNS])
-    floats = tokens.withColumns({f"{c}_float": float_value(F.col(c)) for c in NUMERIC_COLUMNS})
+    texts = {c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in RECORD_COLUMNS}
+    floats = {f"{c}_float": float_value(texts[c]) for c in NUMERIC_COLUMNS}
+    rows = step(raw, extra, **texts, **floats)
     timestamp = F.col("timestamp")
 
     def too_large(c: str) -> Column:
@@ -42,16 +44,10 @@ def type_rows(raw: DataFrame) -> DataFrame:
         csv_timestamp_error(timestamp),
         *[too_large(c) for c in NUMERIC_COLUMNS],
     )
-    typed = {
-        c: parse_csv_timestamp(timestamp)
-        if c == "timestamp"
-        else F.col(f"{c}_float").try_cast("int")
-        if c in NUMERIC_COLUMNS
-        else strip(F.col(c))
-        for c in RECORD_COLUMNS
-    }
-    rows = floats.select(*extra, *[v.alias(k) for k, v in typed.items()], error.alias("row_error"))
-    return rows.withColumn("record_hash", record_hash())
+    typed = {c: strip(F.col(c)) for c in RECORD_COLUMNS}
+    typed["timestamp"] = parse_csv_timestamp(timestamp)
+    typed.update({c: F.col(f"{c}_float").try_cast("int") for c in NUMERIC_COLUMNS})
+    return step(rows, extra, **typed, row_error=error).withColumn("record_hash", record_hash())
 
 
 def constraint_error(rows: DataFrame) -> Column:

@@ -1,27 +1,47 @@
 """Log line -> typed record, or a rejection reason; and the reverse, record -> log line.
 
-The steps are separated by a one-element ``inline``: filters on the outcome are then not pushed back
-through the parsing expressions, so every line is split and matched exactly once.
+Parsing is cut into steps that the optimizer does not merge, so every line is split and matched once
+however often the outcome is filtered or referenced later.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.functions.text import integer_text, strip
+from logquarry.functions.steps import step
+from logquarry.functions.text import integer, strip
 from logquarry.functions.timestamps import LOG_TIMESTAMP_PATTERN, log_text, to_timestamp
 from logquarry.schema import EVENT_TYPES, LOG_LEVELS, MESSAGE_KEYS, RECORD_COLUMNS
 
-# The section separator, how sections are joined again, and the key=value pattern.
-SECTION_SEPARATOR = "[|]"
+# The section separator with the white space around it, how sections are joined again,
+# and the key=value pattern.
+SECTION_SEPARATOR = "(?U)[\\s\x1c-\x1f]*[|][\\s\x1c-\x1f]*"
 SECTION_JOINT = " | "
 FIELD_PATTERN = r"(?d)([\p{L}\p{N}_]+)=(.+?)(?= \| |$)"
 MESSAGE_JOINT = "; "
 
+# sections that are all of the form key=value, one per text line
+PLAIN_FIELDS = "^\n(?:[\\p{L}\\p{N}_]++=[^\n]++\n)*+$"
 
-def _step(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    """Add columns behind a generator so that later filters and references cannot inline them."""
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+
+def _field_lines(sections: Column) -> Column:
+    """The key=value pairs of the detail sections, each on a text line of its own.
+
+    Sections normally are such pairs already. Others, above all ``key=`` without a value, which takes the
+    next section as its value, go through the general pattern over the joined sections.
+    """
+    newline = F.lit("\n")
+    plain = F.concat(newline, F.array_join(sections, "\n"), newline)
+    matched = F.regexp_extract_all(F.array_join(sections, SECTION_JOINT), F.lit(FIELD_PATTERN), F.lit(0))
+    return F.when(plain.rlike(PLAIN_FIELDS), plain).otherwise(
+        F.concat(newline, F.array_join(matched, "\n"), newline)
+    )
+
+
+def _field(key: str) -> Column:
+    """Value of the last pair with this key, or null."""
+    marker = f"\n{key}="
+    value = F.substring_index(F.substring_index("fields", marker, -1), "\n", 1)
+    return F.when(F.contains("fields", F.lit(marker)), value)
 
 
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -32,70 +52,62 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     timestamp, level, event type, status, response time.
     """
     extra = [c for c in lines.columns if c != column]
-    sections = F.transform(F.split(F.col(column), SECTION_SEPARATOR, -1), strip)
-    df = _step(lines, extra, raw_line=F.col(column), p=sections)
+    df = step(lines, extra, raw_line=F.col(column), p=F.split(strip(F.col(column)), SECTION_SEPARATOR, -1))
+
+    def section(i: int) -> Column:
+        return F.get("p", F.lit(i))
 
-    enough = F.size("p") >= 4
-    detail = F.when(enough, F.array_join(F.slice("p", 4, F.greatest(F.size("p") - 3, F.lit(0))), SECTION_JOINT))
-    pattern = F.lit(FIELD_PATTERN)
-    df = _step(
+    detail = F.slice("p", 4, F.greatest(F.size("p") - 3, F.lit(0)))
+    df = step(
         df,
         [*extra, "raw_line", "p"],
-        ts=F.when(enough & F.get("p", F.lit(0)).rlike(LOG_TIMESTAMP_PATTERN), to_timestamp(F.get("p", F.lit(0)))),
-        # reversed, so that looking up the first match finds the last duplicate of a key
-        keys=F.reverse(F.regexp_extract_all(detail, pattern, F.lit(1))),
-        values=F.reverse(F.regexp_extract_all(detail, pattern, F.lit(2))),
+        ts=F.when(section(0).rlike(LOG_TIMESTAMP_PATTERN), to_timestamp(section(0))),
+        fields=F.when(F.size("p") >= 4, _field_lines(detail)),
     )
-
-    def field(key: str) -> Column:
-        return F.get("values", F.array_position("keys", F.lit(key)) - 1)
-
-    status, rt = F.col("status_raw"), F.col("rt_raw")
-    df = _step(
+    message = F.concat_ws(MESSAGE_JOINT, *[F.concat(F.lit(f"{k}="), _field(k)) for k in MESSAGE_KEYS])
+    df = step(
         df,
         [*extra, "raw_line", "p", "ts"],
-        **{k: field(k) for k in ("service", "endpoint", "method", "user_id")},
-        status_raw=field("status"),
-        rt_raw=field("response_time_ms"),
-        message=F.nullif(
-            F.concat_ws(MESSAGE_JOINT, *[F.concat(F.lit(f"{k}="), field(k)) for k in MESSAGE_KEYS]), F.lit("")
-        ),
+        **{k: _field(k) for k in ("service", "endpoint", "method", "user_id")},
+        status_text=_field("status"),
+        rt_text=_field("response_time_ms"),
+        message=F.nullif(message, F.lit("")),
     )
-    df = _step(
+    texts = ["service", "endpoint", "method", "user_id", "message", "status_text", "rt_text"]
+    df = step(
         df,
-        [*extra, "raw_line", "p", "ts", "service", "endpoint", "method", "user_id", "message", "status_raw", "rt_raw"],
-        status=integer_text(status).try_cast("bigint"),
-        rt=integer_text(rt).try_cast("bigint"),
+        [*extra, "raw_line", "p", "ts", *texts],
+        status=integer(F.col("status_text")),
+        rt=integer(F.col("rt_text")),
     )
 
-    def section(i: int) -> Column:
-        return F.get("p", F.lit(i))
-
     def because(text: str, value: Column) -> Column:
         return F.concat(F.lit(text), value)
 
+    ts, status, rt = F.col("ts"), F.col("status"), F.col("rt")
     reason = (
         F.when(F.size("p") < 4, "Insufficient pipe-delimited sections")
-        .when(~section(0).rlike(LOG_TIMESTAMP_PATTERN), because("Invalid timestamp format: ", section(0)))
-        .when(F.col("ts").isNull(), because("Cannot parse timestamp: ", section(0)))
+        .when(
+            ts.isNull() & ~section(0).rlike(LOG_TIMESTAMP_PATTERN),
+            because("Invalid timestamp format: ", section(0)),
+        )
+        .when(ts.isNull(), because("Cannot parse timestamp: ", section(0)))
         .when(~section(1).isin(LOG_LEVELS), because("Invalid log level: ", section(1)))
         .when(~section(2).isin(EVENT_TYPES), because("Invalid event type: ", section(2)))
-        .when(status.isNotNull() & F.col("status").isNull(), because("Invalid status value: ", status))
-        .when(rt.isNotNull() & F.col("rt").isNull(), because("Invalid response_time_ms: ", rt))
-        .when(F.col("rt") < 0, because("Negative response_time_ms: ", F.col("rt").cast("string")))
+        .when(F.col("status_text").isNotNull() & status.isNull(), because("Invalid status value: ", F.col("status_text")))
+        .when(F.col("rt_text").isNotNull() & rt.isNull(), because("Invalid response_time_ms: ", F.col("rt_text")))
+        .when(rt < 0, because("Negative response_time_ms: ", rt.cast("string")))
     )
-    return _step(
+    return step(
         df,
         extra,
         raw_line=F.col("raw_line"),
-        timestamp=F.col("ts"),
+        timestamp=ts,
         log_level=section(1),
         event_type=section(2),
-        service=F.col("service"),
-        endpoint=F.col("endpoint"),
-        method=F.col("method"),
-        status=F.col("status"),
-        response_time_ms=F.col("rt"),
+        **{c: F.col(c) for c in ("service", "endpoint", "method")},
+        status=status,
+        response_time_ms=rt,
         user_id=F.col("user_id"),
         message=F.col("message"),
         rejection_reason=reason,

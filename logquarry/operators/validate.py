@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logquarry.functions.steps import step
 from logquarry.schema import RECORD_COLUMNS, REQUIRED_FIELDS, SERVICE_OPTIONAL_EVENTS, STATUS_MAX, STATUS_MIN
 
 MALFORMED, INVALID, VALID = "malformed", "invalid", "valid"
@@ -33,23 +34,23 @@ def validation_errors(records: DataFrame) -> Column:
 def route(records: DataFrame) -> DataFrame:
     """Tag records with ``outcome`` and fill ``rejection_reason`` for those that fail validation.
 
-    Takes the output of ``parse_lines``; records that already carry a reason are malformed. One narrow
-    pass, kept behind a generator so that later filters do not repeat the rules.
+    Takes the output of ``parse_lines``; records that already carry a reason are malformed. One narrow pass.
     """
     rest = [c for c in records.columns if c not in ("rejection_reason", "status")]
     errors = F.nullif(validation_errors(records), F.lit(""))
-    reason = F.coalesce("rejection_reason", errors)
-    outcome = (
-        F.when(F.col("rejection_reason").isNotNull(), MALFORMED).when(errors.isNotNull(), INVALID).otherwise(VALID)
+    judged = step(
+        records,
+        [*rest, "status"],
+        malformed=F.col("rejection_reason").isNotNull(),
+        reason=F.coalesce("rejection_reason", errors),
     )
-    row = F.struct(reason.alias("rejection_reason"), outcome.alias("outcome"))
-    tagged = records.select(*rest, "status", F.inline(F.array(row)).alias("reason", "outcome"))
+    outcome = F.when(F.col("malformed"), MALFORMED).when(F.col("reason").isNotNull(), INVALID).otherwise(VALID)
     # only valid statuses are promised to fit an INT
-    return tagged.select(
+    return judged.select(
         *rest,
-        F.when(F.col("outcome") == VALID, F.col("status")).cast("int").alias("status"),
+        F.when(F.col("reason").isNull(), F.col("status")).cast("int").alias("status"),
         F.col("reason").alias("rejection_reason"),
-        "outcome",
+        outcome.alias("outcome"),
     )
 
 

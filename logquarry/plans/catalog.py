@@ -378,20 +378,20 @@ def operational_sections(spark, sf_dir):
         "busiest_endpoints": ("endpoint", "request_count", "avg_response_time_ms"),
         "service_performance": ("service", "total_count", "avg_response_time_ms"),
     }
-    entries = [
-        F.transform(
-            section,
-            lambda e, i, section=section, shape=shape: F.struct(
+
+    def entries(section: str, label: str, count: str, value: str):
+        def entry(e, i):
+            return F.struct(
                 F.lit(section).alias("section"),
                 (i + 1).alias("position"),
-                e[shape[0]].alias("label"),
-                e[shape[1]].alias("event_count"),
-                e[shape[2]].alias("value"),
-            ),
-        )
-        for section, shape in shapes.items()
-    ]
-    return report.select(F.inline(F.concat(*entries)))
+                e[label].alias("label"),
+                e[count].alias("event_count"),
+                e[value].alias("value"),
+            )
+
+        return F.transform(section, entry)
+
+    return report.select(F.inline(F.concat(*[entries(section, *shape) for section, shape in shapes.items()])))
 
 
 @_register

@@ -1,5 +1,7 @@
 """Plain SQL for the registered queries, over the same tables, written independently of the operators."""
 
+from logquarry.functions.text import WHITESPACE
+
 LOG_EVENTS = """
 b AS (SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id AS uid,
              event_type AS src, value, event_id % 100 AS r FROM events),
@@ -100,4 +102,391 @@ ANALYTICS = {
     "user_activity_summary": _distribution("user_id", where="user_id IS NOT NULL"),
 }
 
-ORACLE_SQL = {**ANALYTICS}
+
+# --- analytics in one long table -------------------------------------------------------------------
+
+
+def _measures(name: str, key: str, columns: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS report, {key} AS key, '{c}' AS measure, CAST({c} AS DOUBLE) AS value"
+        f" FROM ({ANALYTICS[name]})"
+        for c in columns
+    )
+
+
+COUNT_PCT, SERVICE = ["event_count", "pct"], ["total_count", "error_count", "avg_response_time_ms"]
+RT = ["avg_response_time_ms", "min_response_time_ms", "max_response_time_ms", "samples"]
+ANALYTICS_REPORT = "\nUNION ALL\n".join(
+    [
+        _measures("overall_summary", "'all'", ["total_records"]),
+        _measures("log_level_distribution", "log_level", COUNT_PCT),
+        _measures("event_type_distribution", "event_type", COUNT_PCT),
+        _measures("service_distribution", "service", COUNT_PCT),
+        _measures("status_distribution", "CAST(status AS VARCHAR)", COUNT_PCT),
+        _measures("status_class_distribution", "status_class", COUNT_PCT),
+        _measures("error_summary", "'all'", ["total_errors", "total_warnings", "auth_failures", "database_errors"]),
+        _measures("response_time_summary", "'all'", RT),
+        _measures(
+            "slowest_endpoints", "endpoint", ["request_count", "avg_response_time_ms", "max_response_time_ms"]
+        ),
+        _measures("most_used_endpoints", "endpoint", ["request_count", "avg_response_time_ms"]),
+        _measures("service_performance", "service", [*SERVICE, "max_response_time_ms"]),
+        _measures("hourly_traffic", "CAST(hour AS VARCHAR)", ["event_count"]),
+        _measures("user_activity_summary", "user_id", COUNT_PCT),
+    ]
+)
+
+# --- text sources, parsing, validation -------------------------------------------------------------
+
+DOCUMENT_LINES = f"""
+lines AS (SELECT doc_id, trim(value, '{WHITESPACE}') AS line
+          FROM (SELECT doc_id, unnest(string_split_regex(text, '\r\n|[\r\n]')) AS value FROM documents))
+"""
+
+# the line written for a record, with the damage chosen by id % 97
+RAW_LINES = f"""{LOG_EVENTS},
+damaged AS (SELECT *, id % 97 AS j,
+    CASE id % 97 WHEN 3 THEN 'not-a-date' WHEN 10 THEN '2024-02-30 00:00:00,000'
+        ELSE strftime(timestamp, '%Y-%m-%d %H:%M:%S,%g') END AS ts_text,
+    CASE WHEN id % 97 = 4 THEN 'TRACE' ELSE log_level END AS level_text,
+    CASE WHEN id % 97 = 5 THEN 'INVALID_EVENT' ELSE event_type END AS event_text,
+    CASE WHEN id % 97 <> 8 THEN service END AS service_text,
+    CASE id % 97 WHEN 6 THEN 'abc' WHEN 9 THEN '999' ELSE CAST(status AS VARCHAR) END AS status_text,
+    CASE WHEN id % 97 = 7 THEN '-50' ELSE CAST(response_time_ms AS VARCHAR) END AS rt_text
+    FROM log_events),
+outcomes AS (SELECT *,
+    CASE j WHEN 1 THEN 'garbage ' || id WHEN 2 THEN ts_text || ' | ' || level_text
+        ELSE concat_ws(' | ', ts_text, level_text, event_text, 'service=' || service_text,
+            'endpoint=' || endpoint, 'method=' || method, 'status=' || status_text,
+            'response_time_ms=' || rt_text, 'user_id=' || user_id, replace(message, '; ', ' | ')) END AS raw_line,
+    CASE WHEN j IN (1, 2) OR (j = 8 AND event_type IN ('DATABASE_QUERY', 'SERVICE_START', 'SERVICE_STOP'))
+            THEN 'Insufficient pipe-delimited sections'
+        WHEN j = 3 THEN 'Invalid timestamp format: not-a-date'
+        WHEN j = 10 THEN 'Cannot parse timestamp: 2024-02-30 00:00:00,000'
+        WHEN j = 4 THEN 'Invalid log level: TRACE'
+        WHEN j = 5 THEN 'Invalid event type: INVALID_EVENT'
+        WHEN j = 6 THEN 'Invalid status value: abc'
+        WHEN j = 7 THEN 'Negative response_time_ms: -50' END AS malformed,
+    CASE WHEN j = 8 AND event_type IN ('API_REQUEST', 'DATABASE_ERROR') THEN 'Missing required field: service'
+        WHEN j = 9 THEN 'Out-of-range status: 999' END AS invalid
+    FROM damaged),
+copies AS (SELECT *, unnest(range(CASE WHEN id % 50 = 0 THEN 2 ELSE 1 END)) AS copy FROM outcomes)
+"""
+RECORD = "timestamp, log_level, event_type, service, endpoint, method, status, response_time_ms, user_id, message"
+VALID = "malformed IS NULL AND invalid IS NULL"
+DISTINCT_VALID = f"""SELECT DISTINCT {RECORD.replace('response_time_ms', 'CAST(response_time_ms AS BIGINT) AS response_time_ms')}
+    FROM copies WHERE {VALID}"""
+TS_MILLIS = "strftime(timestamp, '%Y-%m-%d %H:%M:%S,%g')"
+
+PROCESSING = {
+    "ingest_lines": f"WITH {DOCUMENT_LINES} SELECT doc_id, line FROM lines WHERE line <> ''",
+    "ingest_stats": f"""WITH {DOCUMENT_LINES} SELECT count(*) FILTER (line <> '') AS total_lines_read,
+        count(*) FILTER (line = '') AS empty_lines_skipped FROM lines""",
+    "reject_free_text": f"""WITH {DOCUMENT_LINES}, parts AS (
+        SELECT string_split(line, '|') AS p FROM lines WHERE line <> '')
+        SELECT CASE WHEN len(p) < 4 THEN 'Insufficient pipe-delimited sections'
+               ELSE 'Invalid timestamp format: ' || trim(p[1], '{WHITESPACE}') END AS rejection_reason,
+               count(*) AS line_count FROM parts GROUP BY 1""",
+    "log_lines": _over_events(
+        f"""SELECT id, concat_ws(' | ', {TS_MILLIS}, log_level, event_type, 'service=' || service,
+            'endpoint=' || endpoint, 'method=' || method, 'status=' || status,
+            'response_time_ms=' || response_time_ms, 'user_id=' || user_id, replace(message, '; ', ' | ')) AS line
+        FROM log_events"""
+    ),
+    "parse_logs": f"""WITH {RAW_LINES} SELECT id, CAST(copy AS INTEGER) AS copy, raw_line, timestamp, log_level,
+        event_type, service_text AS service, endpoint, method, CAST(status_text AS BIGINT) AS status,
+        CAST(rt_text AS BIGINT) AS response_time_ms, user_id, message FROM copies WHERE malformed IS NULL""",
+    "rejected_logs": f"""WITH {RAW_LINES} SELECT raw_line, coalesce(malformed, invalid) AS rejection_reason
+        FROM copies WHERE NOT ({VALID})""",
+    "validate_records": f"""WITH {RAW_LINES} SELECT raw_line, invalid AS rejection_reason
+        FROM copies WHERE malformed IS NULL AND invalid IS NOT NULL""",
+    "dedupe_records": f"WITH {RAW_LINES} {DISTINCT_VALID}",
+    "duplicate_count": f"""WITH {RAW_LINES} SELECT (SELECT count(*) FROM copies WHERE {VALID})
+        - (SELECT count(*) FROM ({DISTINCT_VALID})) AS duplicate_records""",
+    "cleaned_rows": f"WITH {RAW_LINES} SELECT * REPLACE ({TS_MILLIS} AS timestamp) FROM ({DISTINCT_VALID})",
+    "processing_stats": f"""WITH {RAW_LINES}, d AS (SELECT count(*) AS n FROM ({DISTINCT_VALID}))
+        SELECT count(*) AS total_raw, count(*) FILTER (malformed IS NULL) AS successfully_parsed,
+        count(malformed) AS malformed_records,
+        count(*) FILTER (malformed IS NULL AND invalid IS NOT NULL) AS validation_failures,
+        count(*) FILTER ({VALID}) - any_value(n) AS duplicate_records, any_value(n) AS cleaned_records
+        FROM copies, d""",
+}
+
+# --- loading ---------------------------------------------------------------------------------------
+
+
+def _hash(source: str) -> str:
+    texts = ", ".join(
+        f"coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S.%f'), '')"
+        if c == "timestamp"
+        else f"coalesce(lower(CAST({c} AS VARCHAR)), '')"
+        for c in RECORD.split(", ")
+    )
+    return f"SELECT *, sha256(concat_ws('|', {texts})) AS record_hash FROM {source}"
+
+
+SECOND_LOAD = f"""WITH {RAW_LINES}, target AS ({_hash(f"({DISTINCT_VALID})")}), incoming AS ({_hash("log_events")}),
+    fresh AS (SELECT * FROM incoming i WHERE NOT EXISTS
+              (SELECT 1 FROM target t WHERE t.record_hash = i.record_hash))"""
+
+LOADING = {
+    "csv_typing": _over_events(
+        """SELECT * REPLACE (
+            CASE WHEN id % 3 = 2 THEN date_trunc('second', timestamp) ELSE timestamp END AS timestamp,
+            CASE WHEN id % 97 <> 13 THEN response_time_ms END AS response_time_ms),
+            CAST(NULL AS VARCHAR) AS row_error FROM log_events"""
+    ),
+    "csv_row_errors": _over_events(
+        """SELECT id, CASE id % 11 WHEN 5 THEN 'Invalid timestamp format: not-a-date'
+            WHEN 6 THEN 'Cannot parse timestamp: 2024-02-30 10:00:00'
+            WHEN 8 THEN 'missing required timestamp'
+            WHEN 9 THEN 'status out of range: inf' WHEN 10 THEN 'status out of range: 3e9' END AS row_error
+        FROM log_events WHERE id % 11 IN (5, 6, 8, 9, 10)"""
+    ),
+    "record_hashes": _over_events(f"SELECT id, record_hash FROM ({_hash('log_events')})"),
+    "idempotent_load": f"{SECOND_LOAD} SELECT *, CAST(0 AS INTEGER) AS copy FROM fresh",
+    "load_stats": f"""{SECOND_LOAD} SELECT 2 * (SELECT count(*) FROM incoming) AS input_records,
+        (SELECT count(*) FROM fresh) AS inserted_records,
+        2 * (SELECT count(*) FROM incoming) - (SELECT count(*) FROM fresh) AS duplicate_records,
+        CAST(0 AS BIGINT) AS failed_records,
+        (SELECT count(*) FROM target) + (SELECT count(*) FROM fresh) AS database_total_rows""",
+    "constraint_violations": _over_events(
+        """SELECT violation, count(*) AS rows FROM (SELECT CASE id % 13 WHEN 5 THEN 'timestamp is null'
+            WHEN 6 THEN 'event_type is null' WHEN 1 THEN 'log_level is not a known level'
+            WHEN 2 THEN 'status is out of range' WHEN 3 THEN 'response_time_ms is negative'
+            WHEN 4 THEN 'service is longer than 30' END AS violation FROM log_events)
+        WHERE violation IS NOT NULL GROUP BY 1"""
+    ),
+    "load_verify": _over_events(
+        """SELECT log_level, count(*) AS event_count, (SELECT count(*) FROM log_events) AS total_rows,
+            (SELECT min(timestamp) FROM log_events) AS min_timestamp,
+            (SELECT max(timestamp) FROM log_events) AS max_timestamp FROM log_events GROUP BY log_level"""
+    ),
+}
+
+# --- anomaly detection -----------------------------------------------------------------------------
+
+PROFILE = """profile AS (SELECT count(*) AS total, quantile_cont(response_time_ms, 0.5) AS rt_median,
+    quantile_cont(response_time_ms, 0.95) AS rt_p95, quantile_cont(status, 0.5) AS status_median FROM log_events)"""
+SIGNALS = f"""{LOG_EVENTS}, {PROFILE},
+signals AS (SELECT * REPLACE (coalesce(service, 'UNKNOWN') AS service),
+    coalesce(response_time_ms, 0) > (SELECT rt_p95 FROM profile) AS high_response_time,
+    coalesce(status BETWEEN 500 AND 599, FALSE) AS server_error,
+    event_type = 'AUTH_FAILURE' AS auth_failure, event_type = 'DATABASE_ERROR' AS database_error,
+    log_level = 'ERROR' AS error_log FROM log_events),
+reasons AS (SELECT *, concat_ws(' + ', CASE WHEN high_response_time THEN 'High response time' END,
+    CASE WHEN server_error THEN '5xx server error' END,
+    CASE WHEN auth_failure THEN 'Authentication failure' END,
+    CASE WHEN database_error THEN 'Database error' END,
+    CASE WHEN error_log THEN 'Error log level' END) AS anomaly_reason FROM signals)"""
+
+CATEGORY_VALUES = {
+    "log_level": "(SELECT list_sort(list(DISTINCT log_level)) FROM log_events)",
+    "event_type": "(SELECT list_sort(list(DISTINCT event_type)) FROM log_events)",
+    "service": "(SELECT list_sort(list(DISTINCT coalesce(service, 'UNKNOWN'))) FROM log_events)",
+}
+
+
+def _digits(category: str) -> str:
+    return (
+        f"list_aggregate(list_transform({category}_values, lambda v: CASE WHEN v = {category}_filled THEN '1'"
+        " ELSE '0' END), 'string_agg', '')"
+    )
+
+
+def _breakdown(dimension: str, value: str, limit: str = "position <= 10") -> str:
+    return f"""SELECT * FROM (SELECT '{dimension}' AS dimension, value, event_count,
+        CAST(row_number() OVER (ORDER BY event_count DESC, value) AS INTEGER) AS position
+        FROM (SELECT {value} AS value, count(*) AS event_count FROM reasons
+              WHERE anomaly_reason <> '' AND {value} IS NOT NULL GROUP BY 1)) WHERE {limit}"""
+
+
+DETECTION = {
+    "response_time_profile": f"WITH {LOG_EVENTS}, {PROFILE} SELECT * FROM profile",
+    "feature_columns": f"""WITH {LOG_EVENTS}, {PROFILE} SELECT id,
+        coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile)) AS response_time_ms,
+        coalesce(CAST(status AS DOUBLE), (SELECT status_median FROM profile)) AS status,
+        CAST(log_level = 'ERROR' AS DOUBLE) AS is_error, CAST(log_level = 'WARN' AS DOUBLE) AS is_warning,
+        CAST(event_type = 'AUTH_FAILURE' AS DOUBLE) AS is_auth_failure,
+        CAST(event_type = 'DATABASE_ERROR' AS DOUBLE) AS is_database_error,
+        CAST(hour(timestamp) AS DOUBLE) AS hour, CAST(isodow(timestamp) - 1 AS DOUBLE) AS day_of_week,
+        CAST(minute(timestamp) AS DOUBLE) AS minute_of_hour,
+        log_level, event_type, coalesce(service, 'UNKNOWN') AS service FROM log_events""",
+    "feature_vector": f"""WITH {LOG_EVENTS}, {PROFILE}, filled AS (SELECT id,
+        coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile)) AS response_time_ms,
+        coalesce(CAST(status AS DOUBLE), (SELECT status_median FROM profile)) AS status,
+        log_level AS log_level_filled, event_type AS event_type_filled,
+        coalesce(service, 'UNKNOWN') AS service_filled,
+        {', '.join(f"{v} AS {c}_values" for c, v in CATEGORY_VALUES.items())} FROM log_events)
+        SELECT id, response_time_ms, status, {' || '.join(_digits(c) for c in CATEGORY_VALUES)} AS one_hot
+        FROM filled""",
+    "rule_signals": f"""WITH {SIGNALS} SELECT id, high_response_time, server_error, auth_failure, database_error,
+        error_log FROM signals""",
+    "anomaly_reason_rules": f"WITH {SIGNALS} SELECT id, anomaly_reason FROM reasons",
+    "rule_anomaly_totals": f"""WITH {SIGNALS}, counts AS (SELECT count(*) AS total_records,
+        count(*) FILTER (anomaly_reason <> '') AS anomaly_count,
+        count(*) FILTER (high_response_time) AS high_response_time_count,
+        count(*) FILTER (server_error) AS server_error_count, count(*) FILTER (auth_failure) AS auth_failure_count,
+        count(*) FILTER (database_error) AS database_error_count, count(*) FILTER (error_log) AS error_log_count
+        FROM reasons)
+        SELECT *, CAST((20000 * anomaly_count + total_records) // (2 * total_records) AS DOUBLE) / 100
+            AS anomaly_rate, total_records - anomaly_count AS normal_count FROM counts""",
+    "rule_anomaly_breakdowns": f"WITH {SIGNALS} "
+    + "\nUNION ALL\n".join(
+        [
+            _breakdown("service", "service"),
+            _breakdown("event_type", "event_type"),
+            _breakdown("log_level", "log_level", "TRUE"),
+            _breakdown("status", "CAST(status AS VARCHAR)"),
+            _breakdown("endpoint", "endpoint"),
+        ]
+    ),
+    "rule_anomaly_list": f"""WITH {SIGNALS} SELECT timestamp, service, event_type, endpoint, status,
+        response_time_ms, anomaly_reason FROM reasons WHERE anomaly_reason <> ''""",
+    "contamination_threshold": f"""WITH {LOG_EVENTS},
+        scores AS (SELECT id, -CAST(coalesce(response_time_ms, 0) AS DOUBLE) AS score FROM log_events),
+        decided AS (SELECT id, score - (SELECT quantile_cont(score, 0.05) FROM scores) AS d FROM scores)
+        SELECT id, round(d, 6) AS anomaly_score, CAST(CASE WHEN d < 0 THEN -1 ELSE 1 END AS INTEGER)
+            AS ml_prediction, d < 0 AS is_anomaly FROM decided""",
+}
+
+# --- quality, reports, views -----------------------------------------------------------------------
+
+REQUIRED = ["timestamp", "log_level", "event_type"]
+OPTIONAL = ["service", "endpoint", "method", "status", "response_time_ms", "user_id"]
+
+
+def _decimal(value: str) -> str:
+    return f"regexp_replace(CAST(CAST({value} AS DECIMAL(20, 2)) AS VARCHAR), '0$', '')"
+
+
+def _checks() -> str:
+    rows = []
+
+    def add(name, category, status, value, message):
+        rows.append(
+            f"SELECT CAST({len(rows) + 1} AS INTEGER) AS position, '{name}' AS check_name,"
+            f" '{category}' AS category, {status} AS status, {value} AS value, CAST(0 AS BIGINT) AS threshold,"
+            f" {message} AS message FROM m"
+        )
+
+    for f in REQUIRED + OPTIONAL:
+        share = f"(CAST((20000 * null_{f} + total) // (2 * total) AS DOUBLE) / 100)"
+        status = (
+            f"CASE WHEN null_{f} = 0 THEN 'PASS' ELSE 'FAIL' END"
+            if f in REQUIRED
+            else f"CASE WHEN {share} < 50 THEN 'PASS' WHEN {share} < 100 THEN 'WARN' ELSE 'FAIL' END"
+        )
+        message = f"'{f}: ' || null_{f} || ' NULL values (' || {_decimal(share)} || '%)'"
+        add(f"{f}_completeness", "completeness", status, f"null_{f}", message)
+    for name, category, text in (
+        ("negative_response_times", "validity", "negative response times"),
+        ("invalid_http_status", "validity", "invalid HTTP statuses"),
+        ("duplicate_ids", "uniqueness", "duplicate record IDs"),
+        ("valid_log_levels", "consistency", "invalid log levels"),
+    ):
+        status = f"CASE WHEN {name} = 0 THEN 'PASS' ELSE 'FAIL' END"
+        add(name, category, status, name, f"{name} || ' {text}'")
+    for f in REQUIRED + OPTIONAL:
+        status = f"CASE WHEN null_{f} = 0 THEN 'PASS' ELSE 'WARN' END"
+        add(f"{f}_null_count", "completeness", status, f"null_{f}", f"'{f}: ' || null_{f} || ' NULLs'")
+    return "\nUNION ALL\n".join(rows)
+
+
+CHECKS = f"""{LOG_EVENTS}, m AS (SELECT count(*) AS total,
+    {', '.join(f"count(*) - count({f}) AS null_{f}" for f in REQUIRED + OPTIONAL)},
+    count(*) FILTER (response_time_ms < 0) AS negative_response_times,
+    count(*) FILTER (status NOT BETWEEN 100 AND 599) AS invalid_http_status,
+    count(*) - count(DISTINCT id) AS duplicate_ids,
+    count(*) FILTER (log_level NOT IN ('DEBUG', 'INFO', 'WARN', 'ERROR')) AS valid_log_levels FROM log_events),
+checks AS ({_checks()})"""
+SCORE = "CAST((2000 * count(*) FILTER (status = 'PASS') + count(*)) // (2 * count(*)) AS DOUBLE) / 10"
+
+SERVICES = ANALYTICS["service_performance"]
+FIGURES = f"""SELECT count(*) AS total_events, count(*) FILTER (log_level = 'ERROR') AS error_count,
+    count(*) FILTER (log_level = 'WARN') AS warning_count,
+    count(*) FILTER (event_type = 'AUTH_FAILURE') AS auth_failure_count,
+    count(*) FILTER (event_type = 'DATABASE_ERROR') AS database_error_count,
+    {MEAN_RT} AS average_response_time_ms, max(response_time_ms) AS max_response_time_ms,
+    CAST(0 AS BIGINT) AS anomaly_count, CAST(0 AS DOUBLE) AS anomaly_rate,
+    count(*) FILTER (status BETWEEN 500 AND 599) AS server_error_count FROM log_events"""
+
+
+def _section(name: str, source: str, order: str, label: str, count: str, value: str) -> str:
+    return f"""SELECT '{name}' AS section, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position,
+        {label} AS label, {count} AS event_count, {value} AS value FROM ({ANALYTICS[source]})"""
+
+
+REPORTS = {
+    "quality_checks": f"WITH {CHECKS} SELECT * FROM checks",
+    "quality_score": f"""WITH {CHECKS} SELECT (SELECT total FROM m) AS total_records,
+        (SELECT min(timestamp) FROM log_events) AS earliest_timestamp,
+        (SELECT max(timestamp) FROM log_events) AS latest_timestamp,
+        count(*) FILTER (status = 'PASS') AS quality_checks_passed,
+        count(*) FILTER (status = 'FAIL') AS quality_checks_failed,
+        count(*) FILTER (status = 'WARN') AS quality_checks_warned, {SCORE} AS quality_score FROM checks""",
+    "operational_metrics": _over_events(FIGURES),
+    "operational_sections": "\nUNION ALL\n".join(
+        [
+            _section(
+                "log_level_distribution", "log_level_distribution", "event_count DESC, log_level", "log_level",
+                "event_count", "pct",
+            ),
+            _section(
+                "event_type_distribution", "event_type_distribution", "event_count DESC, event_type", "event_type",
+                "event_count", "pct",
+            ),
+            _section(
+                "slowest_endpoints", "slowest_endpoints", "avg_response_time_ms DESC, endpoint", "endpoint",
+                "request_count", "avg_response_time_ms",
+            ),
+            _section(
+                "busiest_endpoints", "most_used_endpoints", "request_count DESC, endpoint", "endpoint",
+                "request_count", "avg_response_time_ms",
+            ),
+            _section(
+                "service_performance", "service_performance",
+                "error_count DESC, avg_response_time_ms DESC NULLS FIRST, service", "service",
+                "total_count", "avg_response_time_ms",
+            ),
+        ]
+    ),
+    "top_findings": f"""SELECT CAST(1 AS INTEGER) AS position, finding FROM (
+            SELECT 'Highest-volume service: ' || service || ' with ' || total_count || ' events' AS finding
+            FROM ({SERVICES}) ORDER BY total_count DESC, service LIMIT 1)
+        UNION ALL SELECT CAST(2 AS INTEGER), finding FROM (
+            SELECT 'Highest error-count service: ' || service || ' with ' || error_count || ' errors' AS finding
+            FROM ({SERVICES}) WHERE error_count > 0
+            ORDER BY error_count DESC, avg_response_time_ms DESC NULLS FIRST, service LIMIT 1)
+        UNION ALL SELECT CAST(3 AS INTEGER), finding FROM (
+            SELECT 'Slowest endpoint: ' || endpoint || ' (avg ' || {_decimal('avg_response_time_ms')} || ' ms)'
+                AS finding
+            FROM ({ANALYTICS["slowest_endpoints"]}) ORDER BY avg_response_time_ms DESC, endpoint LIMIT 1)""",
+    "kpi_row": f"""WITH {CHECKS} SELECT total_events, error_count AS errors, warning_count AS warnings,
+        average_response_time_ms, server_error_count AS server_errors, anomaly_count AS anomalies, anomaly_rate,
+        (SELECT {SCORE} FROM checks) AS quality_score FROM ({FIGURES})""",
+    "facet_filter": _over_events(
+        """SELECT * EXCLUDE (message) FROM log_events
+           WHERE service = 'orders' AND log_level = 'INFO' AND response_time_ms >= 500"""
+    ),
+    "facet_values": _over_events(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS facet, 'All' AS value UNION ALL"
+            f" (SELECT DISTINCT '{c}', {c} FROM log_events WHERE {c} IS NOT NULL)"
+            for c in ("service", "log_level", "event_type")
+        )
+    ),
+    "recent_logs": _over_events(
+        """SELECT * EXCLUDE (message) FROM (SELECT * FROM log_events ORDER BY id LIMIT 500)
+           WHERE log_level = 'INFO' ORDER BY id DESC LIMIT 100"""
+    ),
+}
+
+ORACLE_SQL = {
+    **ANALYTICS,
+    "analytics_report": ANALYTICS_REPORT,
+    **PROCESSING,
+    **LOADING,
+    **DETECTION,
+    **REPORTS,
+}
