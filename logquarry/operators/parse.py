@@ -20,7 +20,7 @@ FIELD_PATTERN = r"(?d)([\p{L}\p{N}_]+)=(.+?)(?= \| |$)"
 MESSAGE_JOINT = "; "
 
 # sections that are all of the form key=value, one per text line
-PLAIN_FIELDS = "^\n(?:[\\p{L}\\p{N}_]++=[^\n]++\n)*+$"
+PLAIN_FIELDS = "^\n(?:[\\p{L}\\p{N}_]++=[^\n]++\n)*+\\z"
 
 
 def _field_lines(sections: Column) -> Column:

@@ -65,34 +65,22 @@ def _row_number(staged: DataFrame, bad) -> int:
     return staged.where((F.col("file") == bad["file"]) & before).count() + 2
 
 
-def _refuse_bad_rows(staged: DataFrame, checked) -> None:
-    if checked["row_error"] is not None:
-        bad = checked["row_error"]
-        raise ValueError(f"Row {_row_number(staged, bad)}: {bad['message']}")
-    if checked["violation"] is not None:
-        raise ValueError(f"constraint violated: {checked['violation']}")
-
-
-def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_line: bool = False) -> dict[str, int]:
-    """Load cleaned CSV files into the table, skipping records it already holds.
-
-    All or nothing: one pass checks every row and refuses the whole load at the first bad one, then a
-    single append job writes. Among rows with equal hash the first in file order wins. Ids rise in file
-    order and their range is reserved before the append, so skipped or failed rows leave gaps.
+def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -> dict[str, int]:
+    """Append records that the table does not hold yet, all or nothing.
+
+    ``rows`` are the record columns with ``record_hash``, the order ``file``, ``block``, ``row`` (``row``
+    unique) and, for typed CSV, ``row_error``. One pass checks every row and refuses the whole load at
+    the first bad one, then a single append job writes. Among rows with equal hash the first in order
+    wins. Ids rise with ``row`` and their range is reserved before the append, so skipped or failed
+    rows leave gaps.
     """
     order = ["file", "block", "row"]
-    raw = read_cleaned(spark, path, multi_line).select(
-        *RECORD_COLUMNS,
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    staged = type_rows(raw)
-    at = F.struct(*order, F.col("row_error").alias("message"))
-    checked = staged.agg(
+    unreadable = F.col("row_error") if "row_error" in rows.columns else F.lit(None).cast("string")
+    at = F.struct(*order, unreadable.alias("message"))
+    checked = rows.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min(F.when(F.col("row_error").isNotNull(), at)).alias("row_error"),
-        F.min(constraint_error(staged)).alias("violation"),
+        F.min(F.when(unreadable.isNotNull(), at)).alias("row_error"),
+        F.min(constraint_error(rows)).alias("violation"),
         F.max("row").alias("last_row"),
         F.min(F.to_date("timestamp")).alias("first_day"),
         F.max(F.to_date("timestamp")).alias("last_day"),
@@ -100,7 +88,11 @@ def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_li
     names = ("input_records", "inserted_records", "duplicate_records", "failed_records", "database_total_rows")
     if checked["rows"] == 0:
         return dict.fromkeys(names, 0)
-    _refuse_bad_rows(staged, checked)
+    if checked["row_error"] is not None:
+        bad = checked["row_error"]
+        raise ValueError(f"Row {_row_number(rows, bad)}: {bad['message']}")
+    if checked["violation"] is not None:
+        raise ValueError(f"constraint violated: {checked['violation']}")
 
     create_table(spark, table)
     first_id = _next_id(spark, table)
@@ -108,18 +100,30 @@ def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_li
     same_days = spark.table(table).where(
         F.col("event_date").between(F.lit(checked["first_day"]), F.lit(checked["last_day"]))
     )
-    fresh = absent_from(first_per_hash(staged.drop("row_error"), order), same_days).select(
+    candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
+    fresh = absent_from(first_per_hash(candidates, order), same_days).select(
         (F.col("row") + first_id).alias("id"),
         *RECORD_COLUMNS,
         "record_hash",
         F.to_date("timestamp").alias("event_date"),
     )
-    inserted = Observation("inserted")
+    inserted = Observation(f"inserted-{first_id}")
     fresh.observe(inserted, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     new = inserted.get["rows"]
     return dict(zip(names, (checked["rows"], new, checked["rows"] - new, 0, spark.table(table).count())))
 
 
+def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_line: bool = False) -> dict[str, int]:
+    """Load cleaned CSV files into the table, skipping records it already holds; see ``load_rows``."""
+    raw = read_cleaned(spark, path, multi_line).select(
+        *RECORD_COLUMNS,
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return load_rows(spark, type_rows(raw), table)
+
+
 def verify_table(spark: SparkSession, table: str = "log_events") -> DataFrame:
     """One row: whether the table exists, its size, time range and rows per level."""
     exists = F.lit(spark.catalog.tableExists(table)).alias("table_exists")
