@@ -34,14 +34,15 @@ def exact_quantile(df: DataFrame, column: str, q: float, direct_rows: int = DIRE
             .orderBy("bucket")
             .collect()
         )
-        wanted = []
+        wanted, upto = [], below
         for b in buckets:
-            if below + b["n"] > first:
-                wanted.append(b)
-                if below + sum(w["n"] for w in wanted) > last:
-                    break
-            else:
-                below += b["n"]
+            upto += b["n"]
+            if upto <= first:
+                below = upto
+                continue
+            wanted.append(b)
+            if upto > last:
+                break
         low, high, rows = wanted[0]["low"], wanted[-1]["high"], sum(w["n"] for w in wanted)
     if low == high:
         return low
