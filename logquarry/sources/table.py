@@ -34,6 +34,7 @@ def log_events(spark: SparkSession, table: str = "log_events") -> DataFrame:
     """The table, or an empty frame with its columns when there is none."""
     if not spark.catalog.tableExists(table):
         return spark.createDataFrame([], LOG_EVENTS_SCHEMA)
+    spark.catalog.refreshTable(table)  # another session, such as a stream's, may have appended files
     return spark.table(table).select(*LOG_EVENTS_SCHEMA.names)
 
 
@@ -95,6 +96,7 @@ def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -
         raise ValueError(f"constraint violated: {checked['violation']}")
 
     create_table(spark, table)
+    spark.catalog.refreshTable(table)
     first_id = _next_id(spark, table)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEXT_ID}' = '{first_id + checked['last_row'] + 1}')")
     same_days = spark.table(table).where(

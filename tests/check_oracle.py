@@ -48,12 +48,12 @@ def _normal(v):
 
 
 def compare(df, con, sql):
-    """Return a list of differences, empty when both sides agree."""
+    """Differences (none when both sides agree) and the number of rows."""
     cols = sorted(df.columns)
     relation = con.sql(sql)
     ducks = dict(zip(relation.columns, [str(t) for t in relation.types]))
     if sorted(ducks) != cols:
-        return [f"columns {cols} != {sorted(ducks)}"]
+        return [f"columns {cols} != {sorted(ducks)}"], -1
     sparks = {f.name: TYPE_FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
     diffs = [f"type of {c}: {sparks[c]} != {ducks[c]}" for c in cols if sparks[c] != ducks[c]]
     left = sorted(([_normal(r[c]) for c in cols] for r in df.collect()), key=_key)
@@ -83,8 +83,7 @@ def main():
         try:
             df = query(spark, args.sf)
             if name in oracle:
-                result = compare(df, con, oracle[name])
-                diffs, rows = result if isinstance(result, tuple) else (result, -1)
+                diffs, rows = compare(df, con, oracle[name])
             else:
                 diffs, rows = [], len(df.collect())
         except Exception as e:  # report and go on with the other queries
