@@ -70,7 +70,7 @@ def constraint_error(rows: DataFrame) -> Column:
 def constraint_violations(rows: DataFrame) -> DataFrame:
     """Violated constraint and number of rows."""
     return (
-        rows.select(constraint_error(rows).alias("violation"))
+        step(rows, [], violation=constraint_error(rows))
         .where(F.col("violation").isNotNull())
         .groupBy("violation")
         .agg(F.count(F.lit(1)).alias("rows"))

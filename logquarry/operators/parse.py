@@ -37,11 +37,10 @@ def _field_lines(sections: Column) -> Column:
     )
 
 
-def _field(key: str) -> Column:
-    """Value of the last pair with this key, or null."""
-    marker = f"\n{key}="
-    value = F.substring_index(F.substring_index("fields", marker, -1), "\n", 1)
-    return F.when(F.contains("fields", F.lit(marker)), value)
+def _field(key: str) -> str:
+    """Value of the last pair with this key, or null, as SQL over ``fields``."""
+    marker = f"'\\n{key}='"
+    return f"if(contains(fields, {marker}), substring_index(substring_index(fields, {marker}, -1), '\\n', 1), NULL)"
 
 
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -64,14 +63,14 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
         ts=F.when(section(0).rlike(LOG_TIMESTAMP_PATTERN), to_timestamp(section(0))),
         fields=F.when(F.size("p") >= 4, _field_lines(detail)),
     )
-    message = F.concat_ws(MESSAGE_JOINT, *[F.concat(F.lit(f"{k}="), _field(k)) for k in MESSAGE_KEYS])
+    parts = ", ".join(f"concat('{k}=', {_field(k)})" for k in MESSAGE_KEYS)
     df = step(
         df,
         [*extra, "raw_line", "p", "ts"],
-        **{k: _field(k) for k in ("service", "endpoint", "method", "user_id")},
-        status_text=_field("status"),
-        rt_text=_field("response_time_ms"),
-        message=F.nullif(message, F.lit("")),
+        **{k: F.expr(_field(k)) for k in ("service", "endpoint", "method", "user_id")},
+        status_text=F.expr(_field("status")),
+        rt_text=F.expr(_field("response_time_ms")),
+        message=F.expr(f"nullif(concat_ws('{MESSAGE_JOINT}', {parts}), '')"),
     )
     texts = ["service", "endpoint", "method", "user_id", "message", "status_text", "rt_text"]
     df = step(

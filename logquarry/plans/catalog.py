@@ -409,13 +409,12 @@ def final_report(spark, sf_dir):
     """The whole document, detection included."""
     events = derived.log_events(spark, sf_dir)
     anomalies = detection.anomaly_report(detection.score_events(events))
-    summary = reporting.stored_summary(events)
-    return reports.final_report(
-        summary,
-        reports.operational_report(summary, anomalies),
-        quality.quality_report(quality.measurements(events)),
-        anomalies,
-    )
+    return reporting.combined_reports(events, anomalies)["final"]
+
+
+@_register
+def text_report(spark, sf_dir):
+    return reports.text_report(final_report(spark, sf_dir))
 
 
 @_register

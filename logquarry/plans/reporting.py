@@ -42,30 +42,31 @@ def measures(results: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_reporting(spark: SparkSession, events: DataFrame, output_dir: str) -> dict[str, str]:
-    """Save the quality, operational and final reports; reads ``anomaly_report`` where detection left it.
+def combined_reports(events: DataFrame, anomalies: DataFrame) -> dict[str, DataFrame]:
+    """Quality checks and report, operational report and final document.
 
     Every part is stored as a small table before the next one uses it, so nothing is computed twice.
     """
-    anomalies = files.read_report(spark, f"{output_dir}/anomaly_report", reports.ANOMALY_REPORT_SCHEMA)
+    anomalies = materialize(anomalies, "anomaly-report")
     summary = stored_summary(events)
     measured = materialize(quality.measurements(events), "quality")
     checked = materialize(quality.quality_report(measured), "quality-report")
     operational = materialize(reports.operational_report(summary, anomalies), "operational")
     final = materialize(reports.final_report(summary, operational, checked, anomalies), "final")
-    paths = {
-        name: f"{output_dir}/{name}"
-        for name in (
-            "data_quality_report",
-            "data_quality_summary",
-            "operational_report",
-            "final_report",
-            "final_report_txt",
-        )
-    }
-    files.write_json(checked, paths["data_quality_report"])
-    files.write_checks(quality.quality_checks(measured).orderBy("position"), paths["data_quality_summary"])
-    files.write_json(operational, paths["operational_report"])
-    files.write_json(final, paths["final_report"])
-    files.write_text(reports.text_report(final), paths["final_report_txt"])
+    return {"checks": quality.quality_checks(measured), "quality": checked, "operational": operational, "final": final}
+
+
+def run_reporting(spark: SparkSession, events: DataFrame, output_dir: str) -> dict[str, str]:
+    """Save the quality, operational and final reports; reads ``anomaly_report`` where detection left it."""
+    anomalies = files.read_report(spark, f"{output_dir}/anomaly_report", reports.ANOMALY_REPORT_SCHEMA)
+    built = combined_reports(events, anomalies)
+    names = (
+        "data_quality_report", "data_quality_summary", "operational_report", "final_report", "final_report_txt",
+    )
+    paths = {name: f"{output_dir}/{name}" for name in names}
+    files.write_json(built["quality"], paths["data_quality_report"])
+    files.write_checks(built["checks"].orderBy("position"), paths["data_quality_summary"])
+    files.write_json(built["operational"], paths["operational_report"])
+    files.write_json(built["final"], paths["final_report"])
+    files.write_text(reports.text_report(built["final"]), paths["final_report_txt"])
     return paths

@@ -4,7 +4,7 @@ The given tables hold no log lines, so both are projections of ``events(event_id
 event_type, value, props)``: narrow, whole-table, no shuffle.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.functions.hashing import record_hash
@@ -12,79 +12,62 @@ from logquarry.functions.timestamps import log_text
 from logquarry.operators.parse import format_lines
 from logquarry.schema import LOG_EVENTS_SCHEMA
 
+# How an event is read as a log record.
+EVENT_FIELDS = [
+    "event_id AS id",
+    # cut to milliseconds, the precision of a log line
+    "make_timestamp_ntz(year(ts), month(ts), dayofmonth(ts), hour(ts), minute(ts),"
+    " CAST(floor(extract(SECOND FROM ts) * 1000) / 1000 AS DECIMAL(8, 6))) AS timestamp",
+    "user_id AS uid",
+    "event_type AS src",
+    "value",
+    "event_id % 100 AS r",
+]
+EVENT_KINDS = [
+    "*",
+    """CASE
+        WHEN src = 'error' THEN if(r % 2 = 0, 'DATABASE_ERROR', 'AUTH_FAILURE')
+        WHEN src = 'signup' THEN if(r % 2 = 0, 'USER_LOGIN', 'USER_LOGOUT')
+        WHEN src = 'view' AND r % 3 = 0 THEN 'CACHE_ACCESS'
+        WHEN src = 'purchase' AND r % 3 = 0 THEN 'DATABASE_QUERY'
+        WHEN src = 'click' AND r % 20 = 7 THEN 'SERVICE_START'
+        WHEN src = 'click' AND r % 20 = 8 THEN 'SERVICE_STOP'
+        ELSE 'API_REQUEST' END AS event_type""",
+    """CASE uid % 6 WHEN 0 THEN 'auth' WHEN 1 THEN 'orders' WHEN 2 THEN 'payments' WHEN 3 THEN 'users'
+        WHEN 4 THEN 'inventory' ELSE 'notifications' END AS svc""",
+]
+RECORD_FIELDS = [
+    "id",
+    "timestamp",
+    """CASE WHEN src = 'error' AND r < 60 THEN 'ERROR' WHEN r % 5 = 0 THEN 'WARN' WHEN r % 10 = 1 THEN 'DEBUG'
+        ELSE 'INFO' END AS log_level""",
+    "event_type",
+    "if(event_type IN ('USER_LOGIN', 'USER_LOGOUT', 'AUTH_FAILURE', 'CACHE_ACCESS'), NULL, svc) AS service",
+    """CASE WHEN event_type = 'API_REQUEST' THEN concat('/api/', svc,
+        CASE id % 3 WHEN 0 THEN '' WHEN 1 THEN '/create' ELSE '/status' END) END AS endpoint""",
+    """CASE WHEN event_type = 'API_REQUEST' THEN
+        CASE id % 4 WHEN 0 THEN 'GET' WHEN 1 THEN 'POST' WHEN 2 THEN 'PUT' ELSE 'DELETE' END END AS method""",
+    """CASE WHEN event_type = 'API_REQUEST' THEN CASE WHEN r < 60 THEN 200 WHEN r < 70 THEN 201 WHEN r < 72 THEN 302
+        WHEN r < 80 THEN 400 WHEN r < 88 THEN 404 ELSE 500 END END AS status""",
+    """CASE WHEN event_type = 'API_REQUEST' AND r % 50 <> 49 THEN CAST(floor(value * 10) AS INT) END
+        AS response_time_ms""",
+    """CASE WHEN event_type IN ('API_REQUEST', 'USER_LOGIN', 'USER_LOGOUT', 'AUTH_FAILURE')
+        THEN concat('U', uid + 1000) END AS user_id""",
+    """CASE event_type WHEN 'DATABASE_ERROR' THEN concat('error=timeout; query_time_ms=', r * 10)
+        WHEN 'AUTH_FAILURE' THEN 'reason=expired_token'
+        WHEN 'CACHE_ACCESS' THEN concat('key=user_session; hit=true; ttl_sec=', r) END AS message""",
+]
+# End of fixed values.
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _to_millis(ts: Column) -> Column:
-    """Cut to milliseconds, the precision of a log line."""
-    seconds = F.floor(F.extract(F.lit("SECOND"), ts) * 1000) / F.lit(1000)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), seconds.cast("decimal(8,6)")
-    )
-
-
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured log records, one per event, without ``record_hash``."""
-    source, r = F.col("src"), F.col("r")
-    base = read_table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        _to_millis(F.col("ts")).alias("timestamp"),
-        F.col("user_id").alias("uid"),
-        F.col("event_type").alias("src"),
-        "value",
-        (F.col("event_id") % 100).alias("r"),
-    )
-    event_type = (
-        F.when(source == "error", F.when(r % 2 == 0, "DATABASE_ERROR").otherwise("AUTH_FAILURE"))
-        .when(source == "signup", F.when(r % 2 == 0, "USER_LOGIN").otherwise("USER_LOGOUT"))
-        .when((source == "view") & (r % 3 == 0), "CACHE_ACCESS")
-        .when((source == "purchase") & (r % 3 == 0), "DATABASE_QUERY")
-        .when((source == "click") & (r % 20 == 7), "SERVICE_START")
-        .when((source == "click") & (r % 20 == 8), "SERVICE_STOP")
-        .otherwise("API_REQUEST")
-    )
-    services = ["auth", "orders", "payments", "users", "inventory", "notifications"]
-    typed = base.select("*", event_type.alias("event_type"), _pick(F.col("uid") % 6, services).alias("svc"))
-    event, request = F.col("event_type"), F.col("event_type") == "API_REQUEST"
-    return typed.select(
-        "id",
-        "timestamp",
-        F.when((source == "error") & (r < 60), "ERROR")
-        .when(r % 5 == 0, "WARN")
-        .when(r % 10 == 1, "DEBUG")
-        .otherwise("INFO")
-        .alias("log_level"),
-        "event_type",
-        F.when(~event.isin("USER_LOGIN", "USER_LOGOUT", "AUTH_FAILURE", "CACHE_ACCESS"), F.col("svc")).alias(
-            "service"
-        ),
-        F.when(
-            request, F.concat(F.lit("/api/"), "svc", _pick(F.col("id") % 3, ["", "/create", "/status"]))
-        ).alias("endpoint"),
-        F.when(request, _pick(F.col("id") % 4, ["GET", "POST", "PUT", "DELETE"])).alias("method"),
-        F.when(
-            request,
-            F.when(r < 60, 200).when(r < 70, 201).when(r < 72, 302).when(r < 80, 400).when(r < 88, 404)
-            .otherwise(500),
-        ).alias("status"),
-        F.when(request & (r % 50 != 49), F.floor(F.col("value") * 10).cast("int")).alias("response_time_ms"),
-        F.when(
-            event.isin("API_REQUEST", "USER_LOGIN", "USER_LOGOUT", "AUTH_FAILURE"),
-            F.concat(F.lit("U"), (F.col("uid") + 1000).cast("string")),
-        ).alias("user_id"),
-        F.when(
-            event == "DATABASE_ERROR", F.concat(F.lit("error=timeout; query_time_ms="), (r * 10).cast("string"))
-        )
-        .when(event == "AUTH_FAILURE", "reason=expired_token")
-        .when(event == "CACHE_ACCESS", F.concat(F.lit("key=user_session; hit=true; ttl_sec="), r.cast("string")))
-        .alias("message"),
-    )
+    events = read_table(spark, sf_dir, "events")
+    return events.selectExpr(*EVENT_FIELDS).selectExpr(*EVENT_KINDS).selectExpr(*RECORD_FIELDS)
 
 
 def hashed_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,28 +80,25 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``id % 97`` from 1 to 10 selects the damage and every fiftieth record has a second copy, so the
     outcome of parsing each line follows from its id.
     """
-    j = F.col("id") % 97
-    records = log_events(spark, sf_dir)
-    damaged = records.select(
+    records = log_events(spark, sf_dir).withColumn("timestamp", log_text(F.col("timestamp")))
+    damaged = records.selectExpr(
         "id",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("id") % 50 == 0, 1).otherwise(0))).alias("copy"),
-        F.when(j == 3, "not-a-date")
-        .when(j == 10, "2024-02-30 00:00:00,000")
-        .otherwise(log_text(F.col("timestamp")))
-        .alias("timestamp"),
-        F.when(j == 4, "TRACE").otherwise(F.col("log_level")).alias("log_level"),
-        F.when(j == 5, "INVALID_EVENT").otherwise(F.col("event_type")).alias("event_type"),
-        F.when(j != 8, F.col("service")).alias("service"),
+        "explode(if(id % 50 = 0, array(0, 1), array(0))) AS copy",
+        """CASE id % 97 WHEN 3 THEN 'not-a-date' WHEN 10 THEN '2024-02-30 00:00:00,000' ELSE timestamp END
+            AS timestamp""",
+        "if(id % 97 = 4, 'TRACE', log_level) AS log_level",
+        "if(id % 97 = 5, 'INVALID_EVENT', event_type) AS event_type",
+        "if(id % 97 = 8, NULL, service) AS service",
         "endpoint",
         "method",
-        F.when(j == 6, "abc").when(j == 9, "999").otherwise(F.col("status").cast("string")).alias("status"),
-        F.when(j == 7, "-50").otherwise(F.col("response_time_ms").cast("string")).alias("response_time_ms"),
+        "CASE id % 97 WHEN 6 THEN 'abc' WHEN 9 THEN '999' ELSE CAST(status AS STRING) END AS status",
+        "if(id % 97 = 7, '-50', CAST(response_time_ms AS STRING)) AS response_time_ms",
         "user_id",
         "message",
     )
-    line = (
-        F.when(j == 1, F.concat(F.lit("garbage "), F.col("id").cast("string")))
-        .when(j == 2, F.array_join(F.slice(F.split("line", " [|] "), 1, 2), " | "))
-        .otherwise(F.col("line"))
+    return format_lines(damaged).selectExpr(
+        "id",
+        "copy",
+        """CASE id % 97 WHEN 1 THEN concat('garbage ', id) WHEN 2 THEN substring_index(line, ' | ', 2) ELSE line END
+            AS line""",
     )
-    return format_lines(damaged).select("id", "copy", line.alias("line"))

@@ -18,6 +18,7 @@ def test_every_sql_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == {
         "isolation_forest_scores", "anomaly_summary", "anomaly_breakdowns", "anomalous_events", "final_report",
+        "text_report",
     }
 
 
