@@ -1,32 +1,34 @@
-"""Exact quantile of a stored double column without sorting or gathering it."""
+"""Rank selection in stored columns without sorting or gathering them."""
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
 DIRECT_ROWS = 1 << 20
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, direct_rows: int = DIRECT_ROWS) -> float | None:
-    """The linearly interpolated ``q`` quantile of ``column`` (nulls ignored), or None without values.
+class Range(NamedTuple):
+    """Values from ``low`` to ``high``: how many rows hold them, and how many rows hold smaller ones."""
+
+    low: float | int
+    high: float | int
+    rows: int
+    below: int
+
 
-    The two neighbouring ranks are located by narrowing a value range: each pass counts the rows of the
-    range in ``BUCKETS`` equal-width buckets, which is one column scan with a map-side combined
-    aggregate of fixed size, and keeps the bucket or buckets that hold the ranks. Once at most
-    ``direct_rows`` rows remain, or a single value, the ranks are read off. ``df`` should be stored
-    data, since every pass reads the column again.
+def narrow(values: DataFrame, whole: Range, first: int, last: int, direct_rows: int = DIRECT_ROWS) -> Range:
+    """A range of ``v`` that holds the rows of ranks ``first`` to ``last`` (from 0) and few others.
+
+    Each pass counts the rows of the range in ``BUCKETS`` equal-width buckets, which is one scan of one
+    column with a map-side combined aggregate of fixed size, and keeps the buckets that hold the ranks.
+    It ends when at most ``direct_rows`` rows remain, or a single value.
     """
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    low, high, total = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    if not total:
-        return None
-    position = q * (total - 1)
-    first, last = math.floor(position), math.ceil(position)
-    below, rows = 0, total
+    low, high, rows, below = whole
     while low < high and rows > direct_rows:
-        place = F.floor((F.col("v") - low) / (high - low) * BUCKETS)
+        place = F.floor((F.col("v") - F.lit(low)) / F.lit(float(high - low)) * BUCKETS)
         buckets = (
             values.where(F.col("v").between(low, high))
             .groupBy(F.least(place, F.lit(BUCKETS - 1)).alias("bucket"))
@@ -43,13 +45,53 @@ def exact_quantile(df: DataFrame, column: str, q: float, direct_rows: int = DIRE
             wanted.append(b)
             if upto > last:
                 break
+        previous = (low, high)
         low, high, rows = wanted[0]["low"], wanted[-1]["high"], sum(w["n"] for w in wanted)
-    if low == high:
-        return low
-    counts = values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("v").alias("n"))
+        if (low, high) == previous and len(wanted) == len(buckets):
+            break  # the ranks span the whole range
+    return Range(low, high, rows, below)
+
+
+def _whole(values: DataFrame) -> Range:
+    low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    return Range(low, high, rows, 0)
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, direct_rows: int = DIRECT_ROWS) -> float | None:
+    """The linearly interpolated ``q`` quantile of a double column (nulls ignored), or None without values.
+
+    ``df`` should be stored data, since every pass reads the column again.
+    """
+    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    whole = _whole(values)
+    if not whole.rows:
+        return None
+    position = q * (whole.rows - 1)
+    first, last = math.floor(position), math.ceil(position)
+    found = narrow(values, whole, first, last, direct_rows)
+    if found.low == found.high:
+        return found.low
+    inside = values.where(F.col("v").between(found.low, found.high))
+    counts = inside.groupBy("v").agg(F.count("v").alias("n"))
     upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("upto", upto + below)
-    a, b = ranked.agg(
-        F.min(F.when(F.col("upto") > first, F.col("v"))), F.min(F.when(F.col("upto") > last, F.col("v")))
-    ).first()
+    ranked = counts.withColumn("upto", upto + found.below)
+
+    def at(rank: int) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("v")))
+
+    a, b = ranked.agg(at(first), at(last)).first()
     return a + (b - a) * (position - first)
+
+
+def first_rows(df: DataFrame, column: str, n: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+    """The ``n`` rows with the smallest values of a number column, in order.
+
+    On a large table a bound is found first from that column alone. The filter then skips almost all row
+    groups, where a plain limit would read every column of the table and send ``n`` rows of every task
+    to one.
+    """
+    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    whole = _whole(values)
+    if whole.rows > max(direct_rows, n):
+        df = df.where(F.col(column) <= narrow(values, whole, 0, n - 1, max(direct_rows, n)).high)
+    return df.orderBy(F.asc_nulls_last(column)).limit(n)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logquarry.functions.quantiles import first_rows
 from logquarry.schema import ANALYSIS_COLUMNS, ANOMALY_LIST_COLUMNS
 
 # The choice that means no filter, and the sizes of the recent-events view.
@@ -49,5 +50,5 @@ def anomalous_events(scored: DataFrame) -> DataFrame:
 
 def recent_events(events: DataFrame, **facets) -> DataFrame:
     """The facet matches among the first events by id, the last hundred of them in id order."""
-    window = events.select(*ANALYSIS_COLUMNS).orderBy("id").limit(RECENT_WINDOW)
+    window = first_rows(events.select(*ANALYSIS_COLUMNS), "id", RECENT_WINDOW)
     return facet_filter(window, **facets).orderBy(F.desc("id")).limit(RECENT_ROWS).orderBy("id")

@@ -1,6 +1,7 @@
 """Raw log files to cleaned and rejected files."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logquarry.operators import parse, validate
 from logquarry.session import materialize
@@ -12,14 +13,20 @@ def routed_records(lines: DataFrame) -> DataFrame:
     return validate.route(parse.parse_lines(lines))
 
 
+def store_routed(routed: DataFrame) -> DataFrame:
+    """Write routed records partitioned by outcome; the text of valid lines is not kept a second time."""
+    rejected = F.col("outcome") != validate.VALID
+    lean = routed.withColumn("raw_line", F.when(rejected, F.col("raw_line")))
+    return materialize(lean, "routed", partition_by=["outcome"])
+
+
 def process_logs(spark: SparkSession, input_path: str, output_dir: str) -> dict[str, int]:
     """Write ``cleaned_logs`` and ``rejected_logs`` (CSV) and return the counts of every stage.
 
     Lines are parsed once into stored records, partitioned by outcome; each output then reads only its
     own partitions.
     """
-    lines = files.log_lines(files.read_lines(spark, input_path))
-    routed = materialize(routed_records(lines), "routed", partition_by=["outcome"])
+    routed = store_routed(routed_records(files.log_lines(files.read_lines(spark, input_path))))
     files.write_cleaned(validate.deduplicate(validate.valid_records(routed)), f"{output_dir}/cleaned_logs")
     files.write_rejected(validate.all_rejections(routed), f"{output_dir}/rejected_logs")
     return validate.processing_stats(routed).first().asDict()

@@ -13,6 +13,7 @@ from logquarry.schema import ANALYSIS_COLUMNS, LOG_EVENTS_SCHEMA, RECORD_COLUMNS
 from logquarry.sources.files import read_cleaned
 
 NEXT_ID = "log_events.next_id"
+LISTED_DAYS = 1000  # beyond this a load reads the whole span of its days
 
 
 def create_table(spark: SparkSession, table: str = "log_events", buckets: int = 8, location: str | None = None) -> None:
@@ -83,8 +84,7 @@ def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -
         F.min(F.when(unreadable.isNotNull(), at)).alias("row_error"),
         F.min(constraint_error(rows)).alias("violation"),
         F.max("row").alias("last_row"),
-        F.min(F.to_date("timestamp")).alias("first_day"),
-        F.max(F.to_date("timestamp")).alias("last_day"),
+        F.array_sort(F.collect_set(F.to_date("timestamp"))).alias("days"),
     ).first()
     names = ("input_records", "inserted_records", "duplicate_records", "failed_records", "database_total_rows")
     if checked["rows"] == 0:
@@ -99,9 +99,9 @@ def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -
     spark.catalog.refreshTable(table)
     first_id = _next_id(spark, table)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEXT_ID}' = '{first_id + checked['last_row'] + 1}')")
-    same_days = spark.table(table).where(
-        F.col("event_date").between(F.lit(checked["first_day"]), F.lit(checked["last_day"]))
-    )
+    days, day = checked["days"], F.col("event_date")
+    touched = day.isin(days) if len(days) <= LISTED_DAYS else day.between(days[0], days[-1])
+    same_days = spark.table(table).where(touched)
     candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
     fresh = absent_from(first_per_hash(candidates, order), same_days).select(
         (F.col("row") + first_id).alias("id"),

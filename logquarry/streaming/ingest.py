@@ -6,8 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logquarry.functions.hashing import record_hash
 from logquarry.operators import validate
-from logquarry.plans.processing import routed_records
-from logquarry.session import materialize
+from logquarry.plans.processing import routed_records, store_routed
 from logquarry.sources import files
 from logquarry.sources.table import load_rows
 
@@ -28,7 +27,7 @@ def start_ingest(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        routed = materialize(batch, "stream-batch", partition_by=["outcome"])
+        routed = store_routed(batch)
         valid = validate.valid_records(routed).withColumns(
             {
                 "response_time_ms": F.col("response_time_ms").cast("int"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logquarry.functions import trees
-from logquarry.functions.quantiles import exact_quantile
+from logquarry.functions.quantiles import exact_quantile, first_rows
 from logquarry.operators import features, forest, rules
 from logquarry.plans import detection
 from logquarry.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SCORED_COLUMNS
@@ -191,6 +191,15 @@ def test_exact_quantile(spark, kind, q):
     assert exact_quantile(df, "v", q, direct_rows=10) == pytest.approx(np.quantile(values, q), rel=1e-15)
 
 
+@pytest.mark.parametrize("n", [1, 50, 999, 5000])
+def test_first_rows(spark, n):
+    ids = [(i << 33) + j for i in range(10) for j in range(100)]
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "id long, text string").repartition(5)
+    found = [(r["id"], r["text"]) for r in first_rows(df, "id", n, direct_rows=7).collect()]
+    assert found == [(i, str(i)) for i in ids[:n]]
+    assert first_rows(df.where("false"), "id", n).count() == 0
+
+
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.sql("select cast(null as double) v"), "v", 0.5) is None
 
