@@ -42,12 +42,15 @@ def log_text(ts: Column) -> Column:
     return F.concat(F.substring(full, 1, 19), F.lit(","), F.substring(full, 21, 3))
 
 
-def iso_text(ts: Column) -> Column:
-    """ISO-8601 with microseconds only when there are any."""
+def plain_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` with microseconds only when there are any."""
     full = micros_text(ts)
-    return F.replace(
-        F.when(full.endswith(".000000"), F.substring(full, 1, 19)).otherwise(full), F.lit(" "), F.lit("T")
-    )
+    return F.when(full.endswith(".000000"), F.substring(full, 1, 19)).otherwise(full)
+
+
+def iso_text(ts: Column) -> Column:
+    """``plain_text`` in ISO-8601 form."""
+    return F.replace(plain_text(ts), F.lit(" "), F.lit("T"))
 
 
 def hour_start(ts: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logquarry.functions.rounding import decimal_text
-from logquarry.functions.timestamps import iso_text
+from logquarry.functions.timestamps import iso_text, plain_text
 from logquarry.operators import analytics
 from logquarry.schema import RULE_SIGNALS
 
@@ -171,7 +171,7 @@ def final_report(
     )
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("position", "finding"))), lambda f: f["finding"])
     checked = quality.withColumns(
-        {c: F.replace(iso_text(F.col(c)), F.lit("T"), F.lit(" ")) for c in ("earliest_timestamp", "latest_timestamp")}
+        {c: plain_text(F.col(c)) for c in ("earliest_timestamp", "latest_timestamp")}
     )
     return whole.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),

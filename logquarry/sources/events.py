@@ -60,13 +60,18 @@ RECORD_FIELDS = [
 # End of fixed values.
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """A given table; a known schema saves the job that would read it from the files."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured log records, one per event, without ``record_hash``."""
-    events = read_table(spark, sf_dir, "events")
+    events = read_table(spark, sf_dir, "events", EVENTS_SCHEMA)
     return events.selectExpr(*EVENT_FIELDS).selectExpr(*EVENT_KINDS).selectExpr(*RECORD_FIELDS)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logquarry.functions.text import strip
-from logquarry.functions.timestamps import iso_text, log_text
+from logquarry.functions.timestamps import iso_text, log_text, plain_text
 from logquarry.schema import CHECK_COLUMNS, RECORD_COLUMNS, SCORED_COLUMNS, SCORED_SCHEMA
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
@@ -50,7 +50,7 @@ def write_rejected(rejections: DataFrame, path: str) -> None:
 
 
 def write_scored(scored: DataFrame, path: str) -> None:
-    write_csv(scored.select(*SCORED_COLUMNS), path)
+    write_csv(scored.withColumn("timestamp", plain_text(F.col("timestamp"))).select(*SCORED_COLUMNS), path)
 
 
 def write_checks(checks: DataFrame, path: str) -> None:

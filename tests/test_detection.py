@@ -234,6 +234,9 @@ def test_saved_detection(spark, traffic, tmp_path):
     result = detection.run_detection(traffic, str(tmp_path))
     saved = files.read_scored(spark, str(tmp_path / "anomalies"))
     assert saved.columns == SCORED_COLUMNS and saved.count() == 300
+    assert saved.select("id", "timestamp").exceptAll(result.select("id", "timestamp")).count() == 0
+    text = spark.read.csv(str(tmp_path / "anomalies"), header=True)
+    assert text.where("id = 1").first()["timestamp"] == "2026-09-21 10:00:00"
     assert saved.where("is_anomaly").count() == result.where("is_anomaly").count()
     report = spark.read.json(str(tmp_path / "anomaly_report")).first()
     assert report["anomaly_count"] == result.where("is_anomaly").count()
