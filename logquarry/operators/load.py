@@ -89,8 +89,14 @@ def first_per_hash(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 def absent_from(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows whose hash the target does not hold. Only the hash column of the target is read."""
-    return rows.join(target.select("record_hash"), "record_hash", "left_anti")
+    """Rows whose hash the target does not hold. Only the hash column of the target is read.
+
+    An outer join that keeps the unmatched rows: the optimizer would move an anti join below the
+    aggregate that made the rows distinct, and send every copy of a hot record through the join.
+    """
+    known = target.select(F.col("record_hash").alias("known_hash"))
+    matched = rows.join(known, F.col("record_hash") == F.col("known_hash"), "left_outer")
+    return matched.where(F.col("known_hash").isNull()).drop("known_hash")
 
 
 def load_summary(events: DataFrame) -> DataFrame:

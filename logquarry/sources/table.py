@@ -1,8 +1,7 @@
 """The ``log_events`` table: Parquet in the session catalog, partitioned by day, bucketed by record hash.
 
 A record's hash covers its timestamp, so a copy of a row can only sit in the row's own day: a load
-reads just the hash column of the days it touches, and the buckets keep that side of the anti join
-unshuffled.
+reads just the hash column of the days it touches, and the buckets keep that side of the join unshuffled.
 """
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -61,6 +60,11 @@ def _next_id(spark: SparkSession, table: str) -> int:
     return 1 if last is None else last + 1
 
 
+def _buckets(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(described["data_type"])
+
+
 def _row_number(staged: DataFrame, bad) -> int:
     """Position of a row in its file, counting the header as row 1. Only runs when a load is refused."""
     before = (F.col("block") < bad["block"]) | ((F.col("block") == bad["block"]) & (F.col("row") < bad["row"]))
@@ -103,7 +107,9 @@ def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -
     touched = day.isin(days) if len(days) <= LISTED_DAYS else day.between(days[0], days[-1])
     same_days = spark.table(table).where(touched)
     candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
-    fresh = absent_from(first_per_hash(candidates, order), same_days).select(
+    # laid out like the table's buckets: the join leaves the table in place, and every task writes one file a day
+    distinct = first_per_hash(candidates, order).repartition(_buckets(spark, table), "record_hash")
+    fresh = absent_from(distinct, same_days).select(
         (F.col("row") + first_id).alias("id"),
         *RECORD_COLUMNS,
         "record_hash",
