@@ -1,6 +1,10 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate
+from logquarry.llm import decontaminate, pack, shard
 
-QUERIES = {"op1_decontaminate": decontaminate.op1_decontaminate}
+QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_shard": shard.op4_shard,
+    "op5_pack": pack.op5_pack,
+}
 ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
