@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, pack, shard
+from logquarry.llm import decontaminate, neardup, pack, shard, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_url_filter": urls.op2_url_filter,
+    "op3_near_duplicates": neardup.op3_near_duplicates,
     "op4_shard": shard.op4_shard,
     "op5_pack": pack.op5_pack,
 }
-ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL}
+ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_url_filter": urls.OP2_SQL}
