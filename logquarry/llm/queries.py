@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, neardup, pack, shard, urls
+from logquarry.llm import decontaminate, neardup, pack, quality, shard, toxicity, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -8,5 +8,7 @@ QUERIES = {
     "op3_near_duplicates": neardup.op3_near_duplicates,
     "op4_shard": shard.op4_shard,
     "op5_pack": pack.op5_pack,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_quality": quality.op8_quality,
 }
 ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_url_filter": urls.OP2_SQL}
