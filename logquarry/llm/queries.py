@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, neardup, pack, quality, shard, toxicity, urls
+from logquarry.llm import decontaminate, language, neardup, pack, quality, shard, toxicity, urls
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,5 +10,6 @@ QUERIES = {
     "op5_pack": pack.op5_pack,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality": quality.op8_quality,
+    "op10_language": language.op10_language,
 }
 ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_url_filter": urls.OP2_SQL}
