@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, hamming, language, neardup, pack, quality, shard, toxicity, urls
+from logquarry.llm import decontaminate, hamming, language, neardup, pack, quality, shard, toxicity, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -11,6 +11,12 @@ QUERIES = {
     "op6_hamming_search": hamming.op6_hamming_search,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality": quality.op8_quality,
+    "op9_warc": warc.op9_warc,
     "op10_language": language.op10_language,
 }
-ORACLE_SQL = {"op1_decontaminate": decontaminate.OP1_SQL, "op2_url_filter": urls.OP2_SQL, "op6_hamming_search": hamming.OP6_SQL}
+ORACLE_SQL = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
+    "op2_url_filter": urls.OP2_SQL,
+    "op6_hamming_search": hamming.OP6_SQL,
+    "op9_warc": warc.OP9_SQL,
+}
