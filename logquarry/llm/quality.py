@@ -195,39 +195,47 @@ def predict(model: Model, values: np.ndarray) -> np.ndarray:
 
 
 def featured(docs: DataFrame) -> DataFrame:
-    """(doc_id, features) of every row of ``docs`` (doc_id, text), stored."""
+    """(doc_id, features) of every row of ``docs`` (doc_id, text)."""
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return stored(source.mapInArrow(_featured, f"doc_id {kind}, features array<float>"))
+    return source.mapInArrow(_featured, f"doc_id {kind}, features array<float>")
 
 
-def learn(rows: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """The model of labelled ``rows`` (doc_id, features) that are not held out: at most about ``per_label`` of each label."""
+def learn(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_label: int = SAMPLE_PER_LABEL) -> Model:
+    """The model of labelled ``docs`` (doc_id, text) that are not held out.
+
+    At most about ``per_label`` rows of either label are used, chosen by a hash of their ids; only their
+    features reach the driver.
+    """
     known = one_label(labels, "quality").where("label IN (0, 1)")
-    sample = label_sample(known.where(~held_out(F.col("doc_id"), parts, part)), per_label)
-    got = rows.join(F.broadcast(sample), "doc_id").orderBy("doc_id").select("label", "weight", "features").toArrow()
+    sample = F.broadcast(stored(label_sample(known.where(~held_out(F.col("doc_id"), parts, part)), per_label)))  # bounded
+    rows = featured(docs.join(sample, "doc_id", "left_semi"))
+    got = rows.join(sample, "doc_id").orderBy("doc_id", "features").select("label", "weight", "features").toArrow()
     if not got.num_rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), np.zeros(0))
     flat = got["features"].combine_chunks().flatten().to_numpy()
     return fit(flat.reshape(got.num_rows, -1).astype(np.float64), got["label"].to_numpy().astype(float), got["weight"].to_numpy())
 
 
-def score(rows: DataFrame, model: Model, parts: int = 5, part: int = 0, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``rows`` (doc_id, features): doc_id, held_out, score, predicted.
+def scorer(model: Model):
+    """A column function from a text to its score, for filters that keep the other columns where they are."""
 
-    A null, empty or wordless text has zero features and is scored like any other. Repeated rows get equal
-    scores and a null id is not held out.
-    """
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    def scored(texts: pa.Array) -> pa.Array:
+        data, bounds = utf8(texts)
+        parts = [predict(model, features(data, bounds[a : b + 1]).astype(np.float32).astype(np.float64)) for a, b in slabs(bounds)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    def scored(batches):
-        for batch in batches:
-            flat = batch.column(1).flatten().to_numpy()
-            values = flat.reshape(batch.num_rows, len(FEATURES)).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(predict(shared.value, values))], names=["doc_id", "score"])
+    return F.arrow_udf(scored, "double")
 
-    return rows.mapInArrow(scored, f"doc_id {kind}, score double").select(
+
+def score(docs: DataFrame, model: Model, parts: int = 5, part: int = 0, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
+
+    A null, empty or wordless text has zero features and is scored like any other. Repeated rows get equal
+    scores, a null id is not held out, and other columns are ignored.
+    """
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", scorer(model)(text).alias("score")).select(
         "doc_id",
         held_out(F.col("doc_id"), parts, part).alias("held_out"),
         "score",
@@ -236,5 +244,5 @@ def score(rows: DataFrame, model: Model, parts: int = 5, part: int = 0, threshol
 
 
 def op8_quality(spark, sf_dir) -> DataFrame:
-    rows = featured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return score(rows, learn(rows, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return score(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -227,6 +227,20 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, per
     return Model(lexicon, exceptions, fit_curve(total, words, label, rate))
 
 
+def scorer(model: Model):
+    """A column function from a text to its score, for filters that keep the other columns where they are."""
+    built = []
+
+    def scored(texts: pa.Array) -> pa.Array:
+        if not built:
+            built.append(Matcher(model.lexicon, model.exceptions))
+        found = np.array([built[0].weigh(t.as_py()) for t in texts], float).reshape(-1, 2)
+        z = _inputs(found[:, 0], found[:, 1]) @ np.array(model.curve)
+        return pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+
+    return F.arrow_udf(scored, "double")
+
+
 def score(docs: DataFrame, model: Model, parts: int = 3, part: int = 1, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, and what was matched (sum, words).
 

@@ -51,13 +51,13 @@ def test_odd_rows(make):
     docs += [(None, None), (None, "x"), (500, ""), (7, docs[7][1]), (501, "long " * 300000)]
     frame = make([(i, t, 1, 2) for i, t in docs], "doc_id long, text string, features int, label int")
     labels = make([(i, i % 2, 0) for i in range(200)] + [(3, None, 0), (None, 1, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
-    rows = featured(frame)
-    model = learn(rows, labels)
-    got = score(rows, model).collect()
+    model = learn(frame, labels)
+    got = score(frame, model).collect()
+    assert {len(r["features"]) for r in featured(frame).collect()} == {len(FEATURES)}
     assert len(got) == len(docs) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got)
     assert all(r["predicted"] == r["doc_id"] % 2 for r in got if r["doc_id"] is not None and r["doc_id"] < 200)
     assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
-    none = featured(frame.limit(0))
+    none = frame.limit(0)
     assert score(none, learn(none, labels)).count() == 0
 
 
