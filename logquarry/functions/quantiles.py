@@ -1,97 +1,88 @@
-"""Rank selection in stored columns without sorting or gathering them."""
+"""Exact order statistics of stored columns without sorting or gathering them."""
 
 import math
-from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-DIRECT_ROWS = 1 << 20
 
 
-class Range(NamedTuple):
-    """Values from ``low`` to ``high``: how many rows hold them, and how many rows hold smaller ones."""
+def ranked_values(df: DataFrame, wanted: dict[str, list[int]], whole: dict[str, tuple]) -> dict[str, dict[int, float]]:
+    """The values at the wanted ranks (from 0, nulls left out) of each column.
 
-    low: float | int
-    high: float | int
-    rows: int
-    below: int
-
-
-def narrow(values: DataFrame, whole: Range, first: int, last: int, direct_rows: int = DIRECT_ROWS) -> Range:
-    """A range of ``v`` that holds the rows of ranks ``first`` to ``last`` (from 0) and few others.
-
-    Each pass counts the rows of the range in ``BUCKETS`` equal-width buckets, which is one scan of one
-    column with a map-side combined aggregate of fixed size, and keeps the buckets that hold the ranks.
-    It ends when at most ``direct_rows`` rows remain, or a single value.
+    ``whole`` gives (lowest, highest, rows) of each column. Every pass counts, for each range that still
+    holds a wanted rank, the rows in ``BUCKETS`` parts of equal width, with their lowest and highest value:
+    one scan of the columns and an aggregate of fixed size, combined on the map side. A rank that is the
+    first or last of its part is answered by the part's bounds, any other narrows its range to the part. A
+    range of one value ends it; a double needs about five passes, an int three at most.
     """
-    low, high, rows, below = whole
-    while low < high and rows > direct_rows:
-        place = F.floor((F.col("v") - F.lit(low)) / F.lit(float(high - low)) * BUCKETS)
-        buckets = (
-            values.where(F.col("v").between(low, high))
-            .groupBy(F.least(place, F.lit(BUCKETS - 1)).alias("bucket"))
-            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .orderBy("bucket")
-            .collect()
+    found: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    ranges = {}  # (column, low, high, rows below) -> ranks
+    for c, ranks in wanted.items():
+        low, high, rows = whole[c]
+        if rows:
+            ranges[c, low, high, 0] = sorted(set(ranks))
+    while ranges:
+        parts = []
+        for i, (c, low, high, _) in enumerate(ranges):
+            v = F.col(c)
+            # the lowest value falls in the first part and the highest in the last, so every pass narrows;
+            # where the difference is beyond a double, that of the halves is not
+            half = 1.0 if math.isfinite(float(high) - float(low)) else 0.5
+            width = float(high) * half - float(low) * half
+            share = (v.cast("double") * half - F.lit(float(low) * half)) / F.lit(width)
+            place = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+            if low == high:
+                place = F.lit(0).cast("bigint")
+            inside = v.between(low, high)
+            parts.append(F.when(inside, F.struct(F.lit(i).alias("range"), place.alias("place"), v.cast("double").alias("v"))))
+        counted = (
+            df.select(F.explode(F.array_compact(F.array(*parts))).alias("part"))
+            .select("part.*")
+            .groupBy("range", "place")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()  # at most BUCKETS rows for each wanted rank
         )
-        wanted, upto = [], below
-        for b in buckets:
-            upto += b["n"]
-            if upto <= first:
-                below = upto
-                continue
-            wanted.append(b)
-            if upto > last:
-                break
-        previous = (low, high)
-        low, high, rows = wanted[0]["low"], wanted[-1]["high"], sum(w["n"] for w in wanted)
-        if (low, high) == previous and len(wanted) == len(buckets):
-            break  # the ranks span the whole range
-    return Range(low, high, rows, below)
-
-
-def _whole(values: DataFrame) -> Range:
-    low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    return Range(low, high, rows, 0)
-
-
-def exact_quantile(df: DataFrame, column: str, q: float, direct_rows: int = DIRECT_ROWS) -> float | None:
-    """The linearly interpolated ``q`` quantile of a double column (nulls ignored), or None without values.
-
-    ``df`` should be stored data, since every pass reads the column again.
-    """
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    whole = _whole(values)
-    if not whole.rows:
-        return None
-    position = q * (whole.rows - 1)
-    first, last = math.floor(position), math.ceil(position)
-    found = narrow(values, whole, first, last, direct_rows)
-    if found.low == found.high:
-        return found.low
-    inside = values.where(F.col("v").between(found.low, found.high))
-    counts = inside.groupBy("v").agg(F.count("v").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("upto", upto + found.below)
-
-    def at(rank: int) -> Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("v")))
-
-    a, b = ranked.agg(at(first), at(last)).first()
-    return a + (b - a) * (position - first)
-
-
-def first_rows(df: DataFrame, column: str, n: int, direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    """The ``n`` rows with the smallest values of a number column, in order.
-
-    On a large table a bound is found first from that column alone. The filter then skips almost all row
-    groups, where a plain limit would read every column of the table and send ``n`` rows of every task
-    to one.
+        open_ranges = {}
+        for i, ((c, _, _, below), ranks) in enumerate(ranges.items()):
+            upto = below
+            for b in sorted((b for b in counted if b["range"] == i), key=lambda b: b["place"]):
+                first, last = upto, upto + b["n"] - 1
+                for rank in ranks:
+                    if not first <= rank <= last:
+                        continue
+                    if b["low"] == b["high"] or rank == first:
+                        found[c][rank] = b["low"]
+                    elif rank == last:
+                        found[c][rank] = b["high"]
+                    else:
+                        open_ranges.setdefault((c, b["low"], b["high"], first), []).append(rank)
+                upto += b["n"]
+        ranges = open_ranges
+    return found
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of number columns, nulls ignored; None for a column without values.
+
+    Every pass reads the columns again, so ``df`` should be stored data or a cheap projection of it.
     """
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    whole = _whole(values)
-    if whole.rows > max(direct_rows, n):
-        df = df.where(F.col(column) <= narrow(values, whole, 0, n - 1, max(direct_rows, n)).high)
-    return df.orderBy(F.asc_nulls_last(column)).limit(n)
+    bounds = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in wanted for f in (F.min, F.max, F.count)]).first()
+    whole = {c: (bounds[f"min_{c}"], bounds[f"max_{c}"], bounds[f"count_{c}"]) for c in wanted}
+    ranks = {}
+    for c, quantiles in wanted.items():
+        places = [q * (whole[c][2] - 1) for q in quantiles]
+        ranks[c] = [r for p in places for r in (math.floor(p), math.ceil(p))] if whole[c][2] else []
+    values = ranked_values(df.select(*wanted), ranks, whole)
+    out: dict[str, list[float | None]] = {}
+    for c, quantiles in wanted.items():
+        out[c] = []
+        for q in quantiles:
+            if not whole[c][2]:
+                out[c].append(None)
+                continue
+            place = q * (whole[c][2] - 1)
+            a, b = values[c][math.floor(place)], values[c][math.ceil(place)]
+            out[c].append(a + (b - a) * (place - math.floor(place)))
+    return out

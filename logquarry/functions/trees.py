@@ -52,12 +52,12 @@ def _split(numbers: np.ndarray, codes: np.ndarray, rng: np.random.Generator):
 
 
 def grow_tree(sample: pd.DataFrame, seed: int) -> pd.DataFrame:
-    """One tree from the smallest draws of its group, as arrays in heap order.
+    """One tree from its sample, as arrays in heap order.
 
     A leaf sends every row left, down to the bottom level, where ``path`` holds the path length.
     """
     tree = int(sample["tree"].iloc[0])
-    sample = sample.nsmallest(SAMPLE_SIZE, ["draw", "id"])
+    sample = sample.sort_values(["draw", "id"])
     size = len(sample)
     height = max(1, math.ceil(math.log2(max(size, 2))))
     bottom = 1 << height

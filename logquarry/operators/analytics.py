@@ -1,9 +1,9 @@
 """The thirteen aggregate queries over ``log_events``.
 
 Each query is defined once, over *facts*: rows that carry the grouping columns plus additive measures.
-``facts`` maps every event to one fact row (narrow, columns pruned per query). ``hourly_facts`` sums
-them per dimension combination, so a full report scans and shuffles the events once and then rolls up
-a small table, instead of scanning thirteen times.
+``facts`` maps every event to one fact row (narrow, columns pruned per query). ``rollup`` sums them by
+the few groupings that all queries need, in one scan with grouping sets, so a full report scans and
+shuffles the events once and then reads small tables, instead of scanning twelve times.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,23 @@ from logquarry.functions.rounding import mean, percent
 from logquarry.functions.timestamps import hour_start
 
 DIMENSIONS = ["hour", "log_level", "event_type", "service", "endpoint", "status"]
+GROUPINGS = {
+    "kind": ["log_level", "event_type"],
+    "service": ["service", "log_level"],
+    "endpoint": ["endpoint"],
+    "status": ["status"],
+    "hour": ["hour"],
+}
+PART_OF = {
+    "service_distribution": "service",
+    "service_performance": "service",
+    "slowest_endpoints": "endpoint",
+    "most_used_endpoints": "endpoint",
+    "status_distribution": "status",
+    "status_class_distribution": "status",
+    "server_errors": "status",
+    "hourly_traffic": "hour",
+}  # all others: kind
 
 
 def facts(events: DataFrame) -> DataFrame:
@@ -34,18 +51,27 @@ def facts(events: DataFrame) -> DataFrame:
     )
 
 
-def hourly_facts(events: DataFrame) -> DataFrame:
-    return (
-        facts(events)
-        .groupBy(*DIMENSIONS)
-        .agg(
-            *[F.sum(c).alias(c) for c in ("events", "rt_samples", "rt_sum")],
-            F.min("rt_min").alias("rt_min"),
-            F.max("rt_max").alias("rt_max"),
-            F.min("first_ts").alias("first_ts"),
-            F.max("last_ts").alias("last_ts"),
-        )
-    )
+def rollup(events: DataFrame) -> DataFrame:
+    """The facts summed by each of ``GROUPINGS``, told apart by ``part``. Sums are combined on the map side."""
+    sums = [
+        *[F.sum(c).alias(c) for c in ("events", "rt_samples", "rt_sum")],
+        F.min("rt_min").alias("rt_min"),
+        F.max("rt_max").alias("rt_max"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+    ]
+    sets = [[F.col(c) for c in columns] for columns in GROUPINGS.values()]
+    summed = facts(events).groupingSets(sets, *[F.col(c) for c in DIMENSIONS]).agg(F.grouping_id().alias("set"), *sums)
+    names = F.lit(None).cast("string")
+    for name, columns in GROUPINGS.items():  # a bit of the id is set for each column that is not grouped by
+        number = sum(1 << i for i, c in enumerate(reversed(DIMENSIONS)) if c not in columns)
+        names = F.when(F.col("set") == number, name).otherwise(names)
+    return summed.withColumn("part", names).drop("set")
+
+
+def rolled(summary: DataFrame, name: str) -> DataFrame:
+    """The rows of ``rollup`` that serve as the facts of a query."""
+    return summary.where(F.col("part") == PART_OF.get(name, "kind")).drop("part")
 
 
 def _events() -> Column:
@@ -116,6 +142,10 @@ def error_summary(data: DataFrame) -> DataFrame:
     )
 
 
+def server_errors(data: DataFrame) -> DataFrame:
+    return data.agg(_events_where(F.col("status").between(500, 599)).alias("server_error_count"))
+
+
 def response_time_summary(data: DataFrame) -> DataFrame:
     return data.where(F.col("rt_max").isNotNull()).agg(
         _mean_rt(),
@@ -192,7 +222,7 @@ FACT_QUERIES = {
 
 
 def all_analytics(events: DataFrame, summary: DataFrame) -> dict[str, DataFrame]:
-    """All thirteen results. ``summary`` is ``hourly_facts(events)``, best read back from storage."""
-    results = {name: query(summary) for name, query in FACT_QUERIES.items()}
+    """All thirteen results. ``summary`` is ``rollup(events)``, read back from storage."""
+    results = {name: query(rolled(summary, name)) for name, query in FACT_QUERIES.items()}
     results["user_activity_summary"] = user_activity_summary(events)
     return results

@@ -1,14 +1,13 @@
 """Filterable views of events and scored events."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.functions.quantiles import first_rows
 from logquarry.schema import ANALYSIS_COLUMNS, ANOMALY_LIST_COLUMNS
 
-# The choice that means no filter, and the sizes of the recent-events view.
+# The choice that means no filter, and the size of the recent-events view.
 ALL = "All"
-RECENT_WINDOW, RECENT_ROWS = 500, 100
+RECENT_ROWS = 100
 
 
 def facet_filter(
@@ -34,13 +33,16 @@ def facet_filter(
 
 
 def facet_values(df: DataFrame, column: str) -> DataFrame:
-    """Choices of one facet in display order (``position``, ``value``): All, then the sorted values."""
+    """Choices of one facet in display order (``position``, ``value``): All, then the values in their own order."""
     spark = df.sparkSession
-    head = spark.range(1).select(F.lit(0).alias("rank"), F.lit(ALL).alias("value"))
     if column not in df.columns:
-        return head.select("value")
-    values = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    return head.unionByName(values.withColumn("rank", F.lit(1))).orderBy("rank", "value").select("value")
+        return spark.range(1).select(F.lit(0).alias("position"), F.lit(ALL).alias("value"))
+    values = df.select(F.col(column).alias("key")).where(F.col("key").isNotNull()).distinct()
+    head = spark.range(1).select(F.lit(0).alias("rank"), F.lit(None).cast(df.schema[column].dataType).alias("key"), F.lit(ALL).alias("value"))
+    listed = head.unionByName(values.select(F.lit(1).alias("rank"), "key", F.col("key").cast("string").alias("value")))
+    # the choices of a facet fill a menu, so one task may number them
+    position = (F.row_number().over(Window.orderBy("rank", "key")) - 1).alias("position")
+    return listed.select(position, "value").orderBy("position")
 
 
 def anomalous_events(scored: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def anomalous_events(scored: DataFrame) -> DataFrame:
     return scored.where("is_anomaly").select(*[c for c in ANOMALY_LIST_COLUMNS if c in scored.columns])
 
 
-def recent_events(events: DataFrame, **facets) -> DataFrame:
-    """The facet matches among the first events by id, the last hundred of them in id order."""
-    window = first_rows(events.select(*ANALYSIS_COLUMNS), "id", RECENT_WINDOW)
-    return facet_filter(window, **facets).orderBy(F.desc("id")).limit(RECENT_ROWS).orderBy("id")
+def recent_events(events: DataFrame, rows: int = RECENT_ROWS, **facets) -> DataFrame:
+    """The newest ``rows`` facet matches by id, in id order."""
+    matches = facet_filter(events.select(*ANALYSIS_COLUMNS), **facets)
+    return matches.orderBy(F.desc("id")).limit(rows).orderBy("id")

@@ -1,38 +1,40 @@
 """Features for anomaly detection and the response-time profile they need."""
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logquarry.functions.numbering import numbered, place
+from logquarry.functions.quantiles import exact_quantiles
 from logquarry.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from logquarry.session import Scratch
 
 UNKNOWN = "UNKNOWN"
 HIGH_RESPONSE_QUANTILE = 0.95
 
 
-def profile(events: DataFrame) -> DataFrame:
-    """One row: ``total``, ``rt_median``, ``rt_p95``, ``status_median``; exact, linearly interpolated.
+class Profile(NamedTuple):
+    """Size of the table and the figures that features and rules need; None where no value exists."""
 
-    The events are first counted per (response time, status) pair, so the final percentile step sees
-    one row per distinct pair with its frequency, not one per event.
-    """
-    histogram = events.groupBy("response_time_ms", "status").agg(F.count(F.lit(1)).alias("n"))
-    rt = F.percentile("response_time_ms", [0.5, HIGH_RESPONSE_QUANTILE], F.col("n"))
-    return histogram.agg(
-        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total"),
-        rt.alias("rt"),
-        F.percentile("status", F.lit(0.5), F.col("n")).alias("status_median"),
-    ).select(
-        "total",
-        F.get("rt", F.lit(0)).alias("rt_median"),
-        F.get("rt", F.lit(1)).alias("rt_p95"),
-        "status_median",
-    )
+    total: int
+    rt_median: float | None
+    rt_p95: float | None
+    status_median: float | None
+
+    def literals(self) -> dict[str, Column]:
+        return {name: F.lit(value).cast("double") for name, value in self._asdict().items() if name != "total"}
 
 
-def scalars(profile_row: DataFrame) -> dict[str, Column]:
-    """The profile as scalar subqueries, for plans that stay lazy."""
-    whole = profile_row.select(F.struct(*profile_row.columns)).scalar()
-    return {c: whole.getField(c) for c in profile_row.columns}
+def profile(events: DataFrame) -> Profile:
+    """Exact, linearly interpolated: both columns are narrowed in the same passes, none is gathered."""
+    numbers = events.select("response_time_ms", "status")
+    found = exact_quantiles(numbers, {"response_time_ms": [0.5, HIGH_RESPONSE_QUANTILE], "status": [0.5]})
+    return Profile(numbers.count(), *found["response_time_ms"], *found["status"])
+
+
+def profile_row(found: Profile, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([tuple(found)], "total bigint, rt_median double, rt_p95 double, status_median double")
 
 
 def prepare_features(events: DataFrame) -> DataFrame:
@@ -71,26 +73,41 @@ def impute(features: DataFrame, medians: dict[str, Column]) -> list[Column]:
     ]
 
 
-def with_vocabularies(features: DataFrame) -> DataFrame:
-    """Add ``<category>_values``: the sorted distinct values of each category, the same on every row.
+def model_inputs(events: DataFrame, medians: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+    """``id`` and the twelve model inputs: imputed numbers and filled categories.
 
-    Values are made distinct before they are collected, so only the vocabulary itself is gathered.
+    With ``keep`` those columns of the events instead, and the inputs as a struct ``inputs``. A number
+    column with no values at all becomes constant, which no tree can split on.
     """
-    return features.withColumns(
-        {
-            f"{c}_values": features.select(c).distinct().agg(F.array_sort(F.collect_list(c))).scalar()
-            for c in CATEGORICAL_FEATURES
-        }
-    )
+    features = prepare_features(events)
+    numbers = [F.coalesce(c, F.lit(0.0)).alias(name) for name, c in zip(NUMERIC_FEATURES, impute(features, medians))]
+    if keep is None:
+        return features.select("id", *numbers, *CATEGORICAL_FEATURES)
+    return features.select(*keep, F.struct(*numbers, *CATEGORICAL_FEATURES).alias("inputs"))
+
 
+def category_positions(inputs: DataFrame, area: Scratch) -> DataFrame:
+    """The one-hot position of every category value after the numbers: (category, value, position).
+
+    Categories stand in their fixed order, values sorted within them. The distinct values are sorted by
+    range and numbered by partition, so neither a task nor the driver holds a vocabulary.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("category"), F.col(c).alias("value")) for i, c in enumerate(CATEGORICAL_FEATURES)])
+    values = inputs.select(F.inline(pairs)).distinct().repartitionByRange("category", "value").sortWithinPartitions("category", "value")
+    stored = area.store(values.withColumn("place", place()), "category-values")
+    return numbered(stored, "position", len(NUMERIC_FEATURES)).select("category", "value", "position")
 
-def one_hot(category: str) -> Column:
-    """0/1 vector over ``<category>_values``; a value outside it gives zeros."""
-    return F.transform(f"{category}_values", lambda v: (v == F.col(category)).cast("double"))
 
+def feature_vector(events: DataFrame, medians: dict[str, Column], area: Scratch) -> DataFrame:
+    """``id``, ``numbers`` and ``ones``: the model inputs as a sparse vector.
 
-def feature_vector(features: DataFrame, medians: dict[str, Column]) -> DataFrame:
-    """``id`` and ``features``: nine numbers followed by the one-hot vectors of the categories."""
-    return with_vocabularies(features).select(
-        "id", F.concat(F.array(*impute(features, medians)), *map(one_hot, CATEGORICAL_FEATURES)).alias("features")
+    The nine numbers come first; ``ones`` are the positions that hold a 1, one for each category.
+    """
+    rows = model_inputs(events, medians)
+    positions = category_positions(rows, area)
+    for i, c in enumerate(CATEGORICAL_FEATURES):
+        known = positions.where(F.col("category") == i).select(F.col("value").alias(c), F.col("position").alias(f"{c}_at"))
+        rows = rows.join(known, c)
+    return rows.select(
+        "id", F.array(*NUMERIC_FEATURES).alias("numbers"), F.array(*[f"{c}_at" for c in CATEGORICAL_FEATURES]).alias("ones")
     )

@@ -9,12 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.functions.quantiles import exact_quantile
+from logquarry.functions.quantiles import exact_quantiles
 from logquarry.functions.trees import SAMPLE_SIZE, TREE_SCHEMA, combine, grow_tree, score_rows
-from logquarry.operators.features import impute, prepare_features
+from logquarry.operators.features import model_inputs
 from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 # Model settings.
@@ -30,34 +30,26 @@ def minimum_rows(contamination: float) -> int:
     return max(2, int(1.0 / contamination) + 1) if contamination > 0 else 3
 
 
-def _numbers(features: DataFrame, medians: dict[str, Column]) -> list[Column]:
-    """Imputed numbers. A column with no values at all becomes constant, which no tree can split on."""
-    return [F.coalesce(c, F.lit(0.0)).alias(name) for c, name in zip(impute(features, medians), NUMERIC_FEATURES)]
-
-
-def model_inputs(events: DataFrame, medians: dict[str, Column]) -> DataFrame:
-    """``id`` and the twelve model inputs: imputed numbers and filled categories."""
-    features = prepare_features(events)
-    return features.select("id", *_numbers(features, medians), *CATEGORICAL_FEATURES)
-
-
-def _uniform(*columns: Column | str) -> Column:
-    """Hash to [0, 1)."""
-    return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)) / F.lit(float(1 << 52))
+def _uniform(*values: Column) -> Column:
+    """Hash to [0, 1): thirteen hexadecimal digits of the MD5 of the values joined by colons."""
+    digits = F.substring(F.md5(F.concat_ws(":", *[v.cast("string") for v in values])), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 def tree_samples(inputs: DataFrame, total: int, seed: int = SEED) -> DataFrame:
-    """About twice the rows each tree needs, tagged with ``tree`` and ordered by ``draw``.
+    """The rows each tree grows from: ``inputs`` with ``tree`` and ``draw``, ``SAMPLE_SIZE`` a tree or all there are.
 
     Rows are thinned to a pool by a hash of the id, then each pool row enters each tree with a fixed
-    probability. Both are hash tests in the scan, so nothing is sorted and what is shuffled does not
-    grow with the data. The margin of two leaves no real chance of falling short of a full sample.
+    probability, and a tree takes its smallest draws. The tests run in the scan, and no more than a
+    tree's sample leaves any task, so what is shuffled does not grow with the data. The margin of two
+    leaves no real chance of falling short of a full sample.
     """
-    pool = inputs if total <= POOL else inputs.where(_uniform("id", F.lit(seed)) < POOL / total)
-    share = min(1.0, 2 * SAMPLE_SIZE / min(total, POOL))
+    pool = inputs.where(_uniform(F.col("id"), F.lit(str(seed))) < min(1.0, POOL / max(total, 1)))
+    share = min(1.0, 2 * SAMPLE_SIZE / min(max(total, 1), POOL))
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    drawn = pool.select("*", trees).withColumn("draw", _uniform("id", "tree", F.lit(seed + 1)))
-    return drawn.where(F.col("draw") < share)
+    drawn = pool.select("*", trees).withColumn("draw", _uniform(F.col("id"), F.col("tree"), F.lit(str(seed + 1))))
+    order = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "id"))
+    return drawn.where(F.col("draw") < share).withColumn("taken", order).where(F.col("taken") <= SAMPLE_SIZE).drop("taken")
 
 
 def fit(inputs: DataFrame, total: int, seed: int = SEED) -> dict:
@@ -84,10 +76,10 @@ def with_scores(events: DataFrame, medians: dict[str, Column], model: dict) -> D
             numbers = np.column_stack([s.to_numpy(dtype=float) for s in batch[: len(NUMERIC_FEATURES)]])
             yield pd.Series(score_rows(forest, numbers, list(batch[len(NUMERIC_FEATURES) :])))
 
-    features = prepare_features(events)
-    return features.select(
-        *ANALYSIS_COLUMNS, score(*_numbers(features, medians), *CATEGORICAL_FEATURES).alias("model_score")
-    )
+    inputs = model_inputs(events, medians, keep=ANALYSIS_COLUMNS)
+    named = [F.col(f"inputs.{c}") for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES)]
+    filled = [F.col(f"inputs.{c}").alias(c) if c in CATEGORICAL_FEATURES else F.col(c) for c in ANALYSIS_COLUMNS]
+    return inputs.select(*filled, score(*named).alias("model_score"))
 
 
 def decide(scored: DataFrame, contamination: float) -> DataFrame:
@@ -95,7 +87,7 @@ def decide(scored: DataFrame, contamination: float) -> DataFrame:
 
     The offset is the ``contamination`` quantile of all scores; rows strictly below it are anomalies.
     """
-    offset = exact_quantile(scored, "model_score", contamination)
+    offset = exact_quantiles(scored, {"model_score": [contamination]})["model_score"][0]
     score = F.col("model_score") - F.lit(offset)
     prediction = F.when(score < 0, -1).otherwise(1)
     return (

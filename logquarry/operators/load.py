@@ -39,9 +39,11 @@ def type_rows(raw: DataFrame) -> DataFrame:
             value.isNotNull() & value.try_cast("int").isNull(), F.concat(F.lit(f"{c} out of range: "), F.col(c))
         )
 
+    floated = [f"{c}_float" for c in NUMERIC_COLUMNS]
+    rows = step(rows, [*extra, *RECORD_COLUMNS, *floated], time_error=csv_timestamp_error(timestamp))
     error = F.coalesce(
         F.when(timestamp.isNull(), F.lit("missing required timestamp")),
-        csv_timestamp_error(timestamp),
+        F.col("time_error"),
         *[too_large(c) for c in NUMERIC_COLUMNS],
     )
     typed = {c: strip(F.col(c)) for c in RECORD_COLUMNS}
@@ -67,6 +69,13 @@ def constraint_error(rows: DataFrame) -> Column:
     return F.coalesce(*[F.when(bad, F.lit(message)) for bad, message in checks])
 
 
+def unfit(records: DataFrame) -> Column:
+    """Why a valid record can't be a row of the table, or null: a time beyond INT, or a violated constraint."""
+    rt = F.col("response_time_ms")
+    too_large = F.when(rt > 2147483647, F.concat(F.lit("response_time_ms out of range: "), rt.cast("string")))
+    return F.coalesce(too_large, constraint_error(records))
+
+
 def constraint_violations(rows: DataFrame) -> DataFrame:
     """Violated constraint and number of rows."""
     return (

@@ -9,6 +9,8 @@ from logquarry.functions.timestamps import iso_text, plain_text
 from logquarry.operators import analytics
 from logquarry.schema import RULE_SIGNALS
 
+LISTED = 1000  # entries of a list in the operational document
+
 BREAKDOWN_MAPS = [
     "anomalies_by_service",
     "anomalies_by_event_type",
@@ -37,9 +39,9 @@ def or_no_anomalies(report: DataFrame) -> DataFrame:
     return report.agg(*columns)
 
 
-def _listed(result: DataFrame, order: list[Column]) -> Column:
-    """A small ordered result as one array of structs."""
-    keyed = result.select(F.struct(*order).alias("key"), F.struct(*result.columns).alias("row"))
+def _listed(result: DataFrame, order: list[Column], limit: int) -> Column:
+    """The first rows of an ordered result as one array of structs."""
+    keyed = result.select(F.struct(*order).alias("key"), F.struct(*result.columns).alias("row")).orderBy("key").limit(limit)
     return keyed.agg(F.transform(F.array_sort(F.collect_list(F.struct("key", "row"))), lambda e: e["row"])).scalar()
 
 
@@ -48,54 +50,51 @@ def _minus(column: str) -> Column:
     return -F.coalesce(F.col(column).cast("double"), F.lit(float("inf")))
 
 
-def operational_report(summary: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """One row composed from the analytics over ``summary`` (hourly facts) and the anomaly report."""
+def operational_report(summary: DataFrame, anomalies: DataFrame, limit: int = LISTED) -> DataFrame:
+    """One row composed from the analytics over ``summary`` (``analytics.rollup``) and the anomaly report.
+
+    Levels, event types and services list their first ``limit`` entries: names come from the logs, and a
+    document must not grow with them. The analytics results hold all of them.
+    """
     first = or_no_anomalies(anomalies)
-    errors, rt = analytics.error_summary(summary), analytics.response_time_summary(summary)
-    figures = summary.agg(
-        F.coalesce(F.sum("events"), F.lit(0).cast("bigint")).alias("total_records"),
-        F.coalesce(
-            F.sum(F.when(F.col("status").between(500, 599), F.col("events"))), F.lit(0).cast("bigint")
-        ).alias("server_error_count"),
-    ).withColumns(
-        {
-            "e": errors.select(F.struct(*errors.columns)).scalar(),
-            "r": rt.select(F.struct(*rt.columns)).scalar(),
-            "a": first.select(F.struct(*first.columns)).scalar(),
-        }
-    )
+
+    def of(name: str) -> DataFrame:
+        return getattr(analytics, name)(analytics.rolled(summary, name))
+
+    def only_row(result: DataFrame) -> Column:
+        return result.select(F.struct(*result.columns)).scalar()
+
     by_count = [_minus("event_count")]
+    services = of("service_performance")
+    busiest = services.select("service", "total_count").orderBy(F.desc("total_count"), "service").limit(1)
+    figures = of("overall_summary").select(
+        "total_records",
+        only_row(of("error_summary")).alias("e"),
+        only_row(of("response_time_summary")).alias("r"),
+        only_row(first).alias("a"),
+        only_row(of("server_errors")).alias("s"),
+    )
     return figures.select(
         F.col("total_records").alias("total_events"),
-        _listed(analytics.log_level_distribution(summary), [*by_count, F.col("log_level")]).alias(
-            "log_level_distribution"
-        ),
-        _listed(analytics.event_type_distribution(summary), [*by_count, F.col("event_type")]).alias(
-            "event_type_distribution"
-        ),
+        _listed(of("log_level_distribution"), [*by_count, F.col("log_level")], limit).alias("log_level_distribution"),
+        _listed(of("event_type_distribution"), [*by_count, F.col("event_type")], limit).alias("event_type_distribution"),
         F.col("e.total_errors").alias("error_count"),
         F.col("e.total_warnings").alias("warning_count"),
         F.col("e.auth_failures").alias("auth_failure_count"),
         F.col("e.database_errors").alias("database_error_count"),
         F.col("r.avg_response_time_ms").alias("average_response_time_ms"),
         F.col("r.max_response_time_ms").alias("max_response_time_ms"),
-        _listed(
-            analytics.slowest_endpoints(summary), [_minus("avg_response_time_ms"), F.col("endpoint")]
-        ).alias("slowest_endpoints"),
-        _listed(analytics.most_used_endpoints(summary), [_minus("request_count"), F.col("endpoint")]).alias(
-            "busiest_endpoints"
-        ),
-        _listed(
-            analytics.service_performance(summary),
-            [_minus("error_count"), _minus("avg_response_time_ms"), F.col("service")],
-        ).alias("service_performance"),
+        _listed(of("slowest_endpoints"), [_minus("avg_response_time_ms"), F.col("endpoint")], limit).alias("slowest_endpoints"),
+        _listed(of("most_used_endpoints"), [_minus("request_count"), F.col("endpoint")], limit).alias("busiest_endpoints"),
+        _listed(services, [_minus("error_count"), _minus("avg_response_time_ms"), F.col("service")], limit).alias("service_performance"),
         "a.anomaly_count",
         "a.anomaly_rate",
         "a.anomalies_by_service",
         "a.anomalies_by_event_type",
         "a.anomalies_by_status",
         "a.top_anomalous_endpoints",
-        "server_error_count",
+        "s.server_error_count",
+        only_row(busiest).alias("busiest_service"),
     )
 
 
@@ -110,7 +109,7 @@ def top_findings(operational: DataFrame) -> DataFrame:
         )
         return F.get(F.array_sort(keyed), F.lit(0))
 
-    busiest = by_size(services, "service", "total_count")
+    busiest = F.col("busiest_service")
     worst = F.get(F.filter(services, lambda s: s["error_count"] > 0), F.lit(0))
     slowest = F.get("slowest_endpoints", F.lit(0))
     kind = by_size(F.map_entries("anomalies_by_event_type"), "key", "value")
@@ -120,7 +119,7 @@ def top_findings(operational: DataFrame) -> DataFrame:
 
     # Wording of the findings.
     found = F.array(
-        sentence("Highest-volume service: ", busiest["name"], " with ", busiest["n"], " events"),
+        sentence("Highest-volume service: ", busiest["service"], " with ", busiest["total_count"], " events"),
         sentence("Highest error-count service: ", worst["service"], " with ", worst["error_count"], " errors"),
         sentence(
             "Slowest endpoint: ", slowest["endpoint"], " (avg ", decimal_text(slowest["avg_response_time_ms"]), " ms)"
@@ -155,6 +154,11 @@ def kpi_row(operational: DataFrame, quality: DataFrame) -> DataFrame:
     )
 
 
+def quality_document(quality: DataFrame) -> DataFrame:
+    """The quality report as it is saved: its times as text with a blank between date and time."""
+    return quality.withColumns({c: plain_text(F.col(c)) for c in ("earliest_timestamp", "latest_timestamp")})
+
+
 def final_report(
     summary: DataFrame, operational: DataFrame, quality: DataFrame, anomalies: DataFrame
 ) -> DataFrame:
@@ -163,21 +167,18 @@ def final_report(
     def nested(df: DataFrame) -> Column:
         return df.select(F.struct(*df.columns)).scalar()
 
-    whole = analytics.overall_summary(summary)
+    whole = analytics.overall_summary(analytics.rolled(summary, "overall_summary"))
     dataset = F.struct(
         F.col("total_records"),
         iso_text(F.col("earliest_timestamp")).alias("earliest_timestamp"),
         iso_text(F.col("latest_timestamp")).alias("latest_timestamp"),
     )
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("position", "finding"))), lambda f: f["finding"])
-    checked = quality.withColumns(
-        {c: plain_text(F.col(c)) for c in ("earliest_timestamp", "latest_timestamp")}
-    )
     return whole.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
         dataset.alias("dataset"),
-        nested(checked).alias("data_quality"),
-        nested(operational).alias("operational_metrics"),
+        nested(quality_document(quality)).alias("data_quality"),
+        nested(operational.drop("busiest_service")).alias("operational_metrics"),
         nested(or_no_anomalies(anomalies)).alias("anomaly_detection"),
         top_findings(operational).agg(in_order).scalar().alias("top_findings"),
     )

@@ -56,22 +56,28 @@ def anomaly_totals(scored: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_breakdowns(scored: DataFrame, limit: int = 10) -> DataFrame:
-    """Anomalies per value of five columns: ``dimension``, ``value``, ``event_count``, ``position``.
-
-    All five are counted in one pass. Levels are listed in full, the others up to ``limit``; missing
-    values are left out.
-    """
+def breakdown_counts(scored: DataFrame) -> DataFrame:
+    """Anomalies per ``dimension`` and ``value`` of the five columns, in one scan; missing values are left out."""
     pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in BREAKDOWNS])
-    counts = (
+    return (
         scored.where("is_anomaly")
         .select(F.inline(pairs))
         .where(F.col("value").isNotNull())
         .groupBy("dimension", "value")
         .agg(F.count(F.lit(1)).alias("event_count"))
     )
-    ranked = Window.partitionBy("dimension").orderBy(F.desc("event_count"), "value")
-    # row_number <= limit is cut per task before the window, so no dimension gathers all its values
-    top = counts.where("dimension <> 'log_level'").withColumn("position", F.row_number().over(ranked))
-    levels = counts.where("dimension = 'log_level'").withColumn("position", F.row_number().over(ranked))
-    return top.where(F.col("position") <= limit).unionByName(levels)
+
+
+def anomaly_breakdowns(scored: DataFrame, limit: int = 10) -> DataFrame:
+    """The largest ``limit`` values of each dimension: ``dimension``, ``value``, ``event_count``, ``position``.
+
+    Levels are few by definition and are listed in full: they take part under a dimension name of their own,
+    so that one ranking with one cut per task serves all.
+    """
+    counts = breakdown_counts(scored)
+    level = F.col("dimension") == "log_level"
+    group = F.when(level, F.concat("dimension", F.lit("="), "value")).otherwise(F.col("dimension"))
+    ranked = Window.partitionBy("group").orderBy(F.desc("event_count"), "value")
+    top = counts.withColumn("group", group).withColumn("cut", F.row_number().over(ranked)).where(F.col("cut") <= limit)
+    position = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("event_count"), "value"))
+    return top.select("dimension", "value", "event_count", position.alias("position"))

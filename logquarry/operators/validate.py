@@ -1,4 +1,4 @@
-"""Record validation, routing, de-duplication and the counts of each stage."""
+"""Record validation, routing and de-duplication."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ MALFORMED, INVALID, VALID = "malformed", "invalid", "valid"
 
 def _number_error(df: DataFrame, name: str, bad: Column, message: str) -> Column:
     c = F.col(name)
-    if isinstance(df.schema[name].dataType, T.IntegralType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0:
         return F.when(bad, F.concat(F.lit(message), c.cast("string")))
     return F.when(c.isNotNull(), F.concat(F.lit(f"Invalid {name} type: "), c.cast("string")))
 
@@ -54,6 +55,18 @@ def route(records: DataFrame) -> DataFrame:
     )
 
 
+def refuse(routed: DataFrame, error: Column) -> DataFrame:
+    """Turn valid records for which ``error`` gives a reason into invalid ones."""
+    rest = [c for c in routed.columns if c not in ("rejection_reason", "outcome")]
+    refused = F.when(F.col("outcome") == VALID, error)
+    judged = step(routed, [*rest, "rejection_reason", "outcome"], refused=refused)
+    return judged.select(
+        *rest,
+        F.coalesce("rejection_reason", "refused").alias("rejection_reason"),
+        F.when(F.col("refused").isNotNull(), INVALID).otherwise(F.col("outcome")).alias("outcome"),
+    )
+
+
 def valid_records(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("outcome") == VALID).select(*RECORD_COLUMNS)
 
@@ -70,33 +83,3 @@ def all_rejections(routed: DataFrame) -> DataFrame:
 def deduplicate(records: DataFrame) -> DataFrame:
     """One row per distinct record; nulls compare equal. Copies collapse before the shuffle."""
     return records.dropDuplicates(RECORD_COLUMNS)
-
-
-def count_duplicates(records: DataFrame) -> DataFrame:
-    """Rows that ``deduplicate`` removes, as a one-row frame."""
-    groups = records.groupBy(*RECORD_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("duplicate_records"))
-
-
-def processing_stats(routed: DataFrame) -> DataFrame:
-    """Counts of every stage in one pass.
-
-    Valid rows are grouped by record, all others by outcome alone, so one partially aggregated shuffle
-    gives both the stage totals and the number of distinct records.
-    """
-    valid = F.col("outcome") == VALID
-    keys = [F.when(valid, F.col(c)).alias(c) for c in RECORD_COLUMNS]
-    groups = routed.groupBy("outcome", *keys).agg(F.count(F.lit(1)).alias("n"))
-
-    def rows(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
-
-    distinct = F.count_if(valid)
-    return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("total_raw"),
-        rows(F.col("outcome") != MALFORMED).alias("successfully_parsed"),
-        rows(F.col("outcome") == MALFORMED).alias("malformed_records"),
-        rows(F.col("outcome") == INVALID).alias("validation_failures"),
-        (rows(valid) - distinct).alias("duplicate_records"),
-        distinct.alias("cleaned_records"),
-    )

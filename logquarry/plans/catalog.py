@@ -1,27 +1,35 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame over the whole given tables."""
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logquarry.functions import hashing
 from logquarry.functions.timestamps import log_text, micros_text
 from logquarry.operators import analytics, facets, forest, load, parse, quality, reports, rules, validate
 from logquarry.operators import features as feature_ops
 from logquarry.plans import detection, processing, reporting
-from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NULL_TOKENS, NUMERIC_FEATURES, RECORD_COLUMNS
-from logquarry.schema import RULE_SIGNALS
+from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NULL_TOKENS, RECORD_COLUMNS, RULE_SIGNALS
+from logquarry.session import Scratch, gathered, session_area, use_scratch
 from logquarry.sources import events as derived
-from logquarry.sources import files
+from logquarry.sources import files, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def _register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
-    return query
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_scratch(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__] = run
+    return run
 
 
 def _fact_query(name: str) -> Query:
@@ -41,9 +49,9 @@ def user_activity_summary(spark, sf_dir):
 
 @_register
 def analytics_report(spark, sf_dir):
-    """All thirteen results, computed the way a full report does: from the stored hourly facts."""
+    """All thirteen results, computed the way a full report does: from the stored roll-up."""
     events = derived.log_events(spark, sf_dir)
-    return reporting.measures(analytics.all_analytics(events, reporting.stored_summary(events)))
+    return reporting.measures(analytics.all_analytics(events, reporting.stored_summary(events, session_area(spark))))
 
 
 # --- text sources, parsing, validation -------------------------------------------------------------
@@ -76,9 +84,14 @@ def log_lines(spark, sf_dir):
     return parse.format_lines(derived.log_events(spark, sf_dir))
 
 
+def _narrow(records: DataFrame, *columns: str) -> DataFrame:
+    """Parsed numbers have up to 38 digits; those of the given tables are bigints."""
+    return records.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 @_register
 def parse_logs(spark, sf_dir):
-    return parse.parsed_only(parse.parse_lines(derived.raw_lines(spark, sf_dir)))
+    return _narrow(parse.parsed_only(parse.parse_lines(derived.raw_lines(spark, sf_dir))), "status", "response_time_ms")
 
 
 @_register
@@ -91,16 +104,43 @@ def validate_records(spark, sf_dir):
     return validate.invalid_records(processing.routed_records(derived.raw_lines(spark, sf_dir)))
 
 
+def _cleaned(spark, sf_dir):
+    return validate.deduplicate(validate.valid_records(processing.routed_records(derived.raw_lines(spark, sf_dir))))
+
+
 @_register
 def dedupe_records(spark, sf_dir):
-    return validate.deduplicate(validate.valid_records(processing.routed_records(derived.raw_lines(spark, sf_dir))))
+    return _narrow(_cleaned(spark, sf_dir), "response_time_ms")
 
 
 @_register
-def duplicate_count(spark, sf_dir):
-    return validate.count_duplicates(
-        validate.valid_records(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+def validate_structured(spark, sf_dir):
+    """All errors of structured records, several on some: missing fields, statuses and times out of range."""
+    row = F.col("id")
+    damaged = derived.log_events(spark, sf_dir).withColumns(
+        {
+            "timestamp": F.when(row % 6 != 1, F.col("timestamp")),
+            "log_level": F.when(row % 10 != 1, F.col("log_level")),
+            "event_type": F.when(row % 14 != 3, F.col("event_type")),
+            "service": F.when(row % 4 != 1, F.col("service")),
+            "status": F.when(row % 9 == 1, F.lit(99)).when(row % 9 == 2, F.lit(600)).otherwise(F.col("status")),
+            "response_time_ms": F.when(row % 8 == 1, -row.cast("int") - 1).otherwise(F.col("response_time_ms")),
+        }
     )
+    errors = validate.validation_errors(damaged)
+    return damaged.select("id", errors.alias("errors")).where(F.col("errors") != "")
+
+
+def _stage_counts(spark, sf_dir):
+    with Scratch(spark) as area:
+        routed = processing.store_routed(processing.routed_records(derived.raw_lines(spark, sf_dir)), area)
+        counts = processing.stage_counts(routed, validate.deduplicate(validate.valid_records(routed)).count())
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
+
+@_register
+def duplicate_count(spark, sf_dir):
+    return _stage_counts(spark, sf_dir).select("duplicate_records")
 
 
 @_register
@@ -110,7 +150,55 @@ def cleaned_rows(spark, sf_dir):
 
 @_register
 def processing_stats(spark, sf_dir):
-    return validate.processing_stats(processing.routed_records(derived.raw_lines(spark, sf_dir)))
+    return _stage_counts(spark, sf_dir)
+
+
+def _raw_files(spark, sf_dir, area: Scratch) -> str:
+    """The raw lines as text files; every two-hundredth is followed by a blank line."""
+    lines = derived.raw_lines(spark, sf_dir)
+    blank = F.when((F.col("id") % 200 == 0) & (F.col("copy") == 0), F.array(F.col("line"), F.lit("  ")))
+    path = area.path("raw")
+    lines.select(F.explode(F.coalesce(blank, F.array("line"))).alias("value")).write.text(path)
+    return path
+
+
+@_register
+def cleaned_round_trip(spark, sf_dir):
+    """Raw files processed to cleaned files, which are read back as text."""
+    area = session_area(spark)
+    out = area.path("out")
+    processing.process_logs(spark, _raw_files(spark, sf_dir, area), out)
+    return files.read_cleaned(spark, f"{out}/cleaned_logs").select(*RECORD_COLUMNS)
+
+
+@_register
+def rejected_round_trip(spark, sf_dir):
+    area = session_area(spark)
+    out = area.path("out")
+    processing.process_logs(spark, _raw_files(spark, sf_dir, area), out)
+    return files.read_rejected(spark, f"{out}/rejected_logs")
+
+
+@_register
+def process_and_load(spark, sf_dir):
+    """Raw files processed, and the cleaned ones loaded twice into a new table: every count on the way."""
+    name = f"load_{uuid.uuid4().hex}"
+    with Scratch(spark) as area:
+        out = area.path("out")
+        counts = [("processing", k, v) for k, v in processing.process_logs(spark, _raw_files(spark, sf_dir, area), out).items()]
+        try:
+            table.create_table(spark, name, 8, area.path("table"))
+            for load in ("first load", "second load"):
+                counts += [(load, k, v) for k, v in table.load_csv(spark, f"{out}/cleaned_logs", name).items()]
+            events = table.load_log_data(spark, name)
+            ids = events.agg(F.count_distinct("id").alias("distinct_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id")).first()
+            counts += [("table", k, v) for k, v in ids.asDict().items()]
+            found = table.verify_table(spark, name).first()
+            counts += [("table", "total_rows", found["total_rows"])]
+            counts += [("level", r["log_level"], r["event_count"]) for r in found["level_counts"]]
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(counts, "part string, measure string, value bigint")
 
 
 # --- loading ---------------------------------------------------------------------------------------
@@ -180,7 +268,7 @@ def _second_load(spark, sf_dir):
     The target holds the records cleaned from the raw lines. Incoming are all log events, each twice,
     the second time in capitals, which hashes alike.
     """
-    target = dedupe_records(spark, sf_dir).select(hashing.record_hash().alias("record_hash"))
+    target = _narrow(_cleaned(spark, sf_dir), "response_time_ms").withColumn("record_hash", hashing.record_hash())
     first = derived.log_events(spark, sf_dir).withColumn("copy", F.lit(0))
     capitals = first.withColumns(
         {f.name: F.upper(f.name) for f in first.schema.fields if f.dataType.typeName() == "string"}
@@ -197,17 +285,20 @@ def idempotent_load(spark, sf_dir):
 
 @_register
 def load_stats(spark, sf_dir):
+    """Counts of the second load, through the table itself."""
     target, incoming = _second_load(spark, sf_dir)
-    fresh = load.absent_from(load.first_per_hash(incoming, ["id", "copy"]), target)
-    counted = incoming.agg(F.count(F.lit(1)).alias("input_records"))
-    inserted, before = F.col("inserted_records"), target.agg(F.count(F.lit(1))).scalar()
-    return counted.withColumn("inserted_records", fresh.agg(F.count(F.lit(1))).scalar()).select(
-        "input_records",
-        "inserted_records",
-        (F.col("input_records") - inserted).alias("duplicate_records"),
-        F.lit(0).cast("bigint").alias("failed_records"),
-        (before + inserted).alias("database_total_rows"),
-    )
+    row = F.monotonically_increasing_id()
+    order = {"file": F.lit(""), "block": F.lit(0), "row": row, "response_time_ms": F.col("response_time_ms").cast("int")}
+    name = f"load_{uuid.uuid4().hex}"
+    with Scratch(spark) as area:
+        try:
+            table.create_table(spark, name, 8, area.path("table"))
+            table.load_rows(spark, target.withColumns(order), name)
+            in_order = order | {"file": F.col("copy").cast("string"), "row": F.col("id") * 2 + F.col("copy")}
+            counts = table.load_rows(spark, incoming.withColumns(in_order), name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
 
 
 @_register
@@ -238,40 +329,33 @@ def load_verify(spark, sf_dir):
 
 @_register
 def response_time_profile(spark, sf_dir):
-    return feature_ops.profile(derived.log_events(spark, sf_dir))
+    return feature_ops.profile_row(feature_ops.profile(derived.log_events(spark, sf_dir)), spark)
 
 
 @_register
 def features(spark, sf_dir):
     events = derived.log_events(spark, sf_dir)
-    medians = feature_ops.scalars(feature_ops.profile(events))
     prepared = feature_ops.prepare_features(events)
-    return prepared.select("id", *feature_ops.impute(prepared, medians), *CATEGORICAL_FEATURES)
+    return prepared.select("id", *feature_ops.impute(prepared, feature_ops.profile(events).literals()), *CATEGORICAL_FEATURES)
 
 
 @_register
 def feature_vector(spark, sf_dir):
-    """The vector with its one-hot part as digits."""
+    """The sparse vector: two of its numbers and the three positions that hold a 1."""
     events = derived.log_events(spark, sf_dir)
-    vectors = feature_ops.feature_vector(
-        feature_ops.prepare_features(events), feature_ops.scalars(feature_ops.profile(events))
-    )
-    numbers = len(NUMERIC_FEATURES)
-    digits = F.transform(
-        F.slice("features", numbers + 1, F.size("features") - numbers), lambda v: v.cast("int").cast("string")
-    )
+    vectors = feature_ops.feature_vector(events, feature_ops.profile(events).literals(), session_area(spark))
     return vectors.select(
         "id",
-        F.get("features", F.lit(0)).alias("response_time_ms"),
-        F.get("features", F.lit(1)).alias("status"),
-        F.array_join(digits, "").alias("one_hot"),
+        F.get("numbers", F.lit(0)).alias("response_time_ms"),
+        F.get("numbers", F.lit(1)).alias("status"),
+        *[F.get("ones", F.lit(i)).alias(f"{c}_position") for i, c in enumerate(CATEGORICAL_FEATURES)],
     )
 
 
 def _with_rules(spark, sf_dir):
     events = derived.log_events(spark, sf_dir).select(*ANALYSIS_COLUMNS)
     filled = events.withColumns({c: F.coalesce(c, F.lit(feature_ops.UNKNOWN)) for c in CATEGORICAL_FEATURES})
-    signals = rules.rule_signals(filled, feature_ops.scalars(feature_ops.profile(events))["rt_p95"])
+    signals = rules.rule_signals(filled, feature_ops.profile(events).literals()["rt_p95"])
     return signals.withColumn("anomaly_reason", rules.anomaly_reason())
 
 
@@ -314,24 +398,74 @@ def contamination_threshold(spark, sf_dir):
     return decided.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
+@_register
+def forest_samples(spark, sf_dir):
+    """The events each tree of the forest grows from."""
+    events = derived.log_events(spark, sf_dir)
+    return forest.tree_samples(events.select("id"), events.count()).select("tree", "id")
+
+
+def _scored(spark, sf_dir, contamination=forest.CONTAMINATION):
+    return detection.score_events(derived.log_events(spark, sf_dir), session_area(spark), contamination)
+
+
 @_register
 def isolation_forest_scores(spark, sf_dir):
-    return detection.score_events(derived.log_events(spark, sf_dir))
+    return _scored(spark, sf_dir)
+
+
+@_register
+def forest_properties(spark, sf_dir):
+    """What must hold for the scores of any forest, counted over all events."""
+    score, flag = F.col("anomaly_score"), F.col("is_anomaly")
+    consistent = flag.eqNullSafe(score < 0) & flag.eqNullSafe(F.col("ml_prediction") == -1)
+    reason = F.col("anomaly_reason").startswith(rules.MODEL_REASON)
+    counted = _scored(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("id").alias("ids"),
+        F.count_if(score.isNull() | F.isnan(score)).alias("missing_scores"),
+        F.count_if(~consistent).alias("disagreements"),
+        F.count_if(reason != flag).alias("wrong_reasons"),
+        F.count_if(flag).alias("flagged"),
+    )
+    # at most the share of rows lies strictly below its quantile; ties at the quantile are not flagged
+    within = (F.col("flagged") > 0) & (F.col("flagged") <= F.ceil(F.col("rows") * forest.CONTAMINATION))
+    return counted.select("*", within.alias("flagged_within_share")).drop("flagged")
 
 
 @_register
 def anomaly_summary(spark, sf_dir):
-    return rules.anomaly_totals(isolation_forest_scores(spark, sf_dir))
+    return rules.anomaly_totals(_scored(spark, sf_dir))
 
 
 @_register
 def anomaly_breakdowns(spark, sf_dir):
-    return rules.anomaly_breakdowns(isolation_forest_scores(spark, sf_dir))
+    return rules.anomaly_breakdowns(_scored(spark, sf_dir))
 
 
 @_register
 def anomalous_events(spark, sf_dir):
-    return facets.anomalous_events(isolation_forest_scores(spark, sf_dir))
+    return facets.anomalous_events(_scored(spark, sf_dir))
+
+
+UNREACHED = 1e-9  # a share of anomalies that asks for more rows than any given table has
+
+
+@_register
+def guarded_detection(spark, sf_dir):
+    """Detection without a model, for want of rows: saved as CSV and read back."""
+    out = session_area(spark).path("out")
+    return detection.run_detection(derived.log_events(spark, sf_dir), out, UNREACHED)
+
+
+@_register
+def saved_anomaly_report(spark, sf_dir):
+    """The totals of the same run as saved in JSON."""
+    with Scratch(spark) as area:
+        out = area.path("out")
+        detection.run_detection(derived.log_events(spark, sf_dir), out, UNREACHED)
+        saved = files.read_report(spark, f"{out}/anomaly_report", reports.ANOMALY_REPORT_SCHEMA)
+        return gathered(saved.drop(*reports.BREAKDOWN_MAPS))
 
 
 # --- quality, reports, views -----------------------------------------------------------------------
@@ -355,17 +489,40 @@ def _no_anomaly_report(spark):
     return spark.createDataFrame([], reports.ANOMALY_REPORT_SCHEMA)
 
 
-def _operational(spark, sf_dir):
-    summary = reporting.stored_summary(derived.log_events(spark, sf_dir))
-    return reports.operational_report(summary, _no_anomaly_report(spark))
+def _flagged_report(spark, sf_dir):
+    """The anomaly report of events flagged by any rule."""
+    return gathered(detection.anomaly_report(_flagged_by_rules(spark, sf_dir)))
+
+
+def _operational(spark, sf_dir, anomalies=None):
+    with Scratch(spark) as area:
+        summary = reporting.stored_summary(derived.log_events(spark, sf_dir), area)
+        return gathered(reports.operational_report(summary, _no_anomaly_report(spark) if anomalies is None else anomalies))
+
+
+def _metrics(report):
+    """Single figures of the operational report."""
+    return report.select(*[f.name for f in report.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")])
 
 
 @_register
 def operational_metrics(spark, sf_dir):
     """Single figures of the operational report when no detection has run."""
-    report = _operational(spark, sf_dir)
-    simple = [f.name for f in report.schema.fields if f.dataType.typeName() not in ("array", "map")]
-    return report.select(*simple)
+    return _metrics(_operational(spark, sf_dir))
+
+
+@_register
+def flagged_operational_metrics(spark, sf_dir):
+    return _metrics(_operational(spark, sf_dir, _flagged_report(spark, sf_dir)))
+
+
+@_register
+def flagged_operational_maps(spark, sf_dir):
+    """The anomaly breakdowns inside the operational report, one row per entry."""
+    report = _operational(spark, sf_dir, _flagged_report(spark, sf_dir))
+    maps = [c for c in reports.BREAKDOWN_MAPS if c in report.columns]
+    entries = [report.select(F.lit(c).alias("section"), F.explode(c).alias("value", "event_count")) for c in maps]
+    return functools.reduce(DataFrame.unionByName, entries)
 
 
 @_register
@@ -400,26 +557,99 @@ def top_findings(spark, sf_dir):
     return reports.top_findings(_operational(spark, sf_dir))
 
 
+@_register
+def flagged_findings(spark, sf_dir):
+    """All five findings, as events flagged by rules have anomalies."""
+    return reports.top_findings(_operational(spark, sf_dir, _flagged_report(spark, sf_dir)))
+
+
 @_register
 def kpi_row(spark, sf_dir):
     return reports.kpi_row(_operational(spark, sf_dir), quality.quality_report(_quality(spark, sf_dir)))
 
 
+@_register
+def flagged_kpi_row(spark, sf_dir):
+    operational = _operational(spark, sf_dir, _flagged_report(spark, sf_dir))
+    return reports.kpi_row(operational, quality.quality_report(_quality(spark, sf_dir)))
+
+
+def _built(spark, sf_dir, anomalies):
+    with Scratch(spark) as area:
+        return reporting.combined_reports(derived.log_events(spark, sf_dir), anomalies, area)
+
+
 @_register
 def final_report(spark, sf_dir):
     """The whole document, detection included."""
-    events = derived.log_events(spark, sf_dir)
-    anomalies = detection.anomaly_report(detection.score_events(events))
-    return reporting.combined_reports(events, anomalies)["final"]
+    with Scratch(spark) as area:
+        events = derived.log_events(spark, sf_dir)
+        anomalies = detection.anomaly_report(detection.score_events(events, area))
+        return reporting.combined_reports(events, anomalies, area)["final"]
+
+
+@_register
+def final_report_figures(spark, sf_dir):
+    """The document on events flagged by rules, without the time of the run, one row per figure or finding."""
+    final = _built(spark, sf_dir, _flagged_report(spark, sf_dir))["final"]
+    listed = [F.struct(F.concat(F.lit("finding "), (i + 1).cast("string")).alias("name"), F.get("top_findings", i).alias("value")) for i in map(F.lit, range(5))]
+    for part in ("dataset", "data_quality", "operational_metrics", "anomaly_detection"):
+        for field in final.schema[part].dataType.fields:
+            if field.dataType.typeName() not in ("array", "map", "struct"):
+                listed.append(F.struct(F.lit(f"{part}.{field.name}").alias("name"), F.col(f"{part}.{field.name}").cast("string").alias("value")))
+    return final.select(F.inline(F.array(*listed))).where(F.col("value").isNotNull())
 
 
 @_register
 def text_report(spark, sf_dir):
     """The text report when no detection has run, without the line that holds the time of the run."""
-    built = reporting.combined_reports(derived.log_events(spark, sf_dir), _no_anomaly_report(spark))
+    built = _built(spark, sf_dir, _no_anomaly_report(spark))
     return reports.text_report(built["final"]).where(~F.col("line").startswith("Generated: "))
 
 
+def _saved_reports(spark, sf_dir, area):
+    return reporting.run_reporting(spark, derived.log_events(spark, sf_dir), area.path("out"))
+
+
+@_register
+def saved_text_report(spark, sf_dir):
+    """The lines of the saved text report, each with how often it occurs."""
+    with Scratch(spark) as area:
+        lines = spark.read.text(_saved_reports(spark, sf_dir, area)["final_report_txt"])
+        counted = lines.where(~F.col("value").startswith("Generated: ")).groupBy(F.col("value").alias("line"))
+        return gathered(counted.agg(F.count(F.lit(1)).alias("times")))
+
+
+@_register
+def saved_quality(spark, sf_dir):
+    """The quality report as saved in JSON, its times as text."""
+    schema = "total_records bigint, earliest_timestamp string, latest_timestamp string, quality_checks_passed bigint, quality_score double"
+    with Scratch(spark) as area:
+        return gathered(files.read_report(spark, _saved_reports(spark, sf_dir, area)["data_quality_report"], T.StructType.fromDDL(schema)))
+
+
+@_register
+def saved_checks(spark, sf_dir):
+    """The quality checks as saved in CSV."""
+    with Scratch(spark) as area:
+        return gathered(files.read_checks(spark, _saved_reports(spark, sf_dir, area)["data_quality_summary"]))
+
+
+@_register
+def saved_analytics(spark, sf_dir):
+    """The thirteen analytics results as saved in JSON, in one long table."""
+    area = session_area(spark)
+    events = derived.log_events(spark, sf_dir)
+    shapes = analytics.all_analytics(events, analytics.rollup(events))
+    paths = reporting.run_analytics(events, area.path("out"))
+    saved = {}
+    for name, shape in shapes.items():
+        text = {"timestamp_ntz": T.StringType(), "decimal": T.DoubleType()}
+        fields = [T.StructField(f.name, text.get(f.dataType.typeName(), f.dataType)) for f in shape.schema.fields]
+        saved[name] = files.read_report(spark, paths[name], T.StructType(fields))
+    return reporting.measures(saved)
+
+
 @_register
 def facet_filter(spark, sf_dir):
     events = derived.log_events(spark, sf_dir).select(*ANALYSIS_COLUMNS)
@@ -429,11 +659,11 @@ def facet_filter(spark, sf_dir):
 @_register
 def facet_values(spark, sf_dir):
     events = derived.log_events(spark, sf_dir)
-    service, level, event = [
-        facets.facet_values(events, c).select(F.lit(c).alias("facet"), "value")
-        for c in ("service", "log_level", "event_type")
+    listed = [
+        facets.facet_values(events, c).select(F.lit(c).alias("facet"), "position", "value")
+        for c in ("service", "log_level", "event_type", "status")
     ]
-    return service.unionByName(level).unionByName(event)
+    return functools.reduce(DataFrame.unionByName, listed)
 
 
 @_register

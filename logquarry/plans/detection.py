@@ -5,39 +5,41 @@ from pyspark.sql import functions as F
 
 from logquarry.operators import features, forest, rules
 from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, SCORED_COLUMNS
-from logquarry.session import materialize
+from logquarry.session import Scratch
 from logquarry.sources import files
 
 
-def score_events(events: DataFrame, contamination: float = forest.CONTAMINATION, seed: int = forest.SEED) -> DataFrame:
+def score_events(
+    events: DataFrame, area: Scratch, contamination: float = forest.CONTAMINATION, seed: int = forest.SEED
+) -> DataFrame:
     """Events with model score, decision, rule signals and reason: the nineteen scored columns.
 
-    Jobs: one aggregate for the profile, one sampled pass to grow the trees, one pass that scores and
-    stores the events, then the quantile over the stored scores. The returned frame reads the stored
+    Jobs: the passes of the profile, one sampled pass to grow the trees, one pass that scores and stores
+    the events in ``area``, then the quantile over the stored scores. The returned frame reads the stored
     result.
     """
     events = events.select(*ANALYSIS_COLUMNS)
-    found = features.profile(events).first()
-    known = {c: F.lit(found[c]).cast("double") for c in ("rt_median", "rt_p95", "status_median")}
-    filled = events.withColumns({c: F.coalesce(c, F.lit(features.UNKNOWN)) for c in CATEGORICAL_FEATURES})
-    if found["total"] < forest.minimum_rows(contamination):
+    found = features.profile(events)
+    known = found.literals()
+    if found.total < forest.minimum_rows(contamination):
+        filled = events.withColumns({c: F.coalesce(c, F.lit(features.UNKNOWN)) for c in CATEGORICAL_FEATURES})
         decided = forest.without_model(filled)
     else:
         if not 0 < contamination <= 0.5:
             raise ValueError("contamination must be in (0, 0.5]")
-        model = forest.fit(forest.model_inputs(events, known), found["total"], seed)
-        scored = forest.with_scores(events, known, model)
-        decided = forest.decide(materialize(scored, "scored"), contamination)
+        model = forest.fit(features.model_inputs(events, known), found.total, seed)
+        decided = forest.decide(area.store(forest.with_scores(events, known, model), "scored"), contamination)
     signals = rules.rule_signals(decided, known["rt_p95"])
     return signals.withColumn("anomaly_reason", rules.anomaly_reason(F.col("ml_prediction"))).select(*SCORED_COLUMNS)
 
 
 def run_detection(events: DataFrame, output_dir: str, contamination: float = forest.CONTAMINATION) -> DataFrame:
-    """Score the events, save ``anomalies`` (CSV) and ``anomaly_report`` (JSON), return the scored frame."""
-    scored = score_events(events, contamination)
-    files.write_scored(scored, f"{output_dir}/anomalies")
-    files.write_json(anomaly_report(scored), f"{output_dir}/anomaly_report")
-    return scored
+    """Score the events, save ``anomalies`` (CSV) and ``anomaly_report`` (JSON), return the saved rows."""
+    with Scratch(events.sparkSession) as area:
+        scored = score_events(events, area, contamination)
+        files.write_scored(scored, f"{output_dir}/anomalies")
+        files.write_json(anomaly_report(scored), f"{output_dir}/anomaly_report")
+    return files.read_scored(events.sparkSession, f"{output_dir}/anomalies")
 
 
 def anomaly_report(scored: DataFrame) -> DataFrame:

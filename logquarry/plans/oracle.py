@@ -212,6 +212,47 @@ PROCESSING = {
         FROM copies, d""",
 }
 
+EMPTY_LINES = "(SELECT count(*) FROM log_events WHERE id % 200 = 0)"
+PROCESSING["cleaned_round_trip"] = f"""WITH {RAW_LINES} SELECT {TS_MILLIS} AS timestamp,
+    {', '.join(f"CAST({c} AS VARCHAR) AS {c}" for c in RECORD.split(', ')[1:])} FROM ({DISTINCT_VALID})"""
+PROCESSING["rejected_round_trip"] = PROCESSING["rejected_logs"]
+
+
+def _rows(part: str, source: str, measures: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{part}' AS part, '{m}' AS measure, CAST({m} AS BIGINT) AS value FROM {source}" for m in measures
+    )
+
+
+STAGES = "total_raw successfully_parsed malformed_records validation_failures duplicate_records cleaned_records".split()
+LOADED = "input_records inserted_records duplicate_records failed_records database_total_rows".split()
+PROCESSING["process_and_load"] = f"""WITH {RAW_LINES}, cleaned AS ({DISTINCT_VALID}),
+    stages AS (SELECT *, {EMPTY_LINES} AS empty_lines_skipped
+               FROM ({PROCESSING["processing_stats"].replace(f"WITH {RAW_LINES}, d AS", "WITH d AS")})),
+    one AS (SELECT count(*) AS input_records, count(*) AS inserted_records, 0 AS duplicate_records,
+            0 AS failed_records, count(*) AS database_total_rows FROM cleaned),
+    two AS (SELECT count(*) AS input_records, 0 AS inserted_records, count(*) AS duplicate_records,
+            0 AS failed_records, count(*) AS database_total_rows FROM cleaned),
+    ids AS (SELECT count(*) AS distinct_ids, 1 AS first_id, count(*) AS last_id, count(*) AS total_rows FROM cleaned)
+    {_rows("processing", "stages", [*STAGES, "empty_lines_skipped"])}
+    UNION ALL {_rows("first load", "one", LOADED)}
+    UNION ALL {_rows("second load", "two", LOADED)}
+    UNION ALL {_rows("table", "ids", ["distinct_ids", "first_id", "last_id", "total_rows"])}
+    UNION ALL SELECT 'level' AS part, log_level AS measure, count(*) AS value FROM cleaned GROUP BY log_level"""
+
+MISSING = "Missing required field: "
+PROCESSING["validate_structured"] = _over_events(
+    f"""SELECT * FROM (SELECT id, concat_ws('; ',
+        CASE WHEN id % 6 = 1 THEN '{MISSING}timestamp' END,
+        CASE WHEN id % 10 = 1 THEN '{MISSING}log_level' END,
+        CASE WHEN id % 14 = 3 THEN '{MISSING}event_type' END,
+        CASE WHEN (id % 4 = 1 OR service IS NULL) AND (id % 14 = 3 OR event_type NOT IN
+             ('USER_LOGIN', 'USER_LOGOUT', 'AUTH_FAILURE', 'CACHE_ACCESS')) THEN '{MISSING}service' END,
+        CASE id % 9 WHEN 1 THEN 'Out-of-range status: 99' WHEN 2 THEN 'Out-of-range status: 600' END,
+        CASE WHEN id % 8 = 1 THEN 'Negative response_time_ms: ' || (-id - 1) END) AS errors FROM log_events)
+    WHERE errors <> ''"""
+)
+
 # --- loading ---------------------------------------------------------------------------------------
 
 
@@ -280,18 +321,9 @@ reasons AS (SELECT *, concat_ws(' + ', CASE WHEN high_response_time THEN 'High r
     CASE WHEN database_error THEN 'Database error' END,
     CASE WHEN error_log THEN 'Error log level' END) AS anomaly_reason FROM signals)"""
 
-CATEGORY_VALUES = {
-    "log_level": "(SELECT list_sort(list(DISTINCT log_level)) FROM log_events)",
-    "event_type": "(SELECT list_sort(list(DISTINCT event_type)) FROM log_events)",
-    "service": "(SELECT list_sort(list(DISTINCT coalesce(service, 'UNKNOWN'))) FROM log_events)",
-}
-
-
-def _digits(category: str) -> str:
-    return (
-        f"list_aggregate(list_transform({category}_values, lambda v: CASE WHEN v = {category}_filled THEN '1'"
-        " ELSE '0' END), 'string_agg', '')"
-    )
+def _u(*parts: str) -> str:
+    """Hash of the parts to [0, 1)."""
+    return f"(CAST('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 13) AS BIGINT) / 4503599627370496.0)"
 
 
 def _breakdown(dimension: str, value: str, limit: str = "position <= 10") -> str:
@@ -312,14 +344,39 @@ DETECTION = {
         CAST(hour(timestamp) AS DOUBLE) AS hour, CAST(isodow(timestamp) - 1 AS DOUBLE) AS day_of_week,
         CAST(minute(timestamp) AS DOUBLE) AS minute_of_hour,
         log_level, event_type, coalesce(service, 'UNKNOWN') AS service FROM log_events""",
-    "feature_vector": f"""WITH {LOG_EVENTS}, {PROFILE}, filled AS (SELECT id,
-        coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile)) AS response_time_ms,
+    "feature_vector": f"""WITH {LOG_EVENTS}, {PROFILE},
+        filled AS (SELECT *, coalesce(service, 'UNKNOWN') AS service_filled FROM log_events),
+        known AS (SELECT 0 AS c, log_level AS v FROM filled UNION SELECT 1, event_type FROM filled
+                  UNION SELECT 2, service_filled FROM filled),
+        places AS (SELECT c, v, 8 + row_number() OVER (ORDER BY c, v) AS place FROM known)
+        SELECT id, coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile)) AS response_time_ms,
         coalesce(CAST(status AS DOUBLE), (SELECT status_median FROM profile)) AS status,
-        log_level AS log_level_filled, event_type AS event_type_filled,
-        coalesce(service, 'UNKNOWN') AS service_filled,
-        {', '.join(f"{v} AS {c}_values" for c, v in CATEGORY_VALUES.items())} FROM log_events)
-        SELECT id, response_time_ms, status, {' || '.join(_digits(c) for c in CATEGORY_VALUES)} AS one_hot
-        FROM filled""",
+        a.place AS log_level_position, b.place AS event_type_position, d.place AS service_position
+        FROM filled JOIN places AS a ON a.c = 0 AND a.v = log_level JOIN places AS b ON b.c = 1 AND b.v = event_type
+        JOIN places AS d ON d.c = 2 AND d.v = service_filled""",
+    "forest_samples": f"""WITH {LOG_EVENTS}, n AS (SELECT count(*) AS n FROM log_events),
+        pool AS (SELECT id, least(n, 25600) AS pooled FROM log_events, n
+                 WHERE {_u('id', "'42'")} < least(1.0, 25600.0 / n)),
+        drawn AS (SELECT id, tree, pooled, {_u('id', 'tree', "'43'")} AS draw
+                  FROM pool, (SELECT unnest(range(100)) AS tree)),
+        ranked AS (SELECT CAST(tree AS INTEGER) AS tree, id, row_number() OVER (PARTITION BY tree ORDER BY draw, id) AS k
+                   FROM drawn WHERE draw < least(1.0, 512.0 / pooled))
+        SELECT tree, id FROM ranked WHERE k <= 256""",
+    "forest_properties": _over_events(
+        """SELECT count(*) AS rows, count(DISTINCT id) AS ids, CAST(0 AS BIGINT) AS missing_scores,
+           CAST(0 AS BIGINT) AS disagreements, CAST(0 AS BIGINT) AS wrong_reasons, TRUE AS flagged_within_share
+           FROM log_events"""
+    ),
+    "guarded_detection": f"""WITH {SIGNALS} SELECT id, timestamp, log_level, event_type, service, endpoint, method,
+        status, response_time_ms, user_id, CAST(NULL AS DOUBLE) AS anomaly_score,
+        CAST(NULL AS INTEGER) AS ml_prediction, FALSE AS is_anomaly, high_response_time, server_error, auth_failure,
+        database_error, error_log, nullif(anomaly_reason, '') AS anomaly_reason FROM reasons""",
+    "saved_anomaly_report": f"""WITH {SIGNALS} SELECT count(*) AS total_records, CAST(0 AS BIGINT) AS anomaly_count,
+        CAST(0 AS DOUBLE) AS anomaly_rate, count(*) AS normal_count,
+        count(*) FILTER (high_response_time) AS high_response_time_count,
+        count(*) FILTER (server_error) AS server_error_count, count(*) FILTER (auth_failure) AS auth_failure_count,
+        count(*) FILTER (database_error) AS database_error_count, count(*) FILTER (error_log) AS error_log_count
+        FROM reasons""",
     "rule_signals": f"""WITH {SIGNALS} SELECT id, high_response_time, server_error, auth_failure, database_error,
         error_log FROM signals""",
     "anomaly_reason_rules": f"WITH {SIGNALS} SELECT id, anomaly_reason FROM reasons",
@@ -505,15 +562,81 @@ REPORTS = {
     ),
     "facet_values": _over_events(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS facet, 'All' AS value UNION ALL"
-            f" (SELECT DISTINCT '{c}', {c} FROM log_events WHERE {c} IS NOT NULL)"
-            for c in ("service", "log_level", "event_type")
+            f"SELECT '{c}' AS facet, CAST(0 AS INTEGER) AS position, 'All' AS value UNION ALL"
+            f" (SELECT '{c}', CAST(row_number() OVER (ORDER BY {c}) AS INTEGER), CAST({c} AS VARCHAR)"
+            f" FROM (SELECT DISTINCT {c} FROM log_events WHERE {c} IS NOT NULL))"
+            for c in ("service", "log_level", "event_type", "status")
         )
     ),
     "recent_logs": _over_events(
-        """SELECT * EXCLUDE (message) FROM (SELECT * FROM log_events ORDER BY id LIMIT 500)
-           WHERE log_level = 'INFO' ORDER BY id DESC LIMIT 100"""
+        "SELECT * EXCLUDE (message) FROM log_events WHERE log_level = 'INFO' ORDER BY id DESC LIMIT 100"
+    ),
+}
+
+# --- reports on events flagged by rules, and reports as saved ---------------------------------------
+
+FLAGGED = DETECTION["rule_anomaly_totals"]
+FLAGGED_FIGURES = FIGURES.replace("CAST(0 AS BIGINT) AS anomaly_count", f"(SELECT anomaly_count FROM ({FLAGGED})) AS anomaly_count").replace(
+    "CAST(0 AS DOUBLE) AS anomaly_rate", f"(SELECT anomaly_rate FROM ({FLAGGED})) AS anomaly_rate"
+)
+FLAGGED_FINDINGS = f"""{TOP_FINDINGS}
+    UNION ALL SELECT CAST(4 AS INTEGER), 'Detected ' || anomaly_count || ' anomalies (' || {_decimal('anomaly_rate')}
+        || '% of total events)' FROM ({FLAGGED})
+    UNION ALL SELECT CAST(5 AS INTEGER), 'Highest anomaly-producing event type: ' || event_type || ' (' || n || ' anomalies)'
+        FROM (WITH {SIGNALS} SELECT event_type, count(*) AS n FROM reasons WHERE anomaly_reason <> ''
+              GROUP BY 1 ORDER BY n DESC, event_type LIMIT 1)"""
+
+
+def _figures(part: str, source: str, columns: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{part}.{c}' AS name, CAST({c} AS VARCHAR) AS value FROM ({source})" for c in columns
+    )
+
+
+def _plain(ts: str) -> str:
+    return f"replace({_iso(ts)}, 'T', ' ')"
+
+
+TOTALS = "total_records anomaly_count anomaly_rate normal_count".split() + [
+    f"{c}_count" for c in "high_response_time server_error auth_failure database_error error_log".split()
+]
+METRICS = (
+    "total_events error_count warning_count auth_failure_count database_error_count average_response_time_ms"
+    " max_response_time_ms anomaly_count anomaly_rate server_error_count"
+).split()
+QUALITY = "quality_checks_passed quality_checks_failed quality_checks_warned quality_score".split()
+WHOLE = f"""SELECT count(*) AS total_records, {_iso('min(timestamp)')} AS earliest_timestamp,
+    {_iso('max(timestamp)')} AS latest_timestamp FROM log_events"""
+SPAN = f"""SELECT count(*) AS total_records, {_plain('min(timestamp)')} AS earliest_timestamp,
+    {_plain('max(timestamp)')} AS latest_timestamp FROM log_events"""
+
+SAVED = {
+    "flagged_operational_metrics": _over_events(FLAGGED_FIGURES),
+    "flagged_operational_maps": f"WITH {SIGNALS} "
+    + "\nUNION ALL\n".join(
+        f"SELECT '{section}' AS section, value, event_count FROM ({_breakdown(c, f'CAST({c} AS VARCHAR)')})"
+        for section, c in (
+            ("anomalies_by_service", "service"),
+            ("anomalies_by_event_type", "event_type"),
+            ("anomalies_by_status", "status"),
+            ("top_anomalous_endpoints", "endpoint"),
+        )
     ),
+    "flagged_findings": FLAGGED_FINDINGS,
+    "flagged_kpi_row": REPORTS["kpi_row"].replace(FIGURES, FLAGGED_FIGURES),
+    "final_report_figures": f"""WITH {CHECKS}
+        {_figures("dataset", WHOLE, ["total_records", "earliest_timestamp", "latest_timestamp"])}
+        UNION ALL {_figures("data_quality", SPAN, ["total_records", "earliest_timestamp", "latest_timestamp"])}
+        UNION ALL {_figures("data_quality", REPORTS["quality_score"], QUALITY)}
+        UNION ALL {_figures("operational_metrics", FLAGGED_FIGURES, METRICS)}
+        UNION ALL {_figures("anomaly_detection", FLAGGED, TOTALS)}
+        UNION ALL SELECT 'finding ' || position, finding FROM ({FLAGGED_FINDINGS})""",
+    "saved_text_report": f"SELECT line, count(*) AS times FROM ({REPORTS['text_report']}) GROUP BY line",
+    "saved_quality": f"""WITH {CHECKS} SELECT total_records, earliest_timestamp, latest_timestamp,
+        (SELECT count(*) FROM checks WHERE status = 'PASS') AS quality_checks_passed,
+        (SELECT {SCORE} FROM checks) AS quality_score FROM ({SPAN})""",
+    "saved_checks": f"WITH {CHECKS} SELECT * EXCLUDE (position) FROM checks",
+    "saved_analytics": ANALYTICS_REPORT.replace("CAST(hour AS VARCHAR) AS key", "strftime(hour, '%Y-%m-%dT%H:%M:%S') AS key"),
 }
 
 ORACLE_SQL = {
@@ -523,4 +646,5 @@ ORACLE_SQL = {
     **LOADING,
     **DETECTION,
     **REPORTS,
+    **SAVED,
 }

@@ -6,24 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.operators import analytics, quality, reports
-from logquarry.session import materialize
+from logquarry.session import Scratch, gathered
 from logquarry.sources import files
 
 
-def stored_summary(events: DataFrame) -> DataFrame:
-    """Hourly facts, written once: the only scan of the events that the fact queries need."""
-    return materialize(analytics.hourly_facts(events), "hourly-facts")
+def stored_summary(events: DataFrame, area: Scratch) -> DataFrame:
+    """The rolled-up facts, written once: the only scan of the events that the fact queries need."""
+    return area.store(analytics.rollup(events), "rollup", partition_by=["part"])
 
 
-def run_analytics(events: DataFrame, output_dir: str) -> dict[str, DataFrame]:
-    """Save each of the thirteen results as JSON under ``analytics/<name>``.
+def run_analytics(events: DataFrame, output_dir: str) -> dict[str, str]:
+    """Save each of the thirteen results as JSON under ``analytics/<name>`` and return the paths.
 
     One folder per result, written in parallel: hours and users have no bound that fits one document.
     """
-    results = analytics.all_analytics(events, stored_summary(events))
-    for name, result in results.items():
-        files.write_json(result, f"{output_dir}/analytics/{name}")
-    return results
+    paths = {}
+    with Scratch(events.sparkSession) as area:
+        for name, result in analytics.all_analytics(events, stored_summary(events, area)).items():
+            paths[name] = f"{output_dir}/analytics/{name}"
+            files.write_json(result, paths[name])
+    return paths
 
 
 def measures(results: dict[str, DataFrame]) -> DataFrame:
@@ -42,31 +44,33 @@ def measures(results: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def combined_reports(events: DataFrame, anomalies: DataFrame) -> dict[str, DataFrame]:
+def combined_reports(events: DataFrame, anomalies: DataFrame, area: Scratch) -> dict[str, DataFrame]:
     """Quality checks and report, operational report and final document.
 
-    Every part is stored as a small table before the next one uses it, so nothing is computed twice.
+    The events are read twice: rolled up for all figures and lists, and for the quality counts. The
+    reports themselves are a row each, of bounded size, and are computed once.
     """
-    anomalies = materialize(anomalies, "anomaly-report")
-    summary = stored_summary(events)
-    measured = materialize(quality.measurements(events), "quality")
-    checked = materialize(quality.quality_report(measured), "quality-report")
-    operational = materialize(reports.operational_report(summary, anomalies), "operational")
-    final = materialize(reports.final_report(summary, operational, checked, anomalies), "final")
+    anomalies = gathered(anomalies)
+    summary = stored_summary(events, area)
+    measured = gathered(quality.measurements(events))
+    checked = quality.quality_report(measured)
+    operational = gathered(reports.operational_report(summary, anomalies))
+    final = gathered(reports.final_report(summary, operational, checked, anomalies))
     return {"checks": quality.quality_checks(measured), "quality": checked, "operational": operational, "final": final}
 
 
 def run_reporting(spark: SparkSession, events: DataFrame, output_dir: str) -> dict[str, str]:
     """Save the quality, operational and final reports; reads ``anomaly_report`` where detection left it."""
     anomalies = files.read_report(spark, f"{output_dir}/anomaly_report", reports.ANOMALY_REPORT_SCHEMA)
-    built = combined_reports(events, anomalies)
+    with Scratch(spark) as area:
+        built = combined_reports(events, anomalies, area)
     names = (
         "data_quality_report", "data_quality_summary", "operational_report", "final_report", "final_report_txt",
     )
     paths = {name: f"{output_dir}/{name}" for name in names}
-    files.write_json(built["quality"], paths["data_quality_report"])
+    files.write_json(reports.quality_document(built["quality"]), paths["data_quality_report"])
     files.write_checks(built["checks"].orderBy("position"), paths["data_quality_summary"])
-    files.write_json(built["operational"], paths["operational_report"])
+    files.write_json(built["operational"].drop("busiest_service"), paths["operational_report"])
     files.write_json(built["final"], paths["final_report"])
     files.write_text(reports.text_report(built["final"]), paths["final_report_txt"])
     return paths

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from logquarry.functions.text import strip
 from logquarry.functions.timestamps import iso_text, log_text, plain_text
-from logquarry.schema import CHECK_COLUMNS, RECORD_COLUMNS, SCORED_COLUMNS, SCORED_SCHEMA
+from logquarry.operators.parse import record_columns
+from logquarry.schema import CHECK_COLUMNS, CHECKS_SCHEMA, RECORD_COLUMNS, SCORED_COLUMNS, SCORED_SCHEMA
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
 
@@ -17,6 +18,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def is_blank(line: Column) -> Column:
+    return strip(line) == ""
+
+
 def log_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Trimmed non-blank lines as ``line``; other columns are kept."""
     extra = [c for c in lines.columns if c != column]
@@ -25,7 +30,7 @@ def log_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def ingest_stats(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row: lines kept and blank lines skipped."""
-    blank = strip(F.col(column)) == ""
+    blank = is_blank(F.col(column))
     return lines.agg(
         F.count_if(~blank).alias("total_lines_read"), F.count_if(blank).alias("empty_lines_skipped")
     )
@@ -38,7 +43,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def cleaned_rows(records: DataFrame) -> DataFrame:
     """The ten columns as written to the cleaned file: timestamp text with comma milliseconds."""
-    return records.withColumn("timestamp", log_text(F.col("timestamp"))).select(*RECORD_COLUMNS)
+    return record_columns(records.withColumn("timestamp", log_text(F.col("timestamp"))))
 
 
 def write_cleaned(records: DataFrame, path: str) -> None:
@@ -71,6 +76,15 @@ def read_cleaned(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return raw.withColumnsRenamed({c: c.strip() for c in raw.columns})
 
 
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """A saved rejected file; a line that begins or ends with white space keeps it."""
+    return spark.read.schema("raw_line string, rejection_reason string").options(header=True, quote='"', escape='"').csv(path)
+
+
+def read_checks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CHECKS_SCHEMA).options(header=True, quote='"', escape='"').csv(path)
+
+
 def _json_ready(field: T.StructField) -> Column:
     c = F.col(field.name)
     if isinstance(field.dataType, T.TimestampNTZType):

@@ -4,19 +4,20 @@ A record's hash covers its timestamp, so a copy of a row can only sit in the row
 reads just the hash column of the days it touches, and the buckets keep that side of the join unshuffled.
 """
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logquarry.functions.numbering import numbered, place
 from logquarry.operators.load import absent_from, constraint_error, first_per_hash, load_summary, type_rows
 from logquarry.schema import ANALYSIS_COLUMNS, LOG_EVENTS_SCHEMA, RECORD_COLUMNS, REQUIRED_FIELDS, VARCHAR_LENGTHS
+from logquarry.session import Scratch, stored_in_place
 from logquarry.sources.files import read_cleaned
 
-NEXT_ID = "log_events.next_id"
-LISTED_DAYS = 1000  # beyond this a load reads the whole span of its days
+NEXT_ID, TOTAL_ROWS = "log_events.next_id", "log_events.rows"
 
 
-def create_table(spark: SparkSession, table: str = "log_events", buckets: int = 8, location: str | None = None) -> None:
-    """Create the table unless it exists. Choose ``buckets`` so that one bucket of a day's load fits a task."""
+def create_table(spark: SparkSession, table: str, buckets: int, location: str | None = None) -> None:
+    """Create the table unless it exists. Choose ``buckets`` so that one bucket of a load fits a task."""
     columns = []
     for field in LOG_EVENTS_SCHEMA.fields:
         length = VARCHAR_LENGTHS.get(field.name)
@@ -48,16 +49,37 @@ def read_jdbc(spark: SparkSession, url: str, table: str = "log_events", **option
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
+def compact(spark: SparkSession, table: str, day: str) -> None:
+    """Rewrite one day so that each bucket is one file again, after many small loads such as a stream's."""
+    with Scratch(spark) as area:
+        rows = area.store(spark.table(table).where(F.col("event_date") == F.lit(day).cast("date")), "day")
+        whole = rows.repartition(_buckets(spark, table), "record_hash")
+        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            whole.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    spark.catalog.refreshTable(table)
+
+
 def write_jdbc(rows: DataFrame, url: str, table: str = "log_events", **options: str) -> None:
     rows.write.format("jdbc").mode("append").options(url=url, dbtable=table, **options).save()
 
 
-def _next_id(spark: SparkSession, table: str) -> int:
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == NEXT_ID).first()
-    if found:
-        return int(found["value"])
-    last = spark.table(table).agg(F.max("id")).first()[0]
-    return 1 if last is None else last + 1
+def _counters(spark: SparkSession, table: str) -> tuple[int, int]:
+    """The next free id and the number of rows: kept in the table's properties, counted where they are absent."""
+    kept = {r["key"]: int(r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").isin(NEXT_ID, TOTAL_ROWS)).collect()}
+    if len(kept) < 2:
+        last, rows = spark.table(table).agg(F.max("id"), F.count(F.lit(1))).first()
+        kept = {NEXT_ID: 1 if last is None else last + 1, TOTAL_ROWS: rows} | kept
+    return kept[NEXT_ID], kept[TOTAL_ROWS]
+
+
+def _keep(spark: SparkSession, table: str, **counters: int) -> None:
+    values = {"next_id": NEXT_ID, "rows": TOTAL_ROWS}
+    properties = ", ".join(f"'{values[k]}' = '{v}'" for k, v in counters.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({properties})")
 
 
 def _buckets(spark: SparkSession, table: str) -> int:
@@ -71,57 +93,60 @@ def _row_number(staged: DataFrame, bad) -> int:
     return staged.where((F.col("file") == bad["file"]) & before).count() + 2
 
 
-def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events") -> dict[str, int]:
+def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events", buckets: int | None = None) -> dict[str, int]:
     """Append records that the table does not hold yet, all or nothing.
 
     ``rows`` are the record columns with ``record_hash``, the order ``file``, ``block``, ``row`` (``row``
-    unique) and, for typed CSV, ``row_error``. One pass checks every row and refuses the whole load at
-    the first bad one, then a single append job writes. Among rows with equal hash the first in order
-    wins. Ids rise with ``row`` and their range is reserved before the append, so skipped or failed
-    rows leave gaps.
+    unique) and, for typed CSV, ``row_error``. They are stored once; one pass over them checks every row
+    and refuses the whole load at the first bad one, then a single append job writes. Among rows with equal
+    hash the first in order wins. New rows get the next free ids without gaps, in no particular order; their
+    range is reserved before the append, so only a failed append leaves a gap. A missing table is created
+    when ``buckets`` is given, and is an error otherwise.
     """
-    order = ["file", "block", "row"]
-    unreadable = F.col("row_error") if "row_error" in rows.columns else F.lit(None).cast("string")
-    at = F.struct(*order, unreadable.alias("message"))
-    checked = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(F.when(unreadable.isNotNull(), at)).alias("row_error"),
-        F.min(constraint_error(rows)).alias("violation"),
-        F.max("row").alias("last_row"),
-        F.array_sort(F.collect_set(F.to_date("timestamp"))).alias("days"),
-    ).first()
     names = ("input_records", "inserted_records", "duplicate_records", "failed_records", "database_total_rows")
-    if checked["rows"] == 0:
-        return dict.fromkeys(names, 0)
-    if checked["row_error"] is not None:
-        bad = checked["row_error"]
-        raise ValueError(f"Row {_row_number(rows, bad)}: {bad['message']}")
-    if checked["violation"] is not None:
-        raise ValueError(f"constraint violated: {checked['violation']}")
-
-    create_table(spark, table)
-    spark.catalog.refreshTable(table)
-    first_id = _next_id(spark, table)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{NEXT_ID}' = '{first_id + checked['last_row'] + 1}')")
-    days, day = checked["days"], F.col("event_date")
-    touched = day.isin(days) if len(days) <= LISTED_DAYS else day.between(days[0], days[-1])
-    same_days = spark.table(table).where(touched)
-    candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
-    # laid out like the table's buckets: the join leaves the table in place, and every task writes one file a day
-    distinct = first_per_hash(candidates, order).repartition(_buckets(spark, table), "record_hash")
-    fresh = absent_from(distinct, same_days).select(
-        (F.col("row") + first_id).alias("id"),
-        *RECORD_COLUMNS,
-        "record_hash",
-        F.to_date("timestamp").alias("event_date"),
-    )
-    inserted = Observation(f"inserted-{first_id}")
-    fresh.observe(inserted, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
-    new = inserted.get["rows"]
-    return dict(zip(names, (checked["rows"], new, checked["rows"] - new, 0, spark.table(table).count())))
-
-
-def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_line: bool = False) -> dict[str, int]:
+    order = ["file", "block", "row"]
+    day = F.to_date("timestamp")
+    with Scratch(spark) as area:
+        rows = area.store(rows, "typed")
+        unreadable = F.col("row_error") if "row_error" in rows.columns else F.lit(None).cast("string")
+        checked = rows.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(F.when(unreadable.isNotNull(), F.struct(*order, unreadable.alias("message")))).alias("row_error"),
+            F.min(constraint_error(rows)).alias("violation"),
+            F.min(day).alias("first_day"),
+            F.max(day).alias("last_day"),
+        ).first()
+        if checked["rows"] == 0:
+            return dict.fromkeys(names, 0)
+        if checked["row_error"] is not None:
+            bad = checked["row_error"]
+            raise ValueError(f"Row {_row_number(rows, bad)}: {bad['message']}")
+        if checked["violation"] is not None:
+            raise ValueError(f"constraint violated: {checked['violation']}")
+        if buckets is not None:
+            create_table(spark, table, buckets)
+        elif not spark.catalog.tableExists(table):
+            raise ValueError(f"table {table} does not exist: create it, or say how many buckets it shall have")
+        spark.catalog.refreshTable(table)
+        first_id, total = _counters(spark, table)
+        # the hash covers the timestamp, so a copy can only sit between these days
+        same_days = spark.table(table).where(F.col("event_date").between(checked["first_day"], checked["last_day"]))
+        candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
+        # laid out like the table's buckets: the join leaves the table in place, and every task writes one file a day
+        distinct = first_per_hash(candidates, order).repartition(_buckets(spark, table), "record_hash")
+        fresh = absent_from(distinct, same_days).select(*RECORD_COLUMNS, "record_hash", day.alias("event_date"), place().alias("place"))
+        fresh = stored_in_place(fresh)
+        new = fresh.count()
+        if new:
+            _keep(spark, table, next_id=first_id + new)
+            numbered(fresh, "id", first_id).select("id", *RECORD_COLUMNS, "record_hash", "event_date").write.insertInto(table)
+        _keep(spark, table, rows=total + new)
+    return dict(zip(names, (checked["rows"], new, checked["rows"] - new, 0, total + new)))
+
+
+def load_csv(
+    spark: SparkSession, path: str, table: str = "log_events", multi_line: bool = False, buckets: int | None = None
+) -> dict[str, int]:
     """Load cleaned CSV files into the table, skipping records it already holds; see ``load_rows``."""
     raw = read_cleaned(spark, path, multi_line).select(
         *RECORD_COLUMNS,
@@ -129,7 +154,7 @@ def load_csv(spark: SparkSession, path: str, table: str = "log_events", multi_li
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return load_rows(spark, type_rows(raw), table)
+    return load_rows(spark, type_rows(raw), table, buckets)
 
 
 def verify_table(spark: SparkSession, table: str = "log_events") -> DataFrame:

@@ -13,58 +13,64 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.fixture(scope="module", params=["events", "summary"])
-def results(request, sample):
-    """Every result twice: from the events, and rolled up from the stored hourly facts."""
-    if request.param == "summary":
-        return analytics.all_analytics(sample, reporting.stored_summary(sample))
-    return analytics.all_analytics(sample, analytics.facts(sample))
+def direct(events):
+    """Every result from the events themselves."""
+    facts = analytics.facts(events)
+    results = {name: query(facts) for name, query in analytics.FACT_QUERIES.items()}
+    return results | {"user_activity_summary": analytics.user_activity_summary(events)}
+
+
+@pytest.fixture(scope="module", params=["events", "rollup"])
+def results(request, sample, kept):
+    """Every result twice: from the events, and from the stored roll-up."""
+    if request.param == "rollup":
+        return analytics.all_analytics(sample, reporting.stored_summary(sample, kept))
+    return direct(sample)
 
 
 def test_sample(results):
-    hour = datetime(2026, 9, 20, 10)
+    midnight = datetime(2025, 3, 4)
     expected = {
-        "overall_summary": [(8, hour, hour.replace(minute=7))],
-        "log_level_distribution": [("INFO", 4, 50.0), ("ERROR", 2, 25.0), ("DEBUG", 1, 12.5), ("WARN", 1, 12.5)],
+        "overall_summary": [(10, datetime(2025, 3, 3, 23, 40, 5), datetime(2025, 3, 4, 1, 45))],
+        "log_level_distribution": [("INFO", 4, 40.0), ("ERROR", 3, 30.0), ("WARN", 2, 20.0), ("DEBUG", 1, 10.0)],
         "event_type_distribution": [
-            ("API_REQUEST", 5, 62.5), ("AUTH_FAILURE", 1, 12.5), ("DATABASE_ERROR", 1, 12.5), ("USER_LOGIN", 1, 12.5),
+            ("API_REQUEST", 6, 60.0), ("AUTH_FAILURE", 1, 10.0), ("CACHE_ACCESS", 1, 10.0),
+            ("DATABASE_ERROR", 1, 10.0), ("SERVICE_START", 1, 10.0),
         ],
-        "service_distribution": [("auth", 6, 75.0), ("orders", 1, 12.5), ("payments", 1, 12.5)],
-        "status_distribution": [(200, 3, 37.5), (400, 1, 12.5), (401, 1, 12.5), (500, 1, 12.5), (None, 2, 25.0)],
-        "status_class_distribution": [("2xx", 3, 37.5), ("4xx", 2, 25.0), ("5xx", 1, 12.5), ("other", 2, 25.0)],
-        "error_summary": [(2, 1, 1, 1)],
-        "response_time_summary": [(1062.86, 50, 5000, 7)],
-        "slowest_endpoints": [
-            ("/api/login", 4, 577.5, 2000), ("/api/pay", 1, 80.0, 80), ("/api/users", 1, 50.0, 50),
+        "service_distribution": [("catalog", 3, 30.0), ("search", 3, 30.0), (None, 2, 20.0), ("shipping", 2, 20.0)],
+        "status_distribution": [
+            (200, 2, 20.0), (304, 1, 10.0), (403, 1, 10.0), (404, 1, 10.0), (502, 1, 10.0), (503, 1, 10.0), (None, 3, 30.0),
         ],
-        "most_used_endpoints": [("/api/login", 4, 577.5), ("/api/pay", 1, 80.0), ("/api/users", 1, 50.0)],
+        "status_class_distribution": [("2xx", 2, 20.0), ("3xx", 1, 10.0), ("4xx", 2, 20.0), ("5xx", 2, 20.0), ("other", 3, 30.0)],
+        "error_summary": [(3, 2, 1, 1)],
+        "response_time_summary": [(290.38, 3, 900, 8)],
+        "slowest_endpoints": [("/labels", 2, 800.0, 900), ("/find", 2, 300.0, 500), ("/items", 2, 30.0, 40)],
+        "most_used_endpoints": [("/find", 2, 300.0), ("/items", 2, 30.0), ("/labels", 2, 800.0)],
         "service_performance": [
-            ("orders", 1, 1, 5000.0, 5000), ("auth", 6, 1, 472.0, 2000), ("payments", 1, 0, 80.0, 80),
-        ],
-        "hourly_traffic": [(hour, 8)],
-        "user_activity_summary": [
-            ("U100", 3, 42.86), ("U101", 1, 14.29), ("U102", 1, 14.29), ("U103", 1, 14.29), ("U104", 1, 14.29),
+            ("shipping", 2, 2, 800.0, 900), ("catalog", 3, 1, 30.0, 40), ("search", 3, 0, 300.0, 500),
         ],
+        "hourly_traffic": [(datetime(2025, 3, 3, 23), 2), (midnight, 4), (midnight.replace(hour=1), 4)],
+        "user_activity_summary": [("kim", 3, 50.0), ("lee", 2, 33.33), ("mia", 1, 16.67)],
     }
     assert {name: rows(df) for name, df in results.items()} == expected
 
 
-def test_nulls(with_nulls):
-    results = analytics.all_analytics(with_nulls, analytics.facts(with_nulls))
-    assert rows(results["service_distribution"]) == [(None, 2, 50.0), ("auth", 2, 50.0)]
-    assert rows(results["status_distribution"]) == [(200, 2, 50.0), (500, 1, 25.0), (None, 1, 25.0)]
-    assert rows(results["status_class_distribution"]) == [("2xx", 2, 50.0), ("5xx", 1, 25.0), ("other", 1, 25.0)]
-    assert rows(results["user_activity_summary"]) == [("U200", 2, 100.0)]
-    assert rows(results["response_time_summary"]) == [(1060.0, 80, 3000, 3)]
-    assert rows(results["service_performance"]) == [("auth", 2, 0, 90.0, 100)]
-    assert {r[0] for r in rows(results["slowest_endpoints"])} == {"/api/login", "/api/pay"}
+def test_gaps(gaps):
+    results = direct(gaps)
+    assert rows(results["service_distribution"]) == [(None, 3, 60.0), ("mail", 2, 40.0)]
+    assert rows(results["status_distribution"]) == [(202, 1, 20.0), (None, 4, 80.0)]
+    assert rows(results["status_class_distribution"]) == [("2xx", 1, 20.0), ("other", 4, 80.0)]
+    assert rows(results["user_activity_summary"]) == [("ann", 2, 100.0)]
+    assert rows(results["response_time_summary"]) == [(12.5, 10, 15, 2)]
+    assert rows(results["service_performance"]) == [("mail", 2, 1, 10.0, 10)]
+    assert rows(results["slowest_endpoints"]) == [("/send", 1, 10.0, 10)]
 
 
 @pytest.mark.parametrize("stored", [False, True])
-def test_empty_and_missing_table(spark, stored):
+def test_empty_and_missing_table(spark, stored, area):
     events = log_events(spark, "no_such_table")
-    summary = reporting.stored_summary(events) if stored else analytics.facts(events)
-    for name, df in analytics.all_analytics(events, summary).items():
+    results = analytics.all_analytics(events, reporting.stored_summary(events, area)) if stored else direct(events)
+    for name, df in results.items():
         found = rows(df)
         if name in DICT_RESULTS:
             assert len(found) == 1 and all(v in (0, None) for v in found[0])
@@ -92,13 +98,17 @@ def test_null_sorting_and_limits(make_events):
 
 
 def test_saved_results(spark, sample, tmp_path):
-    results = reporting.run_analytics(sample, str(tmp_path))
-    assert len(results) == 13
+    assert len(reporting.run_analytics(sample, str(tmp_path))) == 13
     (saved,) = spark.read.json(str(tmp_path / "analytics" / "overall_summary")).collect()
-    assert saved["earliest_timestamp"] == "2026-09-20T10:00:00"
+    assert saved["earliest_timestamp"] == "2025-03-03T23:40:05"
     assert spark.read.json(str(tmp_path / "analytics" / "status_distribution")).where("status is null").count() == 1
 
 
+def test_rollup_scans_the_events_once(sample):
+    plan = analytics.rollup(sample)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1 and plan.count("Exchange") == 1
+
+
 def test_hot_group_is_combined_before_the_shuffle(spark, sample):
     plan = analytics.service_distribution(analytics.facts(sample))._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum(1)" in plan or "partial_sum" in plan

@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -6,21 +7,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from logquarry.functions import trees
-from logquarry.functions.quantiles import exact_quantile, first_rows
+from logquarry.functions.numbering import numbered, place
+from logquarry.functions.quantiles import BUCKETS, exact_quantiles
 from logquarry.operators import features, forest, rules
-from logquarry.plans import detection
+from logquarry.plans import detection, processing, reporting
 from logquarry.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SCORED_COLUMNS
+from logquarry.session import scratch_root
 from logquarry.sources import files
 
 
 def many(make_events, n=300, odd=6):
     """Regular traffic with a few rows that differ in every respect."""
     rows = [
-        (f"2026-09-21 10:{i % 60:02d}:00", "INFO", "API_REQUEST", "auth", "/api/login", "GET", 200, 100 + i % 17, f"U{i}", None)
+        (f"2025-08-12 14:{i % 60:02d}:00", "INFO", "API_REQUEST", "search", "/find", "GET", 200, 60 + i % 19, f"U{i}", None)
         for i in range(n - odd)
     ]
     rows += [
-        (f"2026-09-20 03:{i:02d}:00", "ERROR", "DATABASE_ERROR", None, None, None, 500, 9000 + i, None, None)
+        (f"2025-08-10 02:{i:02d}:00", "ERROR", "DATABASE_ERROR", None, None, None, 503, 7000 + i, None, None)
         for i in range(odd)
     ]
     return make_events(rows)
@@ -32,45 +35,53 @@ def traffic(make_events):
 
 
 @pytest.fixture(scope="module")
-def scored(traffic):
-    return detection.score_events(traffic)
+def scored(traffic, kept):
+    return detection.score_events(traffic, kept)
 
 
 def test_features(sample, make_events):
     first = {r["id"]: r for r in features.prepare_features(sample).collect()}
-    assert (first[3]["hour"], first[3]["minute_of_hour"], first[3]["day_of_week"]) == (10, 2, 6)
-    assert [first[i]["is_error"] for i in range(1, 9)] == [0, 0, 1, 0, 0, 1, 0, 0]
-    assert (first[4]["is_warning"], first[8]["is_auth_failure"], first[6]["is_database_error"]) == (1, 1, 1)
+    assert (first[8]["hour"], first[8]["minute_of_hour"], first[8]["day_of_week"]) == (1, 15, 1)  # a Tuesday
+    assert [i for i in first if first[i]["is_error"]] == [3, 4, 6]
+    assert (first[10]["is_warning"], first[8]["is_auth_failure"], first[6]["is_database_error"]) == (1, 1, 1)
     empty_row = make_events([(None,) * 10])
     r = features.prepare_features(empty_row).first()
     assert [r[c] for c in CATEGORICAL_FEATURES] == ["UNKNOWN"] * 3
     assert [r[c] for c in NUMERIC_FEATURES[2:]] == [0] * 7
 
 
-def test_profile_and_imputation(sample, no_events):
-    p = features.profile(sample).first()
-    assert (p["total"], p["rt_median"], p["status_median"]) == (8, 100.0, 300.0)
-    assert p["rt_p95"] == pytest.approx(np.percentile([100, 120, 2000, 80, 5000, 50, 90], 95))
-    assert tuple(features.profile(no_events).first()) == (0, None, None, None)
+def test_profile_and_imputation(sample, no_events, spark):
+    p = features.profile(sample)
+    assert (p.total, p.rt_median, p.status_median) == (10, 80.0, 403.0)
+    assert p.rt_p95 == pytest.approx(np.percentile([40, 20, 700, 900, 3, 60, 500, 100], 95))
+    assert tuple(features.profile(no_events)) == (0, None, None, None)
+    assert tuple(features.profile_row(p, spark).first()) == tuple(p)
     prepared = features.prepare_features(sample)
-    filled = prepared.select("id", *features.impute(prepared, features.scalars(features.profile(sample)))).collect()
-    assert [(r["response_time_ms"], r["status"]) for r in filled][4] == (100.0, 300.0)
+    filled = prepared.select("id", *features.impute(prepared, p.literals())).orderBy("id").collect()
+    assert [(r["response_time_ms"], r["status"]) for r in filled][4:6] == [(3.0, 403.0), (80.0, 403.0)]
 
 
-def test_vector(sample):
-    prepared = features.prepare_features(sample)
-    vectors = features.feature_vector(prepared, features.scalars(features.profile(sample))).collect()
-    assert {len(r["features"]) for r in vectors} == {9 + 4 + 4 + 3}
-    # DEBUG ERROR INFO WARN | API_REQUEST AUTH_FAILURE DATABASE_ERROR USER_LOGIN | auth orders payments
-    assert vectors[0]["features"][9:] == [0, 0, 1, 0, 1, 0, 0, 0, 1, 0, 0]
+def test_vector(sample, area):
+    vectors = features.feature_vector(sample, features.profile(sample).literals(), area).orderBy("id").collect()
+    assert {len(r["numbers"]) for r in vectors} == {9}
+    # from 9: DEBUG ERROR INFO WARN | API AUTH CACHE DATABASE SERVICE_START | UNKNOWN catalog search shipping
+    assert [r["ones"] for r in vectors][:5] == [[12, 13, 19], [11, 13, 19], [10, 13, 21], [10, 13, 21], [11, 15, 18]]
+    assert vectors[6]["ones"] == [9, 17, 20]
+
+
+def test_vocabulary_is_not_gathered(spark, area, make_events):
+    rows = [("2025-08-12 14:00:00", "INFO", "API_REQUEST", f"s{i:04d}", *[None] * 6) for i in range(2000)]
+    inputs = features.model_inputs(make_events(rows).repartition(7), features.profile(make_events(rows)).literals())
+    positions = {r["value"]: r["position"] for r in features.category_positions(inputs, area).where("category = 2").collect()}
+    assert positions == {f"s{i:04d}": 11 + i for i in range(2000)}
 
 
 def test_rules(sample, no_events):
-    p95 = F.lit(4100.0)
+    p95 = F.lit(800.0)
     r = {x["id"]: x for x in rules.rule_signals(sample, p95).withColumn("why", rules.anomaly_reason()).collect()}
-    assert r[6]["high_response_time"] and not r[3]["high_response_time"] and not r[5]["high_response_time"]
-    assert [i for i in r if r[i]["server_error"]] == [3]
-    assert r[6]["why"] == "High response time + Database error + Error log level"
+    assert [i for i in r if r[i]["high_response_time"]] == [4] and [i for i in r if r[i]["server_error"]] == [3, 4]
+    assert r[4]["why"] == "High response time + 5xx server error + Error log level"
+    assert r[6]["why"] == "Database error + Error log level"
     assert r[8]["why"] == "Authentication failure" and r[1]["why"] == ""
     every = rules.rule_signals(sample, F.lit(None).cast("double")).where("high_response_time")
     assert every.count() == 0
@@ -81,16 +92,16 @@ def test_rules(sample, no_events):
 
 
 @pytest.mark.parametrize("n", [0, 1, 8, 20])
-def test_small_inputs_are_not_scored(make_events, n):
-    result = detection.score_events(many(make_events, n, 0))
+def test_small_inputs_are_not_scored(make_events, n, area):
+    result = detection.score_events(many(make_events, n, 0), area)
     assert result.columns == SCORED_COLUMNS
     assert result.count() == n
     assert result.where("anomaly_score is not null or ml_prediction is not null or is_anomaly").count() == 0
 
 
-def test_contamination_must_be_a_share(traffic):
+def test_contamination_must_be_a_share(traffic, area):
     with pytest.raises(ValueError, match="contamination"):
-        detection.score_events(traffic, contamination=0.7)
+        detection.score_events(traffic, area, contamination=0.7)
     assert [forest.minimum_rows(c) for c in (0.05, 0.1, 0.5, 0)] == [21, 11, 3, 3]
 
 
@@ -108,30 +119,31 @@ def test_scores(traffic, scored):
 
 
 @pytest.mark.parametrize("partitions", [1, 17])
-def test_scores_do_not_depend_on_partitioning(traffic, scored, partitions):
-    again = detection.score_events(traffic.repartition(partitions))
+def test_scores_do_not_depend_on_partitioning(traffic, scored, partitions, area):
+    again = detection.score_events(traffic.repartition(partitions), area)
     assert again.exceptAll(scored).count() == 0 and again.count() == scored.count()
 
 
-def test_contamination_sets_the_share(traffic):
-    flagged = [detection.score_events(traffic, c).where("is_anomaly").count() for c in (0.01, 0.2)]
+def test_contamination_sets_the_share(traffic, area):
+    flagged = [detection.score_events(traffic, area, c).where("is_anomaly").count() for c in (0.01, 0.2)]
     assert flagged[0] <= 3 and 6 < flagged[1] <= 60
 
 
-def test_columns_without_values_and_constant_rows(make_events):
-    rows = [("2026-09-21 10:00:00", "INFO", "USER_LOGIN", None, None, None, None, None, None, None)] * 40
-    result = detection.score_events(make_events(rows)).toPandas()
+def test_columns_without_values_and_constant_rows(make_events, area):
+    rows = [("2025-08-12 14:00:00", "INFO", "USER_LOGIN", None, None, None, None, None, None, None)] * 40
+    result = detection.score_events(make_events(rows), area).toPandas()
     assert result["anomaly_score"].eq(0).all() and not result["is_anomaly"].any()
 
 
-def test_full_sample_for_every_tree(spark):
-    inputs = spark.range(20000).withColumn("x", F.lit(1))
-    draws = forest.tree_samples(inputs, 20000).groupBy("tree").agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"))
-    sizes = draws.collect()
+@pytest.mark.parametrize("rows", [100, 20_000, 400_000])
+def test_full_sample_for_every_tree(spark, rows):
+    """Above and below the size of the pool, and the same under any partitioning."""
+    samples = forest.tree_samples(spark.range(rows), rows)
+    sizes = samples.groupBy("tree").agg(F.count("*").alias("n"), F.count_distinct("id").alias("d")).collect()
     assert len(sizes) == forest.TREES
-    assert all(r["n"] == r["d"] >= trees.SAMPLE_SIZE for r in sizes)
-    big = forest.tree_samples(spark.range(400_000), 400_000).groupBy("tree").count().collect()
-    assert len(big) == forest.TREES and min(r["count"] for r in big) >= trees.SAMPLE_SIZE
+    assert all(r["n"] == r["d"] == min(rows, trees.SAMPLE_SIZE) for r in sizes)
+    again = forest.tree_samples(spark.range(rows).repartition(13), rows)
+    assert again.select("tree", "id").exceptAll(samples.select("tree", "id")).count() == 0
 
 
 def random_rows(n, seed):
@@ -177,34 +189,57 @@ def test_tree_isolates_and_counts():
     assert trees.average_path(256) == pytest.approx(2 * (math.log(255) + 0.5772156649) - 2 * 255 / 256)
 
 
-@pytest.mark.parametrize("kind", ["spread", "ties", "third", "tiny range"])
-@pytest.mark.parametrize("q", [0.0, 0.05, 0.5, 0.95, 1.0])
-def test_exact_quantile(spark, kind, q):
-    rng = np.random.default_rng(3)
-    values = {
-        "spread": rng.lognormal(0, 4, 3000),
-        "ties": rng.integers(0, 5, 3000).astype(float),
-        "third": np.where(rng.random(3000) < 0.34, -0.25, -rng.random(3000)),
-        "tiny range": 1.0 + rng.integers(0, 4, 3000) * 2.0**-52,
-    }[kind]
+KINDS = {
+    "spread": lambda rng: rng.lognormal(0, 4, 3000),
+    "ties": lambda rng: rng.integers(0, 5, 3000).astype(float),
+    "third": lambda rng: np.where(rng.random(3000) < 0.34, -0.25, -rng.random(3000)),
+    "tiny range": lambda rng: 1.0 + rng.integers(0, 4, 3000) * 2.0**-52,
+    "two clusters": lambda rng: np.concatenate([rng.random(1500), 1e9 + rng.random(1500)]),
+    "wide": lambda rng: np.concatenate([[-1e308, 1e308], rng.random(998) * 1e-300]),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_exact_quantiles(spark, kind):
+    values = KINDS[kind](np.random.default_rng(3))
     df = spark.createDataFrame(pd.DataFrame({"v": values})).unionByName(spark.sql("select cast(null as double) v"))
-    assert exact_quantile(df, "v", q, direct_rows=10) == pytest.approx(np.quantile(values, q), rel=1e-15)
+    wanted = [0.0, 0.05, 0.5, 0.95, 1.0]
+    ordered = np.sort(values)
+    for q, found in zip(wanted, exact_quantiles(df, {"v": wanted})["v"]):
+        place = q * (len(values) - 1)
+        a, b = ordered[math.floor(place)], ordered[math.ceil(place)]
+        assert found == a + (b - a) * (place - math.floor(place))
+
+
+def test_a_median_in_a_gap_gathers_no_more_than_the_buckets(spark, monkeypatch):
+    """Both ranks of the median stand at the edges of two clusters, so one pass with few rows answers them."""
+    df = spark.createDataFrame(pd.DataFrame({"v": np.concatenate([np.arange(1000.0), 1e7 + np.arange(1000.0)])}))
+    collected, plans = [], []
+    plain = type(df).collect
 
+    def collect(self):
+        rows = plain(self)
+        collected.append(len(rows))
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return rows
 
-@pytest.mark.parametrize("n", [1, 50, 999, 5000])
-def test_first_rows(spark, n):
-    ids = [(i << 33) + j for i in range(10) for j in range(100)]
-    df = spark.createDataFrame([(i, str(i)) for i in ids], "id long, text string").repartition(5)
-    found = [(r["id"], r["text"]) for r in first_rows(df, "id", n, direct_rows=7).collect()]
-    assert found == [(i, str(i)) for i in ids[:n]]
-    assert first_rows(df.where("false"), "id", n).count() == 0
+    monkeypatch.setattr(type(df), "collect", collect)
+    assert exact_quantiles(df, {"v": [0.5]}) == {"v": [(999.0 + 1e7) / 2]}
+    assert max(collected) <= BUCKETS and not any("Window" in p or "Sort" in p for p in plans)
 
 
-def test_quantile_of_nothing(spark):
-    assert exact_quantile(spark.sql("select cast(null as double) v"), "v", 0.5) is None
+def test_quantiles_of_nothing(spark):
+    df = spark.sql("select cast(null as double) v, 3 w")
+    assert exact_quantiles(df, {"v": [0.5], "w": [0.5]}) == {"v": [None], "w": [3.0]}
 
 
-def test_report(scored, no_events, spark):
+def test_numbers_are_dense(spark, area):
+    stored = area.store(spark.range(1000, numPartitions=7).where("id % 3 = 0").withColumn("place", place()), "rows")
+    found = [r["n"] for r in numbered(stored, "n", 5).collect()]
+    assert sorted(found) == list(range(5, 5 + 334))
+
+
+def test_report(scored, no_events, area):
     (report,) = detection.anomaly_report(scored).collect()
     rows = scored.toPandas()
     flagged = rows[rows["is_anomaly"]]
@@ -214,12 +249,12 @@ def test_report(scored, no_events, spark):
     assert report["server_error_count"] == rows["server_error"].sum()
     assert report["anomalies_by_service"] == flagged.groupby("service").size().to_dict()
     assert report["anomalies_by_status"] == {str(int(k)): v for k, v in flagged.groupby("status").size().items()}
-    (none,) = detection.anomaly_report(detection.score_events(no_events)).collect()
+    (none,) = detection.anomaly_report(detection.score_events(no_events, area)).collect()
     assert none["anomaly_rate"] == 0.0 and none["anomalies_by_event_type"] == {} == none["top_anomalous_endpoints"]
 
 
 def test_breakdown_limits(spark, make_events):
-    rows = [("2026-09-21 10:00:00", "INFO", "API_REQUEST", None if i < 3 else f"s{i:02d}", f"/e{i % 15:02d}", "GET", 200, 1, None, None)
+    rows = [("2025-08-12 14:00:00", "INFO", "API_REQUEST", None if i < 3 else f"s{i:02d}", f"/e{i % 15:02d}", "GET", 200, 1, None, None)
             for i in range(30)]
     flagged = make_events(rows).withColumn("is_anomaly", F.lit(True))
     found = rules.anomaly_breakdowns(flagged).orderBy("dimension", "position").collect()
@@ -230,13 +265,31 @@ def test_breakdown_limits(spark, make_events):
     assert rules.anomaly_breakdowns(levels).where("dimension = 'log_level'").count() == 30
 
 
+def left_behind(spark):
+    """Scratch folders of runs that are over; fixtures keep theirs open."""
+    return [n for n in os.listdir(scratch_root(spark)) if n.startswith("run-")]
+
+
+def test_no_scratch_is_left_behind(spark, tmp_path, make_events):
+    before = left_behind(spark)
+    events = many(make_events, 40)
+    detection.run_detection(events, str(tmp_path))
+    reporting.run_analytics(events, str(tmp_path))
+    reporting.run_reporting(spark, events, str(tmp_path))
+    (tmp_path / "in.log").write_text("junk\n")
+    processing.process_logs(spark, str(tmp_path / "in.log"), str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        detection.run_detection(events, str(tmp_path), contamination=0.9)
+    assert left_behind(spark) == before
+
+
 def test_saved_detection(spark, traffic, tmp_path):
     result = detection.run_detection(traffic, str(tmp_path))
     saved = files.read_scored(spark, str(tmp_path / "anomalies"))
     assert saved.columns == SCORED_COLUMNS and saved.count() == 300
-    assert saved.select("id", "timestamp").exceptAll(result.select("id", "timestamp")).count() == 0
+    assert saved.select("id", "timestamp").exceptAll(traffic.select("id", "timestamp")).count() == 0
     text = spark.read.csv(str(tmp_path / "anomalies"), header=True)
-    assert text.where("id = 1").first()["timestamp"] == "2026-09-21 10:00:00"
+    assert text.where("id = 1").first()["timestamp"] == "2025-08-12 14:00:00"
     assert saved.where("is_anomaly").count() == result.where("is_anomaly").count()
     report = spark.read.json(str(tmp_path / "anomaly_report")).first()
     assert report["anomaly_count"] == result.where("is_anomaly").count()

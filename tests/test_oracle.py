@@ -4,9 +4,10 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
+from logquarry.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def duck():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert set(QUERIES) - set(ORACLE) == {
         "isolation_forest_scores", "anomaly_summary", "anomaly_breakdowns", "anomalous_events", "final_report",
     }

@@ -8,8 +8,8 @@ from logquarry.plans import detection, reporting
 from logquarry.sources import files
 
 ANOMALY = {
-    "total_records": 8, "anomaly_count": 3, "anomaly_rate": 37.5, "normal_count": 5, "server_error_count": 1,
-    "anomalies_by_event_type": {"API_REQUEST": 1, "DATABASE_ERROR": 1, "AUTH_FAILURE": 1},
+    "total_records": 10, "anomaly_count": 4, "anomaly_rate": 40.0, "normal_count": 6, "server_error_count": 2,
+    "anomalies_by_event_type": {"CACHE_ACCESS": 2, "API_REQUEST": 2},
 }
 
 
@@ -19,23 +19,23 @@ def no_report(spark):
 
 
 @pytest.fixture(scope="module")
-def operational(spark, sample, no_report):
-    return reports.operational_report(reporting.stored_summary(sample), no_report)
+def operational(sample, no_report, kept):
+    return reports.operational_report(reporting.stored_summary(sample, kept), no_report)
 
 
 def checks_of(events):
     return {r["check_name"]: r for r in quality.quality_checks(quality.measurements(events)).collect()}
 
 
-def test_quality_checks(sample, with_nulls):
+def test_quality_checks(sample, gaps):
     checks = checks_of(sample)
     assert len(checks) == 22
-    assert checks["service_completeness"]["message"] == "service: 0 NULL values (0.0%)"
-    assert (checks["status_completeness"]["value"], checks["status_completeness"]["status"]) == (2, "PASS")
+    assert checks["log_level_completeness"]["message"] == "log_level: 0 NULL values (0.0%)"
+    assert (checks["status_completeness"]["value"], checks["status_completeness"]["status"]) == (3, "PASS")
     assert checks["status_null_count"]["status"] == "WARN"
-    checks = checks_of(with_nulls)
-    assert (checks["service_completeness"]["status"], checks["service_null_count"]["value"]) == ("WARN", 2)
-    assert checks["endpoint_completeness"]["message"] == "endpoint: 2 NULL values (50.0%)"
+    checks = checks_of(gaps)
+    assert (checks["service_completeness"]["status"], checks["service_null_count"]["value"]) == ("WARN", 3)
+    assert checks["endpoint_completeness"]["message"] == "endpoint: 3 NULL values (60.0%)"
 
 
 def test_failing_checks(make_events, spark):
@@ -56,9 +56,9 @@ def test_failing_checks(make_events, spark):
 
 def test_score(sample, no_events):
     row = quality.quality_report(quality.measurements(sample)).first()
-    # five of six optional columns have gaps, each warned once
-    assert (row["quality_checks_passed"], row["quality_checks_failed"], row["quality_checks_warned"]) == (17, 0, 5)
-    assert row["quality_score"] == 77.3 and len(row["checks"]) == 22
+    # all six optional columns have gaps, each warned once
+    assert (row["quality_checks_passed"], row["quality_checks_failed"], row["quality_checks_warned"]) == (16, 0, 6)
+    assert row["quality_score"] == 72.7 and len(row["checks"]) == 22
     assert [c["check_name"] for c in row["checks"]][:2] == ["timestamp_completeness", "log_level_completeness"]
     empty = quality.quality_report(quality.measurements(no_events)).first()
     assert tuple(empty) == (0, None, None, 0, 0, 0, 0.0, [])
@@ -75,39 +75,49 @@ def test_score_with_twelve_passing_checks(make_events):
 
 def test_operational(operational):
     row = operational.first()
-    assert (row["total_events"], row["error_count"], row["warning_count"]) == (8, 2, 1)
-    assert (row["average_response_time_ms"], row["max_response_time_ms"], row["server_error_count"]) == (1062.86, 5000, 1)
-    assert [r["log_level"] for r in row["log_level_distribution"]] == ["INFO", "ERROR", "DEBUG", "WARN"]
-    assert [r["service"] for r in row["service_performance"]] == ["orders", "auth", "payments"]
-    assert [r["endpoint"] for r in row["slowest_endpoints"]] == ["/api/login", "/api/pay", "/api/users"]
+    assert (row["total_events"], row["error_count"], row["warning_count"]) == (10, 3, 2)
+    assert (row["average_response_time_ms"], row["max_response_time_ms"], row["server_error_count"]) == (290.38, 900, 2)
+    assert [r["log_level"] for r in row["log_level_distribution"]] == ["INFO", "ERROR", "WARN", "DEBUG"]
+    assert [r["service"] for r in row["service_performance"]] == ["shipping", "catalog", "search"]
+    assert [r["endpoint"] for r in row["slowest_endpoints"]] == ["/labels", "/find", "/items"]
     assert (row["anomaly_count"], row["anomaly_rate"], row["anomalies_by_service"]) == (0, 0.0, {})
 
 
-def test_findings(spark, sample, operational, no_report, no_events):
+def test_lists_of_the_document_are_bounded(make_events, no_report, area):
+    at = "2025-03-04 00:00:00"
+    rows = [(at, "ERROR", "API_REQUEST", f"s{i:02d}", f"/{i}", "GET", 200, i, None, None) for i in range(20)]
+    rows += [(at, "INFO", "API_REQUEST", "zz", "/z", "GET", 200, 1, None, None)] * 3
+    summary = reporting.stored_summary(make_events(rows), area)
+    report = reports.operational_report(summary, no_report, limit=5)
+    assert [r["service"] for r in report.first()["service_performance"]] == [f"s{i}" for i in range(19, 14, -1)]
+    assert reports.top_findings(report).orderBy("position").first()["finding"] == "Highest-volume service: zz with 3 events"
+
+
+def test_findings(spark, sample, operational, no_report, no_events, area):
     assert [r["finding"] for r in reports.top_findings(operational).orderBy("position").collect()] == [
-        "Highest-volume service: auth with 6 events",
-        "Highest error-count service: orders with 1 errors",
-        "Slowest endpoint: /api/login (avg 577.5 ms)",
+        "Highest-volume service: catalog with 3 events",
+        "Highest error-count service: shipping with 2 errors",
+        "Slowest endpoint: /labels (avg 800.0 ms)",
     ]
     report = spark.createDataFrame(
         [tuple(ANOMALY.get(f.name) for f in reports.ANOMALY_REPORT_SCHEMA)], reports.ANOMALY_REPORT_SCHEMA
     )
-    with_anomalies = reports.operational_report(reporting.stored_summary(sample), report)
+    with_anomalies = reports.operational_report(reporting.stored_summary(sample, area), report)
     assert [r["finding"] for r in reports.top_findings(with_anomalies).orderBy("position").collect()][3:] == [
-        "Detected 3 anomalies (37.5% of total events)",
-        "Highest anomaly-producing event type: API_REQUEST (1 anomalies)",
+        "Detected 4 anomalies (40.0% of total events)",
+        "Highest anomaly-producing event type: API_REQUEST (2 anomalies)",
     ]
-    nothing = reports.operational_report(reporting.stored_summary(no_events), no_report)
+    nothing = reports.operational_report(reporting.stored_summary(no_events, area), no_report)
     assert [tuple(r) for r in reports.top_findings(nothing).collect()] == [
         (1, "No significant anomalies detected in current dataset")
     ]
     kpi = reports.kpi_row(with_anomalies, quality.quality_report(quality.measurements(sample))).first()
-    assert tuple(kpi) == (8, 2, 1, 1062.86, 1, 3, 37.5, 77.3)
+    assert tuple(kpi) == (10, 3, 2, 290.38, 2, 4, 40.0, 72.7)
 
 
 def test_saved_reports(spark, make_events, tmp_path):
-    rows = [("2026-09-20 10:00:00", "INFO", "API_REQUEST", "auth", "/e", "GET", 200, 5 + i, "U", None) for i in range(39)]
-    events = make_events(rows + [("2026-09-20 11:00:00.25", "ERROR", "DATABASE_ERROR", "db", None, None, 503, 9000, None, None)])
+    rows = [("2025-06-02 07:00:00", "INFO", "API_REQUEST", "search", "/e", "GET", 200, 5 + i, "U", None) for i in range(39)]
+    events = make_events(rows + [("2025-06-02 08:00:00.25", "ERROR", "DATABASE_ERROR", "db", None, None, 503, 9000, None, None)])
     out = str(tmp_path)
     detection.run_detection(events, out)
     paths = reporting.run_reporting(spark, events, out)
@@ -122,16 +132,18 @@ def test_saved_reports(spark, make_events, tmp_path):
     assert summary.columns == ["check_name", "category", "status", "value", "threshold", "message"]
     assert summary.count() == 22
     assert final["dataset"] == {
-        "total_records": 40, "earliest_timestamp": "2026-09-20T10:00:00", "latest_timestamp": "2026-09-20T11:00:00.250000",
+        "total_records": 40, "earliest_timestamp": "2025-06-02T07:00:00", "latest_timestamp": "2025-06-02T08:00:00.250000",
     }
-    assert final["data_quality"]["earliest_timestamp"] == "2026-09-20 10:00:00"
+    for times in (final["data_quality"], dq):  # the two documents of a run agree
+        assert times["earliest_timestamp"] == "2025-06-02 07:00:00"
+        assert times["latest_timestamp"] == "2025-06-02 08:00:00.250000"
     anomalies = final["anomaly_detection"]["anomaly_count"]
     assert anomalies == final["operational_metrics"]["anomaly_count"] > 0
     assert document("operational_report")["anomalies_by_event_type"] == final["anomaly_detection"]["anomalies_by_event_type"]
-    assert final["top_findings"][0] == "Highest-volume service: auth with 39 events"
+    assert final["top_findings"][0] == "Highest-volume service: search with 39 events"
     text = [r["value"] for r in spark.read.text(paths["final_report_txt"]).collect()]
     assert text[0] == "# FINAL REPORT" and "5xx responses: 1" in text and f"Anomalies: {anomalies}" in text
-    assert "Time range: 2026-09-20T10:00:00 to 2026-09-20T11:00:00.250000" in text
+    assert "Time range: 2025-06-02T07:00:00 to 2025-06-02T08:00:00.250000" in text
     assert text[-1] == f"{len(final['top_findings'])}. {final['top_findings'][-1]}"
 
 
@@ -146,28 +158,29 @@ def test_reports_without_events(spark, no_events, tmp_path):
 
 @pytest.fixture(scope="module")
 def listed(make_events):
-    at = "2026-09-20 10:0%d:00"
+    at = "2025-05-01 12:0%d:00"
     rows = [
-        (at % 0, "INFO", "API_REQUEST", "auth", "/api/login", "POST", 200, 100, "U1", None),
-        (at % 1, "ERROR", "API_REQUEST", "auth", "/api/login", "POST", 500, 2000, "U2", None),
-        (at % 2, "INFO", "USER_LOGIN", "payments", None, None, None, None, None, None),
-        (at % 3, "WARN", "API_REQUEST", "auth", "/api/pay", "POST", 400, 80, "U3", None),
+        (at % 0, "DEBUG", "API_REQUEST", "search", "/find", "GET", 200, 75, "kim", None),
+        (at % 1, "WARN", "DATABASE_QUERY", "search", None, None, None, 310, None, None),
+        (at % 2, "ERROR", "API_REQUEST", "billing", "/bills", "POST", 503, 1200, "lee", None),
+        (at % 3, "DEBUG", "SERVICE_STOP", "billing", None, None, None, None, None, None),
+        (at % 4, "WARN", "API_REQUEST", "search", "/find", "GET", 404, 90, "kim", None),
     ]
-    return make_events(rows).withColumn("is_anomaly", F.col("id") == 2)
+    return make_events(rows).withColumn("is_anomaly", F.col("id").isin(2, 3))
 
 
 @pytest.mark.parametrize(
     "choice, ids",
     [
-        ({"service": "auth"}, [1, 2, 4]),
-        ({"log_level": "ERROR"}, [2]),
-        ({"event_type": "USER_LOGIN"}, [3]),
-        ({"anomaly_only": True}, [2]),
-        ({"min_response_time": 100}, [1, 2]),
-        ({"service": "nobody"}, []),
-        ({"service": "payments"}, [3]),
-        ({"service": "All", "log_level": "", "event_type": None}, [1, 2, 3, 4]),
-        ({"service": "auth", "min_response_time": 90, "anomaly_only": True}, [2]),
+        ({"service": "search"}, [1, 2, 5]),
+        ({"log_level": "WARN"}, [2, 5]),
+        ({"event_type": "SERVICE_STOP"}, [4]),
+        ({"anomaly_only": True}, [2, 3]),
+        ({"min_response_time": 90}, [2, 3, 5]),
+        ({"service": "Search"}, []),
+        ({"service": "billing", "log_level": "DEBUG"}, [4]),
+        ({"service": None, "log_level": "All", "event_type": ""}, [1, 2, 3, 4, 5]),
+        ({"service": "search", "min_response_time": 80, "anomaly_only": True}, [2]),
     ],
 )
 def test_facet_filter(listed, choice, ids):
@@ -176,23 +189,27 @@ def test_facet_filter(listed, choice, ids):
 
 def test_filters_on_absent_columns_are_skipped(listed):
     plain = listed.drop("is_anomaly", "response_time_ms")
-    assert facets.facet_filter(plain, anomaly_only=True, min_response_time=1).count() == 4
+    assert facets.facet_filter(plain, anomaly_only=True, min_response_time=1).count() == 5
 
 
 def test_facet_values(listed, no_events):
     def values(df, column):
-        return [r["value"] for r in facets.facet_values(df, column).collect()]
+        rows = facets.facet_values(df, column).collect()
+        assert [r["position"] for r in rows] == list(range(len(rows)))
+        return [r["value"] for r in rows]
 
-    assert values(listed, "service") == ["All", "auth", "payments"]
-    assert values(listed, "user_id") == ["All", "U1", "U2", "U3"]
+    assert values(listed, "service") == ["All", "billing", "search"]
+    assert values(listed, "user_id") == ["All", "kim", "lee"]
+    assert values(listed, "response_time_ms") == ["All", "75", "90", "310", "1200"]  # numbers in their own order
     assert values(listed, "no_such_column") == values(no_events, "service") == ["All"]
 
 
 def test_lists(listed, make_events):
     shown = facets.anomalous_events(listed)
     assert shown.columns == ["timestamp", "service", "event_type", "endpoint", "status", "response_time_ms"]
-    assert shown.count() == 1
-    many = make_events([("2026-09-20 10:00:00", "INFO" if i % 2 else "WARN", "USER_LOGIN", *[None] * 7) for i in range(700)])
-    recent = [r["id"] for r in facets.recent_events(many).collect()]
-    assert recent == list(range(401, 501))
-    assert [r["id"] for r in facets.recent_events(many, log_level="INFO").collect()] == list(range(302, 501, 2))
+    assert shown.count() == 2
+    many = make_events([("2025-05-01 12:00:00", "INFO" if i % 2 else "WARN", "USER_LOGIN", *[None] * 7) for i in range(700)])
+    assert [r["id"] for r in facets.recent_events(many).collect()] == list(range(601, 701))
+    assert [r["id"] for r in facets.recent_events(many, rows=3, log_level="INFO").collect()] == [696, 698, 700]
+    old = many.withColumn("log_level", F.when(F.col("id") < 9, "ERROR").otherwise("INFO"))
+    assert [r["id"] for r in facets.recent_events(old, log_level="ERROR").collect()] == list(range(1, 9))
