@@ -206,7 +206,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         .groupBy(*key)
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    found = covered.join(listed, key)
+    found = stored(covered.join(listed, key))  # a plain side, so that a text with very many copies can be split in the join
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return rows.join(found, key, "left").select(
