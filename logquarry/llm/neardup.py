@@ -252,7 +252,7 @@ def _links(texts: DataFrame, reps: DataFrame, threshold: float, block: int) -> D
     lead_comp = comps.select(F.col("node").alias("leader"), F.col("comp").alias("lead_comp"))
     placed = stored(comp_of.join(lead_comp, "leader", "left").withColumn("out", F.col("comp") != F.coalesce("lead_comp", "leader")))
     groups = placed.groupBy("leader").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("out").cast("long")).alias("outside"))
-    groups = groups.where("outside > 0 AND members > 2")
+    groups = stored(groups.where("outside > 0 AND members > 2"))  # a plain side: the join can split a hot leader
     rows = placed.where("leader <> node").join(groups, "leader")
     of = lambda n: F.ceil(F.col(n) / block).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("node", F.lit(n)), of(n)).cast("int")
