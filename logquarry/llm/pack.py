@@ -6,6 +6,7 @@ none is padded, and sequences of equal length stand next to each other in their
 """
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -23,6 +24,8 @@ MAX_LENGTH = 1024
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks: the same ids, several times faster
 SPECIAL = {"<|endoftext|>": 50256}  # recognised inside texts by that tokenizer
+PART_CHARS = 1 << 19  # a longer text is tokenized part by part
+_CUT = re.compile(r"\S(?= \S)")
 
 
 @cache
@@ -38,20 +41,46 @@ def piece_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
     return [most] * (n // most) + [1 << i for i in range(most.bit_length() - 2, -1, -1) if rest >> i & 1]
 
 
+def _parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
+    """A long text cut where no token can lie across: before a blank between two characters that are none."""
+    at = 0
+    while len(text) - at > size:
+        cut = _CUT.search(text, at + size)
+        if cut is None:
+            break
+        yield text[at : cut.start() + 1]
+        at = cut.start() + 1
+    yield text[at:]
+
+
+def _blocks(encode: tiktoken.Encoding, text: str, most: int, end_id: int) -> Iterator[np.ndarray]:
+    """A document's ids, ``end_id`` last, in arrays of ``most`` and a shorter rest; one part of the text at a time."""
+    held = np.zeros(0, "<u4")
+    for part in _parts(text):
+        held = np.concatenate([held, np.asarray(encode.encode(part, allowed_special="all"), "<u4")])
+        whole = len(held) // most * most
+        for at in range(0, whole, most):
+            yield held[at : at + most]
+        held = held[whole:]
+    held = np.append(held, np.array([end_id], "<u4"))
+    yield held
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], most: int, end_id: int, vocabulary: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encode = encoder(vocabulary)
     for batch in batches:
         row, start, length, crc, total, ids = [], [], [], [], [], []
         for i, text in enumerate(batch.column(1)):
-            tokens = np.asarray(encode.encode(text.as_py() or "", allowed_special="all") + [end_id], "<u4")
-            at = 0
-            for n in piece_lengths(len(tokens), most):
-                part = tokens[at : at + n]
-                row.append(i), start.append(at), length.append(n), total.append(len(tokens))
-                crc.append(zlib.crc32(part.tobytes()))
-                if with_ids:
-                    ids.append(part)
-                at += n
+            at, first = 0, len(row)
+            for block in _blocks(encode, text.as_py() or "", most, end_id):
+                for n in piece_lengths(len(block), most):
+                    part, block = block[:n], block[n:]
+                    row.append(i), start.append(at), length.append(n)
+                    crc.append(zlib.crc32(part.tobytes()))
+                    if with_ids:
+                        ids.append(part)
+                    at += n
+            total += [at] * (len(row) - first)
         out = [batch.column(0).take(pa.array(row, pa.int64()))] + [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         if with_ids:

@@ -11,6 +11,7 @@ give the score through a logistic curve fitted on labelled rows that the lexicon
 """
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,6 +31,9 @@ BEGINNINGS = (4, 5, 6)  # letters of a word's beginning that may become an entry
 LEAST_DOCS, LEAST_WEIGHT = 3, 2.5
 MOST_ENTRIES = 5_000
 THRESHOLD = 0.7
+BLOCK_CHARS = 1 << 20  # a longer text is matched block by block
+LONGEST_PHRASE = 64
+_BLANK = re.compile(r"\s")
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish")
 
 # Letters that look like a Latin one, and digits and signs used in place of a letter.
@@ -95,35 +99,69 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _word_blocks(text: str, size: int) -> Iterator[list[str]]:
+    """The folded words of a text, of a long one in blocks: it is cut after white space, where no word lies across."""
+    at, held = 0, []
+    while at < len(text):
+        cut = _BLANK.search(text, at + size) if len(text) - at > size else None
+        end = cut.end() if cut else len(text)
+        held += fold(text[at:end]).split()
+        at = end
+        if len(held) >= LONGEST_PHRASE:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 class Matcher:
     """The automaton over entries and exception phrases."""
 
     def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...]):
-        self.automaton = ahocorasick.Automaton()
+        self.automaton, self.reach = ahocorasick.Automaton(), 0
         for entry, weight in lexicon.items():
             self.automaton.add_word(entry, (len(entry), (weight, entry)))
         for phrase in exceptions:
-            key = " " + " ".join(fold(phrase).split()) + " "
+            words_of = fold(phrase).split()
+            if not 0 < len(words_of) <= LONGEST_PHRASE:
+                raise ValueError(f"an exception phrase needs 1 to {LONGEST_PHRASE} words: {phrase!r}")
+            key = f" {' '.join(words_of)} "
             self.automaton.add_word(key, (len(key), None))
+            self.reach = max(self.reach, len(words_of) - 1)
         self.empty = not len(self.automaton)
         self.automaton.make_automaton()
 
-    def weigh(self, text: str | None) -> tuple[float, int]:
-        """The sum of matched weights and the number of words."""
-        found = fold(text).split()
-        if self.empty or not found:
-            return 0.0, len(found)
+    def weigh(self, text: str | None, size: int = BLOCK_CHARS) -> tuple[float, int]:
+        """The sum of matched weights and the number of words. A long text is matched block by block."""
+        times: Counter = Counter()
+        count, before = 0, []
+        blocks = _word_blocks(text or "", size)
+        block = next(blocks, None)
+        while block:
+            after = next(blocks, None)
+            count += len(block)
+            times.update(self._found(before, block, after or []))
+            before = (before + block)[-self.reach :] if self.reach else []
+            block = after
+        return math.fsum(weight * (1 + math.log(n)) for (weight, _), n in times.items()), count
+
+    def _found(self, before: list[str], block: list[str], after: list[str]) -> list[tuple[float, str]]:
+        """The heaviest entry of each matched word of a block; its neighbours matter for exception phrases only."""
+        if self.empty:
+            return []
+        head = " ".join(["", *before]) if before else ""
+        own = f" {' '.join(block)}"
+        tail = " ".join(["", *after[: self.reach], ""])
         heaviest, excused = {}, []
-        for end, (size, weight) in self.automaton.iter(f" {' '.join(found)} "):
+        for end, (size, weight) in self.automaton.iter(head + own + (tail or " ")):
             start = end - size + 1
             if weight is None:
                 excused.append((start, end))
-            elif weight > heaviest.get(start, (0.0, "")):
+            elif len(head) <= start < len(head) + len(own) and weight > heaviest.get(start, (0.0, "")):
                 heaviest[start] = weight
         if excused:
             heaviest = {s: w for s, w in heaviest.items() if not any(a <= s < b for a, b in excused)}
-        times = Counter(heaviest.values())
-        return math.fsum(weight * (1 + math.log(n)) for (weight, _), n in times.items()), len(found)
+        return list(heaviest.values())
 
 
 def _weighed(batches: Iterator[pa.RecordBatch], lexicon, exceptions) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from logquarry.llm.pack import op5_pack, pack, piece_lengths
+from logquarry.llm import pack as packing
+from logquarry.llm.pack import _parts, op5_pack, pack, piece_lengths
 
 
 def test_piece_lengths():
@@ -14,6 +15,22 @@ def test_piece_lengths():
         assert len({x for x in got if x < 1024}) == sum(x < 1024 for x in got)
 
 
+def test_long_texts_are_cut_where_no_token_lies_across():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(6)
+    pieces = ["word", " ", "  ", "\n", " \n ", "é", "12", "'s", "!?", "<|endoftext|>", "日", "\u00a0", "a"]
+    cuts = 0
+    for _ in range(60):
+        text = "".join(rng.choice(pieces, 200))
+        parts = list(_parts(text, 20))
+        assert "".join(parts) == text
+        cuts += len(parts) - 1
+        ids = [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids]
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert cuts > 60
+    assert list(_parts("x" * 99, 10)) == ["x" * 99] and list(_parts("", 10)) == [""]
+
+
 def check(rows, docs):
     """Every id in one piece, digests of the reference tokenizer's ids, sequences numbered without gaps."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -40,6 +57,14 @@ def test_pack_small(make):
     assert pack(frame.limit(0)).count() == 0
 
 
+def test_blocks_of_a_long_text(monkeypatch):
+    text = "some words, and more of them\n" * 3000
+    whole = np.concatenate(list(packing._blocks(packing.encoder(), text, 1024, 0)))
+    monkeypatch.setattr(packing._parts, "__defaults__", (1000,))
+    parts = list(packing._blocks(packing.encoder(), text, 1024, 0))
+    assert all(len(x) == 1024 for x in parts[:-1]) and np.array_equal(np.concatenate(parts), whole)
+
+
 def test_query_on_the_smallest_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
+from logquarry.llm import toxicity
 from logquarry.llm.toxicity import Matcher, Model, fit_curve, fold, learn, op7_toxicity, prune, score
 
 LEXICON = {" idio": 3.0, " idiot ": 3.5, " trash ": 2.0, " lost": 1.0}
@@ -43,6 +44,17 @@ def test_matches_equal_brute_force(text):
     assert got[1] == want[1] and abs(got[0] - want[0]) < 1e-9
 
 
+def test_long_texts_are_matched_in_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "LONGEST_PHRASE", 5)
+    matcher = Matcher(LEXICON, ("trash can", "idiot of the year", "lost"))
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        text = " ".join(rng.choice(["trash", "can", "idiot", "of", "the", "year", "lost", "idiotic", "losten", "--"], 120))
+        assert matcher.weigh(text, 9) == matcher.weigh(text) and matcher.weigh(text)[0] == pytest.approx(
+            brute(text, LEXICON, ("trash can", "idiot of the year", "lost"))[0]
+        )
+
+
 def test_prune_drops_what_a_shorter_entry_finds():
     assert prune({" idio": 3.0, " idiot": 3.1, " idiot ": 4.0}) == {" idio": 3.0, " idiot ": 4.0}
 
