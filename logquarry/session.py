@@ -5,6 +5,8 @@ import functools
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,6 +96,21 @@ def session_area(spark: SparkSession) -> Scratch:
     return _area_of(spark.sparkContext.applicationId)
 
 
+@functools.cache
+def _ship(application_id: str) -> None:
+    package = Path(__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='logquarry-package-')}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a session: their Python need not have it installed."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def use_scratch(spark: SparkSession) -> None:
     """Give a plain local session without ``spark.checkpoint.dir`` a temporary scratch root."""
     sc = spark.sparkContext
