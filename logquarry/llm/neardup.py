@@ -291,7 +291,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     alone = F.when(F.col("n") > 0, F.col("comp"))
     keyed = rows.select("id", "place", alone.alias("comp"))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "place")).alias("first")
-    classes = keyed.where("comp IS NOT NULL").groupBy("comp").agg(first, F.count(F.lit(1)).alias("class_rows"))
+    classes = stored(keyed.where("comp IS NOT NULL").groupBy("comp").agg(first, F.count(F.lit(1)).alias("class_rows")))
     return keyed.join(classes, "comp", "left").select(
         F.col("id").alias("doc_id"),
         F.coalesce("first.id", "id").alias("class_id"),
