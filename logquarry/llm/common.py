@@ -149,6 +149,14 @@ def row_keys(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys[0], keys[1]
 
 
+def filter_bits(count: int, spare: int, most: int = 28) -> int:
+    """Bits for ``bitmap`` so that about 1 in 2^``spare`` other values pass; at most 2^28 bits, which are 32 MB.
+
+    Beyond that more values pass, which costs work but changes no result.
+    """
+    return min(most, max(20, count.bit_length() + spare))
+
+
 def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """A table of 2^``bits`` bits, set at the low bits of every value of a long column.
 

@@ -17,14 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import bitmap, grams, maybe_in, row_keys, slabs, stored, utf8, words
+from logquarry.llm.common import bitmap, filter_bits, grams, maybe_in, row_keys, slabs, stored, utf8, words
 
 SPAN = 13  # words of a window
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
 REACH = SPAN - GRAM  # words looked at on each side of a fingerprint
 CONTEXT = REACH + SPAN
-FILTER_BITS = 23
 
 _DOC_PAD, _ITEM_PAD = np.uint64(1), np.uint64(2)
 
@@ -165,13 +164,13 @@ def item_prints(items: DataFrame, item_column: str = "item_id", text_column: str
     return prints.distinct(), sorted(r["n_words"] for r in lengths)  # at most twelve lengths
 
 
-def hit_spans(docs: DataFrame, items: DataFrame, id_column="doc_id", text_column="text", item_column="item_id", item_text="text", filter_bits=FILTER_BITS):
+def hit_spans(docs: DataFrame, items: DataFrame, id_column="doc_id", text_column="text", item_column="item_id", item_text="text", bits: int | None = None):
     """(documents, spans): documents as (id, k1, k2, n_words); spans as (k1, k2, item_id, start, end) in words.
 
     ``k1, k2`` stand for the word sequence, so copies of a text share their spans and are matched once.
     """
     prints, short = item_prints(items, item_column, item_text)
-    table = bitmap(prints, "fp", filter_bits)
+    table = bitmap(prints, "fp", bits or filter_bits(prints.count(), 10))
     scanned = stored(_scanned(docs, id_column, text_column, short, table, False, _DOC_PAD))
     found = scanned.where(F.size("prints") > 0).select("k1", "k2", F.inline("prints")).distinct()
     met = found.join(prints, ["size", "fp"]).select("k1", "k2", "size", "pos", "around", "item_id", "item_around")
@@ -180,7 +179,7 @@ def hit_spans(docs: DataFrame, items: DataFrame, id_column="doc_id", text_column
     return scanned.drop("prints"), spans
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", share: int = 20, filter_bits: int = FILTER_BITS) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", share: int = 20, bits: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document word is hit when it lies in an occurrence of a window of an item: 13 consecutive item
@@ -189,7 +188,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     without id marks words but is not listed. Repeated rows each get their own result; without items
     nothing is hit. Ids may be of any type and other columns are ignored.
     """
-    rows, spans = hit_spans(docs, items, id_column, text_column, item_column, item_text, filter_bits)
+    rows, spans = hit_spans(docs, items, id_column, text_column, item_column, item_text, bits)
     spans = stored(spans)
     key = ["k1", "k2"]
     upto = F.max("end").over(Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))

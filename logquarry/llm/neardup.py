@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import _GOLDEN, bitmap, grams, maybe_in, mixed, row_keys, slabs, stored, utf8, words
+from logquarry.llm.common import _GOLDEN, bitmap, filter_bits, grams, maybe_in, mixed, row_keys, slabs, stored, utf8, words
 from logquarry.llm.components import components
 
 SHINGLE = 5
@@ -28,7 +28,6 @@ COMPONENTS, ROWS = 96, 4
 BANDS = COMPONENTS // ROWS
 LEAST_AGREE = COMPONENTS // 2  # at a similarity of 0.8 fewer equal components have a chance below 1e-10
 BLOCK = 256
-FILTER_BITS = 24
 
 
 def shingles(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,7 +229,7 @@ def _links(texts: DataFrame, reps: DataFrame, threshold: float, block: int) -> D
     star = stored(ranked.join(lead, "bucket").select("leader", "node").distinct())
 
     needed = stored(degree.select("node").join(reps.select("node", "k1", "k2", "n", "sig"), "node"))
-    table = texts.sparkSession.sparkContext.broadcast(bitmap(needed, "k1", FILTER_BITS))
+    table = texts.sparkSession.sparkContext.broadcast(bitmap(needed, "k1", filter_bits(needed.count(), 4)))
 
     def sets_of(batches):
         return _sets(batches, table.value)

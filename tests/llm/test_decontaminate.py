@@ -53,8 +53,8 @@ def test_winnow_keeps_the_rightmost_smallest_of_each_window():
     assert winnow(prints, np.ones(200, bool), 9).tolist() == want
 
 
-@pytest.mark.parametrize("filter_bits", [6, 20])
-def test_contamination_equals_brute_force(make, filter_bits):
+@pytest.mark.parametrize("bits", [6, None])
+def test_contamination_equals_brute_force(make, bits):
     rng = np.random.default_rng(5)
     w = [f"w{i}" for i in range(40)]
     say = lambda n: " ".join(rng.choice(w, n))
@@ -65,7 +65,7 @@ def test_contamination_equals_brute_force(make, filter_bits):
     docs += [(7, long[2]), (7, long[2]), (None, None), (None, long[1]), (200, ""), (201, "x " * 5000 + long[0])]
     docs += [(202, " ".join(long[0].split()[:12])), (203, items[-1][1])]
     frame = make([(i, t, "x", 1, None) for i, t in docs], "doc_id long, text string, item_id string, k1 int, prints string")
-    got = contamination(frame, make(items, "item_id long, text string"), filter_bits=filter_bits)
+    got = contamination(frame, make(items, "item_id long, text string"), bits=bits)
     assert sorted(map(tuple, got.collect()), key=str) == brute(docs, items)
 
 
