@@ -94,6 +94,37 @@ def parse_logs(spark, sf_dir):
     return _narrow(parse.parsed_only(parse.parse_lines(derived.raw_lines(spark, sf_dir))), "status", "response_time_ms")
 
 
+@_register
+def parse_numbers(spark, sf_dir):
+    """Statuses and times in every accepted spelling, and some that are not, parsed and validated."""
+    row, digits = F.col("id"), "0123456789"
+    status = F.coalesce("status", F.lit(200)).cast("string")
+    time = F.coalesce("response_time_ms", F.lit(5)).cast("string")
+    statuses = (
+        F.when(row % 7 == 1, F.concat(F.lit("+"), status))
+        .when(row % 7 == 2, F.concat(F.substring(status, 1, 1), F.lit("_"), F.substring(status, 2, 9)))
+        .when(row % 7 == 3, F.translate(status, digits, "٠١٢٣٤٥٦٧٨٩"))
+        .when(row % 7 == 4, F.concat(status, F.lit("0" * 25)))
+        .when(row % 7 == 5, "2__0")
+        .when(row % 7 == 6, F.concat(F.lit("00"), status))
+        .otherwise(status)
+    )
+    times = (
+        F.when(row % 5 == 1, "-0")
+        .when(row % 5 == 2, "123456789012345678901")
+        .when(row % 5 == 3, F.translate(time, digits, "०१२३४५६७८९"))
+        .when(row % 5 == 4, "-7")
+        .otherwise(time)
+    )
+    head = F.lit("2025-07-14 06:05:04,030 | INFO | API_REQUEST | service=search | status=")
+    line = F.concat(head, statuses, F.lit(" | response_time_ms="), times)
+    routed = processing.routed_records(derived.log_events(spark, sf_dir).select("id", line.alias("line")))
+    valid = F.col("outcome") == validate.VALID
+    return routed.select(
+        "id", "status", F.when(valid, F.col("response_time_ms").cast("string")).alias("response_time_ms"), "rejection_reason", "outcome"
+    )
+
+
 @_register
 def rejected_logs(spark, sf_dir):
     return validate.all_rejections(processing.routed_records(derived.raw_lines(spark, sf_dir)))
@@ -241,9 +272,7 @@ def csv_typing(spark, sf_dir):
     return load.type_rows(_csv_text(spark, sf_dir)).select("id", *RECORD_COLUMNS, "row_error")
 
 
-@_register
-def csv_row_errors(spark, sf_dir):
-    """Rows that would make a load fail, with the reason."""
+def _damaged_rows(spark, sf_dir):
     k = F.col("id") % 11
     damaged = (
         F.when(k == 5, "not-a-date")
@@ -253,8 +282,33 @@ def csv_row_errors(spark, sf_dir):
         .otherwise(F.col("timestamp"))
     )
     status = F.when(k == 9, "inf").when(k == 10, "3e9").otherwise(F.col("status"))
-    rows = _csv_text(spark, sf_dir).withColumns({"timestamp": damaged, "status": status})
-    return load.type_rows(rows).where(F.col("row_error").isNotNull()).select("id", "row_error")
+    return load.type_rows(_csv_text(spark, sf_dir).withColumns({"timestamp": damaged, "status": status}))
+
+
+@_register
+def csv_row_errors(spark, sf_dir):
+    """Rows that would make a load fail, with the reason."""
+    return _damaged_rows(spark, sf_dir).where(F.col("row_error").isNotNull()).select("id", "row_error")
+
+
+@_register
+def refused_load(spark, sf_dir):
+    """A load with bad rows after a good one: the message, and the table as the good one left it."""
+    order = {"file": F.lit(""), "block": F.lit(0), "row": F.col("id")}
+    name = f"load_{uuid.uuid4().hex}"
+    with Scratch(spark) as area:
+        try:
+            table.create_table(spark, name, 8, area.path("table"))
+            table.load_rows(spark, derived.hashed_log_events(spark, sf_dir).withColumns(order), name)
+            message = None
+            try:
+                table.load_rows(spark, _damaged_rows(spark, sf_dir).withColumns(order), name)
+            except ValueError as refusal:
+                message = str(refusal)
+            found = table.log_events(spark, name).agg(F.count(F.lit(1)), F.max("id")).first()
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame([(message, *found)], "message string, total_rows bigint, last_id bigint")
 
 
 @_register

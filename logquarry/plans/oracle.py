@@ -253,6 +253,18 @@ PROCESSING["validate_structured"] = _over_events(
     WHERE errors <> ''"""
 )
 
+PROCESSING["parse_numbers"] = _over_events(
+    f"""SELECT id, CASE WHEN rejection_reason IS NULL THEN CAST(s AS INTEGER) END AS status,
+        CASE WHEN rejection_reason IS NULL THEN CASE id % 5 WHEN 1 THEN '0' WHEN 2 THEN '123456789012345678901'
+            ELSE r END END AS response_time_ms, rejection_reason,
+        CASE WHEN id % 7 = 5 OR id % 5 = 4 THEN 'malformed' WHEN id % 7 = 4 THEN 'invalid' ELSE 'valid' END AS outcome
+    FROM (SELECT *, CASE WHEN id % 7 = 5 THEN 'Invalid status value: 2__0'
+            WHEN id % 5 = 4 THEN 'Negative response_time_ms: -7'
+            WHEN id % 7 = 4 THEN 'Out-of-range status: ' || s || '{"0" * 25}' END AS rejection_reason
+          FROM (SELECT id, CAST(coalesce(status, 200) AS VARCHAR) AS s,
+                CAST(coalesce(response_time_ms, 5) AS VARCHAR) AS r FROM log_events))"""
+)
+
 # --- loading ---------------------------------------------------------------------------------------
 
 
@@ -284,6 +296,10 @@ LOADING = {
             WHEN 9 THEN 'status out of range: inf' WHEN 10 THEN 'status out of range: 3e9' END AS row_error
         FROM log_events WHERE id % 11 IN (5, 6, 8, 9, 10)"""
     ),
+    "refused_load": f"""WITH {LOG_EVENTS}, kept AS (SELECT count(DISTINCT record_hash) AS n FROM ({_hash("log_events")})),
+        bad AS (SELECT min(id) AS id FROM log_events WHERE id % 11 = 5)
+        SELECT 'Row ' || ((SELECT count(*) FROM log_events, bad WHERE log_events.id < bad.id) + 2)
+            || ': Invalid timestamp format: not-a-date' AS message, n AS total_rows, n AS last_id FROM kept""",
     "record_hash": _over_events(f"SELECT id, record_hash FROM ({_hash('log_events')})"),
     "idempotent_load": f"{SECOND_LOAD} SELECT *, CAST(0 AS INTEGER) AS copy FROM fresh",
     "load_stats": f"""{SECOND_LOAD} SELECT 2 * (SELECT count(*) FROM incoming) AS input_records,
