@@ -26,7 +26,7 @@ from logquarry.llm.common import stored
 K = 10
 BITS = 64
 SEGMENT_BITS = 16
-ROW_BLOCK, QUERY_BLOCK = 1 << 17, 1 << 11
+ROW_BLOCK, QUERY_BLOCK = 1 << 17, 1 << 14
 QUERY_EVERY = 50
 
 
