@@ -4,7 +4,7 @@ Winnowing keeps the smallest k-gram hash of every window of w consecutive k-gram
 k + w - 1 words share a whole window, so they keep the same k-gram there: with k = 5 and w = 9 no shared
 span of 13 words is missed. An item shorter than that is its own single fingerprint (k = its length, w = 1).
 
-Documents send on only fingerprints that a bit table of fixed size may know; these meet the items'
+Documents send on only fingerprints that a bit table of bounded size may know; these meet the items'
 fingerprints in an ordinary join. Each meeting carries the words around both places, and the hit is
 extended word by word; it counts when the run reaches the window's length. Words are compared by 64-bit
 hashes: a wrong hit would need thirteen collisions in a row.
@@ -115,7 +115,9 @@ def _scan(batches: Iterator[pa.RecordBatch], short: list[int], table, own_short:
             )
 
 
-def _scanned(df: DataFrame, id_column: str, text_column: str, short: list[int], table, own_short: bool, pad) -> DataFrame:
+def _scanned(
+    df: DataFrame, id_column: str, text_column: str, short: list[int], table, own_short: bool, pad
+) -> DataFrame:
     source = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     shared = None if table is None else df.sparkSession.sparkContext.broadcast(table)
@@ -153,7 +155,9 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def item_prints(items: DataFrame, item_column: str = "item_id", text_column: str = "text") -> tuple[DataFrame, list[int]]:
+def item_prints(
+    items: DataFrame, item_column: str = "item_id", text_column: str = "text"
+) -> tuple[DataFrame, list[int]]:
     """(size, fp, item_id, item_around) of all items, and the lengths of the items shorter than a window."""
     every = list(range(1, SPAN))
     scanned = stored(_scanned(items, item_column, text_column, every, None, True, _ITEM_PAD))
@@ -164,7 +168,15 @@ def item_prints(items: DataFrame, item_column: str = "item_id", text_column: str
     return prints.distinct(), sorted(r["n_words"] for r in lengths)  # at most twelve lengths
 
 
-def hit_spans(docs: DataFrame, items: DataFrame, id_column="doc_id", text_column="text", item_column="item_id", item_text="text", bits: int | None = None):
+def hit_spans(
+    docs: DataFrame,
+    items: DataFrame,
+    id_column="doc_id",
+    text_column="text",
+    item_column="item_id",
+    item_text="text",
+    bits: int | None = None,
+):
     """(documents, spans): documents as (id, k1, k2, n_words); spans as (k1, k2, item_id, start, end) in words.
 
     ``k1, k2`` stand for the word sequence, so copies of a text share their spans and are matched once.
@@ -179,7 +191,16 @@ def hit_spans(docs: DataFrame, items: DataFrame, id_column="doc_id", text_column
     return scanned.drop("prints"), spans
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", share: int = 20, bits: int | None = None) -> DataFrame:
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text: str = "text",
+    share: int = 20,
+    bits: int | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document word is hit when it lies in an occurrence of a window of an item: 13 consecutive item

@@ -130,7 +130,9 @@ def _search_block(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataF
     return pd.concat(out, ignore_index=True)
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = K, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def top_k(
+    rows: DataFrame, queries: DataFrame, k: int = K, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK
+) -> DataFrame:
     """(query_id, rank, neighbour_id, distance): the k nearest of ``rows`` (id, code) to each of ``queries`` (id, code).
 
     Distances are exact Hamming distances; ties go to the smaller id. Ids are longs, and a query that is

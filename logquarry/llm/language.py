@@ -120,7 +120,16 @@ def _probabilities(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, classes: int, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> tuple[np.ndarray, np.ndarray]:
+def fit_ftrl(
+    rows: list[tuple[np.ndarray, np.ndarray]],
+    label: np.ndarray,
+    classes: int,
+    epochs: int = EPOCHS,
+    alpha: float = ALPHA,
+    beta: float = BETA,
+    l1: float = L1,
+    l2: float = L2,
+) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-Proximal over sparse rows (buckets, values): weights (classes x buckets) and bias.
 
     Per weight it keeps the sum of squared gradients and the shifted sum of gradients; the weight follows
@@ -176,7 +185,9 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def learn(docs: DataFrame, lang_column: str = "lang", parts: int = 4, part: int = 2, per_label: int = SAMPLE_PER_LABEL) -> Model:
+def learn(
+    docs: DataFrame, lang_column: str = "lang", parts: int = 4, part: int = 2, per_label: int = SAMPLE_PER_LABEL
+) -> Model:
     """The model of labelled ``docs`` (doc_id, text, lang) that are not held out.
 
     Document frequencies cover the texts of all documents. The weights come from at most about

@@ -53,7 +53,9 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple
     return values[at], np.diff(at, append=len(values)), np.searchsorted(at, bounds)
 
 
-def prob_minhash(values: np.ndarray, weights: np.ndarray, offsets: np.ndarray, m: int = COMPONENTS, slack: float = 3.0) -> np.ndarray:
+def prob_minhash(
+    values: np.ndarray, weights: np.ndarray, offsets: np.ndarray, m: int = COMPONENTS, slack: float = 3.0
+) -> np.ndarray:
     """ProbMinHash signatures (rows x m) of weighted sets: the share of equal components estimates J_P.
 
     Every element is a Poisson process of its weight as rate; each arrival falls on a random component, and
@@ -268,7 +270,13 @@ def _links(texts: DataFrame, reps: DataFrame, threshold: float, block: int) -> D
     return stored(links.union(more))
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    threshold: float = THRESHOLD,
+    block: int = BLOCK,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of its class), class_rows, kept.
 
     Rows of equal words are always in one class; A-Z equals a-z and all but words is ignored. A null or

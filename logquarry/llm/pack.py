@@ -66,7 +66,9 @@ def _blocks(encode: tiktoken.Encoding, text: str, most: int, end_id: int) -> Ite
     yield held
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int, end_id: int, vocabulary: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _pieces(
+    batches: Iterator[pa.RecordBatch], most: int, end_id: int, vocabulary: str, with_ids: bool
+) -> Iterator[pa.RecordBatch]:
     encode = encoder(vocabulary)
     for batch in batches:
         row, start, length, crc, total, ids = [], [], [], [], [], []
@@ -89,7 +91,15 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int, end_id: int, vocabular
         yield pa.RecordBatch.from_arrays(out, names=names)
 
 
-def pack(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most: int = MAX_LENGTH, end_id: int = END_ID, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    most: int = MAX_LENGTH,
+    end_id: int = END_ID,
+    vocabulary: str = VOCABULARY,
+    with_ids: bool = False,
+) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` on request.
 
     Each piece is the sequence ``sequence_id``; these are numbered without gaps, the longest bucket first,

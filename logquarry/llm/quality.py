@@ -140,7 +140,16 @@ def _pair_tree(gradient: np.ndarray, hessian: np.ndarray) -> tuple[np.ndarray, f
     return out, float(gains[i, j])
 
 
-def fit(values: np.ndarray, label: np.ndarray, weight: np.ndarray, bins: int = BINS, rounds: int = ROUNDS, pair_rounds: int = PAIR_ROUNDS, n_pairs: int = PAIRS, rate: float = RATE) -> Model:
+def fit(
+    values: np.ndarray,
+    label: np.ndarray,
+    weight: np.ndarray,
+    bins: int = BINS,
+    rounds: int = ROUNDS,
+    pair_rounds: int = PAIR_ROUNDS,
+    n_pairs: int = PAIRS,
+    rate: float = RATE,
+) -> Model:
     """The model of a bounded sample. Without rows, or with one label only, it is a constant."""
     count = values.shape[1] if values.ndim == 2 else len(FEATURES)
     if not len(label):
@@ -201,7 +210,9 @@ def featured(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(_featured, f"doc_id {kind}, features array<float>")
 
 
-def learn(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_label: int = SAMPLE_PER_LABEL) -> Model:
+def learn(
+    docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, per_label: int = SAMPLE_PER_LABEL
+) -> Model:
     """The model of labelled ``docs`` (doc_id, text) that are not held out.
 
     At most about ``per_label`` rows of either label are used, chosen by a hash of their ids; only their

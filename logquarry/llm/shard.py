@@ -30,7 +30,14 @@ def schedule(sizes: list[int], shards: int) -> list[int]:
     return out
 
 
-def shard_by_size(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", group_column: str | None = None, shards: int = SHARDS, units: int = UNITS) -> DataFrame:
+def shard_by_size(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    group_column: str | None = None,
+    shards: int = SHARDS,
+    units: int = UNITS,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Size is the text's UTF-8 bytes plus 8. Rows of equal ``group_column`` stay together; without one, rows

@@ -181,7 +181,9 @@ def _inputs(total: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(100 * total / np.maximum(words, 1))], axis=1)
 
 
-def fit_curve(total: np.ndarray, words: np.ndarray, label: np.ndarray, weight: np.ndarray, penalty: float = 0.05) -> tuple[float, float, float]:
+def fit_curve(
+    total: np.ndarray, words: np.ndarray, label: np.ndarray, weight: np.ndarray, penalty: float = 0.05
+) -> tuple[float, float, float]:
     """Logistic regression by Newton's method with a small penalty, so that perfectly split rows stay finite."""
     x, beta = _inputs(total, words), np.zeros(3)
     scale = weight / weight.sum() if len(weight) else weight
@@ -225,7 +227,14 @@ def _without_copies(rows: DataFrame) -> DataFrame:
     return stored(keyed.withColumn("first", first).where("first").select("text", "label"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, per_label: int = SAMPLE_PER_LABEL, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    parts: int = 3,
+    part: int = 1,
+    per_label: int = SAMPLE_PER_LABEL,
+    exceptions: tuple[str, ...] = EXCEPTIONS,
+) -> Model:
     """Lexicon and curve from labelled ``docs`` (doc_id, text) that are not held out.
 
     At most about ``per_label`` rows of either label are used, chosen by a hash of their ids: three

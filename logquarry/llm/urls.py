@@ -104,7 +104,14 @@ def _judge(batches: Iterator[pa.RecordBatch], trie: _Node) -> Iterator[pa.Record
         )
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_column: str = "page_id", url_column: str = "url", default: str = ALLOW, rules_per_trie: int = RULES_PER_TRIE) -> DataFrame:
+def filter_urls(
+    pages: DataFrame,
+    rules: list[tuple[str, str, str]],
+    id_column: str = "page_id",
+    url_column: str = "url",
+    default: str = ALLOW,
+    rules_per_trie: int = RULES_PER_TRIE,
+) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule (null when none fits) and verdict.
 
     A null url, or one without ``://``, has an empty host and path and fits no rule with a host. Repeated

@@ -53,7 +53,9 @@ def _line(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def write_record(out, page_id, url: str | None, payload, size: int, digest: str, refers_to, revisits: bool, date: str = DATE) -> None:
+def write_record(
+    out, page_id, url: str | None, payload, size: int, digest: str, refers_to, revisits: bool, date: str = DATE
+) -> None:
     """One gzip member: headers, the HTTP head, and the payload in slices unless the record is a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     head = [
@@ -176,7 +178,15 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, chunk: int, with_data:
     yield pa.RecordBatch.from_pylist(rows, _CHUNKS)
 
 
-def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str | None = "url", payload_column: str = "html", least_bytes: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def write_archives(
+    pages: DataFrame,
+    folder: str,
+    id_column: str = "page_id",
+    url_column: str | None = "url",
+    payload_column: str = "html",
+    least_bytes: int = LEAST_BYTES,
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> DataFrame:
     """Write a record per row of ``pages`` and return the archives (path, records), names below ``folder``.
 
     Of rows with equal payloads of at least ``least_bytes`` bytes the one with the largest id is the
