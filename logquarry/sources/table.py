@@ -93,7 +93,9 @@ def _row_number(staged: DataFrame, bad) -> int:
     return staged.where((F.col("file") == bad["file"]) & before).count() + 2
 
 
-def load_rows(spark: SparkSession, rows: DataFrame, table: str = "log_events", buckets: int | None = None) -> dict[str, int]:
+def load_rows(
+    spark: SparkSession, rows: DataFrame, table: str = "log_events", buckets: int | None = None
+) -> dict[str, int]:
     """Append records that the table does not hold yet, all or nothing.
 
     ``rows`` are the record columns with ``record_hash``, the order ``file``, ``block``, ``row`` (``row``
