@@ -131,10 +131,10 @@ def filter_urls(
     )
     kind = df.schema["id"].dataType.simpleString()
     for i in range(0, len(rules), rules_per_trie):
-        trie = df.sparkSession.sparkContext.broadcast(rules[i : i + rules_per_trie])
+        trie = df.sparkSession.sparkContext.broadcast(build_trie(rules[i : i + rules_per_trie]))
 
         def judge(batches, trie=trie):
-            return _judge(batches, build_trie(trie.value))
+            return _judge(batches, trie.value)
 
         df = df.mapInArrow(judge, f"id {kind}, host string, path string, depth int, size int, rule string, verdict string")
     return df.select(F.col("id").alias("page_id"), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
