@@ -1,6 +1,7 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification (operator 3).
 
-A document's weighted set holds its distinct five-word shingles, each weighing 1 + ln(occurrences). Its
+A document's set holds its distinct five-word shingles, all of weight one, however often they occur: so the
+probability Jaccard that signatures estimate is the Jaccard similarity that links are defined by. The
 ProbMinHash signature has 96 components; 24 bands of four make buckets, in which two texts of similarity
 0.8 fail to meet with a chance of about 3 in a million. Two texts are linked when the exact Jaccard
 similarity of their distinct shingles is at least 0.8; the links' connected components are the classes.
@@ -99,8 +100,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in slabs(bounds):
             hashes, offsets = words(data, bounds[first : last + 1])
             k1, k2 = row_keys(hashes, offsets)
-            values, counts, parts = shingles(hashes, offsets)
-            sig = prob_minhash(values, 1.0 + np.log(counts), parts)
+            values, _, parts = shingles(hashes, offsets)
+            sig = prob_minhash(values, np.ones(len(values)), parts)  # a weight by occurrences would part copies whose repeats differ
             n = np.diff(parts)
             bands = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * _GOLDEN
             for r in range(ROWS):

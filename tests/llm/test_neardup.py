@@ -95,6 +95,19 @@ def test_classes_equal_brute_force_with_small_and_large_blocks(make):
     assert abs(sum(1 / r["class_rows"] for r in rows) - len(kept)) < 1e-6
 
 
+def test_copies_whose_repeats_differ(make):
+    """A passage that one copy repeats hardly changes the set of shingles, so the copies are one class."""
+    rng = np.random.default_rng(12)
+    docs = []
+    for i in range(40):
+        text = [f"t{i}x{k}" for k in rng.integers(0, 900, 200)]
+        docs += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text[:100] + text[50:100] * (200 + 20 * i) + text[100:]))]
+    want = brute(docs)
+    assert all(n == 2 for _, _, n in want)
+    rows = near_duplicates(make(docs, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((tuple(r)[:3] for r in rows), key=str) == want
+
+
 def test_empty_table(make):
     assert near_duplicates(make([], "doc_id long, text string")).count() == 0
 
