@@ -23,6 +23,15 @@ def _without(docs: DataFrame, gone: DataFrame, condition) -> DataFrame:
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, condition, "left_anti")
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _row_key():
+    """What a row is known by: its id and a hash of its text, so rows that share an id but not the text are told apart."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), _text_hash().alias("text"))
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic. The model is learned from the labelled ones among ``docs``."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -41,9 +50,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A row is known by its id and a hash of its text, so rows that share an id but not the text are told
     apart; of rows that share both, the first by n_chars stays.
     """
-    text = F.xxhash64(F.coalesce("text", F.lit("")))
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), text.alias("text"))
-    classes = stored(neardup.near_duplicates(docs.select(key.alias("_key"), "text"), "_key"))
+    text = _text_hash()
+    classes = stored(neardup.near_duplicates(docs.select(_row_key().alias("_key"), "text"), "_key"))
     keys = classes.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_text"), "kept")
     counted = keys.groupBy("_id", "_text").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text == F.col("_text"))
@@ -55,10 +63,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark does not contaminate. Of rows that share an id all go when one is contaminated."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    ids = found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return _without(docs, ids, F.col("doc_id").eqNullSafe(F.col("_id")))
+    """Documents that the benchmark does not contaminate. Clean rows stay, also those that share a contaminated row's id."""
+    keyed = docs.select(_row_key().alias("_key"), "text")
+    found = decontaminate.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_key")
+    gone = found.where("contaminated").select(F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_text")).distinct()
+    return _without(docs, gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_text")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

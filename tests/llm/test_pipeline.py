@@ -45,6 +45,17 @@ def test_near_dedup_and_decontamination_equal_brute_force(spark, make, tmp_path)
     assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == [g for g in got if g[0] not in bad]
 
 
+def test_clean_rows_of_a_null_or_repeated_id_stay(spark, make, tmp_path, monkeypatch):
+    docs, item = odd_documents()
+    make([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, "one clean text"), (None, "another clean text"), (None, None), (400, "clean namesake"), (400, None)]
+    bad = [(None, item), (None, docs[9][1][:50] + " " + item), (400, item), (400, item)]
+    for _ in range(2):
+        got = corpus_pipeline.decontamination_stage(spark, frame_of(make, clean + bad), str(tmp_path)).collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(clean, key=str)
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", 0)
+
+
 def test_more_ids_than_may_be_broadcast(spark, make, tmp_path, monkeypatch):
     docs, item = odd_documents()
     make([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
