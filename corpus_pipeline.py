@@ -14,6 +14,7 @@ from logquarry.llm.common import checkpoint_folder, stored
 
 ORACLE_SQL = None  # learned models and signatures have no SQL; tests compare the stages with plain Python
 
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"  # a character of a word, as in logquarry.llm.common
 BROADCAST_ROWS = 500_000  # of ids to drop; more are joined by shuffling
 
 
@@ -48,18 +49,20 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate class: the one with the smallest id. Wordless texts all stay.
 
     A row is known by its id and a hash of its text, so rows that share an id but not the text are told
-    apart; of rows that share both, the first by n_chars stays.
+    apart; of rows with words that share both, the first by n_chars stays.
     """
     text = _text_hash()
     classes = stored(neardup.near_duplicates(docs.select(_row_key().alias("_key"), "text"), "_key"))
     keys = classes.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_text"), "kept")
-    counted = keys.groupBy("_id", "_text").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    counted = keys.groupBy("_id", "_text").agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text == F.col("_text"))
-    rows = _without(docs, counted.where("NOT kept").select("_id", "_text"), same)
-    if counted.where("kept AND n > 1").isEmpty():
+    rows = _without(docs, counted.where("kept = 0").select("_id", "_text"), same)
+    if counted.where("kept > 0 AND kept < n").isEmpty():
         return rows
+    worded = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
     again = F.row_number().over(Window.partitionBy("doc_id", text).orderBy("n_chars"))
-    return rows.withColumn("_again", again).where("_again = 1").drop("_again")
+    firsts = rows.where(worded).withColumn("_again", again).where("_again = 1").drop("_again")
+    return firsts.unionByName(rows.where(~worded))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,14 @@ def test_near_dedup_and_decontamination_equal_brute_force(spark, make, tmp_path)
     assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == [g for g in got if g[0] not in bad]
 
 
+def test_wordless_rows_all_stay(spark, make, tmp_path):
+    wordless = [(None, None), (None, None), (None, ""), (5, "!!"), (5, "!!"), (6, None), (6, "")]
+    worded = [(None, "é"), (None, "é"), (7, "a b"), (7, "a b"), (8, "0")]
+    got = corpus_pipeline.near_dedup_stage(spark, frame_of(make, wordless + worded), str(tmp_path)).collect()
+    want = wordless + [(None, "é"), (7, "a b"), (8, "0")]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_clean_rows_of_a_null_or_repeated_id_stay(spark, make, tmp_path, monkeypatch):
     docs, item = odd_documents()
     make([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
