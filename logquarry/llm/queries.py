@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, hamming, language, neardup, pack, quality, shard, toxicity, urls, warc
+from logquarry.llm import decontaminate, hamming, language, neardup, pack, pages, quality, shard, toxicity, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_warc": warc.op9_warc,
     "op10_language": language.op10_language,
+    "op11_extract_text": pages.op11_extract_text,
 }
 ORACLE_SQL = {
     "op1_decontaminate": decontaminate.OP1_SQL,
