@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from logquarry.llm import decontaminate, hamming, language, neardup, pack, pages, phrases, quality, shard, toxicity, urls, warc
+from logquarry.llm import decontaminate, hamming, language, neardup, negatives, pack, pages, phrases, quality, shard, toxicity, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_language": language.op10_language,
     "op11_extract_text": pages.op11_extract_text,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
     "op13_collocations": phrases.op13_collocations,
 }
 ORACLE_SQL = {
@@ -21,5 +22,6 @@ ORACLE_SQL = {
     "op2_url_filter": urls.OP2_SQL,
     "op6_hamming_search": hamming.OP6_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op12_hard_negatives": negatives.OP12_SQL,
     "op13_collocations": phrases.OP13_SQL,
 }
