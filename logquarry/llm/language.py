@@ -2,7 +2,8 @@
 
 A text is lower-cased, its letters kept and everything else made a blank; its n-grams of one to three
 characters, words marked by blanks, are hashed to 2^15 buckets. A bucket's value is its share of the text's
-n-grams times its inverse document frequency, which is counted over all documents. The weights are learned
+n-grams times its inverse document frequency, which is counted over
+the documents that the model may learn from: those that have a language and are not held out. The weights are learned
 by follow-the-regularised-leader with elastic-net penalties, which leave most of them exactly zero, on a
 bounded sample of labelled rows. A temperature fitted on a part of the sample kept aside scales the scores.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.llm.common import slabs, utf8
-from logquarry.llm.learn import held_out, label_sample
+from logquarry.llm.learn import held_out, label_sample, one_row
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -135,7 +136,9 @@ def fit_ftrl(
     Per weight it keeps the sum of squared gradients and the shifted sum of gradients; the weight follows
     in closed form, zero while that sum stays within the l1 penalty.
     """
-    z, n = np.zeros((classes, BUCKETS + 1)), np.zeros((classes, BUCKETS + 1))
+    used = np.unique(np.concatenate([at for at, _ in rows])) if rows else np.zeros(0, int)  # all others stay zero
+    rows = [(np.searchsorted(used, at), x) for at, x in rows]
+    z, n = np.zeros((classes, len(used) + 1)), np.zeros((classes, len(used) + 1))
 
     def weights(at):
         zi, ni = z[:, at], n[:, at]
@@ -144,7 +147,7 @@ def fit_ftrl(
     order = np.random.default_rng(11)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            at, x = np.append(rows[i][0], BUCKETS), np.append(rows[i][1], 1.0)
+            at, x = np.append(rows[i][0], len(used)), np.append(rows[i][1], 1.0)
             w = weights(at)
             p = _probabilities(w @ x)
             p[label[i]] -= 1
@@ -152,8 +155,9 @@ def fit_ftrl(
             before = n[:, at]
             z[:, at] += g - (np.sqrt(before + g * g) - np.sqrt(before)) / alpha * w
             n[:, at] = before + g * g
-    w = weights(np.arange(BUCKETS + 1))
-    return w[:, :-1], w[:, -1]
+    w, out = weights(np.arange(len(used) + 1)), np.zeros((classes, BUCKETS))
+    out[:, used] = w[:, :-1]
+    return out, w[:, -1]
 
 
 def fit_temperature(logits: np.ndarray, label: np.ndarray) -> float:
@@ -185,28 +189,35 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def document_frequencies(texts: DataFrame) -> dict[int, int]:
+    """Texts that hold each bucket, and under -1 all texts with letters."""
+    counted = texts.mapInArrow(_document_frequencies, "bucket bigint, docs bigint")
+    found = counted.groupBy("bucket").agg(F.sum("docs").alias("docs")).toArrow()
+    return dict(zip(found["bucket"].to_pylist(), found["docs"].to_pylist()))
+
+
 def learn(
     docs: DataFrame, lang_column: str = "lang", parts: int = 4, part: int = 2, per_label: int = SAMPLE_PER_LABEL
 ) -> Model:
     """The model of labelled ``docs`` (doc_id, text, lang) that are not held out.
 
-    Document frequencies cover the texts of all documents. The weights come from at most about
-    ``per_label`` rows of each language, chosen by a hash of their ids; a fifth of those is kept aside for
-    the temperature. What reaches the driver are 2^15 counts and the sample's n-gram counts.
+    Document frequencies cover the texts of all these rows; held-out texts and those without a language
+    shape nothing. The weights come from at most about ``per_label`` rows of each language, chosen by a hash
+    of their ids, one row for each id; a fifth of those is kept aside for the temperature. What reaches the
+    driver are 2^15 counts and the sample's n-gram counts.
     """
     text = F.col("text").cast("string").alias("text")
-    counted = docs.select(text).mapInArrow(_document_frequencies, "bucket bigint, docs bigint")
-    found = counted.groupBy("bucket").agg(F.sum("docs").alias("docs")).toArrow()
-    frequency = dict(zip(found["bucket"].to_pylist(), found["docs"].to_pylist()))
+    rows = docs.select("doc_id", F.col(lang_column).cast("string").alias("label"), text)
+    rows = rows.where(~held_out(F.col("doc_id"), parts, part) & F.col("label").isNotNull())
+    frequency = document_frequencies(rows.select("text"))
     total = frequency.pop(-1, 0)
     idf = np.full(BUCKETS, np.log(1 + total))
     at = np.array(list(frequency), np.int64)
     idf[at] = np.log((1 + total) / (1 + np.array(list(frequency.values())))) if len(at) else 0
     idf = SCALE * (idf + 1)
 
-    rows = docs.select("doc_id", F.col(lang_column).cast("string").alias("label"), text).where(~held_out(F.col("doc_id"), parts, part))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    chosen = label_sample(rows, per_label).select("doc_id", "label", "text")
+    chosen = one_row(label_sample(rows, per_label).select("doc_id", "label", "text"))
     sample = chosen.mapInArrow(_sample_rows, f"doc_id {kind}, label string, buckets array<int>, counts array<int>").where(F.size("buckets") > 0)
     got = sample.withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).orderBy("doc_id", "label").toArrow()
     labels = sorted(set(got["label"].to_pylist()))

@@ -3,8 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logquarry.llm.common import stored
+
 _PARTS = 1 << 20
-MOST_LABELS = 1000
+FEW = 10_000  # labels whose shares are broadcast; more are joined by shuffling
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -25,11 +27,21 @@ def label_sample(rows: DataFrame, per_label: int, seed: int = 1) -> DataFrame:
     with a null id or label are left out.
     """
     rows = rows.where("doc_id IS NOT NULL AND label IS NOT NULL")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()}
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} different labels")
-    if not counts:
-        return rows.withColumn("weight", F.lit(1.0))
-    share = F.coalesce(*[F.when(F.col("label") == label, F.lit(min(1.0, per_label / n))) for label, n in sorted(counts.items())])
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    shares = stored(counts.select("label", F.least(F.lit(1.0), per_label / F.col("n")).alias("share")))
+    if shares.count() <= FEW:
+        shares = F.broadcast(shares)
     spot = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(_PARTS))
-    return rows.withColumn("share", share).where(spot < F.col("share") * _PARTS).withColumn("weight", 1 / F.col("share")).drop("share")
+    chosen = rows.join(shares, "label").where(spot < F.col("share") * _PARTS)
+    return chosen.select(*rows.columns, (1 / F.col("share")).alias("weight"))
+
+
+def one_row(rows: DataFrame) -> DataFrame:
+    """One row for each ``doc_id``: of several the one with the smallest hash of its columns.
+
+    A bound on ids is so a bound on rows: an id that a third of all rows repeat is one row of a sample. Rows
+    of an id are reduced in their tasks before they are shuffled.
+    """
+    others = [c for c in rows.columns if c != "doc_id"]
+    first = F.min_by(F.struct(*others), F.xxhash64(*others)).alias("row")
+    return rows.groupBy("doc_id").agg(first).select("doc_id", "row.*").select(*rows.columns)

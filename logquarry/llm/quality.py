@@ -215,12 +215,13 @@ def learn(
 ) -> Model:
     """The model of labelled ``docs`` (doc_id, text) that are not held out.
 
-    At most about ``per_label`` rows of either label are used, chosen by a hash of their ids; only their
-    features reach the driver.
+    At most about ``per_label`` rows of either label are used, chosen by a hash of their ids, one for each
+    id; only their features reach the driver.
     """
     known = one_label(labels, "quality").where("label IN (0, 1)")
     sample = F.broadcast(stored(label_sample(known.where(~held_out(F.col("doc_id"), parts, part)), per_label)))  # bounded
-    rows = featured(docs.join(sample, "doc_id", "left_semi"))
+    # an id that many rows repeat is one row of the sample; reduced in the tasks that read them
+    rows = featured(docs.join(sample, "doc_id", "left_semi")).groupBy("doc_id").agg(F.min("features").alias("features"))
     got = rows.join(sample, "doc_id").orderBy("doc_id", "features").select("label", "weight", "features").toArrow()
     if not got.num_rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), np.zeros(0))

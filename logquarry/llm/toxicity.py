@@ -4,8 +4,9 @@ Texts are folded first: lower case, look-alike letters of other scripts and full
 digits and signs that stand for letters as those letters, no invisible characters, and everything else
 that is not a letter as a blank. The lexicon holds word beginnings and whole words with the log of how much
 more often they occur in toxic documents, learned from labelled rows; of copies and near copies, which
-would make any of their words look telling, one is counted. One automaton finds the lexicon's entries and
-the exception phrases; a match inside an exception phrase does not count. A word counts with its heaviest
+would make any of their words look telling, one is counted. Exception phrases are learned from the same rows:
+pairs of words with an entry in them that are at home in clean documents. One automaton finds the lexicon's
+entries and the exception phrases; a match inside an exception phrase does not count. A word counts with its heaviest
 entry, and an entry found n times counts 1 + ln n times. The sum and the sum per word, both as logarithms,
 give the score through a logistic curve fitted on labelled rows that the lexicon was not learned from.
 """
@@ -22,19 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import stored, utf8, words
-from logquarry.llm.learn import held_out, label_sample, one_label
+from logquarry.llm.common import _GOLDEN, mixed, slabs, stored, utf8, words
+from logquarry.llm.learn import held_out, label_sample, one_label, one_row
 from logquarry.llm.neardup import shingles
 
 SAMPLE_PER_LABEL = 12_000  # labelled rows of each label that the model learns from, at most
 BEGINNINGS = (4, 5, 6)  # letters of a word's beginning that may become an entry
 LEAST_DOCS, LEAST_WEIGHT = 3, 2.5
-MOST_ENTRIES = 5_000
+MOST_ENTRIES = 5_000  # of the lexicon, and of the exception phrases: both are sent to every task
+MINIMA, COPIED = 8, 4  # a text is a copy when this many of its minima are an earlier text's
 THRESHOLD = 0.7
 BLOCK_CHARS = 1 << 20  # a longer text is matched block by block
 LONGEST_PHRASE = 64
 _BLANK = re.compile(r"\s")
-EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish")
 
 # Letters that look like a Latin one, and digits and signs used in place of a letter.
 LOOK_ALIKES = {
@@ -68,11 +69,15 @@ def fold(text: str | None) -> str:
 
 
 class Model(NamedTuple):
-    """``lexicon``: weight by entry, which starts with a blank and, as a whole word, ends with one."""
+    """``lexicon``: weight by entry, which starts with a blank and, as a whole word, ends with one.
+
+    ``learned_from``: toxic and clean rows that the lexicon was counted on, copies left out.
+    """
 
     lexicon: dict[str, float]
     exceptions: tuple[str, ...]
     curve: tuple[float, float, float]
+    learned_from: tuple[int, int] = (0, 0)
 
 
 def _entries(text: str) -> set[str]:
@@ -208,23 +213,69 @@ def prune(lexicon: dict[str, float]) -> dict[str, float]:
     return kept
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, label) with the smallest hash of three consecutive words, which most near copies share."""
+def _minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, label) to (doc_id, label, i, key): the smallest of ``MINIMA`` hashes of each three consecutive words."""
     for batch in batches:
         data, bounds = utf8(batch.column(1))
-        hashes, offsets = words(data, bounds)
-        values, _, parts = shingles(hashes, offsets, 3)
-        key, some = np.zeros(batch.num_rows, np.int64), np.diff(parts) > 0
-        key[some] = values[parts[:-1][some]].view(np.int64)  # in order, so the first is the smallest
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], names=[*batch.schema.names, "key"])
+        for first, last in slabs(bounds):
+            hashes, offsets = words(data, bounds[first : last + 1])
+            values, _, parts = shingles(hashes, offsets, 3)
+            some = np.flatnonzero(np.diff(parts))
+            take = pa.array(np.repeat(some + first, MINIMA))
+            keys = np.zeros((len(some), MINIMA), np.uint64)
+            for i in range(MINIMA):
+                if len(some):
+                    keys[:, i] = np.minimum.reduceat(mixed(values + np.uint64((i + 1) * int(_GOLDEN) % 2**64)), parts[:-1][some])
+            place = pa.array(np.tile(np.arange(MINIMA, dtype=np.int32), len(some)))
+            columns = [batch.column(0).take(take), batch.column(2).take(take), place, pa.array(keys.reshape(-1).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "i", "key"])
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """(text, label) of a bounded sample (doc_id, text, label), ids distinct, without copies of earlier texts of a label.
+
+    A text is a copy when ``COPIED`` of its ``MINIMA`` minima over three consecutive words are also those of
+    texts with smaller ids. Texts that share a stock line only, and texts without words, all stay.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    minima = rows.mapInArrow(_minima, f"doc_id {kind}, label int, i int, key bigint")
+    first = F.min("doc_id").over(Window.partitionBy("label", "i", "key"))
+    held = minima.withColumn("before", (first < F.col("doc_id")).cast("int")).groupBy("doc_id").agg(F.sum("before").alias("before"))
+    copies = held.where(F.col("before") >= COPIED).select("doc_id")
+    return stored(rows.join(copies, "doc_id", "left_anti").select("text", "label"))
 
 
-def _without_copies(rows: DataFrame) -> DataFrame:
-    """(text, label) of a bounded sample (doc_id, text, label): of texts with one key and label the first by id."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    keyed = rows.mapInArrow(_keyed, f"doc_id {kind}, text string, label int, key bigint")
-    first = F.row_number().over(Window.partitionBy("key", "label").orderBy("doc_id")) == 1
-    return stored(keyed.withColumn("first", first).where("first").select("text", "label"))
+def _has_entry(word: str, lexicon: dict[str, float]) -> bool:
+    return f" {word} " in lexicon or any(f" {word[:n]}" in lexicon for n in BEGINNINGS if len(word) >= n)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
+    """(text, label) of a bounded sample to (entry, toxic, clean): documents with each pair of words that holds an entry."""
+    counts = (Counter(), Counter())
+    for batch in batches:
+        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+            found = fold(text.as_py()).split()
+            held = [_has_entry(w, lexicon) for w in found]
+            counts[label].update({f"{a} {b}" for a, b, x, y in zip(found, found[1:], held, held[1:]) if x or y})
+    clean, toxic = counts
+    pairs = sorted(clean.keys() | toxic.keys())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(pairs, pa.string()), pa.array([toxic[p] for p in pairs], pa.int64()), pa.array([clean[p] for p in pairs], pa.int64())],
+        names=["entry", "toxic", "clean"],
+    )
+
+
+def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], toxic: int, clean: int, most: int = MOST_ENTRIES) -> tuple[str, ...]:
+    """Pairs of words with an entry that are found at least ``e^LEAST_WEIGHT`` times as often in clean as in toxic ``rows``.
+
+    ``rows`` are a bounded sample (text, label); at least ``LEAST_DOCS`` clean ones must hold a pair, and at
+    most ``most`` pairs are kept, those in most clean rows.
+    """
+    counted = rows.mapInArrow(lambda batches: _pairs(batches, lexicon), "entry string, toxic bigint, clean bigint")
+    counted = counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("clean") >= LEAST_DOCS)
+    weight = F.log((F.col("clean") + 0.5) / (clean + 1.0)) - F.log((F.col("toxic") + 0.5) / (toxic + 1.0))
+    top = counted.where(weight >= LEAST_WEIGHT).orderBy(F.desc("clean"), "entry").limit(most)
+    return tuple(sorted(r["entry"] for r in top.collect()))
 
 
 def learn(
@@ -233,20 +284,24 @@ def learn(
     parts: int = 3,
     part: int = 1,
     per_label: int = SAMPLE_PER_LABEL,
-    exceptions: tuple[str, ...] = EXCEPTIONS,
+    exceptions: tuple[str, ...] = (),
+    most_entries: int = MOST_ENTRIES,
 ) -> Model:
-    """Lexicon and curve from labelled ``docs`` (doc_id, text) that are not held out.
+    """Lexicon, exceptions and curve from labelled ``docs`` (doc_id, text) that are not held out.
 
-    At most about ``per_label`` rows of either label are used, chosen by a hash of their ids: three
-    quarters for the lexicon, one for the curve. Only the entries' counts and, for the curve, two numbers
-    a row reach the driver. Without labelled rows the lexicon is empty and every score is 0.
+    At most about ``per_label`` rows of either label are used, chosen by a hash of their ids, one for each
+    id: three quarters for the lexicon and the exceptions, one for the curve. The lexicon keeps the
+    ``most_entries`` entries of most evidence; ``exceptions`` are added to the learned ones. Only the entries'
+    counts and, for the curve, two numbers a row reach the driver. Without labelled rows the lexicon is empty
+    and every score is 0.
     """
     known = one_label(labels, "toxic").where("label IN (0, 1)")
     sample = label_sample(known.where(~held_out(F.col("doc_id"), parts, part)), per_label)
     # the sample is bounded, so its ids may be sent to every task
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = stored(one_row(found.withColumn("label", F.col("label").cast("int")).withColumn("weight", F.col("weight").cast("double"))))
     for_curve = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
-    distinct = _without_copies(rows.where(~for_curve).select("doc_id", "text", F.col("label").cast("int").alias("label")))
+    distinct = without_copies(rows.where(~for_curve).select("doc_id", "text", "label"))
     counted = distinct.mapInArrow(_count, "entry string, toxic bigint, clean bigint")
     n = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
@@ -258,20 +313,21 @@ def learn(
         .withColumn("weight", weight)
         .where((F.col("toxic") >= LEAST_DOCS) & (F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") * F.col("weight") >= evidence))
         .orderBy(F.desc(F.col("toxic") * F.col("weight")), "entry")
-        .limit(MOST_ENTRIES)
+        .limit(most_entries)
         .collect()
     )
     lexicon = prune({r["entry"]: r["weight"] for r in top})
-    found = (
+    exceptions = (*exceptions, *learn_exceptions(distinct, lexicon, toxic, clean, most_entries))
+    got = (
         rows.where(for_curve)
-        .select("text", F.col("label").cast("int").alias("label"), F.col("weight").cast("double").alias("weight"))
+        .select("text", "label", "weight")
         .mapInArrow(lambda batches: _weighed(batches, lexicon, exceptions), "label int, weight double, sum double, words bigint")
         .toArrow()
     )
-    if not found.num_rows:
-        return Model(lexicon, exceptions, (-36.0, 0.0, 0.0) if not lexicon else (-3.0, 2.0, 2.0))
-    total, words, label, rate = (found[c].to_numpy() for c in ("sum", "words", "label", "weight"))
-    return Model(lexicon, exceptions, fit_curve(total, words, label, rate))
+    if not got.num_rows:
+        return Model(lexicon, exceptions, (-36.0, 0.0, 0.0) if not lexicon else (-3.0, 2.0, 2.0), (toxic, clean))
+    total, size, label, rate = (got[c].to_numpy() for c in ("sum", "words", "label", "weight"))
+    return Model(lexicon, exceptions, fit_curve(total, size, label, rate), (toxic, clean))
 
 
 def scorer(model: Model):

@@ -100,3 +100,39 @@ def test_held_out_accuracy(spark):
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     rows = [r for r in op10_language(spark, sf).collect() if r["held_out"]]
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in rows) >= 0.97 * len(rows)
+
+
+def test_held_out_texts_change_nothing(frame, spark):
+    held = frame.selectExpr("*", "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2 AS out").selectExpr(
+        "doc_id", "CASE WHEN out OR lang IS NULL THEN concat('zzz qqq ', text, doc_id) ELSE text END AS text", "CASE WHEN out THEN 'aa' ELSE lang END AS lang", "score"
+    )
+    one, other = learn(frame), learn(held)
+    assert one.labels == other.labels and np.array_equal(one.weights, other.weights) and np.array_equal(one.bias, other.bias)
+    assert one.temperature == other.temperature
+
+
+def test_frequencies_and_predictions_by_plain_counting(frame, make):
+    texts = [r["text"] for r in frame.collect()]
+    want = Counter()
+    for text in texts:
+        found = set(ngrams([text or ""])[0].tolist())
+        want.update(found)
+        want[-1] += bool(found)
+    assert language.document_frequencies(frame.select("text")) == dict(want)
+    model = learn(frame)
+    long = "qizo" * 60_000
+    rows = [*[(i, t, None, 0.0) for i, t in enumerate(texts[:40])], (77, long, None, 0.0)]
+    got = {r["doc_id"]: r for r in predict(make(rows, "doc_id long, text string, lang string, score double"), model).collect()}
+    for i, text, *_ in rows:
+        at = Counter(ngrams([text])[0].tolist())
+        z = np.array([sum(model.weights[k, b] * n for b, n in at.items()) / sum(at.values()) + model.bias[k] for k in range(len(model.labels))])
+        p = np.exp((z - z.max()) / model.temperature)
+        assert got[i]["lang_pred"] == model.labels[int(z.argmax())] and got[i]["score"] == pytest.approx((p / p.sum()).max(), abs=1e-3)
+
+
+def test_a_hot_id_and_many_languages(make, monkeypatch):
+    rows = [(5, f"bado rami {i}", "aa", 0.0) for i in range(400)] + [(1000 + i, "xuwe qizo", f"l{i:04d}", 0.0) for i in range(1200)]
+    seen = []
+    monkeypatch.setattr(language, "fit_ftrl", lambda rows, label, classes, **_: (seen.append((len(rows), classes)), (np.zeros((classes, BUCKETS)), np.zeros(classes)))[1])
+    model = learn(make(rows, "doc_id long, text string, lang string, score double"))
+    assert len(model.labels) > 700 and seen[0][0] <= len(model.labels)  # the repeated id is one row at most

@@ -66,3 +66,15 @@ def test_held_out_accuracy(spark):
     truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = [r for r in op8_quality(spark, sf).collect() if r["held_out"] and r["doc_id"] in truth]
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in rows) >= 0.97 * len(rows)
+
+
+def test_scores_are_sums_of_cells_of_each_text(make):
+    docs = [(i, ("good words here all differ %d " % i) * (1 + i % 5) if i % 2 else "bad bad $$$ " * (1 + i % 7)) for i in range(300)]
+    frame = make([*docs, *[(9, f"other {i}") for i in range(100)]], "doc_id long, text string")
+    model = learn(frame, make([(i, i % 2) for i in range(300)], "doc_id long, quality int"))
+    got = {r["doc_id"]: r["score"] for r in score(make(docs, "doc_id long, text string"), model).collect()}
+    for i, text in docs[::17]:
+        row = features(*common.utf8(pa.array([text])))[0].astype(np.float32).astype(float)
+        at = [sum(1 for e in edges if e <= v) for edges, v in zip(model.edges, row)]
+        z = model.base + sum(t[a] for t, a in zip(model.tables, at)) + sum(t[at[a], at[b]] for a, b, t in model.pairs)
+        assert np.isclose(got[i], 1 / (1 + np.exp(-z)))

@@ -93,6 +93,46 @@ def test_learned_from_rows_that_are_not_held_out(make):
     assert learn(frame, other) == model
 
 
+def test_counts_and_copies(make):
+    line = "all rights reserved by the owners of this site"
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    unlike = [" ".join("".join(rng.choice(letters, 6)) for _ in range(40)) + f" {line}" for _ in range(120)]
+    copy = " ".join("".join(rng.choice(letters, 6)) for _ in range(60))
+    rows = [(i, t, i % 2) for i, t in enumerate(unlike)] + [(500 + i, f"{copy} {i}", 1) for i in range(30)]
+    rows += [(600, "", 0), (601, None, 0), (602, "...", 1), (603, "two words", 0), (604, "two words", 1)]
+    kept = toxicity.without_copies(make(rows, "doc_id long, text string, label int")).collect()
+    assert sorted((r["text"] or "", r["label"]) for r in kept) == sorted((t or "", k) for i, t, k in rows if not 500 < i < 600)
+    counted = make([(r["text"], r["label"]) for r in kept], "text string, label int").mapInArrow(toxicity._count, "entry string, toxic bigint, clean bigint")
+    got = {}
+    for r in counted.collect():
+        a, b = got.get(r["entry"], (0, 0))
+        got[r["entry"]] = (a + r["toxic"], b + r["clean"])
+    want = {}
+    for r in kept:
+        words = set(fold(r["text"]).split())
+        for e in {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in (4, 5, 6) if len(w) >= n}:
+            a, b = want.get(e, (0, 0))
+            want[e] = (a + r["label"], b + 1 - r["label"])
+    assert got == want
+
+
+def test_exceptions_are_learned(make):
+    rows = [(f"some text about a trash can number {i}", 0) for i in range(12)] + [(f"you are trash {i} and idiots", 1) for i in range(40)]
+    rows += [(f"plain words {i}", 0) for i in range(60)]
+    frame = make(rows, "text string, label int")
+    found = toxicity.learn_exceptions(frame, {" trash ": 2.0, " idio": 3.0}, 40, 72)
+    assert set(found) == {"a trash", "trash can"}
+    assert toxicity.learn_exceptions(frame, {" trash ": 2.0, " idio": 3.0}, 40, 72, most=1) == ("a trash",)
+
+
+def test_a_hot_id_is_one_row(make):
+    docs = make([(7, f"text {i} vile") for i in range(300)] + [(i, "plain text") for i in range(20, 30)], "doc_id long, text string")
+    model = learn(docs, make([(7, 1)] + [(i, 0) for i in range(20, 30)], "doc_id long, toxic int"))
+    assert model.learned_from[0] <= 1 and model.learned_from[1] <= 10
+    assert len(learn(docs, make([(7, 1), (20, 0)], "doc_id long, toxic int"), most_entries=0).lexicon) == 0
+
+
 def test_no_labels_and_no_documents(make):
     docs, labels = make([(1, "some idiot")], "doc_id long, text string"), make([], "doc_id long, toxic int")
     model = learn(docs, labels)
