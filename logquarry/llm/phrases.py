@@ -27,6 +27,7 @@ WORDS = 5  # of the longest phrase
 LEAST = 100  # occurrences of a candidate
 COVERED = 100  # percent of a phrase's occurrences that lie in one longer phrase, from which on it is dropped
 PER_LANGUAGE = 2_000
+FEW_LANGUAGES = 10_000  # whose sums are broadcast; more are joined by shuffling
 NO_LANGUAGE = "und"
 _EXACT = "cast({} as decimal(17,0)) * cast({} as decimal(17,0))"  # 34 digits; with the factor 1000 no more than 38
 SPARE_BITS = 8  # of a bit table: about 1 in 256 other fingerprints pass
@@ -271,6 +272,8 @@ def collocations(
     """
     counts = phrase_counts(docs, lang_column, text_column, words, least)
     totals = counts.where("words = 0").select("lang", F.col("n").alias("total"))
+    if totals.count() <= FEW_LANGUAGES:
+        totals = F.broadcast(totals)  # a join by language alone would deal all phrases of one to one task
     candidates = counts.where("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"))
     known = counts.where("words > 0")
     cuts = candidates.select("*", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
