@@ -1,8 +1,8 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
 
-Fitting draws a bounded sample per tree by hashing ids, so the draw does not depend on partitioning,
-and grows one tree per group. Scoring walks the trees over Arrow batches; the forest is at most
-``TREES`` complete binary trees of fixed height, whatever the size of the data.
+Fitting draws a bounded sample per tree by hashing ids and splits by hashing nodes, so neither depends on
+partitioning, and grows all trees level by level. Scoring walks the trees over Arrow batches; the forest is
+at most ``TREES`` complete binary trees of fixed height, whatever the size of the data.
 """
 
 from collections.abc import Iterator
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logquarry.functions.quantiles import exact_quantiles
-from logquarry.functions.trees import SAMPLE_SIZE, TREE_SCHEMA, combine, grow_tree, score_rows
+from logquarry.functions.trees import NODE_SCHEMA, SAMPLE_SIZE, combine, grow_tree, score_rows, uniform
 from logquarry.operators.features import model_inputs
 from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
@@ -30,12 +30,6 @@ def minimum_rows(contamination: float) -> int:
     return max(2, int(1.0 / contamination) + 1) if contamination > 0 else 3
 
 
-def _uniform(*values: Column) -> Column:
-    """Hash to [0, 1): thirteen hexadecimal digits of the MD5 of the values joined by colons."""
-    digits = F.substring(F.md5(F.concat_ws(":", *[v.cast("string") for v in values])), 1, 13)
-    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))
-
-
 def tree_samples(inputs: DataFrame, total: int, seed: int = SEED) -> DataFrame:
     """The rows each tree grows from: ``inputs`` with ``tree`` and ``draw``, ``SAMPLE_SIZE`` a tree or all there are.
 
@@ -44,25 +38,27 @@ def tree_samples(inputs: DataFrame, total: int, seed: int = SEED) -> DataFrame:
     tree's sample leaves any task, so what is shuffled does not grow with the data. The margin of two
     leaves no real chance of falling short of a full sample.
     """
-    pool = inputs.where(_uniform(F.col("id"), F.lit(str(seed))) < min(1.0, POOL / max(total, 1)))
+    pool = inputs.where(uniform(F.col("id"), F.lit(str(seed))) < min(1.0, POOL / max(total, 1)))
     share = min(1.0, 2 * SAMPLE_SIZE / min(max(total, 1), POOL))
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    drawn = pool.select("*", trees).withColumn("draw", _uniform(F.col("id"), F.col("tree"), F.lit(str(seed + 1))))
+    drawn = pool.select("*", trees).withColumn("draw", uniform(F.col("id"), F.col("tree"), F.lit(str(seed + 1))))
     order = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "id"))
     return drawn.where(F.col("draw") < share).withColumn("taken", order).where(F.col("taken") <= SAMPLE_SIZE).drop("taken")
 
 
+def forest_nodes(inputs: DataFrame, total: int, seed: int = SEED) -> DataFrame:
+    """The nodes of the forest: tree, node, depth, rows, feature, threshold, category, path.
+
+    A group is one tree's sample, ``SAMPLE_SIZE`` rows at most.
+    """
+    # a fixed number: the samples are small enough to be merged into one task otherwise
+    samples = tree_samples(inputs, total, seed).repartition(TREES // 4, "tree")
+    return samples.groupBy("tree").applyInPandas(lambda sample: grow_tree(sample, seed + 2), NODE_SCHEMA)
+
+
 def fit(inputs: DataFrame, total: int, seed: int = SEED) -> dict:
-    """Grow the trees in parallel and gather them: one row per tree, at most 511 nodes each."""
-    trees = (
-        tree_samples(inputs, total, seed)
-        # a fixed number: the samples are small enough to be merged into one task otherwise
-        .repartition(TREES // 4, "tree")
-        .groupBy("tree")
-        .applyInPandas(lambda sample: grow_tree(sample, seed), TREE_SCHEMA)
-        .collect()
-    )
-    return combine(sorted(trees, key=lambda t: t["tree"]), min(total, SAMPLE_SIZE))
+    """Grow the trees and gather their nodes: at most 511 a tree."""
+    return combine(forest_nodes(inputs, total, seed).collect(), min(total, SAMPLE_SIZE))
 
 
 def with_scores(events: DataFrame, medians: dict[str, Column], model: dict) -> DataFrame:

@@ -459,13 +459,26 @@ def forest_samples(spark, sf_dir):
     return forest.tree_samples(events.select("id"), events.count()).select("tree", "id")
 
 
+@_register
+def forest_nodes(spark, sf_dir):
+    """Every node of every tree, with its split or its path length."""
+    events = derived.log_events(spark, sf_dir)
+    found = feature_ops.profile(events)
+    return forest.forest_nodes(feature_ops.model_inputs(events, found.literals()), found.total)
+
+
 def _scored(spark, sf_dir, contamination=forest.CONTAMINATION):
     return detection.score_events(derived.log_events(spark, sf_dir), session_area(spark), contamination)
 
 
+def _rounded(scored):
+    """Six places of the score; adding zero drops the sign of a zero."""
+    return scored.withColumn("anomaly_score", F.round("anomaly_score", 6) + 0.0)
+
+
 @_register
 def isolation_forest_scores(spark, sf_dir):
-    return _scored(spark, sf_dir)
+    return _rounded(_scored(spark, sf_dir))
 
 
 @_register
@@ -499,7 +512,24 @@ def anomaly_breakdowns(spark, sf_dir):
 
 @_register
 def anomalous_events(spark, sf_dir):
-    return facets.anomalous_events(_scored(spark, sf_dir))
+    return facets.anomalous_events(_rounded(_scored(spark, sf_dir)))
+
+
+@_register
+def saved_detection(spark, sf_dir):
+    """A whole detection run: the scored events as saved in CSV and read back."""
+    out = session_area(spark).path("out")
+    return _rounded(detection.run_detection(derived.log_events(spark, sf_dir), out))
+
+
+@_register
+def saved_detection_report(spark, sf_dir):
+    """The totals of the same run as saved in JSON."""
+    with Scratch(spark) as area:
+        out = area.path("out")
+        detection.run_detection(derived.log_events(spark, sf_dir), out)
+        saved = files.read_report(spark, f"{out}/anomaly_report", reports.ANOMALY_REPORT_SCHEMA)
+        return gathered(saved.drop(*reports.BREAKDOWN_MAPS))
 
 
 UNREACHED = 1e-9  # a share of anomalies that asks for more rows than any given table has

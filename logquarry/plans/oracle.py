@@ -342,11 +342,135 @@ def _u(*parts: str) -> str:
     return f"(CAST('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 13) AS BIGINT) / 4503599627370496.0)"
 
 
-def _breakdown(dimension: str, value: str, limit: str = "position <= 10") -> str:
+def _breakdown(dimension: str, value: str, limit: str = "position <= 10", flagged: str = "anomaly_reason <> ''") -> str:
     return f"""SELECT * FROM (SELECT '{dimension}' AS dimension, value, event_count,
         CAST(row_number() OVER (ORDER BY event_count DESC, value) AS INTEGER) AS position
         FROM (SELECT {value} AS value, count(*) AS event_count FROM reasons
-              WHERE anomaly_reason <> '' AND {value} IS NOT NULL GROUP BY 1)) WHERE {limit}"""
+              WHERE {flagged} AND {value} IS NOT NULL GROUP BY 1)) WHERE {limit}"""
+
+
+def _breakdowns(source: str, flagged: str) -> str:
+    return f"WITH {source} " + "\nUNION ALL\n".join(
+        [
+            _breakdown("service", "service", flagged=flagged),
+            _breakdown("event_type", "event_type", flagged=flagged),
+            _breakdown("log_level", "log_level", "TRUE", flagged),
+            _breakdown("status", "CAST(status AS VARCHAR)", flagged=flagged),
+            _breakdown("endpoint", "endpoint", flagged=flagged),
+        ]
+    )
+
+
+def _totals(source: str, flagged: str) -> str:
+    return f"""WITH {source}, counts AS (SELECT count(*) AS total_records,
+        count(*) FILTER ({flagged}) AS anomaly_count,
+        count(*) FILTER (high_response_time) AS high_response_time_count,
+        count(*) FILTER (server_error) AS server_error_count, count(*) FILTER (auth_failure) AS auth_failure_count,
+        count(*) FILTER (database_error) AS database_error_count, count(*) FILTER (error_log) AS error_log_count
+        FROM reasons)
+        SELECT *, CAST((20000 * anomaly_count + total_records) // (2 * total_records) AS DOUBLE) / 100
+            AS anomaly_rate, total_records - anomaly_count AS normal_count FROM counts"""
+
+
+NUMBERS = {
+    "response_time_ms": "coalesce(CAST(response_time_ms AS DOUBLE), (SELECT rt_median FROM profile), 0.0)",
+    "status": "coalesce(CAST(status AS DOUBLE), (SELECT status_median FROM profile), 0.0)",
+    "is_error": "CAST(log_level = 'ERROR' AS DOUBLE)",
+    "is_warning": "CAST(log_level = 'WARN' AS DOUBLE)",
+    "is_auth_failure": "CAST(event_type = 'AUTH_FAILURE' AS DOUBLE)",
+    "is_database_error": "CAST(event_type = 'DATABASE_ERROR' AS DOUBLE)",
+    "hour": "CAST(hour(timestamp) AS DOUBLE)",
+    "day_of_week": "CAST(isodow(timestamp) - 1 AS DOUBLE)",
+    "minute_of_hour": "CAST(minute(timestamp) AS DOUBLE)",
+}
+LABELS = {"log_level": "log_level", "event_type": "event_type", "service": "coalesce(service, 'UNKNOWN')"}
+SAMPLES = f"""n AS (SELECT count(*) AS n FROM log_events),
+    pool AS (SELECT id, least(n, 25600) AS pooled FROM log_events, n
+             WHERE {_u('id', "'42'")} < least(1.0, 25600.0 / n)),
+    drawn AS (SELECT id, tree, pooled, {_u('id', 'tree', "'43'")} AS draw
+              FROM pool, (SELECT unnest(range(100)) AS tree)),
+    ranked AS (SELECT CAST(tree AS INTEGER) AS tree, id, row_number() OVER (PARTITION BY tree ORDER BY draw, id) AS k
+               FROM drawn WHERE draw < least(1.0, 512.0 / pooled)),
+    samples AS MATERIALIZED (SELECT tree, id FROM ranked WHERE k <= 256)"""
+LEVELS = 8  # of trees on full samples
+
+
+def _forest() -> str:
+    """CTEs up to ``nodes``: each level's nodes from an aggregate over its rows, the rows of the next from its splits."""
+    columns = ", ".join([*NUMBERS, *LABELS])
+    parts = [f"inputs AS MATERIALIZED (SELECT id, {', '.join(f'{v} AS {k}' for k, v in (NUMBERS | LABELS).items())} FROM log_events)", SAMPLES]
+    parts.append(f"rows0 AS MATERIALIZED (SELECT tree, 1 AS node, {columns} FROM samples JOIN inputs USING (id))")
+    ends = ", ".join(f"min({c}) AS {c}_low, max({c}) AS {c}_high" for c in (*NUMBERS, *LABELS))
+    for d in range(LEVELS + 1):
+        parts.append(f"stats{d} AS MATERIALIZED (SELECT tree, node, count(*) AS size, {ends} FROM rows{d} GROUP BY tree, node)")
+        choices = [
+            f"SELECT tree, node, {_u('tree', 'node', repr(c), "'44'")} AS draw, '{c}' AS feature, {c}_low AS low, {c}_high AS high,"
+            f" CAST(NULL AS VARCHAR) AS category FROM stats{d} WHERE {c}_low < {c}_high"
+            for c in NUMBERS
+        ]
+        choices += [
+            f"SELECT tree, node, {_u('tree', 'node', repr(c), c, "'44'")}, '{c}', NULL, NULL, {c}"
+            f" FROM (SELECT DISTINCT tree, node, {c} FROM rows{d} JOIN stats{d} USING (tree, node) WHERE {c}_low <> {c}_high)"
+            for c in LABELS
+        ]
+        never = "WHERE FALSE" if d == LEVELS else ""
+        parts.append(f"choices{d} AS ({' UNION ALL '.join(choices)})")
+        parts.append(
+            f"splits{d} AS MATERIALIZED (SELECT *, CASE WHEN cut < high THEN cut ELSE low END AS threshold FROM (SELECT *,"
+            f" low + (high - low) * {_u('tree', 'node', 'feature', "'at'", "'44'")} AS cut FROM choices{d} {never}"
+            f" QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY draw) = 1))"
+        )
+        if d < LEVELS:
+            right = f"CASE WHEN category IS NULL THEN {_of(NUMBERS)} > threshold ELSE {_of(LABELS)} = category END"
+            parts.append(
+                f"rows{d + 1} AS MATERIALIZED (SELECT tree, 2 * node + CAST({right} AS INTEGER) AS node, {columns}"
+                f" FROM rows{d} JOIN splits{d} USING (tree, node))"
+            )
+    path = "CASE WHEN size <= 1 THEN 0.0 WHEN size = 2 THEN 1.0 ELSE 2.0 * (ln(size - 1.0) + 0.5772156649015329) - 2.0 * (size - 1.0) / size END"
+    levels = [
+        f"SELECT tree, node, {d} AS depth, size AS rows, feature, threshold, category,"
+        f" CASE WHEN feature IS NULL THEN CAST(round(({d} + {path}) * 1000000) AS BIGINT) END AS path"
+        f" FROM stats{d} LEFT JOIN splits{d} USING (tree, node)"
+        for d in range(LEVELS + 1)
+    ]
+    parts.append(f"nodes AS MATERIALIZED ({' UNION ALL '.join(levels)})")
+    return ",\n".join(parts)
+
+
+def _of(columns) -> str:
+    return f"CASE feature {' '.join(f"WHEN '{c}' THEN {c}" for c in columns)} END"
+
+
+def _decided(contamination: float = 0.05) -> str:
+    """CTEs up to ``reasons``: every event walks every tree from root to leaf."""
+    right = f"CASE WHEN category IS NULL THEN {_of(NUMBERS)} > threshold ELSE {_of(LABELS)} = category END"
+    parts = [SIGNALS.split("reasons AS")[0].rstrip().rstrip(","), _forest()]
+    parts.append("walk0 AS (SELECT id, tree, 1 AS node FROM inputs, (SELECT DISTINCT tree FROM nodes))")
+    for d in range(LEVELS):
+        parts.append(
+            f"walk{d + 1} AS MATERIALIZED (SELECT id, tree, CASE WHEN feature IS NULL THEN node ELSE 2 * node + CAST({right} AS INTEGER) END AS node"
+            f" FROM walk{d} JOIN nodes USING (tree, node) JOIN inputs USING (id))"
+        )
+    parts.append(f"paths AS (SELECT id, sum(path) AS path FROM walk{LEVELS} JOIN nodes USING (tree, node) GROUP BY id)")
+    normal = "(2.0 * (ln(255.0) + 0.5772156649015329) - 2.0 * 255.0 / 256.0)"
+    parts.append(f"scores AS MATERIALIZED (SELECT id, -pow(2.0, -(CAST(path AS DOUBLE) / (100000000.0 * {normal}))) AS score FROM paths)")
+    parts.append(
+        f"decided AS MATERIALIZED (SELECT id, score - (SELECT quantile_cont(score, {contamination}) FROM scores) AS anomaly_score FROM scores)"
+    )
+    parts.append(
+        """reasons AS (SELECT *, anomaly_score < 0 AS is_anomaly, CAST(CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS INTEGER) AS ml_prediction,
+    concat_ws(' + ', CASE WHEN anomaly_score < 0 THEN 'Isolation Forest anomaly' END,
+    CASE WHEN high_response_time THEN 'High response time' END, CASE WHEN server_error THEN '5xx server error' END,
+    CASE WHEN auth_failure THEN 'Authentication failure' END, CASE WHEN database_error THEN 'Database error' END,
+    CASE WHEN error_log THEN 'Error log level' END) AS anomaly_reason FROM signals JOIN decided USING (id))"""
+    )
+    return ",\n".join(parts)
+
+
+FOREST = _decided()
+SCORED = """id, timestamp, log_level, event_type, service, endpoint, method, status, response_time_ms, user_id,
+    round(anomaly_score, 6) + 0.0 AS anomaly_score, ml_prediction, is_anomaly, high_response_time, server_error, auth_failure,
+    database_error, error_log"""
 
 
 DETECTION = {
@@ -370,14 +494,15 @@ DETECTION = {
         a.place AS log_level_position, b.place AS event_type_position, d.place AS service_position
         FROM filled JOIN places AS a ON a.c = 0 AND a.v = log_level JOIN places AS b ON b.c = 1 AND b.v = event_type
         JOIN places AS d ON d.c = 2 AND d.v = service_filled""",
-    "forest_samples": f"""WITH {LOG_EVENTS}, n AS (SELECT count(*) AS n FROM log_events),
-        pool AS (SELECT id, least(n, 25600) AS pooled FROM log_events, n
-                 WHERE {_u('id', "'42'")} < least(1.0, 25600.0 / n)),
-        drawn AS (SELECT id, tree, pooled, {_u('id', 'tree', "'43'")} AS draw
-                  FROM pool, (SELECT unnest(range(100)) AS tree)),
-        ranked AS (SELECT CAST(tree AS INTEGER) AS tree, id, row_number() OVER (PARTITION BY tree ORDER BY draw, id) AS k
-                   FROM drawn WHERE draw < least(1.0, 512.0 / pooled))
-        SELECT tree, id FROM ranked WHERE k <= 256""",
+    "forest_samples": f"WITH {LOG_EVENTS}, {SAMPLES} SELECT tree, id FROM samples",
+    "forest_nodes": f"WITH {LOG_EVENTS}, {PROFILE}, {_forest()} SELECT * FROM nodes",
+    "isolation_forest_scores": f"WITH {FOREST} SELECT {SCORED}, anomaly_reason FROM reasons",
+    "saved_detection": f"WITH {FOREST} SELECT {SCORED}, nullif(anomaly_reason, '') AS anomaly_reason FROM reasons",
+    "anomaly_summary": _totals(FOREST, "is_anomaly"),
+    "saved_detection_report": _totals(FOREST, "is_anomaly"),
+    "anomaly_breakdowns": _breakdowns(FOREST, "is_anomaly"),
+    "anomalous_events": f"""WITH {FOREST} SELECT timestamp, service, event_type, endpoint, status,
+        response_time_ms, round(anomaly_score, 6) + 0.0 AS anomaly_score, anomaly_reason FROM reasons WHERE is_anomaly""",
     "forest_properties": _over_events(
         """SELECT count(*) AS rows, count(DISTINCT id) AS ids, CAST(0 AS BIGINT) AS missing_scores,
            CAST(0 AS BIGINT) AS disagreements, CAST(0 AS BIGINT) AS wrong_reasons, TRUE AS flagged_within_share
@@ -396,24 +521,8 @@ DETECTION = {
     "rule_signals": f"""WITH {SIGNALS} SELECT id, high_response_time, server_error, auth_failure, database_error,
         error_log FROM signals""",
     "anomaly_reason_rules": f"WITH {SIGNALS} SELECT id, anomaly_reason FROM reasons",
-    "rule_anomaly_totals": f"""WITH {SIGNALS}, counts AS (SELECT count(*) AS total_records,
-        count(*) FILTER (anomaly_reason <> '') AS anomaly_count,
-        count(*) FILTER (high_response_time) AS high_response_time_count,
-        count(*) FILTER (server_error) AS server_error_count, count(*) FILTER (auth_failure) AS auth_failure_count,
-        count(*) FILTER (database_error) AS database_error_count, count(*) FILTER (error_log) AS error_log_count
-        FROM reasons)
-        SELECT *, CAST((20000 * anomaly_count + total_records) // (2 * total_records) AS DOUBLE) / 100
-            AS anomaly_rate, total_records - anomaly_count AS normal_count FROM counts""",
-    "rule_anomaly_breakdowns": f"WITH {SIGNALS} "
-    + "\nUNION ALL\n".join(
-        [
-            _breakdown("service", "service"),
-            _breakdown("event_type", "event_type"),
-            _breakdown("log_level", "log_level", "TRUE"),
-            _breakdown("status", "CAST(status AS VARCHAR)"),
-            _breakdown("endpoint", "endpoint"),
-        ]
-    ),
+    "rule_anomaly_totals": _totals(SIGNALS, "anomaly_reason <> ''"),
+    "rule_anomaly_breakdowns": _breakdowns(SIGNALS, "anomaly_reason <> ''"),
     "rule_anomaly_list": f"""WITH {SIGNALS} SELECT timestamp, service, event_type, endpoint, status,
         response_time_ms, anomaly_reason FROM reasons WHERE anomaly_reason <> ''""",
     "contamination_threshold": f"""WITH {LOG_EVENTS},

@@ -155,40 +155,52 @@ def random_rows(n, seed):
 
 
 def test_scores_agree_with_walking_each_tree():
-    grown = [trees.grow_tree(random_rows(200, t).assign(tree=t), 42).iloc[0] for t in range(5)]
+    grown = [trees.grow_tree(random_rows(200, t).assign(tree=t), 42).to_dict("records") for t in range(5)]
+    grown = [[{k: None if pd.isna(v) else v for k, v in n.items()} for n in tree] for tree in grown]
     rows = random_rows(50, 99)
     rows.loc[0, "service"] = "never seen"
 
     def path(tree, row):
-        node, height = 0, len(tree["path"]).bit_length() - 1
-        for _ in range(height):
-            name = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES][tree["feature"][node]]
-            wanted = tree["category"][node]
-            right = row[name] == wanted if wanted is not None else row[name] > tree["threshold"][node]
-            node = 2 * node + 1 + int(right)
-        return tree["path"][node - (len(tree["path"]) - 1)]
+        by_node, node = {n["node"]: n for n in tree}, 1
+        while by_node[node]["feature"] is not None:
+            n = by_node[node]
+            value = row[n["feature"]]
+            node = 2 * node + int(value == n["category"] if n["category"] is not None else value > n["threshold"])
+        return by_node[node]["path"] / 1e6
 
     expected = [-(2 ** (-np.mean([path(t, r) for t in grown]) / trees.average_path(200)))
                 for r in rows.to_dict("records")]
     found = trees.score_rows(
-        trees.combine(grown, 200), rows[NUMERIC_FEATURES].to_numpy(), [rows[c] for c in CATEGORICAL_FEATURES]
+        trees.combine([n for t in grown for n in t], 200), rows[NUMERIC_FEATURES].to_numpy(), [rows[c] for c in CATEGORICAL_FEATURES]
     )
     assert found == pytest.approx(expected)
 
 
 def test_tree_isolates_and_counts():
     rows = random_rows(256, 1).assign(tree=3)
-    one = trees.grow_tree(rows, 42).iloc[0]
-    again = trees.grow_tree(rows.sample(frac=1, random_state=5), 42).iloc[0]
-    assert all(np.array_equal(one[c], again[c]) for c in ("feature", "threshold", "path"))
-    assert len(one["path"]) == 256 and one["path"].max() >= 8
+    one = trees.grow_tree(rows, 42)
+    again = trees.grow_tree(rows.sample(frac=1, random_state=5), 42)
+    pd.testing.assert_frame_equal(one, again)
+    leaves = one[one["feature"].isna()]
+    assert leaves["rows"].sum() == 256 and leaves["depth"].max() <= 8 and set(one["node"]) >= {1, 2, 3}
+    assert ((one.loc[one["feature"].notna(), "rows"]) > 1).all() and leaves["path"].notna().all()
+    inner = one[one["feature"].notna()].set_index("node")
+    sizes = one.set_index("node")["rows"]
+    assert all(sizes[2 * n] + sizes[2 * n + 1] == r for n, r in inner["rows"].items())  # no side is empty
+    assert sizes.min() >= 1
     pair = random_rows(2, 2).assign(tree=0)
-    tree = trees.grow_tree(pair, 42).iloc[0]
-    assert list(tree["path"]) == [1.0, 1.0]
+    tree = trees.grow_tree(pair, 42)
+    assert list(tree["path"].dropna()) == [1_000_000, 1_000_000]
     assert [trees.average_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert trees.average_path(256) == pytest.approx(2 * (math.log(255) + 0.5772156649) - 2 * 255 / 256)
 
 
+def test_draws_are_those_of_the_columns(spark):
+    values = [(3, 17, "service", "a:b", 44), (0, 1, "hour", "at", 7)]
+    df = spark.createDataFrame(values, "a int, b int, c string, d string, e int")
+    assert [r[0] for r in df.select(trees.uniform(*(F.col(c) for c in "abcde"))).collect()] == [trees.draw(*v) for v in values]
+
+
 KINDS = {
     "spread": lambda rng: rng.lognormal(0, 4, 3000),
     "ties": lambda rng: rng.integers(0, 5, 3000).astype(float),
