@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.functions.numbering import numbered, place
-from logquarry.functions.quantiles import exact_quantiles
+from logquarry.functions.quantiles import quantiles_with
 from logquarry.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from logquarry.session import Scratch
 
@@ -27,10 +27,11 @@ class Profile(NamedTuple):
 
 
 def profile(events: DataFrame) -> Profile:
-    """Exact, linearly interpolated: both columns are narrowed in the same passes, none is gathered."""
+    """Exact, linearly interpolated: both columns and the row count share their passes, none is gathered."""
     numbers = events.select("response_time_ms", "status")
-    found = exact_quantiles(numbers, {"response_time_ms": [0.5, HIGH_RESPONSE_QUANTILE], "status": [0.5]})
-    return Profile(numbers.count(), *found["response_time_ms"], *found["status"])
+    wanted = {"response_time_ms": [0.5, HIGH_RESPONSE_QUANTILE], "status": [0.5]}
+    found, counts = quantiles_with(numbers, wanted, {"total": F.count(F.lit(1))})
+    return Profile(counts["total"], *found["response_time_ms"], *found["status"])
 
 
 def profile_row(found: Profile, spark: SparkSession) -> DataFrame:

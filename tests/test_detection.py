@@ -240,6 +240,39 @@ def test_a_median_in_a_gap_gathers_no_more_than_the_buckets(spark, monkeypatch):
     assert max(collected) <= BUCKETS and not any("Window" in p or "Sort" in p for p in plans)
 
 
+def scans(df, monkeypatch, run):
+    """What ``run`` returns and how often it starts an action on the driver."""
+    actions = []
+    for name in ("collect", "first"):
+        plain = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, *a, plain=plain, **b: (actions.append(1), plain(self, *a, **b))[1])
+    out = run()
+    return out, len(actions)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_few_scans(spark, monkeypatch, kind):
+    """A sketch and one or two counting passes, ``first`` being one action that collects."""
+    df = spark.createDataFrame(pd.DataFrame({"v": KINDS[kind](np.random.default_rng(7))}))
+    _, actions = scans(df, monkeypatch, lambda: exact_quantiles(df, {"v": [0.05, 0.5, 0.95]}))
+    assert actions <= 1 + 3  # first() itself calls collect()
+
+
+def test_profile_needs_three_scans(sample, monkeypatch):
+    found, actions = scans(sample, monkeypatch, lambda: features.profile(sample))
+    assert found.total == 10 and actions <= 1 + 3
+
+
+def test_a_sketch_that_misses_is_made_good(spark, monkeypatch):
+    from logquarry.functions import quantiles
+
+    values = np.arange(5000.0)
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    plain = quantiles._brackets
+    monkeypatch.setattr(quantiles, "_brackets", lambda *a: (plain(*a)[0], {"v": [(4000.0, 4100.0)]}))
+    assert exact_quantiles(df, {"v": [0.0, 0.3, 0.5, 1.0]}) == {"v": pytest.approx([0.0, 1499.7, 2499.5, 4999.0])}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.sql("select cast(null as double) v, 3 w")
     assert exact_quantiles(df, {"v": [0.5], "w": [0.5]}) == {"v": [None], "w": [3.0]}

@@ -213,3 +213,19 @@ def test_lists(listed, make_events):
     assert [r["id"] for r in facets.recent_events(many, rows=3, log_level="INFO").collect()] == [696, 698, 700]
     old = many.withColumn("log_level", F.when(F.col("id") < 9, "ERROR").otherwise("INFO"))
     assert [r["id"] for r in facets.recent_events(old, log_level="ERROR").collect()] == list(range(1, 9))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_duplicate_ids_are_counted_in_bitmaps(spark, make_events, parts):
+    ids = [None, None, None, 0, 0, -1, -1, -32768, -32769, 1, 32768, 32769, 32769, 2**62, 2**62, -(2**62), *range(100, 40_000)]
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(parts)
+    one = make_events([("2025-08-12 14:00:00", "INFO", "USER_LOGIN", *[None] * 7)]).drop("id")
+    measured = quality.measurements(one.crossJoin(rows))
+    expected = len(ids) - len(set(ids))
+    assert measured.first()["duplicate_ids"] == expected and "no_id" not in measured.columns
+    plan = measured._jdf.queryExecution().toString()
+    assert "bitmap_construct_agg" in plan and "hashpartitioning(id" not in plan
+
+
+def test_duplicate_ids_of_nothing(no_events):
+    assert quality.measurements(no_events).first()["duplicate_ids"] == 0
