@@ -97,6 +97,16 @@ def first_per_hash(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.groupBy("record_hash").agg(first).select("first.*", "record_hash")
 
 
+def winners(rows: DataFrame, order: list[str], place: str) -> DataFrame:
+    """(record_hash, ``place``, event_date) of the first row, by ``order``, of every ``record_hash``.
+
+    Only these narrow columns are combined, on the map side first, so copies of one record never meet.
+    """
+    narrow = rows.select("record_hash", *order, "event_date")
+    first = F.min_by(F.struct(place, "event_date"), F.struct(*order)).alias("first")
+    return narrow.groupBy("record_hash").agg(first).select("record_hash", "first.*")
+
+
 def absent_from(rows: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose hash the target does not hold. Only the hash column of the target is read.
 

@@ -4,16 +4,20 @@ A record's hash covers its timestamp, so a copy of a row can only sit in the row
 reads just the hash column of the days it touches, and the buckets keep that side of the join unshuffled.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.functions.numbering import numbered, place
-from logquarry.operators.load import absent_from, constraint_error, first_per_hash, load_summary, type_rows
+from logquarry.operators.load import absent_from, constraint_error, load_summary, type_rows, winners
 from logquarry.schema import ANALYSIS_COLUMNS, LOG_EVENTS_SCHEMA, RECORD_COLUMNS, REQUIRED_FIELDS, VARCHAR_LENGTHS
 from logquarry.session import Scratch, stored_in_place
 from logquarry.sources.files import read_cleaned
+from logquarry.sources.ledger import Ledger
 
-NEXT_ID, TOTAL_ROWS = "log_events.next_id", "log_events.rows"
+DAY_GROUPS = 32  # of a load's days at most; each group is a join with as many tasks as the table has buckets
+ROWS_PER_TASK = 1_000_000  # incoming rows that one task of such a join shall take, about
 
 
 def create_table(spark: SparkSession, table: str, buckets: int, location: str | None = None) -> None:
@@ -67,21 +71,6 @@ def write_jdbc(rows: DataFrame, url: str, table: str = "log_events", **options:
     rows.write.format("jdbc").mode("append").options(url=url, dbtable=table, **options).save()
 
 
-def _counters(spark: SparkSession, table: str) -> tuple[int, int]:
-    """The next free id and the number of rows: kept in the table's properties, counted where they are absent."""
-    kept = {r["key"]: int(r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").isin(NEXT_ID, TOTAL_ROWS)).collect()}
-    if len(kept) < 2:
-        last, rows = spark.table(table).agg(F.max("id"), F.count(F.lit(1))).first()
-        kept = {NEXT_ID: 1 if last is None else last + 1, TOTAL_ROWS: rows} | kept
-    return kept[NEXT_ID], kept[TOTAL_ROWS]
-
-
-def _keep(spark: SparkSession, table: str, **counters: int) -> None:
-    values = {"next_id": NEXT_ID, "rows": TOTAL_ROWS}
-    properties = ", ".join(f"'{values[k]}' = '{v}'" for k, v in counters.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({properties})")
-
-
 def _buckets(spark: SparkSession, table: str) -> int:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
     return int(described["data_type"])
@@ -93,21 +82,63 @@ def _row_number(staged: DataFrame, bad) -> int:
     return staged.where((F.col("file") == bad["file"]) & before).count() + 2
 
 
+def _day_groups(checked, buckets: int, rows_per_task: int) -> list[tuple]:
+    """Ranges of days with about equal numbers of incoming rows: more of them the more rows there are for a bucket."""
+    count = min(DAY_GROUPS, -(-checked["rows"] // (buckets * rows_per_task)))
+    last_days = sorted({*checked["day_quantiles"][:: DAY_GROUPS // count], checked["last_day_number"]})
+    firsts = [checked["first_day_number"], *[d + 1 for d in last_days[:-1]]]
+    return [(a, b) for a, b in zip(firsts, last_days) if a <= b]
+
+
+def _absent(spark: SparkSession, rows: DataFrame, table: str, order: list[str], groups: list[tuple], area: Scratch) -> DataFrame:
+    """(row, event_date) of the first row of each hash that the table does not hold.
+
+    Only hashes, places and days travel. For each group of days the incoming side is laid out like the
+    table's buckets, so the table's side is not shuffled, and the groups' joins are tasks of their own: a load
+    of many days is not bound to one task for each bucket.
+    """
+    chosen = winners(rows, order, "row")
+    number = F.unix_date("event_date")
+    if len(groups) > 1:
+        part = F.lit(len(groups) - 1)
+        for i, (_, last) in reversed(list(enumerate(groups[:-1]))):
+            part = F.when(number <= last, i).otherwise(part)
+        chosen = area.store(chosen.withColumn("part", part), "winners", ["part"])
+    found = []
+    for i, (first, last) in enumerate(groups):
+        incoming = chosen.where(F.col("part") == i).drop("part") if len(groups) > 1 else chosen
+        days = F.col("event_date").between(*[F.date_from_unix_date(F.lit(d)) for d in (first, last)])
+        found.append(absent_from(incoming.repartition(_buckets(spark, table), "record_hash"), spark.table(table).where(days)))
+    return reduce(DataFrame.unionByName, found).select("row", "event_date")
+
+
+def _append(rows: DataFrame, table: str) -> None:
+    rows.write.insertInto(table)
+
+
 def load_rows(
-    spark: SparkSession, rows: DataFrame, table: str = "log_events", buckets: int | None = None
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str = "log_events",
+    buckets: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> dict[str, int]:
     """Append records that the table does not hold yet, all or nothing.
 
     ``rows`` are the record columns with ``record_hash``, the order ``file``, ``block``, ``row`` (``row``
     unique) and, for typed CSV, ``row_error``. They are stored once; one pass over them checks every row
     and refuses the whole load at the first bad one, then a single append job writes. Among rows with equal
-    hash the first in order wins. New rows get the next free ids without gaps, in no particular order; their
-    range is reserved before the append, so only a failed append leaves a gap. A missing table is created
-    when ``buckets`` is given, and is an error otherwise.
+    hash the first in order wins. New rows get the next free ids without gaps, in no particular order. A
+    missing table is created when ``buckets`` is given, and is an error otherwise.
+
+    The ids are reserved before the append and the load is sealed after it (``ledger``). A load that failed
+    in between may be repeated: rows it wrote are recognised by their hash, and the next load's total counts
+    them. Only ids of a failed append are lost.
     """
     names = ("input_records", "inserted_records", "duplicate_records", "failed_records", "database_total_rows")
     order = ["file", "block", "row"]
     day = F.to_date("timestamp")
+    number = F.unix_date(day)
     with Scratch(spark) as area:
         rows = area.store(rows, "typed")
         unreadable = F.col("row_error") if "row_error" in rows.columns else F.lit(None).cast("string")
@@ -115,8 +146,9 @@ def load_rows(
             F.count(F.lit(1)).alias("rows"),
             F.min(F.when(unreadable.isNotNull(), F.struct(*order, unreadable.alias("message")))).alias("row_error"),
             F.min(constraint_error(rows)).alias("violation"),
-            F.min(day).alias("first_day"),
-            F.max(day).alias("last_day"),
+            F.min(number).alias("first_day_number"),
+            F.max(number).alias("last_day_number"),
+            F.percentile_approx(number, [(i + 1) / DAY_GROUPS for i in range(DAY_GROUPS)], 1000).alias("day_quantiles"),
         ).first()
         if checked["rows"] == 0:
             return dict.fromkeys(names, 0)
@@ -130,20 +162,24 @@ def load_rows(
         elif not spark.catalog.tableExists(table):
             raise ValueError(f"table {table} does not exist: create it, or say how many buckets it shall have")
         spark.catalog.refreshTable(table)
-        first_id, total = _counters(spark, table)
-        # the hash covers the timestamp, so a copy can only sit between these days
-        same_days = spark.table(table).where(F.col("event_date").between(checked["first_day"], checked["last_day"]))
-        candidates = rows.select(*order, *RECORD_COLUMNS, "record_hash")
-        # laid out like the table's buckets: the join leaves the table in place, and every task writes one file a day
-        distinct = first_per_hash(candidates, order).repartition(_buckets(spark, table), "record_hash")
-        fresh = absent_from(distinct, same_days).select(*RECORD_COLUMNS, "record_hash", day.alias("event_date"), place().alias("place"))
-        fresh = stored_in_place(fresh)
-        new = fresh.count()
+        ledger = Ledger(spark, table)
+        before = ledger.seals()[-1]
+        rows = rows.withColumn("event_date", day)
+        # the hash covers the timestamp, so a copy can only sit on the same day
+        groups = _day_groups(checked, _buckets(spark, table), rows_per_task)
+        fresh = area.store(_absent(spark, rows, table, order, groups, area), "fresh")
+        per_day = {str(r["event_date"]): r["n"] for r in fresh.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+        new = sum(per_day.values())
+        total = before.total + new
         if new:
-            _keep(spark, table, next_id=first_id + new)
-            numbered(fresh, "id", first_id).select("id", *RECORD_COLUMNS, "record_hash", "event_date").write.insertInto(table)
-        _keep(spark, table, rows=total + new)
-    return dict(zip(names, (checked["rows"], new, checked["rows"] - new, 0, total + new)))
+            whole = rows.join(fresh.select("row"), "row", "left_semi").select(*RECORD_COLUMNS, "record_hash", "event_date")
+            # by day and bucket: as many tasks as there are such pairs, and one file for each
+            bucket = F.pmod(F.hash("record_hash"), F.lit(_buckets(spark, table)))
+            whole = stored_in_place(whole.repartition("event_date", bucket).withColumn("place", place()))
+            ledger.begin(before.next_id, new, list(per_day))
+            _append(numbered(whole, "id", before.next_id).select("id", *RECORD_COLUMNS, "record_hash", "event_date"), table)
+            ledger.end(before.next_id, new, total, list(per_day))
+    return dict(zip(names, (checked["rows"], new, checked["rows"] - new, 0, total)))
 
 
 def load_csv(
