@@ -90,14 +90,14 @@ def _day_groups(checked, buckets: int, rows_per_task: int) -> list[tuple]:
     return [(a, b) for a, b in zip(firsts, last_days) if a <= b]
 
 
-def _absent(spark: SparkSession, rows: DataFrame, table: str, order: list[str], groups: list[tuple], area: Scratch) -> DataFrame:
+def _absent(rows: DataFrame, table: str, buckets: int, order: list[str], groups: list[tuple], area: Scratch) -> DataFrame:
     """(row, event_date) of the first row of each hash that the table does not hold.
 
     Only hashes, places and days travel. For each group of days the incoming side is laid out like the
     table's buckets, so the table's side is not shuffled, and the groups' joins are tasks of their own: a load
     of many days is not bound to one task for each bucket.
     """
-    chosen = winners(rows, order, "row")
+    spark, chosen = rows.sparkSession, winners(rows, order, "row")
     number = F.unix_date("event_date")
     if len(groups) > 1:
         part = F.lit(len(groups) - 1)
@@ -108,7 +108,7 @@ def _absent(spark: SparkSession, rows: DataFrame, table: str, order: list[str],
     for i, (first, last) in enumerate(groups):
         incoming = chosen.where(F.col("part") == i).drop("part") if len(groups) > 1 else chosen
         days = F.col("event_date").between(*[F.date_from_unix_date(F.lit(d)) for d in (first, last)])
-        found.append(absent_from(incoming.repartition(_buckets(spark, table), "record_hash"), spark.table(table).where(days)))
+        found.append(absent_from(incoming.repartition(buckets, "record_hash"), spark.table(table).where(days)))
     return reduce(DataFrame.unionByName, found).select("row", "event_date")
 
 
@@ -166,15 +166,16 @@ def load_rows(
         before = ledger.seals()[-1]
         rows = rows.withColumn("event_date", day)
         # the hash covers the timestamp, so a copy can only sit on the same day
-        groups = _day_groups(checked, _buckets(spark, table), rows_per_task)
-        fresh = area.store(_absent(spark, rows, table, order, groups, area), "fresh")
+        buckets = _buckets(spark, table)
+        groups = _day_groups(checked, buckets, rows_per_task)
+        fresh = area.store(_absent(rows, table, buckets, order, groups, area), "fresh")
         per_day = {str(r["event_date"]): r["n"] for r in fresh.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()}
         new = sum(per_day.values())
         total = before.total + new
         if new:
             whole = rows.join(fresh.select("row"), "row", "left_semi").select(*RECORD_COLUMNS, "record_hash", "event_date")
             # by day and bucket: as many tasks as there are such pairs, and one file for each
-            bucket = F.pmod(F.hash("record_hash"), F.lit(_buckets(spark, table)))
+            bucket = F.pmod(F.hash("record_hash"), F.lit(buckets))
             whole = stored_in_place(whole.repartition("event_date", bucket).withColumn("place", place()))
             ledger.begin(before.next_id, new, list(per_day))
             _append(numbered(whole, "id", before.next_id).select("id", *RECORD_COLUMNS, "record_hash", "event_date"), table)
