@@ -13,14 +13,15 @@ listed, so a lost executor leaves at most a file that nobody reads.
 import gzip
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import checkpoint_folder, stored
+from logquarry.llm.common import bitmap, checkpoint_folder, filter_bits, maybe_in, stored
 
 LEAST_BYTES = 1000  # shorter payloads are always written
 CHUNK = 1 << 20
@@ -178,6 +179,13 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, chunk: int, with_data:
     yield pa.RecordBatch.from_pylist(rows, _CHUNKS)
 
 
+def _rows_of(batches: Iterator[pa.RecordBatch], keep: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column, a long, ``keep`` lets through; without that column."""
+    for batch in batches:
+        mask = pa.array(keep(batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)))
+        yield batch.filter(mask).select(list(range(batch.num_columns - 1)))
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -189,6 +197,9 @@ def write_archives(
 ) -> DataFrame:
     """Write a record per row of ``pages`` and return the archives (path, records), names below ``folder``.
 
+    Pages whose payload no other page holds are written by the task that reads them. For all others it is
+    decided without their html which one is the response, and only the html of responses is shuffled.
+
     Of rows with equal payloads of at least ``least_bytes`` bytes the one with the largest id is the
     response and the others revisit it; all other rows are responses. A null payload is empty. Ids are
     longs; a null id is never the largest, and when rows repeat the largest id each of them is a response.
@@ -200,20 +211,41 @@ def write_archives(
         F.col(f"`{id_column}`").cast("long").alias("page_id"), url.alias("url"), payload.alias("html"),
         F.octet_length(payload).cast("long").alias("size"), F.sha1(payload.cast("binary")).alias("digest"),
     )
-    shared = (
-        rows.where(F.col("size") >= least_bytes)
-        .groupBy("digest", "size")
-        .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .drop("n")
+    columns = ["page_id", "url", "html", "size", "digest", "refers_to", "revisits"]
+    pair, no_id, response = F.xxhash64("page_id", "digest").alias("pair"), F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("revisits")
+    # without html: a page is known by its id and its payload's digest
+    narrow = stored(rows.select("page_id", "url", "size", "digest"))
+    groups = narrow.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+    # stored, so that the join can split a payload that very many pages hold
+    shared = stored(groups.where("n > 1 AND refers_to IS NOT NULL").select("digest", "refers_to", F.xxhash64("digest").alias("key")))
+    sc = pages.sparkSession.sparkContext
+    many = shared.count()
+    table = sc.broadcast(bitmap(shared, "key", filter_bits(many, 8)))
+
+    def alone(batches):
+        return _write(_rows_of(batches, lambda keys: ~maybe_in(table.value, keys)), folder, archive_bytes)
+
+    out = "path string, records bigint"
+    written = rows.select("page_id", "url", "html", "size", "digest", no_id, response, F.xxhash64("digest").alias("key")).mapInArrow(alone, out)
+    if not many:
+        return stored(written)
+    # what the table lets through, among it a few payloads that no other page holds
+    maybe = narrow.withColumn("key", F.xxhash64("digest")).mapInArrow(
+        lambda batches: _rows_of(batches, lambda keys: maybe_in(table.value, keys)), "page_id bigint, url string, size bigint, digest string"
     )
-    revisits = F.coalesce(~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull(), F.lit(False))
-    placed = rows.join(shared, ["digest", "size"], "left").withColumn("revisits", revisits)
-    records = placed.select(
-        "page_id", "url", F.when(~F.col("revisits"), F.col("html")).alias("html"), "size", "digest",
-        F.when(F.col("revisits"), F.col("refers_to")).alias("refers_to"), "revisits",
-    )
-    return stored(records.mapInArrow(lambda batches: _write(batches, folder, archive_bytes), "path string, records bigint"))
+    judged = stored(maybe.join(shared.drop("key"), "digest", "left").select("*", (F.col("page_id") != F.col("refers_to")).alias("other")))
+    revisits = F.col("refers_to").isNotNull() & (F.col("page_id").isNull() | F.col("other"))
+    nothing = F.lit(None).cast("string").alias("html")
+    again = judged.where(revisits).select("page_id", "url", nothing, "size", "digest", "refers_to", F.lit(True).alias("revisits"))
+    again = again.select(columns).mapInArrow(lambda batches: _write(batches, folder, archive_bytes), out)
+    held = stored(judged.where(~revisits).select(F.col("page_id").alias("id"), F.col("digest").alias("of"), pair).distinct())
+    pairs = sc.broadcast(bitmap(held, "pair", filter_bits(held.count(), 8)))
+    first = rows.withColumn("pair", pair).mapInArrow(
+        lambda batches: _rows_of(batches, lambda keys: maybe_in(pairs.value, keys)), "page_id bigint, url string, html string, size bigint, digest string"
+    )
+    first = first.join(held, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left_semi")
+    first = first.select("page_id", "url", "html", "size", "digest", no_id, response).select(columns)
+    return stored(written.unionAll(again).unionAll(first.mapInArrow(lambda batches: _write(batches, folder, archive_bytes), out)))
 
 
 def read_archives(archives: DataFrame, folder: str, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:

@@ -82,3 +82,14 @@ def test_a_long_payload_is_never_held_whole():
     stream = Endless()
     rows = list(read_records(stream, 1 << 16, with_data=False))
     assert len(rows) == 1024 and stream.most <= 1 << 16 and rows[-1]["digest_so_far"] == hashlib.sha1(bytes(1 << 26)).hexdigest()
+
+
+def test_a_hot_payload_travels_without_its_html(make, monkeypatch, spark):
+    """Two thirds of the pages hold one payload: no shuffle but that of responses has an html column."""
+    hot = "<p>" + "same " * 600
+    rows = [(i if i % 50 else None, f"http://a/{i}", hot if i % 3 else f"<p>{i} " + "own " * 400) for i in range(600)]
+    rows += [(7000 + i, None, f"twice {i // 2} " * 200) for i in range(60)] + [(9000, None, hot)] * 2
+    frame = make(rows, "page_id long, url string, html string").repartition(5)
+    got = sorted((tuple(r) for r in round_trip(frame).collect()), key=str)
+    assert got == brute([(i, h) for i, _, h in rows])
+    assert sum(r[3] == "response" and r[1] == len(hot) for r in got) == 2
