@@ -1,10 +1,14 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification (operator 3).
 
-A document's set holds its distinct five-word shingles, all of weight one, however often they occur: so the
-probability Jaccard that signatures estimate is the Jaccard similarity that links are defined by. The
-ProbMinHash signature has 96 components; 24 bands of four make buckets, in which two texts of similarity
-0.8 fail to meet with a chance of about 3 in a million. Two texts are linked when the exact Jaccard
-similarity of their distinct shingles is at least 0.8; the links' connected components are the classes.
+A document's weighted set holds its distinct five-word shingles, however often they occur. A shingle weighs
+from 1 to 2, by how many of its words differ, so that stammering and filled-up text counts less; the weight
+is the shingle's own, equal in every document. The share of equal components of two ProbMinHash signatures
+estimates the probability Jaccard of the weighted sets, which is their shared over their joint weight here. At a
+Jaccard similarity of J, counted on shingles, it is no less than J / (2 - J): bands and the least number of
+equal components follow from that. At 0.8 the signature has 128 components in 32 bands of four; a pair fails to meet
+with a chance below 1 in 1,000 in the worst case, where all shared shingles are stammered and all others not,
+and of 5 in 100 million where weights are alike. Two texts are linked when the exact Jaccard similarity of their
+distinct shingles is at least 0.8; the links' connected components are the classes.
 
 Nothing lists all pairs of a bucket. Texts of equal words are united first. Then every bucket is compared
 with one leader, the member that meets most others in all its buckets, such as the source of many edited
@@ -25,12 +29,37 @@ from logquarry.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-COMPONENTS, ROWS = 96, 4
-BANDS = COMPONENTS // ROWS
-LEAST_AGREE = COMPONENTS // 2  # at a similarity of 0.8 fewer equal components have a chance below 1e-10
+COMPONENTS, MOST_ROWS = 128, 4
+MISSED = 1e-3  # chance that a pair at the threshold does not meet, at most
 BLOCK = 256
 
 
+def banding(threshold: float) -> tuple[int, int, int]:
+    """(rows of a band, bands, least equal components) for links of ``threshold`` and more.
+
+    As many rows as let a pair of the lowest probability Jaccard meet but for ``MISSED``; fewer than the
+    least equal components have a chance below 1e-10. A threshold that no banding can hold is refused.
+    """
+    low = threshold / (2 - threshold)
+    for rows in range(MOST_ROWS, 0, -1):
+        if (1 - low**rows) ** (COMPONENTS // rows) <= MISSED:
+            least = COMPONENTS * low - 6.5 * (COMPONENTS * low * (1 - low)) ** 0.5
+            return rows, COMPONENTS // rows, max(0, int(least))
+    raise ValueError(f"a signature of {COMPONENTS} components can't find similarities of {threshold}")
+
+
+def shingle_weights(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> np.ndarray:
+    """The weight of each run of ``n`` words, at its first: 1 if all words are equal to 2 if none are; 1 for shorter rows."""
+    size = max(0, len(hashes) - n + 1)
+    different = np.ones(size)
+    for i in range(1, n):
+        new = np.ones(size, bool)
+        for j in range(i):
+            new &= hashes[i : i + size] != hashes[j : j + size]
+        different += new
+    return 1 + (different - 1) / (n - 1)
+
+
 def shingles(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each row's distinct word shingles in order, how often each occurs, and the row offsets.
 
@@ -54,6 +83,30 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple
     return values[at], np.diff(at, append=len(values)), np.searchsorted(at, bounds)
 
 
+def weighted_shingles(hashes: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the weight of each shingle instead of its occurrences."""
+    found, size = grams(hashes, n), np.diff(offsets)
+    room = np.repeat(offsets[1:], size) - np.arange(len(hashes))
+    whole = room[: len(found)] >= n
+    values, weights, per = found[whole], shingle_weights(hashes, offsets, n)[whole], np.maximum(size - n + 1, 0)
+    few = (size > 0) & (size < n)
+    if few.any():
+        at = np.concatenate([[0], np.cumsum(per)])[:-1][few]
+        values = np.insert(values, at, row_keys(hashes, offsets)[0].view(np.uint64)[few])
+        weights = np.insert(weights, at, 1.0)
+        per[few] = 1
+    bounds = np.concatenate([[0], np.cumsum(per)])
+    order = np.arange(len(values))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        order[a:b] = a + np.argsort(values[a:b])
+    values, weights = values[order], weights[order]
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    first[bounds[:-1][per > 0]] = True
+    at = np.flatnonzero(first)
+    return values[at], weights[at], np.searchsorted(at, bounds)
+
+
 def prob_minhash(
     values: np.ndarray, weights: np.ndarray, offsets: np.ndarray, m: int = COMPONENTS, slack: float = 3.0
 ) -> np.ndarray:
@@ -93,20 +146,21 @@ def prob_minhash(
     return sig
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, k1, k2, n, bands, sig): n distinct shingles, a hash per band, a byte per component."""
+def _sketch(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, k1, k2, n, bands, sig): n distinct shingles, a hash per band of ``rows``, a byte per component."""
+    many = COMPONENTS // rows
     for batch in batches:
         data, bounds = utf8(batch.column(1))
         for first, last in slabs(bounds):
             hashes, offsets = words(data, bounds[first : last + 1])
             k1, k2 = row_keys(hashes, offsets)
-            values, _, parts = shingles(hashes, offsets)
-            sig = prob_minhash(values, np.ones(len(values)), parts)  # a weight by occurrences would part copies whose repeats differ
+            values, weights, parts = weighted_shingles(hashes, offsets)
+            sig = prob_minhash(values, weights, parts)
             n = np.diff(parts)
-            bands = np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * _GOLDEN
-            for r in range(ROWS):
-                bands = mixed(bands ^ sig[:, r::ROWS])
-            lists = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))])
+            bands = np.arange(1, many + 1, dtype=np.uint64)[None, :] * _GOLDEN
+            for r in range(rows):
+                bands = mixed(bands ^ sig[:, r : many * rows : rows])
+            lists = np.concatenate([[0], np.cumsum(np.where(n > 0, many, 0))])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, last - first),
@@ -219,16 +273,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         yield links(rows)
 
 
-def _links(texts: DataFrame, reps: DataFrame, threshold: float, block: int) -> DataFrame:
+def _links(texts: DataFrame, reps: DataFrame, threshold: float, least: int, block: int) -> DataFrame:
     """Links (a, b) between nodes of ``reps`` (k1, k2, n, bands, sig, node) whose components are the classes."""
     entries = reps.select("node", F.explode("bands").alias("bucket"))
-    counts = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # stored before they are joined, like ``lead`` below: so the join can split a bucket that very many texts share
+    counts = stored(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
     met = stored(entries.join(counts, "bucket"))
     degree = met.groupBy("node").agg(F.sum("members").alias("degree"))
     # the member that meets most others leads; equal ones are told apart by a hash
     rank = (F.col("degree") * (1 << 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))).alias("rank")
     ranked = stored(met.join(degree, "node").select("bucket", "node", rank))
-    lead = ranked.groupBy("bucket").agg(F.max_by("node", "rank").alias("leader"))
+    lead = stored(ranked.groupBy("bucket").agg(F.max_by("node", "rank").alias("leader")))
     star = stored(ranked.join(lead, "bucket").select("leader", "node").distinct())
 
     needed = stored(degree.select("node").join(reps.select("node", "k1", "k2", "n", "sig"), "node"))
@@ -244,7 +299,7 @@ def _links(texts: DataFrame, reps: DataFrame, threshold: float, block: int) -> D
     sizes = needed.select("node", "n", "sig")
     sides = star.where("leader <> node").join(sizes.toDF("leader", "n_a", "sig_a"), "leader").join(sizes.toDF("node", "n_b", "sig_b"), "node")
     sides = sides.where(F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")).select("leader", "node", "sig_a", "sig_b")
-    likely = stored(sides.mapInArrow(_agree, "a bigint, b bigint, agree int").where(F.col("agree") >= LEAST_AGREE).select("a", "b"))
+    likely = stored(sides.mapInArrow(_agree, "a bigint, b bigint, agree int").where(F.col("agree") >= least).select("a", "b"))
     both = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b")
     links = stored(both.mapInArrow(lambda batches: _jaccard(batches, threshold), "a bigint, b bigint"))
 
@@ -287,11 +342,12 @@ def near_duplicates(
     """
     source = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    sketched = source.mapInArrow(_sketch, f"id {kind}, k1 bigint, k2 bigint, n bigint, bands array<bigint>, sig binary")
+    rows, _, least = banding(threshold)
+    sketched = source.mapInArrow(lambda batches: _sketch(batches, rows), f"id {kind}, k1 bigint, k2 bigint, n bigint, bands array<bigint>, sig binary")
     base = stored(sketched.withColumn("place", F.monotonically_increasing_id()))
     texts = base.where("n > 0").select("k1", "k2", "n", "bands", "sig").distinct()
     reps = stored(texts.withColumn("node", F.monotonically_increasing_id()))
-    links = _links(source.select("text"), reps, threshold, block)
+    links = _links(source.select("text"), reps, threshold, least, block)
     comps = components(links)
     group = reps.select("k1", "k2", "node").join(comps, "node", "left").select("k1", "k2", F.coalesce("comp", "node").alias("comp"))
     # classes that hold more than one row; all other rows stand alone

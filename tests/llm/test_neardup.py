@@ -1,9 +1,13 @@
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
+from logquarry.llm import neardup
+from logquarry.llm.common import utf8, words
 from logquarry.llm.components import components
-from logquarry.llm.neardup import near_duplicates, op3_near_duplicates, prob_minhash, shared_counts
+from logquarry.llm.neardup import banding, near_duplicates, op3_near_duplicates, prob_minhash, shared_counts, shingles, weighted_shingles
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -51,6 +55,47 @@ def test_signature_estimates_probability_jaccard():
     assert (one[0] == values[0]).all() and not one[1].any()
 
 
+def test_weights_are_the_shingles_own():
+    texts = ["a a a a a a", "a b c d e f", "x a a a a a b a a", "a b", "", None, "q a b c d e"]
+    hashes, offsets = words(*utf8(pa.array(texts, pa.string())))
+    values, weights, parts = weighted_shingles(hashes, offsets)
+    plain, _, bounds = shingles(hashes, offsets)
+    assert values.tolist() == plain.tolist() and parts.tolist() == bounds.tolist()
+    by_value = {}
+    for v, w in zip(values.tolist(), weights.tolist()):
+        assert by_value.setdefault(v, w) == w
+    assert weights[: parts[1]].tolist() == [1.0] and weights[parts[1] : parts[2]].tolist() == [2.0, 2.0]
+    assert set(weights.tolist()) == {1.0, 1.25, 2.0}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.65, 0.8, 0.95])
+def test_banding_follows_the_threshold(make, threshold):
+    """Pairs around the threshold, with weights as unlike as they can be: the same classes as all pairs give."""
+    rows, bands, least = banding(threshold)
+    low = threshold / (2 - threshold)
+    assert (1 - low**rows) ** bands <= neardup.MISSED and rows * bands <= neardup.COMPONENTS and least < neardup.COMPONENTS * low
+    rng = np.random.default_rng(int(threshold * 100))
+    docs = []
+    for i in range(60):
+        own = [f"s{i}"] * 4  # shingles of one word repeated weigh least
+        shared = " ".join(w for k in range(30) for w in [f"c{i}_{k}"] * 5)
+        extra = int(30 * 5 * (1 / threshold - 1) / 2 * rng.uniform(0.8, 1.2))
+        docs += [(2 * i, f"{shared} {' '.join(own)}"), (2 * i + 1, f"{shared} {' '.join(f'x{i}_{k}' for k in range(extra))}")]
+    sets = [shingle_set(t) for _, t in docs]
+    want = []
+    for i in range(0, len(docs), 2):
+        both = len(sets[i] & sets[i + 1])
+        linked = both >= threshold * (len(sets[i]) + len(sets[i + 1]) - both)
+        want += [(i, i, 1 + linked), (i + 1, i if linked else i + 1, 1 + linked)]
+    got = near_duplicates(make(docs, "doc_id long, text string"), threshold=threshold)
+    assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(want)
+
+
+def test_a_threshold_that_bands_cannot_hold_is_refused():
+    with pytest.raises(ValueError):
+        banding(0.05)
+
+
 def test_shared_counts():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 60, 30)).astype(np.uint64) for _ in range(9)]
