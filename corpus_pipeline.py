@@ -4,13 +4,14 @@ Every stage takes the documents its predecessor kept, and its result is written
 one reads it. The first four return the columns of ``documents``; the last returns packed sequences.
 """
 
-import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.llm import decontaminate, neardup, pack, quality, toxicity
 from logquarry.llm.common import checkpoint_folder, stored
+from logquarry.session import delete, session_area, ship_package
 
 ORACLE_SQL = None  # learned models and signatures have no SQL; tests compare the stages with plain Python
 
@@ -18,19 +19,35 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"  # a character of a word, as in logquar
 BROADCAST_ROWS = 500_000  # of ids to drop; more are joined by shuffling
 
 
-def _without(docs: DataFrame, gone: DataFrame, condition) -> DataFrame:
-    """Rows of ``docs`` that ``condition`` pairs with no row of ``gone``, a table of keys."""
-    gone = stored(gone)
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, condition, "left_anti")
+KEY = ("no_id", "id", "text")
 
 
-def _text_hash():
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``row``, all columns of ``docs`` whatever their names, and what a row is known by: its id and a hash of its text.
+
+    So rows that share an id but not the text are told apart.
+    """
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), text.alias("text"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """(_key, text) for operators that take an id column."""
+    return _keyed(docs).select(F.struct(*KEY).alias("_key"), F.col("row.text").alias("text"))
 
 
-def _row_key():
-    """What a row is known by: its id and a hash of its text, so rows that share an id but not the text are told apart."""
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), _text_hash().alias("text"))
+def _those(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``_keyed`` that are (``left_semi``) or are not (``left_anti``) among stored ``keys``, structs named ``_key``."""
+    same = [F.col(f"_key.{c}").alias(f"key_{c}") for c in KEY]
+    side = keys.select(*same).distinct()
+    side = F.broadcast(side) if keys.count() <= BROADCAST_ROWS else side
+    match = (F.col("text") == F.col("key_text")) & (F.col("no_id") == F.col("key_no_id")) & F.col("id").eqNullSafe(F.col("key_id"))
+    return keyed.join(side, match, how)
+
+
+def _rows(keyed: DataFrame) -> DataFrame:
+    return keyed.select("row.*")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,26 +68,27 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A row is known by its id and a hash of its text, so rows that share an id but not the text are told
     apart; of rows with words that share both, the first by n_chars stays.
     """
-    text = _text_hash()
-    classes = stored(neardup.near_duplicates(docs.select(_row_key().alias("_key"), "text"), "_key"))
-    keys = classes.select(F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_text"), "kept")
-    counted = keys.groupBy("_id", "_text").agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text == F.col("_text"))
-    rows = _without(docs, counted.where("kept = 0").select("_id", "_text"), same)
-    if counted.where("kept > 0 AND kept < n").isEmpty():
-        return rows
-    worded = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
-    again = F.row_number().over(Window.partitionBy("doc_id", text).orderBy("n_chars"))
-    firsts = rows.where(worded).withColumn("_again", again).where("_again = 1").drop("_again")
-    return firsts.unionByName(rows.where(~worded))
+    classes = neardup.near_duplicates(_texts(docs), "_key")
+    counted = classes.groupBy(F.col("doc_id").alias("_key")).agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    counted = stored(counted.where("kept < n"))
+    keyed = _keyed(docs)
+    again = counted.where("kept > 0")
+    parts = [_rows(_those(keyed, counted, "left_anti"))]
+    if not again.isEmpty():
+        repeated = _those(keyed, again, "left_semi")
+        worded = F.coalesce(F.col("row.text").cast("string").rlike(WORD), F.lit(False))
+        # an aggregate, combined in the tasks that read the rows: equal rows, however many, never meet
+        order = F.struct(F.col("row.n_chars").isNull(), F.col("row.n_chars"))
+        parts.append(repeated.where(worded).groupBy("no_id", "id", "text").agg(F.min_by("row", order).alias("row")).select("row.*"))
+        parts.append(_rows(repeated.where(~worded)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate. Clean rows stay, also those that share a contaminated row's id."""
-    keyed = docs.select(_row_key().alias("_key"), "text")
-    found = decontaminate.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_key")
-    gone = found.where("contaminated").select(F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_text")).distinct()
-    return _without(docs, gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_text")))
+    found = decontaminate.contamination(_texts(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_key")
+    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("_key")))
+    return _rows(_those(_keyed(docs), gone, "left_anti"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,10 +106,19 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Stages are written below the checkpoint folder, a folder for each run."""
-    folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    """All stages over ``documents``, each written below the checkpoint folder and removed once the next one is.
+
+    The last one's rows, which are returned, are removed when the program ends.
+    """
+    ship_package(spark)
+    checkpoint_folder(spark)
+    area, before = session_area(spark), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = area.path(name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs

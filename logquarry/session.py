@@ -39,7 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     """Through Spark's own file system, so any store works."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -69,7 +69,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
-        _delete(self.spark, self.folder)
+        delete(self.spark, self.folder)
 
     def __enter__(self) -> "Scratch":
         return self
