@@ -11,6 +11,7 @@ from test_neardup import brute as classes  # noqa: E402
 from test_pack import check as check_packed  # noqa: E402
 
 from logquarry.llm import quality, toxicity  # noqa: E402
+from logquarry.session import session_area  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -108,3 +109,41 @@ def test_empty_documents(spark, make, tmp_path):
     make([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     make([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+CLASHING = ["_id", "_text", "_again", "_key", "kept", "id", "no_id", "row", "key_text", "class_id", "k1", "node", "bucket", "score", "label", "words", "window"]
+
+
+def test_columns_of_any_name(spark, make, tmp_path):
+    """Extra columns keep their values through every stage, whatever they are called; repeated rows included."""
+    docs, item = odd_documents()
+    make([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    make([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    plain = frame_of(make, docs + docs[10:13])
+    rich = plain.selectExpr("*", *[f"concat('{c} ', coalesce(doc_id, 0)) AS `{c}`" for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        one, other = stage(spark, plain, str(tmp_path)), stage(spark, rich, str(tmp_path))
+        assert other.columns == rich.columns, name
+        rows = other.collect()
+        assert sorted(map(str, one.collect())) == sorted(str(r) for r in other.select(*plain.columns).collect())
+        assert all(r[c] == f"{c} {r['doc_id'] or 0}" for r in rows for c in CLASHING)
+    assert corpus_pipeline.packing_stage(spark, rich, str(tmp_path)).count() == corpus_pipeline.packing_stage(spark, plain, str(tmp_path)).count()
+
+
+def test_rows_equal_in_id_and_text_become_the_first_by_size(spark, make, tmp_path):
+    rows = [(7, "same words here", "en", "s", n) for n in (None, 9, 4, 6)] + [(None, "other words there", "en", None, n) for n in range(300, 0, -1)]
+    got = corpus_pipeline.near_dedup_stage(spark, make(rows, SCHEMA).repartition(5), str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(7, "same words here", "en", "s", 4), (None, "other words there", "en", None, 1)], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_only_the_last_stage_stays_on_disk(spark, make, tmp_path):
+    make([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    make([(1, "a b")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame_of(make, [(1, "some words"), (2, "other words")]).write.parquet(f"{tmp_path}/documents.parquet")
+    folder = Path(session_area(spark).folder)
+    names = lambda: {n.name.rsplit("-", 1)[0] for n in folder.iterdir()} if folder.exists() else set()
+    before = names()
+    corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert names() - before <= {"packing"} and not {name for name, _ in corpus_pipeline.STAGES[:-1]} & names()
