@@ -1,22 +1,20 @@
 """Exact top-k search over binary codes by incremental multi-index hashing (operator 6).
 
-A code is cut into segments, and an index finds the codes that hold a value in a segment. A query looks up
-all values within a radius of its own segments, verifies what it finds by the full Hamming distance and
-grows the radius segment by segment. After radius s in the first j + 1 of m segments and s - 1 in the
-others, every code within m * s + j has been found: a code farther off in all of them would differ in more
-bits. The query ends when its k-th distance is covered by that bound.
-
-Equal codes are one entry of the index with their k smallest ids, found before any shuffle; equal queries
-are searched once. Rows and queries meet in blocks of bounded size, each with its own index, and the
-blocks' nearest are merged: every query is searched against all rows.
+A code is cut into segments of about log2 n bits for n codes, and the index is a table of (segment, value,
+code). A query looks up all values within a radius of its own segments; what it finds is verified by the full
+Hamming distance. Once radius s has been searched in all m segments, every code within m * (s + 1) - 1 has been
+found: a code farther off in each of them would differ in m * (s + 1) bits or more. A query whose k-th verified
+distance is covered by that bound leaves; the others go on with the next radius.
+
+Every radius is a join of the queries' probes with the index, dealt by segment and value: rows are never
+copied to queries, and no query is compared with codes that share no near segment with it. Equal codes are
+one entry of the index with their k smallest ids, found before any shuffle; equal queries are searched once.
 """
 
 from collections.abc import Iterator
-from functools import cache
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,9 +23,9 @@ from logquarry.llm.common import stored
 
 K = 10
 BITS = 64
-SEGMENT_BITS = 16
-ROW_BLOCK, QUERY_BLOCK = 1 << 17, 1 << 14
+MOST_SEGMENT_BITS = 30
 QUERY_EVERY = 50
+PROBES = 1 << 16  # probes that are sent on at once
 
 
 def sign_code(vectors: DataFrame, id_column: str, vector_column: str, bits: int = BITS) -> DataFrame:
@@ -51,111 +49,134 @@ def sign_code(vectors: DataFrame, id_column: str, vector_column: str, bits: int
     return source.mapInArrow(coded, f"id {kind}, code binary")
 
 
-@cache
-def _masks(width: int, radius: int) -> np.ndarray:
-    """All values of ``width`` bits with ``radius`` of them set."""
-    return np.array([sum(1 << i for i in c) for c in combinations(range(width), radius)], np.int64)
-
-
-class SegmentIndex:
-    """Codes (n x bytes) sorted by the value of each segment of ``SEGMENT_BITS`` bits."""
-
-    def __init__(self, codes: np.ndarray):
-        padded = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
-        padded[:, : codes.shape[1]] = codes
-        self.words = padded.view(np.uint64)
-        self.segments = self.split(codes)
-        self.widths = [min(SEGMENT_BITS, codes.shape[1] * 8 - s) for s in range(0, codes.shape[1] * 8, SEGMENT_BITS)]
-        self.order = [np.argsort(s, kind="stable") for s in self.segments]
-        self.starts = [np.searchsorted(s[o], np.arange((1 << SEGMENT_BITS) + 1)) for s, o in zip(self.segments, self.order)]
-
-    @staticmethod
-    def split(codes: np.ndarray) -> list[np.ndarray]:
-        step = SEGMENT_BITS // 8
-        out = []
-        for s in range(0, codes.shape[1], step):
-            value = np.zeros(len(codes), np.int64)
-            for column in codes[:, s : s + step].T:
-                value = value << 8 | column
-            out.append(value)
-        return out
-
-    def search(self, code: np.ndarray, k: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, distances) of all codes no farther than the k-th nearest row; code i stands for ``weight[i]`` rows."""
-        padded = np.zeros(self.words.shape[1] * 8, np.uint8)
-        padded[: len(code)] = code
-        own, parts = padded.view(np.uint64), self.split(code[None, :])
-        m, bits = len(parts), len(code) * 8
-        seen = np.zeros(len(self.words), bool)
-        found, away, near = [], [], np.zeros(bits + 2, np.int64)
-        for radius in range(max(self.widths) + 1):
-            for j in range(m):
-                if radius <= self.widths[j]:
-                    values = parts[j][0] ^ _masks(self.widths[j], radius)
-                    low, high = self.starts[j][values], self.starts[j][values + 1]
-                    size = high - low
-                    at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
-                    new = self.order[j][at]
-                    new = new[~seen[new]]
-                    seen[new] = True
-                    distance = np.bitwise_count(self.words[new] ^ own).sum(axis=1).astype(np.int64)
-                    near[: bits + 1] += np.bincount(distance, weight[new], bits + 1).astype(np.int64)
-                    found.append(new)
-                    away.append(distance)
-                upto = np.cumsum(near)
-                kth = int(np.searchsorted(upto, k))  # the k-th verified distance
-                if kth <= min(m * radius + j, bits):
-                    position, distance = np.concatenate(found), np.concatenate(away)
-                    keep = distance <= kth
-                    return position[keep], distance[keep]
-        return np.concatenate(found), np.concatenate(away)
-
-
-def _search_block(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest ids of each query code among a block's codes, ties by id."""
-    empty = pd.DataFrame({"code": pd.Series(dtype=object), "id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="int64")})
-    if not len(rows) or not len(queries):
-        return empty
-    width = len(rows["code"].iloc[0])
-    bytes_of = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(-1, width)
-    index, ids = SegmentIndex(bytes_of(rows["code"])), list(rows["ids"])
-    weight = np.array([len(i) for i in ids], np.int64)
-    out = []
-    for code, own in zip(queries["code"], bytes_of(queries["code"])):
-        position, distance = index.search(own, k, weight)
-        listed = np.concatenate([ids[p] for p in position]) if len(position) else np.zeros(0, np.int64)
-        far = np.repeat(distance, weight[position])
-        best = np.lexsort((listed, far))[:k]
-        out.append(pd.DataFrame({"code": [code] * len(best), "id": listed[best].astype("int64"), "distance": far[best]}))
-    return pd.concat(out, ignore_index=True)
-
-
-def top_k(
-    rows: DataFrame, queries: DataFrame, k: int = K, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK
-) -> DataFrame:
+def segment_bounds(bits: int, count: int) -> np.ndarray:
+    """First bit of each segment and the end: segments of equal width, about log2 of the number of codes."""
+    width = min(MOST_SEGMENT_BITS, max(2, int(count).bit_length() - 1))
+    segments = max(1, -(-bits // MOST_SEGMENT_BITS), round(bits / width))
+    return np.linspace(0, bits, segments + 1).round().astype(int)
+
+
+def segments_of(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The value of each segment of each code (n x bytes), as n x segments longs."""
+    bits = np.unpackbits(codes, axis=1).astype(np.int64)
+    columns = [bits[:, a:b] @ (1 << np.arange(b - a, dtype=np.int64)) for a, b in zip(bounds[:-1], bounds[1:])]
+    return np.stack(columns, axis=1)
+
+
+def _words(codes: np.ndarray) -> np.ndarray:
+    padded = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
+    padded[:, : codes.shape[1]] = codes
+    return padded.view(np.int64)
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1]), pa.int32()), pa.array(values.reshape(-1)))
+
+
+def _cut(batches: Iterator[pa.RecordBatch], width: int, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(entry, code) to (entry, words, segments)."""
+    for batch in batches:
+        if batch.num_rows:
+            codes = _matrix(batch.column(1), width)
+            columns = [batch.column(0), _lists(_words(codes)), _lists(segments_of(codes, bounds))]
+            yield pa.RecordBatch.from_arrays(columns, names=["entry", "words", "segments"])
+
+
+def masks(width: int, radius: int, size: int = PROBES) -> Iterator[np.ndarray]:
+    """All values of ``width`` bits with ``radius`` of them set, ``size`` at a time."""
+    every = combinations(range(width), radius)
+    while some := list(islice(every, size)):
+        yield (1 << np.array(some, np.int64).reshape(len(some), radius)).sum(axis=1)
+
+
+def _probe(batches: Iterator[pa.RecordBatch], widths: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+    """(entry, words, segments, reach) of queries to (query, wanted, reach, segment, value): all values at ``radius``."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+        for j, width in enumerate(widths.tolist()):
+            for some in masks(width, radius):
+                step = max(1, PROBES // len(some))
+                for lo in range(0, batch.num_rows, step):
+                    part = own[lo : lo + step, j]
+                    take = pa.array(np.repeat(np.arange(lo, lo + len(part)), len(some)))
+                    values = pa.array((part[:, None] ^ some[None, :]).reshape(-1))
+                    columns = [batch.column(i).take(take) for i in (0, 1, 3)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(values), j, np.int32)), values], names=["query", "wanted", "reach", "segment", "value"])
+
+
+def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, neighbour_id, distance): the k nearest of ``rows`` (id, code) to each of ``queries`` (id, code).
 
     Distances are exact Hamming distances; ties go to the smaller id. Ids are longs, and a query that is
-    also a row finds itself. Fewer than k rows give as many results; repeated query rows one set each.
+    also a row finds itself. Every row takes a rank of its own, also one that repeats another; queries equal in
+    id and code are one. Fewer than k rows give as many results. Codes must be of one length.
     """
     first_ids = F.row_number().over(Window.partitionBy("code").orderBy("id")) <= k
-    distinct = rows.distinct().withColumn("first", first_ids).where("first")
-    coded = stored(distinct.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
-    asked = stored(queries.groupBy("code").agg(F.count(F.lit(1)).alias("queries")))
-    blocks = max(1, -(-coded.count() // row_block)), max(1, -(-asked.count() // query_block))
-    spot = lambda n: F.pmod(F.xxhash64("code"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = coded.select("code", "ids", spot(blocks[0]).alias("i"), every(blocks[1]).alias("j"))
-    right = asked.select("code", every(blocks[0]).alias("i"), spot(blocks[1]).alias("j"))
-
-    def search(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-        return _search_block(one, other, k)
-
-    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(search, "code binary, id bigint, distance bigint")
-    rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "id"))
-    nearest = found.withColumn("rank", rank).where(F.col("rank") <= k)
-    return queries.join(nearest.withColumnRenamed("id", "neighbour_id"), "code").select(
-        F.col("id").alias("query_id"), F.col("rank").cast("long").alias("rank"), "neighbour_id", "distance"
+    groups = rows.withColumn("first", first_ids).where("first").groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    coded = stored(groups.withColumn("entry", F.monotonically_increasing_id()))
+    asked = stored(queries.select("id", "code").distinct())
+    distinct = stored(asked.select("code").distinct().withColumn("entry", F.monotonically_increasing_id()))
+    size = F.octet_length("code")
+    sizes = coded.select(size.alias("n")).union(distinct.select(size.alias("n"))).agg(F.min("n"), F.max("n")).first()
+    count = coded.count()
+    nothing = "query_id long, rank long, neighbour_id long, distance long"
+    if not count or asked.isEmpty():
+        return rows.sparkSession.createDataFrame([], nothing)
+    if sizes[0] != sizes[1]:
+        raise ValueError("codes must be of one length")
+    width, bounds = sizes[1], segment_bounds(8 * sizes[1], count)
+    widths, m = np.diff(bounds), len(bounds) - 1
+
+    def cut(batches):
+        return _cut(batches, width, bounds)
+
+    parts = "entry bigint, words array<bigint>, segments array<bigint>"
+    held = coded.select("entry", F.element_at("ids", 1).alias("first"), F.size("ids").alias("n"))
+    index = coded.select("entry", "code").mapInArrow(cut, parts).join(held, "entry")
+    index = stored(index.select("entry", "words", "first", "n", F.posexplode("segments").alias("segment", "value")))
+    waiting = stored(distinct.select("entry", "code").mapInArrow(cut, parts).withColumn("reach", F.lit(8 * width)))
+    needed, tasks = min(k, rows.count()), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = F.aggregate(F.zip_with("wanted", "words", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    by_query = Window.partitionBy("query").orderBy("distance", "first")
+    best, done = None, []
+    for radius in range(int(widths.max()) + 1):
+        # queries are few bytes but many probes, so small tables too are spread over all tasks
+        probes = waiting.repartition(tasks, "entry").mapInArrow(
+            lambda batches, radius=radius: _probe(batches, widths, radius), "query bigint, wanted array<bigint>, reach int, segment int, value bigint"
+        )
+        met = probes.join(index, ["segment", "value"]).select("query", "entry", "first", "n", "reach", apart.alias("distance"))
+        found = met.where("distance <= reach").select("query", "entry", "first", "n", "distance")
+        if best is not None:
+            found = found.unionByName(best.join(waiting.select(F.col("entry").alias("query")), "query", "left_semi"))
+        # the k nearest rows lie in the k first entries, as each entry has a row at its smallest id
+        best = found.distinct().withColumn("place", F.row_number().over(by_query)).where(F.col("place") <= k).drop("place")
+        best = stored(best)
+        upto = F.sum("n").over(by_query.rowsBetween(Window.unboundedPreceding, 0))
+        kth = best.withColumn("upto", upto).where(F.col("upto") >= needed).groupBy("query").agg(F.min("distance").alias("kth"))
+        judged = waiting.join(kth, waiting["entry"] == kth["query"], "left").drop("query")
+        covered = m * (radius + 1) - 1
+        more = (F.col("kth").isNull() | (F.col("kth") > covered)) if radius < widths.max() else F.lit(False)
+        reach = F.coalesce("kth", F.lit(8 * width)).cast("int")
+        after = stored(judged.where(more).select("entry", "words", "segments", reach.alias("reach")))
+        done.append(best.join(after.select(F.col("entry").alias("query")), "query", "left_anti"))
+        waiting = after
+        if waiting.isEmpty():
+            break
+    nearest = done[0]
+    for part in done[1:]:
+        nearest = nearest.unionByName(part)
+    listed = nearest.select("query", "entry", "distance").join(coded.select("entry", F.explode("ids").alias("neighbour_id")), "entry")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbour_id"))
+    ranked = listed.withColumn("rank", rank).where(F.col("rank") <= k)
+    names = distinct.select(F.col("entry").alias("query"), "code").join(asked, "code")
+    return ranked.join(names, "query").select(
+        F.col("id").alias("query_id"), F.col("rank").cast("long").alias("rank"), "neighbour_id", F.col("distance").cast("long").alias("distance")
     )
 
 
@@ -165,10 +186,12 @@ def op6_hamming_search(spark, sf_dir) -> DataFrame:
 
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) = 64),
- d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbour_id,
-       CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN (q.embedding[i] > 0) <> (r.embedding[i] > 0) THEN 1 ELSE 0 END)) AS BIGINT) AS distance
-       FROM v AS q, v AS r WHERE q.vec_id % 50 = 0),
- n AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank, neighbour_id, distance FROM d)
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0 AND NOT isnan(x), FALSE)) AS code
+       FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) = 64),
+ q AS (SELECT DISTINCT vec_id, code FROM v WHERE vec_id % 50 = 0),
+ d AS (SELECT q.vec_id AS query_id, q.code, r.vec_id AS neighbour_id,
+       CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN q.code[i] <> r.code[i] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+       FROM q, v AS r),
+ n AS (SELECT query_id, row_number() OVER (PARTITION BY query_id, code ORDER BY distance, neighbour_id) AS rank, neighbour_id, distance FROM d)
 SELECT query_id, rank, neighbour_id, distance FROM n WHERE rank <= 10
 """
