@@ -93,14 +93,14 @@ def masks(width: int, radius: int, size: int = PROBES) -> Iterator[np.ndarray]:
         yield (1 << np.array(some, np.int64).reshape(len(some), radius)).sum(axis=1)
 
 
-def _probe(batches: Iterator[pa.RecordBatch], widths: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
-    """(entry, words, segments, reach) of queries to (query, wanted, reach, segment, value): all values at ``radius``."""
+def _probe(batches: Iterator[pa.RecordBatch], widths: np.ndarray, radii: range) -> Iterator[pa.RecordBatch]:
+    """(entry, words, segments, reach) of queries to (query, wanted, reach, segment, value): all values at one of ``radii``."""
     for batch in batches:
         if not batch.num_rows:
             continue
         own = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
         for j, width in enumerate(widths.tolist()):
-            for some in masks(width, radius):
+            for some in (part for radius in radii for part in masks(width, radius)):
                 step = max(1, PROBES // len(some))
                 for lo in range(0, batch.num_rows, step):
                     part = own[lo : lo + step, j]
@@ -145,10 +145,11 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     apart = F.aggregate(F.zip_with("wanted", "words", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
     by_query = Window.partitionBy("query").orderBy("distance", "first")
     best, done = None, []
-    for radius in range(int(widths.max()) + 1):
+    for radius in range(1, int(widths.max()) + 1):
+        radii = range(2) if radius == 1 else range(radius, radius + 1)  # the first two in one go
         # queries are few bytes but many probes, so small tables too are spread over all tasks
         probes = waiting.repartition(tasks, "entry").mapInArrow(
-            lambda batches, radius=radius: _probe(batches, widths, radius), "query bigint, wanted array<bigint>, reach int, segment int, value bigint"
+            lambda batches, radii=radii: _probe(batches, widths, radii), "query bigint, wanted array<bigint>, reach int, segment int, value bigint"
         )
         met = probes.join(index, ["segment", "value"]).select("query", "entry", "first", "n", "reach", apart.alias("distance"))
         found = met.where("distance <= reach").select("query", "entry", "first", "n", "distance")
