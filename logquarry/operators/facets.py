@@ -1,13 +1,18 @@
 """Filterable views of events and scored events."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logquarry.functions.numbering import numbered, place
 from logquarry.schema import ANALYSIS_COLUMNS, ANOMALY_LIST_COLUMNS
+from logquarry.session import stored_in_place
 
 # The choice that means no filter, and the size of the recent-events view.
 ALL = "All"
 RECENT_ROWS = 100
+# End of fixed values.
+
+FIRST_RANGE, WIDER = 10, 4  # ids looked at first for each wanted row, and how much wider the next range is
 
 
 def facet_filter(
@@ -38,11 +43,11 @@ def facet_values(df: DataFrame, column: str) -> DataFrame:
     if column not in df.columns:
         return spark.range(1).select(F.lit(0).alias("position"), F.lit(ALL).alias("value"))
     values = df.select(F.col(column).alias("key")).where(F.col("key").isNotNull()).distinct()
-    head = spark.range(1).select(F.lit(0).alias("rank"), F.lit(None).cast(df.schema[column].dataType).alias("key"), F.lit(ALL).alias("value"))
-    listed = head.unionByName(values.select(F.lit(1).alias("rank"), "key", F.col("key").cast("string").alias("value")))
-    # the choices of a facet fill a menu, so one task may number them
-    position = (F.row_number().over(Window.orderBy("rank", "key")) - 1).alias("position")
-    return listed.select(position, "value").orderBy("position")
+    # sorted by range and numbered from counts per partition: names from the logs have no bound that fits a task
+    placed = stored_in_place(values.repartitionByRange("key").sortWithinPartitions("key").withColumn("place", place()))
+    listed = numbered(placed, "position", 1).select(F.col("position").cast("int").alias("position"), F.col("key").cast("string").alias("value"))
+    head = spark.range(1).select(F.lit(0).alias("position"), F.lit(ALL).alias("value"))
+    return head.unionByName(listed).orderBy("position")
 
 
 def anomalous_events(scored: DataFrame) -> DataFrame:
@@ -50,7 +55,21 @@ def anomalous_events(scored: DataFrame) -> DataFrame:
     return scored.where("is_anomaly").select(*[c for c in ANOMALY_LIST_COLUMNS if c in scored.columns])
 
 
-def recent_events(events: DataFrame, rows: int = RECENT_ROWS, **facets) -> DataFrame:
-    """The newest ``rows`` facet matches by id, in id order."""
+def recent_events(events: DataFrame, rows: int = RECENT_ROWS, newest: int | None = None, **facets) -> DataFrame:
+    """The newest ``rows`` facet matches by id, in id order.
+
+    They are looked for among the highest ids, in ranges that grow until one holds enough matches: files and
+    row groups below the range are skipped by their bounds. ``newest`` is the highest id, where it is known;
+    else the id column is read for it. Rows without an id are the oldest.
+    """
     matches = facet_filter(events.select(*ANALYSIS_COLUMNS), **facets)
+    if newest is None:
+        newest = events.agg(F.max("id")).first()[0]
+    span = FIRST_RANGE * max(1, rows)
+    while newest is not None and span <= newest:
+        inside = matches.where(F.col("id") > newest - span)
+        if inside.select(F.lit(1)).limit(rows).count() == rows:
+            matches = inside
+            break
+        span *= WIDER
     return matches.orderBy(F.desc("id")).limit(rows).orderBy("id")

@@ -54,7 +54,8 @@ def operational_report(summary: DataFrame, anomalies: DataFrame, limit: int = LI
     """One row composed from the analytics over ``summary`` (``analytics.rollup``) and the anomaly report.
 
     Levels, event types and services list their first ``limit`` entries: names come from the logs, and a
-    document must not grow with them. The analytics results hold all of them.
+    document must not grow with them. How many more there are stands beside them; the analytics results hold
+    all of them.
     """
     first = or_no_anomalies(anomalies)
 
@@ -64,6 +65,9 @@ def operational_report(summary: DataFrame, anomalies: DataFrame, limit: int = LI
     def only_row(result: DataFrame) -> Column:
         return result.select(F.struct(*result.columns)).scalar()
 
+    def left_out(result: DataFrame) -> Column:
+        return result.agg(F.greatest(F.count(F.lit(1)) - limit, F.lit(0).cast("bigint"))).scalar()
+
     by_count = [_minus("event_count")]
     services = of("service_performance")
     busiest = services.select("service", "total_count").orderBy(F.desc("total_count"), "service").limit(1)
@@ -94,6 +98,9 @@ def operational_report(summary: DataFrame, anomalies: DataFrame, limit: int = LI
         "a.anomalies_by_status",
         "a.top_anomalous_endpoints",
         "s.server_error_count",
+        left_out(of("log_level_distribution")).alias("log_levels_left_out"),
+        left_out(of("event_type_distribution")).alias("event_types_left_out"),
+        left_out(services).alias("services_left_out"),
         only_row(busiest).alias("busiest_service"),
     )
 

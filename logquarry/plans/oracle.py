@@ -591,7 +591,10 @@ FIGURES = f"""SELECT count(*) AS total_events, count(*) FILTER (log_level = 'ERR
     count(*) FILTER (event_type = 'DATABASE_ERROR') AS database_error_count,
     {MEAN_RT} AS average_response_time_ms, max(response_time_ms) AS max_response_time_ms,
     CAST(0 AS BIGINT) AS anomaly_count, CAST(0 AS DOUBLE) AS anomaly_rate,
-    count(*) FILTER (status BETWEEN 500 AND 599) AS server_error_count FROM log_events"""
+    count(*) FILTER (status BETWEEN 500 AND 599) AS server_error_count,
+    CAST(greatest(count(DISTINCT log_level) - 1000, 0) AS BIGINT) AS log_levels_left_out,
+    CAST(greatest(count(DISTINCT event_type) - 1000, 0) AS BIGINT) AS event_types_left_out,
+    CAST(greatest(count(DISTINCT service) - 1000, 0) AS BIGINT) AS services_left_out FROM log_events"""
 
 
 def _section(name: str, source: str, order: str, label: str, count: str, value: str) -> str:
@@ -727,7 +730,7 @@ TOTALS = "total_records anomaly_count anomaly_rate normal_count".split() + [
 ]
 METRICS = (
     "total_events error_count warning_count auth_failure_count database_error_count average_response_time_ms"
-    " max_response_time_ms anomaly_count anomaly_rate server_error_count"
+    " max_response_time_ms anomaly_count anomaly_rate server_error_count log_levels_left_out event_types_left_out services_left_out"
 ).split()
 QUALITY = "quality_checks_passed quality_checks_failed quality_checks_warned quality_score".split()
 WHOLE = f"""SELECT count(*) AS total_records, {_iso('min(timestamp)')} AS earliest_timestamp,

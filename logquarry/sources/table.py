@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.functions.numbering import numbered, place
+from logquarry.operators.facets import RECENT_ROWS, recent_events
 from logquarry.operators.load import absent_from, constraint_error, load_summary, type_rows, winners
 from logquarry.schema import ANALYSIS_COLUMNS, LOG_EVENTS_SCHEMA, RECORD_COLUMNS, REQUIRED_FIELDS, VARCHAR_LENGTHS
 from logquarry.session import Scratch, stored_in_place
@@ -200,3 +201,10 @@ def verify_table(spark: SparkSession, table: str = "log_events") -> DataFrame:
     """One row: whether the table exists, its size, time range and rows per level."""
     exists = F.lit(spark.catalog.tableExists(table)).alias("table_exists")
     return load_summary(log_events(spark, table)).select(exists, "*")
+
+
+def recent_logs(spark: SparkSession, table: str = "log_events", rows: int = RECENT_ROWS, **facets) -> DataFrame:
+    """The newest facet matches of the table; its record of loads says what the newest id is."""
+    if not spark.catalog.tableExists(table):
+        return recent_events(log_events(spark, table), rows, 0, **facets)
+    return recent_events(log_events(spark, table), rows, Ledger(spark, table).seals()[-1].next_id - 1, **facets)

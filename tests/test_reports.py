@@ -3,9 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from logquarry.functions.hashing import record_hash
 from logquarry.operators import facets, quality, reports
 from logquarry.plans import detection, reporting
 from logquarry.sources import files
+from logquarry.sources import table as tables
 
 ANOMALY = {
     "total_records": 10, "anomaly_count": 4, "anomaly_rate": 40.0, "normal_count": 6, "server_error_count": 2,
@@ -229,3 +231,47 @@ def test_duplicate_ids_are_counted_in_bitmaps(spark, make_events, parts):
 
 def test_duplicate_ids_of_nothing(no_events):
     assert quality.measurements(no_events).first()["duplicate_ids"] == 0
+
+
+def test_left_out_entries_are_counted(make_events, no_report, area):
+    rows = [("2025-05-01 12:00:00", "INFO", f"E{i}", f"s{i % 8}", *[None] * 6) for i in range(12)]
+    report = reports.operational_report(reporting.stored_summary(make_events(rows), area), no_report, limit=5).first()
+    assert (report["log_levels_left_out"], report["event_types_left_out"], report["services_left_out"]) == (0, 7, 3)
+    assert len(report["event_type_distribution"]) == 5 and len(report["service_performance"]) == 5
+
+
+def test_facet_values_are_numbered_by_partition(make_events):
+    rows = [("2025-05-01 12:00:00", "INFO", "USER_LOGIN", f"s{i % 500:03d}", *[None] * 6) for i in range(1500)]
+    found = facets.facet_values(make_events(rows).repartition(6), "service")
+    assert [(r["position"], r["value"]) for r in found.collect()] == [(0, "All")] + [(i + 1, f"s{i:03d}") for i in range(500)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_recent_events_are_looked_for_at_the_top(spark, make_events, monkeypatch):
+    many = make_events([("2025-05-01 12:00:00", "ERROR" if i < 30 else "INFO", "USER_LOGIN", *[None] * 7) for i in range(3000)])
+    for level, rows in (("INFO", 7), ("ERROR", 7), ("ERROR", 40), ("WARN", 3)):
+        want = [r["id"] for r in many.where(F.col("log_level") == level).orderBy(F.desc("id")).limit(rows).collect()][::-1]
+        assert [r["id"] for r in facets.recent_events(many, rows=rows, log_level=level).collect()] == want
+    plan = facets.recent_events(many, rows=2, log_level="INFO")._jdf.queryExecution().optimizedPlan().toString()
+    assert "2980" in plan  # the last range looked at: twenty ids
+
+
+def test_recent_logs_of_a_table_skip_older_files(spark, make_events, table, tmp_path):
+    tables.create_table(spark, table, 1, str(tmp_path / "t"))
+    order = {"file": F.lit(""), "block": F.lit(0), "row": F.monotonically_increasing_id()}
+    for load in range(6):
+        rows = [(f"2025-05-{load + 1:02d} 12:00:00", "INFO", "USER_LOGIN", None, None, None, None, None, f"U{load}_{i}", None) for i in range(500)]
+        loaded = make_events(rows).drop("id").withColumns({"record_hash": record_hash(), **order})
+        tables.load_rows(spark, loaded, table)
+    recent = tables.recent_logs(spark, table, rows=5)
+    assert [r["id"] for r in recent.collect()] == list(range(2996, 3001))
+    leaves = recent._jdf.queryExecution().executedPlan().executedPlan().collectLeaves()
+    read = 0
+    for i in range(leaves.size()):
+        stage = leaves.apply(i)
+        scans = stage.plan().collectLeaves() if stage.getClass().getSimpleName().endswith("QueryStageExec") else None
+        for scan in [stage] if scans is None else [scans.apply(k) for k in range(scans.size())]:
+            read += scan.metrics().apply("numOutputRows").value()
+    assert read <= 500  # the row groups of one load out of six
+    assert tables.recent_logs(spark, "no_such_table").count() == 0
