@@ -32,9 +32,11 @@ PART_OF = {
 }  # all others: kind
 
 
-def facts(events: DataFrame) -> DataFrame:
+def facts(events: DataFrame, *more: str) -> DataFrame:
+    """Fact rows of the events, with further columns as they are."""
     rt = F.col("response_time_ms")
     return events.select(
+        *more,
         "log_level",
         "event_type",
         "service",
@@ -51,8 +53,11 @@ def facts(events: DataFrame) -> DataFrame:
     )
 
 
-def rollup(events: DataFrame) -> DataFrame:
-    """The facts summed by each of ``GROUPINGS``, told apart by ``part``. Sums are combined on the map side."""
+def rollup(events: DataFrame, *by: str) -> DataFrame:
+    """The facts summed by each of ``GROUPINGS``, told apart by ``part``, and by columns ``by`` in all of them.
+
+    Sums are combined on the map side.
+    """
     sums = [
         *[F.sum(c).alias(c) for c in ("events", "rt_samples", "rt_sum")],
         F.min("rt_min").alias("rt_min"),
@@ -60,8 +65,8 @@ def rollup(events: DataFrame) -> DataFrame:
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
     ]
-    sets = [[F.col(c) for c in columns] for columns in GROUPINGS.values()]
-    summed = facts(events).groupingSets(sets, *[F.col(c) for c in DIMENSIONS]).agg(F.grouping_id().alias("set"), *sums)
+    sets = [[F.col(c) for c in (*by, *columns)] for columns in GROUPINGS.values()]
+    summed = facts(events, *by).groupingSets(sets, *[F.col(c) for c in (*by, *DIMENSIONS)]).agg(F.grouping_id().alias("set"), *sums)
     names = F.lit(None).cast("string")
     for name, columns in GROUPINGS.items():  # a bit of the id is set for each column that is not grouped by
         number = sum(1 << i for i, c in enumerate(reversed(DIMENSIONS)) if c not in columns)
@@ -195,14 +200,18 @@ def hourly_traffic(data: DataFrame) -> DataFrame:
     return data.groupBy("hour").agg(_events().alias("event_count")).orderBy(F.asc_nulls_last("hour"))
 
 
+def user_counts(events: DataFrame, *by: str) -> DataFrame:
+    """Events per user, and per columns ``by``."""
+    return events.where(F.col("user_id").isNotNull()).groupBy("user_id", *by).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def user_shares(counts: DataFrame) -> DataFrame:
+    return _with_share(counts, "user_id").orderBy(F.desc("event_count"), "user_id")
+
+
 def user_activity_summary(events: DataFrame) -> DataFrame:
     """Events per user. Reads the events themselves: users are not a dimension of the facts."""
-    counts = (
-        events.where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("event_count"))
-    )
-    return _with_share(counts, "user_id").orderBy(F.desc("event_count"), "user_id")
+    return user_shares(user_counts(events))
 
 
 FACT_QUERIES = {
@@ -221,8 +230,11 @@ FACT_QUERIES = {
 }
 
 
+def results_of(summary: DataFrame, users: DataFrame) -> dict[str, DataFrame]:
+    """All thirteen results from rolled-up facts, of any number of partial roll-ups, and ``user_counts``."""
+    return {name: query(rolled(summary, name)) for name, query in FACT_QUERIES.items()} | {"user_activity_summary": user_shares(users)}
+
+
 def all_analytics(events: DataFrame, summary: DataFrame) -> dict[str, DataFrame]:
     """All thirteen results. ``summary`` is ``rollup(events)``, read back from storage."""
-    results = {name: query(rolled(summary, name)) for name, query in FACT_QUERIES.items()}
-    results["user_activity_summary"] = user_activity_summary(events)
-    return results
+    return results_of(summary, user_counts(events))

@@ -16,7 +16,7 @@ from logquarry.plans import detection, processing, reporting
 from logquarry.schema import ANALYSIS_COLUMNS, CATEGORICAL_FEATURES, NULL_TOKENS, RECORD_COLUMNS, RULE_SIGNALS
 from logquarry.session import Scratch, gathered, session_area, use_scratch
 from logquarry.sources import events as derived
-from logquarry.sources import files, table
+from logquarry.sources import files, rollups, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,6 +355,22 @@ def load_stats(spark, sf_dir):
     return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
 
 
+@_register
+def table_analytics(spark, sf_dir):
+    """The thirteen results over a table that grew between two refreshes of its daily roll-ups."""
+    row = F.monotonically_increasing_id()
+    events = derived.hashed_log_events(spark, sf_dir).withColumns({"file": F.lit(""), "block": F.lit(0), "row": row})
+    name, area = f"load_{uuid.uuid4().hex}", session_area(spark)
+    try:
+        table.create_table(spark, name, 8, area.path("table"))
+        for part in ("id % 3 > 0", "id % 3 = 0"):
+            table.load_rows(spark, events.where(part), name)
+            rollups.refresh(spark, name)
+        return area.store(reporting.measures(rollups.table_analytics(spark, name)), "measures")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @_register
 def constraint_violations(spark, sf_dir):
     k = F.col("id") % 13

@@ -767,7 +767,12 @@ SAVED = {
     "saved_analytics": ANALYTICS_REPORT.replace("CAST(hour AS VARCHAR) AS key", "strftime(hour, '%Y-%m-%dT%H:%M:%S') AS key"),
 }
 
+# a load keeps one of equal records
+LOADED = f"""{LOG_EVENTS.replace("log_events AS", "all_events AS")}, log_events AS (SELECT min(id) AS id, timestamp, log_level,
+    event_type, service, endpoint, method, status, response_time_ms, user_id, message FROM all_events GROUP BY ALL)"""
+
 ORACLE_SQL = {
+    "table_analytics": ANALYTICS_REPORT.replace(LOG_EVENTS, LOADED),
     **ANALYTICS,
     "analytics_report": ANALYTICS_REPORT,
     **PROCESSING,
