@@ -151,7 +151,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         probes = waiting.repartition(tasks, "entry").mapInArrow(
             lambda batches, radii=radii: _probe(batches, widths, radii), "query bigint, wanted array<bigint>, reach int, segment int, value bigint"
         )
-        met = probes.join(index, ["segment", "value"]).select("query", "entry", "first", "n", "reach", apart.alias("distance"))
+        # sorted and merged: probes are few bytes when shuffled, and far more as a hash table that a task or the driver holds
+        met = probes.join(index.hint("merge"), ["segment", "value"]).select("query", "entry", "first", "n", "reach", apart.alias("distance"))
         found = met.where("distance <= reach").select("query", "entry", "first", "n", "distance")
         if best is not None:
             found = found.unionByName(best.join(waiting.select(F.col("entry").alias("query")), "query", "left_semi"))
