@@ -46,7 +46,7 @@ def _field(key: str) -> str:
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """Parse each line. Adds ``raw_line``, the ten record columns and ``rejection_reason`` (null when parsed).
 
-    ``status`` and ``response_time_ms`` are bigint here; validation narrows the status. Other columns of
+    ``status`` and ``response_time_ms`` are decimal(38,0) here; validation narrows the status. Other columns of
     ``lines`` are kept. The reason is the first of: too few sections, timestamp format, impossible
     timestamp, level, event type, status, response time.
     """

@@ -707,32 +707,36 @@ def text_report(spark, sf_dir):
     return reports.text_report(built["final"]).where(~F.col("line").startswith("Generated: "))
 
 
-def _saved_reports(spark, sf_dir, area):
-    return reporting.run_reporting(spark, derived.log_events(spark, sf_dir), area.path("out"))
+@functools.cache
+def _reports_of(application_id: str, sf_dir: str) -> dict[str, str]:
+    spark = SparkSession.active()
+    return reporting.run_reporting(spark, derived.log_events(spark, sf_dir), session_area(spark).path("out"))
+
+
+def _saved_reports(spark, sf_dir):
+    """Paths of one reporting run, which three queries read; kept until the program ends."""
+    return _reports_of(spark.sparkContext.applicationId, sf_dir)
 
 
 @_register
 def saved_text_report(spark, sf_dir):
     """The lines of the saved text report, each with how often it occurs."""
-    with Scratch(spark) as area:
-        lines = spark.read.text(_saved_reports(spark, sf_dir, area)["final_report_txt"])
-        counted = lines.where(~F.col("value").startswith("Generated: ")).groupBy(F.col("value").alias("line"))
-        return gathered(counted.agg(F.count(F.lit(1)).alias("times")))
+    lines = spark.read.text(_saved_reports(spark, sf_dir)["final_report_txt"])
+    counted = lines.where(~F.col("value").startswith("Generated: ")).groupBy(F.col("value").alias("line"))
+    return counted.agg(F.count(F.lit(1)).alias("times"))
 
 
 @_register
 def saved_quality(spark, sf_dir):
     """The quality report as saved in JSON, its times as text."""
     schema = "total_records bigint, earliest_timestamp string, latest_timestamp string, quality_checks_passed bigint, quality_score double"
-    with Scratch(spark) as area:
-        return gathered(files.read_report(spark, _saved_reports(spark, sf_dir, area)["data_quality_report"], T.StructType.fromDDL(schema)))
+    return files.read_report(spark, _saved_reports(spark, sf_dir)["data_quality_report"], T.StructType.fromDDL(schema))
 
 
 @_register
 def saved_checks(spark, sf_dir):
     """The quality checks as saved in CSV."""
-    with Scratch(spark) as area:
-        return gathered(files.read_checks(spark, _saved_reports(spark, sf_dir, area)["data_quality_summary"]))
+    return files.read_checks(spark, _saved_reports(spark, sf_dir)["data_quality_summary"])
 
 
 @_register
