@@ -1,6 +1,6 @@
 """Exact top-k search over binary codes by incremental multi-index hashing (operator 6).
 
-A code is cut into segments of about log2 n bits for n codes, and the index is a table of (segment, value,
+A code is cut into segments of about log2 n - 6 bits for n codes, and the index is a table of (segment, value,
 code). A query looks up all values within a radius of its own segments; what it finds is verified by the full
 Hamming distance. Once radius s has been searched in all m segments, every code within m * (s + 1) - 1 has been
 found: a code farther off in each of them would differ in m * (s + 1) bits or more. A query whose k-th verified
@@ -12,7 +12,9 @@ one entry of the index with their k smallest ids, found before any shuffle; equa
 """
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ from logquarry.llm.common import stored
 K = 10
 BITS = 64
 MOST_SEGMENT_BITS = 30
+PER_VALUE = 64  # codes that share a segment's value, about: a probe costs a shuffled row, a comparison some nanoseconds
 QUERY_EVERY = 50
 PROBES = 1 << 16  # probes that are sent on at once
 
@@ -50,8 +53,8 @@ def sign_code(vectors: DataFrame, id_column: str, vector_column: str, bits: int
 
 
 def segment_bounds(bits: int, count: int) -> np.ndarray:
-    """First bit of each segment and the end: segments of equal width, about log2 of the number of codes."""
-    width = min(MOST_SEGMENT_BITS, max(2, int(count).bit_length() - 1))
+    """First bit of each segment and the end: segments of equal width, so that about ``PER_VALUE`` codes share a value."""
+    width = min(MOST_SEGMENT_BITS, max(2, (int(count) // PER_VALUE).bit_length() - 1))
     segments = max(1, -(-bits // MOST_SEGMENT_BITS), round(bits / width))
     return np.linspace(0, bits, segments + 1).round().astype(int)
 
@@ -142,7 +145,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     index = stored(index.select("entry", "words", "first", "n", F.posexplode("segments").alias("segment", "value")))
     waiting = stored(distinct.select("entry", "code").mapInArrow(cut, parts).withColumn("reach", F.lit(8 * width)))
     needed, tasks = min(k, rows.count()), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    apart = F.aggregate(F.zip_with("wanted", "words", lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    apart = reduce(add, [F.bit_count(F.get("wanted", F.lit(i)).bitwiseXOR(F.get("words", F.lit(i)))) for i in range(-(-width // 8))])
     by_query = Window.partitionBy("query").orderBy("distance", "first")
     best, done = None, []
     for radius in range(1, int(widths.max()) + 1):
