@@ -13,7 +13,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and ORACLE_SQL.keys() <= QUERIES.keys()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and ORACLE_SQL.keys() <= QUERIES.keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
