@@ -111,9 +111,10 @@ def absent_from(rows: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose hash the target does not hold. Only the hash column of the target is read.
 
     An outer join that keeps the unmatched rows: the optimizer would move an anti join below the
-    aggregate that made the rows distinct, and send every copy of a hot record through the join.
+    aggregate that made the rows distinct, and send every copy of a hot record through the join. Both sides
+    are merged, never broadcast: after parsing or of a few days, the target is estimated far too small.
     """
-    known = target.select(F.col("record_hash").alias("known_hash"))
+    known = target.select(F.col("record_hash").alias("known_hash")).hint("merge")
     matched = rows.join(known, F.col("record_hash") == F.col("known_hash"), "left_outer")
     return matched.where(F.col("known_hash").isNull()).drop("known_hash")
 
