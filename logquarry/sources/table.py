@@ -86,7 +86,8 @@ def _row_number(staged: DataFrame, bad) -> int:
 def _day_groups(checked, buckets: int, rows_per_task: int) -> list[tuple]:
     """Ranges of days with about equal numbers of incoming rows: more of them the more rows there are for a bucket."""
     count = min(DAY_GROUPS, -(-checked["rows"] // (buckets * rows_per_task)))
-    last_days = sorted({*checked["day_quantiles"][:: DAY_GROUPS // count], checked["last_day_number"]})
+    step = DAY_GROUPS // count
+    last_days = sorted({*checked["day_quantiles"][step - 1 :: step], checked["last_day_number"]})
     firsts = [checked["first_day_number"], *[d + 1 for d in last_days[:-1]]]
     return [(a, b) for a, b in zip(firsts, last_days) if a <= b]
 
